@@ -1,0 +1,592 @@
+"""The registered queries: the Spark job and, next to it, the SQL that checks it."""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from checks.oracle import AS_OF, RATE_AS_OF, statement
+from duesight.functions import dates
+from duesight.functions.text import format_money
+from duesight.operators import documents, exposure, routes
+from duesight.operators.rates import asof_rate, latest_rate
+from duesight.plans import detail_sheet, notify, open_items, people, runlog, summary
+from duesight.session import prepare
+from duesight.settings import DEFAULT_AS_OF, DIR, USUAL, SummaryOptions
+from duesight.sources.starmap import star_failures, star_run_events, star_tables
+from duesight.sources.tables import Tables
+
+RATE_DAY = dt.date.fromisoformat(RATE_AS_OF)
+# A Saturday morning, so that weekday 6 is today's.
+NOW = dt.datetime(2001, 6, 16, 9, 30, 15)
+
+DEDUPED = SummaryOptions(dedupe_orders=True)
+CREDITS_ADDED = SummaryOptions(future_credits_added=True)
+LONG_HORIZON = SummaryOptions(consolidated_horizon=True)
+
+
+@dataclass(frozen=True)
+class Query:
+    run: Callable[[SparkSession, str], DataFrame]
+    sql: str | None = None
+
+
+REGISTRY: dict[str, Query] = {}
+
+
+def plain(df: DataFrame) -> DataFrame:
+    """Display types: money as double with two places, dates as text."""
+    columns = []
+    for field in df.schema:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.DecimalType):
+            column = F.round(column, 2).cast("double")
+        elif isinstance(field.dataType, T.DateType):
+            column = column.cast("string")
+        columns.append(column.alias(field.name))
+    return df.select(*columns)
+
+
+def query(name: str, sql: str | None = None, **statement_options: str):
+    """Register a job that takes the tables; ``sql`` selects from the oracle's views."""
+
+    def register(build: Callable[[Tables], DataFrame]):
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            return plain(build(star_tables(prepare(spark), folder)))
+
+        REGISTRY[name] = Query(run, statement(sql, **statement_options) if sql else None)
+        return build
+
+    return register
+
+
+def _money(*names: str) -> str:
+    return ", ".join(f"round({name}, 2)::DOUBLE AS {name}" for name in names)
+
+
+def _day(*names: str) -> str:
+    return ", ".join(f"{name}::DATE::VARCHAR AS {name}" for name in names)
+
+
+def _rates(t: Tables) -> DataFrame:
+    return open_items.report_rates(t, DEFAULT_AS_OF)
+
+
+def _base(t: Tables, options: SummaryOptions = USUAL) -> DataFrame:
+    return summary.summary_base(t, DEFAULT_AS_OF, options)
+
+
+# --- rates -----------------------------------------------------------------------------------
+
+
+@query("latest_rate", f"SELECT currency_id, {_money('rate')}, {_day('rate_date')} FROM rates")
+def _(t: Tables) -> DataFrame:
+    return latest_rate(t.forex_conversions, DEFAULT_AS_OF)
+
+
+@query(
+    "asof_rate",
+    f"""SELECT from_currency_id AS currency_id, round(value, 2)::DOUBLE AS rate, date::VARCHAR AS rate_date
+    FROM forex_conversions WHERE date <= DATE '{RATE_AS_OF}'
+    QUALIFY row_number() OVER (PARTITION BY from_currency_id ORDER BY date DESC, id DESC) = 1""",
+)
+def _(t: Tables) -> DataFrame:
+    return asof_rate(t.forex_conversions, RATE_DAY)
+
+
+# --- documents -------------------------------------------------------------------------------
+
+
+@query(
+    "revision_filter",
+    """SELECT i.id AS doc_id FROM invoices i LEFT JOIN invoices child ON child.invoice_reference = i.id
+    WHERE i.status = 'a' AND i.deleted = 0 AND i.balance_amount > 0 AND i.invoice_reference IS NULL
+      AND child.id IS NULL""",
+)
+def _(t: Tables) -> DataFrame:
+    return documents.open_invoices(t).select(F.col("id").alias("doc_id"))
+
+
+@query("dedupe_fanout", "SELECT bdm_id, doc_id, sales_order_id FROM items_inv")
+def _(t: Tables) -> DataFrame:
+    invoices = documents.open_invoices(t).select(F.col("id").alias("doc_id"), "project_id")
+    chosen = routes.owner_orders(t).select("project_id", "bdm_id", "sales_order_id")
+    return invoices.join(chosen, "project_id").select("bdm_id", "doc_id", "sales_order_id")
+
+
+@query("po_resolution", "SELECT bdm_id, doc_id, po_no FROM items_inv")
+def _(t: Tables) -> DataFrame:
+    invoices = documents.open_invoices(t).select(F.col("id").alias("doc_id"), "project_id", "po_id")
+    chosen = (
+        routes.owner_orders(t)
+        .select("project_id", "bdm_id", "sales_order_id")
+        .join(routes.fallback_purchase_orders(t), "sales_order_id", "left")
+    )
+    rows = invoices.join(chosen, "project_id")
+    return open_items.with_purchase_order(rows, t, "doc_id").select("bdm_id", "doc_id", "po_no")
+
+
+@query(
+    "consolidated_items",
+    """SELECT cp.parent_consolidation AS consolidated_id, count(DISTINCT cp.parent_id) AS parents,
+           count(DISTINCT i.id) AS constituents, coalesce(sum(i.balance_amount), 0)::DOUBLE AS paired_balance
+    FROM con_pairs cp LEFT JOIN invoices i ON i.id = cp.constituent_id
+    WHERE cp.parent_balance > 0 GROUP BY 1""",
+)
+def _(t: Tables) -> DataFrame:
+    parents = exposure.parent_counts(t).filter(F.col("open_parents") > 0)
+    members = (
+        t.invoice_consolidation_details.withColumnsRenamed(
+            {"invoice_consolidation_id": "consolidated_id", "invoice_id": "id"}
+        )
+        .join(t.invoices.select("id", "balance_amount"), "id")
+        .groupBy("consolidated_id")
+        .agg(F.count(F.lit(1)).alias("constituents"), F.sum("balance_amount").alias("balance"))
+    )
+    paired = F.coalesce("balance", F.lit(0)).cast("decimal(23,2)") * F.col("open_parents").cast("decimal(12,0)")
+    return parents.join(members, "consolidated_id", "left").select(
+        "consolidated_id",
+        F.col("open_parents").alias("parents"),
+        F.coalesce("constituents", F.lit(0)).alias("constituents"),
+        paired.alias("paired_balance"),
+    )
+
+
+ITEM_TEXT = ", ".join(
+    name
+    for name in open_items.ITEM_COLUMNS
+    if name not in ("amount", "balance", "balance_base", "invoice_date", "due_date", "submitted_on", "expected_on")
+)
+ITEM_SQL = (
+    f"SELECT {ITEM_TEXT}, {_money('amount', 'balance', 'balance_base')},"
+    f" {_day('invoice_date', 'due_date', 'submitted_on', 'expected_on')} FROM "
+)
+
+
+@query("open_items_inv", ITEM_SQL + "items_inv")
+def _(t: Tables) -> DataFrame:
+    return open_items.project_items(t, _rates(t))
+
+
+@query("open_items_con", ITEM_SQL + "items_con")
+def _(t: Tables) -> DataFrame:
+    return open_items.consolidated_items(t, _rates(t))
+
+
+@query("open_items_dir", ITEM_SQL + "items_dir")
+def _(t: Tables) -> DataFrame:
+    return open_items.direct_items(t, _rates(t))
+
+
+@query("open_items_crn", ITEM_SQL + "items_crn")
+def _(t: Tables) -> DataFrame:
+    return open_items.credit_items(t, _rates(t))
+
+
+@query("open_items", ITEM_SQL + "items")
+def _(t: Tables) -> DataFrame:
+    return open_items.open_items(t, DEFAULT_AS_OF)
+
+
+@query(
+    "detail_sheet",
+    """SELECT bdm_id, doc_key, customer_label AS customer_name, doc_no AS invoice_number,
+        strftime(invoice_date, '%d-%b-%Y') AS invoice_date, strftime(due_date, '%d-%b-%Y') AS due_date,
+        currency_code AS invoicing_currency,
+        CASE WHEN sign < 0 THEN '(' || amount::DECIMAL(18,2) || ')' ELSE amount::DECIMAL(18,2)::VARCHAR END
+            AS amount_in_ic,
+        CASE WHEN sign < 0 THEN '(' || balance::DECIMAL(18,2) || ')' ELSE balance::DECIMAL(18,2)::VARCHAR END
+            AS balance_in_ic,
+        CASE WHEN sign < 0 OR due_date IS NULL OR due_date > DATE '{as_of}' THEN 0
+             ELSE datediff('day', due_date, DATE '{as_of}') END AS days_of_due,
+        CASE WHEN sign < 0 OR amount IS NULL THEN ''
+             WHEN due_date IS NULL OR due_date >= DATE '{as_of}' THEN 'No Due' ELSE 'Due' END AS due_status,
+        strftime(due_date, '%b-%Y') AS due_month,
+        coalesce(strftime(submitted_on, '%d-%b-%Y'), '-') AS submitted_on,
+        coalesce(strftime(expected_on, '%d-%b-%Y'), '-') AS expected_on,
+        po_no AS po_ref, credit_days::VARCHAR AS credit_period, contact_name, contact_email, contact_phone,
+        project_code AS project_id, project_name
+    FROM items""",
+)
+def _(t: Tables) -> DataFrame:
+    return detail_sheet.detail_sheet(t, DEFAULT_AS_OF).drop("sort_date")
+
+
+@query(
+    "format_money",
+    """SELECT id AS doc_id, currency, {money:balance_amount:currency} AS plus_text,
+        {money:-balance_amount:currency} AS minus_text, {money:balance_amount / 1000000:currency} AS small_text
+    FROM (SELECT i.id, i.balance_amount, cu.currency_code AS currency FROM invoices i
+          LEFT JOIN currencies cu ON cu.id = i.id % 6)""",
+)
+def _(t: Tables) -> DataFrame:
+    currencies = t.currencies.withColumnRenamed("id", "currency_id")
+    rows = t.invoices.withColumn("currency_id", F.col("id") % 6).join(currencies, "currency_id", "left")
+    balance, currency = F.col("balance_amount"), F.col("currency_code")
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        currency.alias("currency"),
+        format_money(balance, currency).alias("plus_text"),
+        format_money(-balance, currency).alias("minus_text"),
+        format_money(balance / 1_000_000, currency).alias("small_text"),
+    )
+
+
+# --- summary ---------------------------------------------------------------------------------
+
+
+@query(
+    "ageing_bucket",
+    """SELECT bdm_id, id AS doc_id, sales_order_id, due_date::VARCHAR AS due_date,
+        {months:due_date} AS month_offset, {bucket:due_date} AS bucket
+    FROM inv_star WHERE balance_amount > 0 AND status = 'a' AND bdm_id IS NOT NULL""",
+)
+def _(t: Tables) -> DataFrame:
+    unpaid = t.invoices.filter((F.col("balance_amount") > 0) & (F.col("status") == "a"))
+    orders = routes.owned_orders(t).select("project_id", "bdm_id", "sales_order_id", "credit_period")
+    due = F.col("due_date")
+    return (
+        unpaid.join(orders, "project_id")
+        .withColumn("due_date", dates.due_date(F.col("invoice_date"), F.col("credit_period")))
+        .select(
+            "bdm_id",
+            F.col("id").alias("doc_id"),
+            "sales_order_id",
+            "due_date",
+            dates.month_offset(due, DEFAULT_AS_OF).alias("month_offset"),
+            dates.ageing_bucket(due, DEFAULT_AS_OF).alias("bucket"),
+        )
+    )
+
+
+@query("candidate_customers", "SELECT bdm_id, customer_code FROM candidates")
+def _(t: Tables) -> DataFrame:
+    return summary.candidate_customers(_base(t))
+
+
+@query(
+    "candidate_semi",
+    """SELECT bdm_id, list_code AS customer_code, currency_code, sum(balance_amount)::DOUBLE AS amount
+    FROM dir_star WHERE balance_amount > 0
+      AND (bdm_id, list_code) IN (SELECT (bdm_id, customer_code) FROM candidates) GROUP BY 1, 2, 3""",
+)
+def _(t: Tables) -> DataFrame:
+    rows = summary.listed(_base(t)).filter((F.col("source") == DIR) & (F.col("open_count") > 0))
+    return rows.groupBy(*summary.CUSTOMER_KEY).agg(F.sum("open_amount").alias("amount"))
+
+
+HORIZON_SQL = f"SELECT bdm_id, {_day('last_due_date')}, months FROM horizon"
+
+
+@query("ageing_horizon", HORIZON_SQL)
+def _(t: Tables) -> DataFrame:
+    return summary.ageing_horizon(_base(t), DEFAULT_AS_OF)
+
+
+@query("ageing_horizon_consolidated", HORIZON_SQL, horizon_sources="'INV', 'DIR', 'CON'")
+def _(t: Tables) -> DataFrame:
+    return summary.ageing_horizon(_base(t), DEFAULT_AS_OF, LONG_HORIZON)
+
+
+SUMMARY_COLUMNS = "bdm_id, customer_code, currency_code, bucket, month_offset"
+
+
+def _summary_sql(source: str) -> str:
+    return (
+        f"SELECT {SUMMARY_COLUMNS}, sum(amount)::DOUBLE AS amount FROM summaries"
+        f" WHERE source = '{source}' GROUP BY ALL"
+    )
+
+
+def _one_source(t: Tables, source: str, options: SummaryOptions = USUAL) -> DataFrame:
+    rows = summary.summary_by_source(_base(t, options), DEFAULT_AS_OF, options)
+    return rows.filter(F.col("source") == source).drop("source")
+
+
+@query("summary_inv", _summary_sql("INV"))
+def _(t: Tables) -> DataFrame:
+    return summary.project_summary(t, DEFAULT_AS_OF)
+
+
+@query("summary_con", _summary_sql("CON"))
+def _(t: Tables) -> DataFrame:
+    return _one_source(t, "CON")
+
+
+@query("summary_dir", _summary_sql("DIR"))
+def _(t: Tables) -> DataFrame:
+    return _one_source(t, "DIR")
+
+
+@query("summary_crn", _summary_sql("CRN"))
+def _(t: Tables) -> DataFrame:
+    return _one_source(t, "CRN")
+
+
+MERGED_SQL = f"SELECT {SUMMARY_COLUMNS}, net_amount::DOUBLE AS net_amount FROM merged"
+ONE_ORDER = (
+    "s.sales_order_id = (SELECT min(x.id) FROM sales_orders x"
+    " WHERE x.customer_id = s.project_id AND x.sales_person_id = s.bdm_id)"
+)
+
+
+@query("summary_merged", MERGED_SQL)
+def _(t: Tables) -> DataFrame:
+    return summary.summary_merged(_base(t), DEFAULT_AS_OF)
+
+
+@query("summary_merged_credits_added", MERGED_SQL, added="true")
+def _(t: Tables) -> DataFrame:
+    return summary.summary_merged(_base(t), DEFAULT_AS_OF, CREDITS_ADDED)
+
+
+@query("summary_merged_deduped", MERGED_SQL, inv_once=ONE_ORDER, con_once=ONE_ORDER)
+def _(t: Tables) -> DataFrame:
+    return summary.summary_merged(_base(t, DEDUPED), DEFAULT_AS_OF, DEDUPED)
+
+
+@query(
+    "grand_total",
+    """SELECT bdm_id, customer_code, currency_code, customer_label, grand_total::DOUBLE AS grand_total
+    FROM labels_of_keys""",
+)
+def _(t: Tables) -> DataFrame:
+    return summary.grand_total(_base(t), DEFAULT_AS_OF)
+
+
+@query("bucket_totals", f"SELECT bdm_id, source, bucket, month_offset, {_money('total')} FROM totals")
+def _(t: Tables) -> DataFrame:
+    return summary.bucket_totals(_base(t), DEFAULT_AS_OF)
+
+
+VISIBLE_SQL = """SELECT bdm_id, bucket, month_offset, total_text,
+    CASE WHEN bucket = 'past' THEN 'Prior to ' || strftime(DATE '{as_of}' - INTERVAL 3 MONTH, '%b-%y')
+         ELSE strftime(date_trunc('month', DATE '{as_of}') + to_months(month_offset::INTEGER), '%b-%y') END AS label,
+    CASE WHEN bucket = 'current_not_due' OR month_offset > 0 THEN 'not_due' ELSE 'due' END AS section
+    FROM visible"""
+
+
+@query("visible_buckets", VISIBLE_SQL)
+def _(t: Tables) -> DataFrame:
+    return summary.visible_buckets(_base(t), DEFAULT_AS_OF)
+
+
+@query(
+    "visible_spans",
+    f"""SELECT bdm_id, count(*) FILTER (section = 'due') AS due_columns,
+        count(*) FILTER (section = 'not_due') AS not_due_columns
+    FROM ({VISIBLE_SQL}) GROUP BY bdm_id""",
+)
+def _(t: Tables) -> DataFrame:
+    return summary.visible_spans(_base(t), DEFAULT_AS_OF)
+
+
+def _cell_sql(bucket: str) -> str:
+    return f"""CASE WHEN list_contains(v.shown, '{bucket}')
+        THEN {{money:coalesce(w."{bucket}", 0):k.currency_code}} END AS {bucket.replace('-', '')}"""
+
+
+REPORT_SQL = f"""SELECT k.bdm_id, k.customer_code, k.currency_code, k.customer_label,
+    {', '.join(_cell_sql(name) for name in dates.FIXED_BUCKETS)},
+    coalesce(w.future_months, '') AS future_months,
+    {{money:k.grand_total:k.currency_code}} AS grand_total
+FROM labels_of_keys k
+LEFT JOIN (SELECT bdm_id, list(bucket) AS shown FROM visible GROUP BY bdm_id) v ON v.bdm_id = k.bdm_id
+LEFT JOIN (
+    SELECT m.bdm_id, m.customer_code, m.currency_code,
+        {', '.join(f'''sum(net_amount) FILTER (m.bucket = '{name}') AS "{name}"''' for name in dates.FIXED_BUCKETS)},
+        string_agg(strftime(date_trunc('month', DATE '{{as_of}}') + to_months(m.month_offset::INTEGER), '%b-%y')
+                   || '=' || ({{money:net_amount:m.currency_code}}), '; ' ORDER BY m.month_offset)
+            FILTER (m.month_offset > 0 AND s.bucket IS NOT NULL
+                    AND ({{money:net_amount:m.currency_code}}) <> '') AS future_months
+    FROM merged m LEFT JOIN visible s ON s.bdm_id = m.bdm_id AND s.bucket = m.bucket
+    GROUP BY 1, 2, 3) w
+ON w.bdm_id = k.bdm_id AND w.customer_code = k.customer_code
+   AND w.currency_code IS NOT DISTINCT FROM k.currency_code"""
+
+
+@query("summary_report", REPORT_SQL)
+def _(t: Tables) -> DataFrame:
+    return summary.summary_report(_base(t), DEFAULT_AS_OF)
+
+
+# --- people and configuration ----------------------------------------------------------------
+
+
+@query("report_owners", "SELECT bdm_id, owner_name, email, employee_number, unit FROM owners")
+def _(t: Tables) -> DataFrame:
+    return people.report_owners(t)
+
+
+FILE_NAME_SQL = (
+    "'debtors_report_' || replace(owner_name, ' ', '_') || '_' || strftime(DATE '{as_of}', '%d-%b-%Y')"
+)
+
+
+@query("report_filename", f"SELECT bdm_id, {FILE_NAME_SQL} AS file_name FROM owners")
+def _(t: Tables) -> DataFrame:
+    return notify.report_files(t, DEFAULT_AS_OF)
+
+
+@query("active_owners", "SELECT bdm_id FROM active")
+def _(t: Tables) -> DataFrame:
+    return people.active_owners(t)
+
+
+@query("owner_cc", "SELECT bdm_id, cc_name, cc_email FROM copies")
+def _(t: Tables) -> DataFrame:
+    return people.owner_cc(t)
+
+
+RECIPIENTS_SQL = """SELECT m.function_id, m.mail_to_type, e.work_email_address AS email, count(*) AS entries,
+    any_value(g.greeting) AS greeting
+FROM mail_configurations m JOIN employees e ON e.employee_number = m.employee_id
+LEFT JOIN (SELECT m.function_id, max_by(e.first_name, m.id) AS greeting FROM mail_configurations m
+           JOIN employees e ON e.employee_number = m.employee_id WHERE m.mail_to_type = 'to' GROUP BY 1) g
+  ON g.function_id = m.function_id
+WHERE m.mail_to_type IN ('to', 'cc', 'bcc') GROUP BY 1, 2, 3"""
+
+
+@query("recipients_by_type", RECIPIENTS_SQL)
+def _(t: Tables) -> DataFrame:
+    return people.recipients_by_type(t)
+
+
+@query(
+    "recipient_lists",
+    f"""SELECT function_id, greeting,
+        coalesce(string_agg(email, ',' ORDER BY email) FILTER (mail_to_type = 'to'), '') AS to_list,
+        coalesce(string_agg(email, ',' ORDER BY email) FILTER (mail_to_type = 'cc'), '') AS cc_list,
+        coalesce(string_agg(email, ',' ORDER BY email) FILTER (mail_to_type = 'bcc'), '') AS bcc_list
+    FROM ({RECIPIENTS_SQL}) GROUP BY 1, 2""",
+)
+def _(t: Tables) -> DataFrame:
+    lists = people.recipient_lists(people.recipients_by_type(t))
+    joined = {name: F.array_join(name, ",") for name in ("to_list", "cc_list", "bcc_list")}
+    return lists.withColumns(joined)
+
+
+@query(
+    "config_lookup",
+    """SELECT coalesce(f.name, s.name) AS name, f.function_id, s.schedule_id
+    FROM (SELECT name, min(id) AS function_id FROM function_names WHERE type = 'Cron' GROUP BY 1) f
+    FULL JOIN (SELECT name, min(id) AS schedule_id FROM schedules WHERE status = 1 GROUP BY 1) s
+      ON s.name = f.name""",
+)
+def _(t: Tables) -> DataFrame:
+    return people.config_lookup(t)
+
+
+@query("config_map", "SELECT parent_key, configuration_key, configuration_value FROM config")
+def _(t: Tables) -> DataFrame:
+    return people.config_map(t)
+
+
+@query("config_map_merged", "SELECT configuration_key, configuration_value FROM report_config")
+def _(t: Tables) -> DataFrame:
+    return people.config_map_merged(t)
+
+
+@query(
+    "notification_outbox",
+    f"""SELECT o.bdm_id, o.email AS to_email,
+        coalesce((SELECT string_agg(c.cc_name || ' <' || c.cc_email || '>', '; ' ORDER BY c.cc_name, c.cc_email)
+                  FROM copies c WHERE c.bdm_id = o.bdm_id AND c.cc_email <> o.email), '') AS cc,
+        coalesce((SELECT array_to_string(list_filter(list_transform(string_split(configuration_value, ','),
+                         lambda x: trim(x)), lambda x: x <> ''), '; ')
+                  FROM report_config WHERE configuration_key = 'debtors_bdm_cron_bcc'), '') AS bcc,
+        {FILE_NAME_SQL} AS subject, {FILE_NAME_SQL} || '.csv' AS attachment
+    FROM owners o
+    WHERE o.email IS NOT NULL AND o.bdm_id IN (SELECT bdm_id FROM active)
+      AND o.bdm_id IN (SELECT bdm_id FROM summaries)""",
+)
+def _(t: Tables) -> DataFrame:
+    outbox = notify.notification_outbox(t, _base(t), DEFAULT_AS_OF)
+    shown = F.transform("cc", lambda copy: F.format_string("%s <%s>", copy["cc_name"], copy["cc_email"]))
+    return outbox.withColumn("cc", F.array_join(shown, "; ")).withColumn("bcc", F.array_join("bcc", "; "))
+
+
+# --- run log ---------------------------------------------------------------------------------
+
+DUE_SQL = f"""SELECT name, max(id) AS schedule_id, max_by(hour, id) AS hour, max_by(minute, id) AS minute,
+    epoch(DATE '{NOW.date()}')::BIGINT + max_by(hour, id) * 3600 + max_by(minute, id) * 60 + {NOW.second}
+        AS planned_ts
+FROM schedules
+WHERE status = 1 AND dayofweek = dayofweek(DATE '{NOW.date()}')
+  AND hour * 60 + minute >= {NOW.hour * 60 + NOW.minute}
+GROUP BY name"""
+
+
+@query("due_schedules", DUE_SQL)
+def _(t: Tables) -> DataFrame:
+    return runlog.due_schedules(t, NOW)
+
+
+LATEST_SQL = """SELECT schedule_id, id, log, status, date_runned, date_cron FROM scheduler_logs {where}
+QUALIFY row_number() OVER (PARTITION BY schedule_id ORDER BY date_runned DESC, id DESC) = 1"""
+
+
+@query("latest_run", LATEST_SQL.replace("{where}", ""))
+def _(t: Tables) -> DataFrame:
+    return runlog.latest_run(t)
+
+
+@query(
+    "latest_run_filtered",
+    LATEST_SQL.replace(
+        "{where}",
+        """WHERE to_timestamp(date_cron) AT TIME ZONE 'UTC' >= TIMESTAMP '2024-01-10'
+        AND day(to_timestamp(date_cron) AT TIME ZONE 'UTC') = 20
+        AND hour(to_timestamp(date_cron) AT TIME ZONE 'UTC') = 9""",
+    ),
+)
+def _(t: Tables) -> DataFrame:
+    return runlog.latest_run(t, since=dt.date(2024, 1, 10), parts={"d": 20, "H": 9})
+
+
+@query(
+    "run_log_event",
+    f"""SELECT schedule_id || '-' || planned_ts AS run_id, schedule_id,
+        epoch(TIMESTAMP '{NOW}')::BIGINT AS event_ts, planned_ts, '' AS message FROM ({DUE_SQL})""",
+)
+def _(t: Tables) -> DataFrame:
+    return runlog.start_events(runlog.due_schedules(t, NOW), NOW).drop("status")
+
+
+def _run_state(spark: SparkSession, folder: str) -> DataFrame:
+    return plain(runlog.run_state(star_run_events(prepare(spark), folder)))
+
+
+REGISTRY["run_log_state"] = Query(
+    _run_state,
+    """WITH log AS (
+        SELECT 'run-' || (event_id - event_id % 3) AS run_id, user_id AS schedule_id,
+            floor(epoch(ts))::BIGINT AS event_ts, floor(epoch(date_trunc('hour', ts)))::BIGINT AS planned_ts,
+            CASE WHEN event_type <> 'error' THEN 1 ELSE 0 END AS status, event_type AS message
+        FROM events)
+    SELECT run_id, min(event_ts) OVER (PARTITION BY run_id) AS started_ts, event_ts, schedule_id, planned_ts,
+        status, message
+    FROM log QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY event_ts DESC, status DESC, message DESC) = 1""",
+)
+
+
+def _error_events(spark: SparkSession, folder: str) -> DataFrame:
+    rows = notify.error_events(star_failures(prepare(spark), folder), NOW)
+    return rows.withColumn("error_timestamp", F.date_format("error_timestamp", "yyyy-MM-dd HH:mm:ss"))
+
+
+REGISTRY["error_events"] = Query(
+    _error_events,
+    rf"""SELECT '{NOW}' AS error_timestamp, '' AS error_code, 'Mail not sent, Exception' AS error_description,
+        'Debtors' AS module_name, 'BDM cron' AS function_name, '0' AS emp_id,
+        regexp_replace(trim(html, ' ' || chr(9) || chr(10) || chr(11) || chr(13)),
+            '<!--(?s:.)*?-->|<[^\s<>"''](?:[^<>"'']+|"[^"]*"|''[^'']*'')*>', '', 'g') AS data,
+        page_id AS failure_id
+    FROM pages""",
+)
+assert AS_OF == DEFAULT_AS_OF.isoformat()

@@ -1,0 +1,85 @@
+"""Who gets which report: one outbox row per active owner with something to report."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from duesight.functions.text import report_file_name, strip_tags
+from duesight.plans.people import active_owners, config_map_merged, owner_cc, report_owners
+from duesight.plans.summary import CUSTOMER_KEY, summary_by_source
+from duesight.settings import BCC_CONFIG_KEY, USUAL, SummaryOptions
+from duesight.sources.tables import Tables
+
+# What a failed hand-over is logged as, and what a trim removes.
+MAIL_FAILURE = "Mail not sent, Exception"
+MAIL_MODULE = "Debtors"
+MAIL_FUNCTION = "BDM cron"
+NO_EMPLOYEE = "0"
+TRIMMED = " \t\n\r\0\x0b"
+
+
+def report_files(t: Tables, as_of: dt.date) -> DataFrame:
+    return report_owners(t).select(
+        "bdm_id", report_file_name(F.col("owner_name"), as_of).alias("file_name")
+    )
+
+
+def address_list(text: Column) -> Column:
+    """Addresses of a comma-separated setting, without blanks and empty entries."""
+    parts = F.transform(F.split(text, ","), F.trim)
+    return F.filter(parts, lambda address: address != "")
+
+
+def blind_copies(t: Tables) -> list[str]:
+    """Addresses every report goes to unseen: one setting, so one row reaches the driver."""
+    setting = config_map_merged(t).filter(F.col("configuration_key") == BCC_CONFIG_KEY)
+    row = setting.select(address_list(F.col("configuration_value")).alias("bcc")).first()
+    return list(row.bcc or []) if row else []
+
+
+def notification_outbox(
+    t: Tables, base: DataFrame, as_of: dt.date, options: SummaryOptions = USUAL, extension: str = "csv"
+) -> DataFrame:
+    """Recipient, copies, subject and attachment. An owner's own address is no copy."""
+    reported = summary_by_source(base, as_of, options).select(CUSTOMER_KEY[0]).distinct()
+    owners = (
+        report_owners(t)
+        .join(active_owners(t), "bdm_id", "left_semi")
+        .join(reported, "bdm_id", "left_semi")
+        .filter(F.col("email").isNotNull())
+    )
+    copies = (
+        owner_cc(t)
+        .join(owners.select("bdm_id", "email"), "bdm_id")
+        .filter(F.col("cc_email") != F.col("email"))
+        .groupBy("bdm_id")
+        .agg(F.array_sort(F.collect_list(F.struct("cc_name", "cc_email"))).alias("cc"))
+    )
+    no_copies = F.array().cast("array<struct<cc_name: string, cc_email: string>>")
+    bcc = F.array(*[F.lit(address) for address in blind_copies(t)]).cast("array<string>")
+    subject = report_file_name(F.col("owner_name"), as_of)
+    return owners.join(copies, "bdm_id", "left").select(
+        "bdm_id",
+        F.col("email").alias("to_email"),
+        F.coalesce("cc", no_copies).alias("cc"),
+        bcc.alias("bcc"),
+        subject.alias("subject"),
+        F.concat(subject, F.lit(f".{extension}")).alias("attachment"),
+    )
+
+
+def error_events(failures: DataFrame, now: dt.datetime) -> DataFrame:
+    """Rows for the error log out of failure messages, their markup removed."""
+    return failures.select(
+        F.lit(now).alias("error_timestamp"),
+        F.lit("").alias("error_code"),
+        F.lit(MAIL_FAILURE).alias("error_description"),
+        F.lit(MAIL_MODULE).alias("module_name"),
+        F.lit(MAIL_FUNCTION).alias("function_name"),
+        F.lit(NO_EMPLOYEE).alias("emp_id"),
+        strip_tags(F.btrim("message", F.lit(TRIMMED))).alias("data"),
+        *[name for name in failures.columns if name != "message"],
+    )
