@@ -14,7 +14,7 @@ from checks.oracle import AS_OF, RATE_AS_OF, statement
 from duesight.functions import dates
 from duesight.functions.text import format_money
 from duesight.operators import documents, exposure, routes
-from duesight.operators.rates import asof_rate, latest_rate
+from duesight.operators.rates import asof_rate, currency_table, latest_rate
 from duesight.plans import detail_sheet, notify, open_items, people, runlog, summary
 from duesight.session import prepare
 from duesight.settings import DEFAULT_AS_OF, DIR, USUAL, SummaryOptions
@@ -73,8 +73,8 @@ def _day(*names: str) -> str:
     return ", ".join(f"{name}::DATE::VARCHAR AS {name}" for name in names)
 
 
-def _rates(t: Tables) -> DataFrame:
-    return open_items.report_rates(t, DEFAULT_AS_OF)
+def _currencies(t: Tables) -> DataFrame:
+    return currency_table(t, DEFAULT_AS_OF)
 
 
 def _base(t: Tables, options: SummaryOptions = USUAL) -> DataFrame:
@@ -170,22 +170,22 @@ ITEM_SQL = (
 
 @query("open_items_inv", ITEM_SQL + "items_inv")
 def _(t: Tables) -> DataFrame:
-    return open_items.project_items(t, _rates(t))
+    return open_items.project_items(t, _currencies(t))
 
 
 @query("open_items_con", ITEM_SQL + "items_con")
 def _(t: Tables) -> DataFrame:
-    return open_items.consolidated_items(t, _rates(t))
+    return open_items.consolidated_items(t, _currencies(t))
 
 
 @query("open_items_dir", ITEM_SQL + "items_dir")
 def _(t: Tables) -> DataFrame:
-    return open_items.direct_items(t, _rates(t))
+    return open_items.direct_items(t, _currencies(t))
 
 
 @query("open_items_crn", ITEM_SQL + "items_crn")
 def _(t: Tables) -> DataFrame:
-    return open_items.credit_items(t, _rates(t))
+    return open_items.credit_items(t, _currencies(t))
 
 
 @query("open_items", ITEM_SQL + "items")

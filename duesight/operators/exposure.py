@@ -9,6 +9,8 @@ days, spread over all tasks, and the joins that follow see no hot key.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Collection
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +52,7 @@ def _project_days(t: Tables) -> DataFrame:
         t.invoices.filter(F.col("balance_amount") != 0)
         .groupBy("project_id", "invoice_date")
         .agg(*_measures(unpaid, approved, F.col("balance_amount")))
+        .selectExpr("*", "cast(null as date) as parent_date", f"'{INV}' as source")
     )
 
 
@@ -87,65 +90,29 @@ def _constituent_days(t: Tables) -> DataFrame:
     def times(parents: str) -> Column:
         return F.coalesce("balance_amount", F.lit(0)).cast(MONEY) * F.col(parents).cast("decimal(12,0)")
 
-    return weighted.groupBy("project_id", "invoice_date").agg(
+    days = weighted.groupBy("project_id", "invoice_date").agg(
         F.sum("open_parents").alias("open_count"),
         F.sum(times("open_parents")).cast(MONEY_SUM).alias("open_amount"),
         F.sum("approved_parents").alias("summary_count"),
         F.sum(times("approved_parents")).cast(MONEY_SUM).alias("summary_amount"),
         F.max("parent_date").alias("parent_date"),
     )
+    return days.withColumn("source", F.lit(CON))
 
 
-def _by_bucket(
-    rows: DataFrame, source: str, as_of: dt.date, due: Column, total: Column, last_due: Column | None = None
-) -> DataFrame:
-    """Collapse routed rows to buckets.
-
-    ``total`` is what the column totals add up, ``last_due`` the date that counts
-    for the owner's horizon where it is not the due date.
-    """
-    if last_due is None:
-        last_due = F.col("due_date")
-    return (
-        rows.withColumn("due_date", due)
-        .withColumn("source", F.lit(source))
-        .withColumn("bucket", ageing_bucket(F.col("due_date"), as_of))
-        .withColumn("month_offset", bucket_offset(F.col("due_date"), as_of))
-        .withColumn("total_amount", total.cast("decimal(38,8)"))
-        .groupBy(*KEYS)
-        .agg(
-            *[F.sum(name).alias(name) for name in MEASURES if name.endswith("count")],
-            *[F.sum(name).cast(MONEY_SUM).alias(name) for name in MEASURES if name.endswith("amount")],
-            F.sum("total_amount").cast("decimal(38,8)").alias("total_amount"),
-            F.max(F.when(F.col("open_count") > 0, last_due)).alias("last_due_date"),
-        )
-    )
-
-
-def _converted_until_now() -> Column:
-    """Column totals convert balances up to the current month and leave later ones as they are."""
-    converted = F.col("rate") * F.col("open_amount")
-    return F.when(F.col("month_offset") > 0, F.col("open_amount").cast("decimal(38,8)")).otherwise(
-        converted.cast("decimal(38,8)")
-    )
-
-
-def project_exposure(t: Tables, rates: DataFrame, as_of: dt.date, dedupe: bool = False) -> DataFrame:
-    routed = _project_days(t).join(summary_routes(t, rates, dedupe), "project_id")
+def _project_rows(t: Tables, currencies: DataFrame, days: DataFrame, dedupe: bool) -> DataFrame:
+    """Days of projects with owner, customer and due date."""
+    routed = days.join(summary_routes(t, currencies, dedupe), "project_id")
     due = due_date(F.col("invoice_date"), F.col("credit_days"))
-    rows = routed.withColumn("candidate_code", F.col("customer_code"))
-    return _by_bucket(rows, INV, as_of, due, _converted_until_now())
-
-
-def consolidated_exposure(t: Tables, rates: DataFrame, as_of: dt.date, dedupe: bool = False) -> DataFrame:
-    routed = _constituent_days(t).join(summary_routes(t, rates, dedupe), "project_id")
-    due = due_date(F.col("invoice_date"), F.col("credit_days"))
-    rows = routed.withColumn("candidate_code", F.col("customer_code"))
     parent_due = due_date(F.col("parent_date"), F.col("credit_days"))
-    return _by_bucket(rows, CON, as_of, due, F.col("open_amount"), parent_due)
+    return (
+        routed.withColumn("due_date", due)
+        .withColumn("candidate_code", F.col("customer_code"))
+        .withColumn("horizon_date", F.when(F.col("source") == CON, parent_due).otherwise(due))
+    )
 
 
-def direct_exposure(t: Tables, rates: DataFrame, as_of: dt.date) -> DataFrame:
+def _direct_days(t: Tables, currencies: DataFrame) -> DataFrame:
     unpaid = F.col("balance_amount") > 0
     days = (
         t.direct_invoices.filter((F.col("balance_amount") != 0) & F.col("bdm_id").isNotNull())
@@ -154,21 +121,14 @@ def direct_exposure(t: Tables, rates: DataFrame, as_of: dt.date) -> DataFrame:
             "customer_id",
             F.col("customer_code").alias("candidate_code"),
             F.col("invoicing_currency_id").alias("currency_id"),
-            due_date(F.col("invoice_date"), F.col("credit_period")).alias("due"),
+            due_date(F.col("invoice_date"), F.col("credit_period")).alias("due_date"),
         )
         .agg(*_measures(unpaid, unpaid, F.col("balance_amount")))
     )
-    customers = t.customers.select(F.col("id").alias("customer_id"), "customer_code", "customer_name")
-    currencies = t.currencies.withColumnRenamed("id", "currency_id")
-    rows = (
-        days.join(customers, "customer_id", "left")
-        .join(currencies, "currency_id", "left")
-        .join(rates.select("currency_id", "rate"), "currency_id", "left")
-    )
-    return _by_bucket(rows, DIR, as_of, F.col("due"), _converted_until_now())
+    return days.join(currencies.drop("code_owner"), "currency_id", "left").withColumn("source", F.lit(DIR))
 
 
-def credit_exposure(t: Tables, as_of: dt.date) -> DataFrame:
+def _credit_days(t: Tables) -> DataFrame:
     always = F.lit(True)
     days = (
         unpaid_credits(t)
@@ -176,24 +136,77 @@ def credit_exposure(t: Tables, as_of: dt.date) -> DataFrame:
             "bdm_id",
             F.col("customer_no").alias("customer_id"),
             F.col("currency").alias("currency_code"),
-            F.col("date").alias("due"),
+            F.col("date").alias("due_date"),
         )
         .agg(*_measures(always, always, F.col("balance_amount")))
     )
-    customers = t.customers.select(F.col("id").alias("customer_id"), "customer_code", "customer_name")
-    rows = days.join(customers, "customer_id", "left").withColumn("candidate_code", F.col("customer_code"))
-    return _by_bucket(rows, CRN, as_of, F.col("due"), F.col("open_amount"))
+    return days.withColumn("source", F.lit(CRN))
 
 
-def exposure(t: Tables, rates: DataFrame, as_of: dt.date, dedupe: bool = False) -> DataFrame:
-    """All four sources by owner, customer, currency and bucket.
+def _customer_rows(t: Tables, days: DataFrame) -> DataFrame:
+    """Days of documents that name their customer themselves."""
+    customers = t.customers.selectExpr("id as customer_id", "customer_code", "customer_name")
+    joined = days.join(customers, "customer_id", "left")
+    own_code = F.when(F.col("source") == DIR, F.col("candidate_code")).otherwise(F.col("customer_code"))
+    return joined.withColumn("candidate_code", own_code).withColumn("horizon_date", F.col("due_date"))
 
-    Candidates, horizon, summaries and column totals are all read off this one
-    small table, so every document table is scanned once per report.
+
+def _by_bucket(rows: DataFrame, as_of: dt.date) -> DataFrame:
+    """Collapse routed rows to buckets.
+
+    ``total_amount`` is what the column totals add up: invoices are converted up
+    to the current month and taken as they are in later ones, the other two
+    sources are never converted.
     """
+    due, amount = F.col("due_date"), F.col("open_amount")
+    offset = bucket_offset(due, as_of)
+    converted = F.col("source").isin(INV, DIR) & (F.coalesce(offset, F.lit(0)) <= 0)
+    total = F.when(converted, F.col("rate") * amount).otherwise(amount)
     return (
-        project_exposure(t, rates, as_of, dedupe)
-        .unionByName(consolidated_exposure(t, rates, as_of, dedupe))
-        .unionByName(direct_exposure(t, rates, as_of))
-        .unionByName(credit_exposure(t, as_of))
+        rows.withColumns(
+            {
+                "bucket": ageing_bucket(due, as_of),
+                "month_offset": offset,
+                "total_amount": total.cast("decimal(38,8)"),
+                "horizon_date": F.when(F.col("open_count") > 0, F.col("horizon_date")),
+            }
+        )
+        .groupBy(*KEYS)
+        .agg(
+            F.sum("open_count").alias("open_count"),
+            F.sum("open_amount").cast(MONEY_SUM).alias("open_amount"),
+            F.sum("summary_count").alias("summary_count"),
+            F.sum("summary_amount").cast(MONEY_SUM).alias("summary_amount"),
+            F.sum("total_amount").cast("decimal(38,8)").alias("total_amount"),
+            F.max("horizon_date").alias("last_due_date"),
+        )
     )
+
+
+def exposure(
+    t: Tables,
+    currencies: DataFrame,
+    as_of: dt.date,
+    dedupe: bool = False,
+    sources: Collection[str] = (INV, CON, DIR, CRN),
+) -> DataFrame:
+    """Balances by owner, source, customer, currency and bucket.
+
+    Candidates, horizon, summaries and column totals are all read off this one
+    small table, so every document table is scanned once per report.
+    """
+
+    def union(parts: list[DataFrame]) -> DataFrame:
+        return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
+
+    parts = []
+    projects = [days(t) for source, days in ((INV, _project_days), (CON, _constituent_days)) if source in sources]
+    if projects:
+        parts.append(_project_rows(t, currencies, union(projects), dedupe))
+    direct = [_direct_days(t, currencies)] if DIR in sources else []
+    credits = [_credit_days(t)] if CRN in sources else []
+    if direct or credits:
+        parts.append(_customer_rows(t, union(direct + credits)))
+    columns = [*KEYS[:-2], "due_date", "horizon_date", "rate", *MEASURES]
+    rows = union([part.select(*[name for name in columns if name in part.columns]) for part in parts])
+    return _by_bucket(rows, as_of)

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from duesight.operators.lookup import pin_small
+from duesight.sources.tables import Tables
+
 
 def _newest(history: DataFrame) -> DataFrame:
     newest = F.max_by(F.struct("value", "date"), F.struct("date", "id"))
@@ -25,3 +28,20 @@ def latest_rate(history: DataFrame, as_of: dt.date) -> DataFrame:
 def asof_rate(history: DataFrame, as_of: dt.date) -> DataFrame:
     """Newest rate per currency that was known on the as-of date."""
     return _newest(history.filter(F.col("date") <= F.lit(as_of)))
+
+
+def currency_table(t: Tables, as_of: dt.date, corrected: bool = False) -> DataFrame:
+    """Currency id -> code and rate of one run, counted and then broadcast.
+
+    ``corrected`` falls back to an older rate where the newest lies ahead.
+    ``code_owner`` marks the lowest id among currencies that share a code.
+    """
+    pick = asof_rate if corrected else latest_rate
+    rates = pick(t.forex_conversions, as_of).select("currency_id", "rate")
+    by_code = Window.partitionBy("currency_code").orderBy("id")
+    currencies = t.currencies.select(
+        F.col("id").alias("currency_id"),
+        "currency_code",
+        (F.row_number().over(by_code) == 1).alias("code_owner"),
+    )
+    return pin_small(currencies.join(rates, "currency_id", "full"))

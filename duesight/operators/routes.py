@@ -19,7 +19,7 @@ from duesight.sources.tables import Tables
 def owned_orders(t: Tables) -> DataFrame:
     """One row per project and sales order that has an owner; this is where documents fan out."""
     orders = t.sales_orders.withColumnsRenamed({"id": "sales_order_id", "sales_person_id": "bdm_id"})
-    return t.project_so_masters.join(orders, "sales_order_id").filter(F.col("bdm_id").isNotNull())
+    return t.project_so_masters.join(orders.filter("bdm_id is not null"), "sales_order_id")
 
 
 def people(t: Tables, id_name: str, label: str) -> DataFrame:
@@ -60,7 +60,7 @@ def fallback_purchase_orders(t: Tables) -> DataFrame:
     )
 
 
-def summary_routes(t: Tables, rates: DataFrame, dedupe: bool = False) -> DataFrame:
+def summary_routes(t: Tables, currencies: DataFrame, dedupe: bool = False) -> DataFrame:
     """Project -> owner, customer, credit days, invoicing currency and rate.
 
     A project with several sales orders of one owner counts once for each of them;
@@ -69,24 +69,21 @@ def summary_routes(t: Tables, rates: DataFrame, dedupe: bool = False) -> DataFra
     orders = owned_orders(t)
     if dedupe:
         orders = first_per(orders, ["project_id", "bdm_id"], ["sales_order_id"])
-    customers = t.customers.select(F.col("id").alias("customer_id"), "customer_code", "customer_name")
-    currencies = t.currencies.withColumnRenamed("id", "currency_id")
-    project_rates = (
-        t.projects.select(F.col("id").alias("project_id"), "currency_id")
-        .join(rates.select("currency_id", "rate"), "currency_id", "left")
-        .select("project_id", "rate")
-    )
+    customers = t.customers.selectExpr("id as customer_id", "customer_code", "customer_name")
+    projects = t.projects.selectExpr("id as project_id", "currency_id as rate_currency_id")
+    rates = currencies.selectExpr("currency_id as rate_currency_id", "rate")
     return (
         orders.join(customers, "customer_id", "left")
-        .join(currencies, "currency_id", "left")
-        .join(project_rates, "project_id", "left")
-        .select(
+        .join(F.broadcast(currencies.select("currency_id", "currency_code")), "currency_id", "left")
+        .join(projects, "project_id", "left")
+        .join(F.broadcast(rates), "rate_currency_id", "left")
+        .selectExpr(
             "project_id",
             "bdm_id",
             "customer_code",
             "customer_name",
             "currency_code",
-            F.col("credit_period").alias("credit_days"),
+            "credit_period as credit_days",
             "rate",
         )
     )
@@ -99,39 +96,30 @@ def owner_orders(t: Tables) -> DataFrame:
     return first_per(orders, ["project_id", "bdm_id"], ["sales_order_id"])
 
 
-def detail_routes(t: Tables, rates: DataFrame) -> DataFrame:
+def detail_routes(t: Tables, currencies: DataFrame) -> DataFrame:
     """Everything an invoice row shows that depends only on its project and owner."""
-    projects = t.projects.select(
-        F.col("id").alias("project_id"),
-        F.lit(True).alias("_known"),
+    projects = t.projects.selectExpr(
+        "id as project_id",
+        "id as shown_project_id",
         "project_code",
         "project_name",
-        F.col("currency_id").alias("project_currency_id"),
-        F.col("project_manager").alias("pm_id"),
+        "currency_id",
+        "project_manager as pm_id",
     )
-    customers = t.customers.select(
-        F.col("id").alias("customer_id"),
-        F.lit(True).alias("_customer_known"),
-        "customer_code",
-        "customer_name",
-        "division",
+    customers = t.customers.selectExpr(
+        "id as customer_id", "id as shown_customer_id", "customer_code", "customer_name", "division"
     )
     contacts = t.customer_contacts.drop("customer_id").withColumnRenamed("id", "finance_contact_id")
-    currencies = t.currencies.withColumnRenamed("id", "project_currency_id")
-    rate = rates.select(F.col("currency_id").alias("project_currency_id"), "rate")
-    units = t.company_structures.select(F.col("id").alias("unit_id"), F.col("name").alias("unit"))
-    entities = t.legal_entities.select(
-        F.col("id").alias("legal_entity_id"),
-        F.col("legal_entity").alias("entity_name"),
-        F.col("legal_entity_code").alias("entity_code"),
+    units = t.company_structures.selectExpr("id as unit_id", "name as unit")
+    entities = t.legal_entities.selectExpr(
+        "id as legal_entity_id", "legal_entity as entity_name", "legal_entity_code as entity_code"
     )
     orders = owner_orders(t).drop("currency_id").withColumnRenamed("sbu", "unit_id")
-    return (
+    joined = (
         orders.join(projects, "project_id", "left")
         .join(customers, "customer_id", "left")
         .join(contacts, "finance_contact_id", "left")
-        .join(currencies, "project_currency_id", "left")
-        .join(rate, "project_currency_id", "left")
+        .join(currencies, "currency_id", "left")
         .join(people(t, "rsh_id", "rsh"), "rsh_id", "left")
         .join(people(t, "bdm_id", "bdm"), "bdm_id", "left")
         .join(people(t, "pm_id", "pm"), "pm_id", "left")
@@ -139,7 +127,7 @@ def detail_routes(t: Tables, rates: DataFrame) -> DataFrame:
         .join(units, "unit_id", "left")
         .join(entities, "legal_entity_id", "left")
         .join(fallback_purchase_orders(t), "sales_order_id", "left")
-        .withColumn("customer_id", F.when(F.col("_customer_known"), F.col("customer_id")))
-        .withColumn("shown_project_id", F.when(F.col("_known"), F.col("project_id")))
-        .drop("_known", "_customer_known")
+    )
+    return joined.drop("customer_id").withColumnsRenamed(
+        {"shown_customer_id": "customer_id", "credit_period": "credit_days"}
     )

@@ -3,13 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duesight.functions.dates import due_date
-from duesight.functions.text import code_and_name
 from duesight.operators.documents import (
     consolidation_routes,
     open_credits,
@@ -17,10 +14,10 @@ from duesight.operators.documents import (
     open_invoices,
     open_parents,
 )
-from duesight.operators.lookup import lowest, pin_small
-from duesight.operators.rates import asof_rate, latest_rate
-from duesight.operators.routes import business_heads, detail_routes, first_contacts, people
-from duesight.settings import BLANK, CON, CRN, DIR, DOC_KEY_PREFIX, INV, RATE
+from duesight.operators.lookup import lowest
+from duesight.operators.rates import currency_table
+from duesight.operators.routes import business_heads, detail_routes, first_contacts, owner_orders, people
+from duesight.settings import BLANK, CON, CRN, DIR, DOC_KEY_PREFIX, INV
 from duesight.sources.tables import Tables
 
 ITEM_COLUMNS = (
@@ -60,48 +57,26 @@ ITEM_COLUMNS = (
 )
 
 
-def report_rates(t: Tables, as_of: dt.date, corrected: bool = False) -> DataFrame:
-    """The rate table of one run. ``corrected`` falls back to older rates when the newest is ahead."""
-    pick = asof_rate if corrected else latest_rate
-    return pin_small(pick(t.forex_conversions, as_of).select("currency_id", "rate"))
+# What differs between the sources' sign and id text.
+_SIGN = f"if(source = '{CRN}', -1, 1)"
+_DOC_KEY = f"case source when '{DIR}' then '{DOC_KEY_PREFIX[DIR]}' when '{CRN}' then '{DOC_KEY_PREFIX[CRN]}' else '' end"
+_COMPUTED = {
+    "doc_key": f"concat({_DOC_KEY}, doc_id)",
+    "customer_label": "concat(customer_code, ' - ', customer_name)",
+    "contact_name": "contact_person_name",
+    "contact_email": "contact_person_email",
+    "contact_phone": "contact_person_mobile",
+    "sign": _SIGN,
+    "balance_base": "cast(rate * balance as decimal(38,8))",
+    "due_date": "date_add(invoice_date, credit_days)",
+    "project_id": "shown_project_id",
+}
 
 
-def _finish(rows: DataFrame, source: str, sign: int) -> DataFrame:
+def _finish(rows: DataFrame) -> DataFrame:
     """The canonical row. ``rows`` already carries the dimension columns."""
-    return rows.select(
-        "bdm_id",
-        F.lit(source).alias("source"),
-        "doc_id",
-        F.concat(F.lit(DOC_KEY_PREFIX[source]), F.col("doc_id").cast("string")).alias("doc_key"),
-        "customer_id",
-        "customer_label",
-        "division",
-        "po_no",
-        F.col("contact_person_name").alias("contact_name"),
-        F.col("contact_person_email").alias("contact_email"),
-        F.col("contact_person_mobile").alias("contact_phone"),
-        "doc_no",
-        F.lit(sign).alias("sign"),
-        "amount",
-        "balance",
-        (F.col("rate").cast(RATE) * F.col("balance")).cast("decimal(38,8)").alias("balance_base"),
-        "invoice_date",
-        "credit_days",
-        due_date(F.col("invoice_date"), F.col("credit_days")).alias("due_date"),
-        "currency_code",
-        "sales_order_code",
-        F.col("shown_project_id").alias("project_id"),
-        "project_code",
-        "project_name",
-        "rsh",
-        "bdm",
-        "business_head",
-        "pm",
-        "unit",
-        "entity_name",
-        "entity_code",
-        "submitted_on",
-        "expected_on",
+    return rows.selectExpr(
+        *[f"{_COMPUTED[name]} as {name}" if name in _COMPUTED else name for name in ITEM_COLUMNS]
     )
 
 
@@ -111,199 +86,187 @@ def with_purchase_order(rows: DataFrame, t: Tables, doc_id: str) -> DataFrame:
     Documents without a purchase order get a key of their own that matches
     nothing, so they do not all meet in one shuffle partition.
     """
-    orders = t.project_purchase_orders.select(
-        F.col("id").alias("po_key"), F.col("attachment_reference_no").alias("own_po_no")
-    )
-    own = F.col("own_po_no")
+    orders = t.project_purchase_orders.selectExpr("id as po_key", "attachment_reference_no as own_po_no")
     return (
-        rows.withColumn("po_key", F.coalesce(F.col("po_id"), -1 - F.col(doc_id)))
+        rows.withColumn("po_key", F.expr(f"coalesce(po_id, -1 - {doc_id})"))
         .join(orders, "po_key", "left")
-        .withColumn("po_no", F.when(own != "", own).otherwise(F.col("fallback_po_no")))
+        .withColumn("po_no", F.expr("case when own_po_no <> '' then own_po_no else fallback_po_no end"))
         .drop("po_key", "own_po_no", "fallback_po_no", "po_id")
     )
 
 
-def _invoice_facts(invoices: DataFrame) -> DataFrame:
-    return invoices.select(
-        F.col("id").alias("doc_id"),
+def _invoice_facts(invoices: DataFrame, source: str) -> DataFrame:
+    return invoices.selectExpr(
+        f"'{source}' as source",
+        "id as doc_id",
         "project_id",
         "po_id",
         "consolidated_id",
-        F.col("invoice_code").alias("doc_no"),
-        F.col("total_amount").alias("amount"),
-        F.col("balance_amount").alias("balance"),
+        "invoice_code as doc_no",
+        "total_amount as amount",
+        "balance_amount as balance",
         "invoice_date",
-        F.col("invoice_date_submission_customer").alias("submitted_on"),
-        F.col("expected_collection_date").alias("expected_on"),
+        "invoice_date_submission_customer as submitted_on",
+        "expected_collection_date as expected_on",
     )
 
 
-def _routed(rows: DataFrame) -> DataFrame:
-    return rows.withColumn(
-        "customer_label", code_and_name(F.col("customer_code"), F.col("customer_name"))
-    ).withColumn("credit_days", F.col("credit_period"))
+def _parent_facts(t: Tables) -> DataFrame:
+    """Parents with owner and the project and purchase order that describe them."""
+    parents = _invoice_facts(open_parents(t), CON).drop("project_id", "po_id")
+    return parents.join(consolidation_routes(t), "consolidated_id")
 
 
-def _project_items(t: Tables, rates: DataFrame, invoices: DataFrame) -> DataFrame:
-    facts = _invoice_facts(invoices)
-    routed = facts.join(detail_routes(t, rates), "project_id")
-    return _finish(_routed(with_purchase_order(routed, t, "doc_id")), INV, 1)
+def _described(t: Tables, currencies: DataFrame, facts: DataFrame) -> DataFrame:
+    """Invoice facts with a project, and with an owner where that is already settled."""
+    on = ["project_id", "bdm_id"] if "bdm_id" in facts.columns else ["project_id"]
+    routed = facts.join(detail_routes(t, currencies), on)
+    return _finish(with_purchase_order(routed, t, "doc_id"))
 
 
-def project_items(t: Tables, rates: DataFrame) -> DataFrame:
+def project_items(t: Tables, currencies: DataFrame) -> DataFrame:
     """Invoices of projects."""
-    return _project_items(t, rates, open_invoices(t))
+    return _described(t, currencies, _invoice_facts(open_invoices(t), INV))
 
 
-def consolidated_items(t: Tables, rates: DataFrame) -> DataFrame:
+def consolidated_items(t: Tables, currencies: DataFrame) -> DataFrame:
     """Parents with their own amounts and dates, described by one constituent's project."""
-    parents = _invoice_facts(open_parents(t)).drop("project_id", "po_id")
-    described = (
-        parents.join(consolidation_routes(t), "consolidated_id")
-        .join(detail_routes(t, rates), ["project_id", "bdm_id"])
+    return _described(t, currencies, _parent_facts(t))
+
+
+def invoice_items(t: Tables, currencies: DataFrame) -> DataFrame:
+    """Project and consolidated invoices, rows that are equal in every column once.
+
+    Only an invoice that stands for a consolidation can appear twice. So only those
+    are compared; all others are read, joined and passed on without a shuffle for it.
+    """
+    invoices = open_invoices(t)
+    alone = _invoice_facts(invoices.filter(F.col("consolidated_id").isNull()), INV)
+    parents = _invoice_facts(invoices.filter(F.col("consolidated_id").isNotNull()), INV)
+    owners = owner_orders(t).select("project_id", "bdm_id")
+    both = parents.join(owners, "project_id").unionByName(_parent_facts(t))
+    shown = [name for name in ITEM_COLUMNS if name != "source"]
+    once = (
+        _described(t, currencies, both)
+        .groupBy(*shown)
+        .agg(F.min(F.when(F.col("source") == INV, 0).otherwise(1)).alias("only_parent"))
+        .selectExpr("*", f"if(only_parent = 0, '{INV}', '{CON}') as source")
+        .select(*ITEM_COLUMNS)
     )
-    return _finish(_routed(with_purchase_order(described, t, "doc_id")), CON, 1)
+    return _described(t, currencies, alone).unionByName(once)
 
 
-def direct_items(t: Tables, rates: DataFrame) -> DataFrame:
-    """Stand-alone invoices; the customer's name is found by code, its contact by id."""
-    facts = open_direct_invoices(t).select(
-        F.col("id").alias("doc_id"),
+def _direct_facts(t: Tables, currencies: DataFrame) -> DataFrame:
+    """Stand-alone invoices; the customer's name is found by code."""
+    facts = open_direct_invoices(t).selectExpr(
+        f"'{DIR}' as source",
+        "id as doc_id",
         "bdm_id",
         "customer_id",
         "customer_code",
+        f"'{BLANK}' as division",
         "po_no",
-        F.col("invoice_code").alias("doc_no"),
-        F.col("total_amount").alias("amount"),
-        F.col("balance_amount").alias("balance"),
+        "invoice_code as doc_no",
+        "total_amount as amount",
+        "balance_amount as balance",
         "invoice_date",
-        F.col("credit_period").alias("credit_days"),
-        F.col("invoicing_currency_id").alias("currency_id"),
+        "credit_period as credit_days",
+        "invoicing_currency_id as currency_id",
+        f"'{BLANK}' as sales_order_code",
+        "cast(null as long) as shown_project_id",
+        f"'{BLANK}' as project_code",
         "project_name",
         "rsh_id",
         "pm_id",
-        F.col("sbu_id").alias("unit_id"),
+        "sbu_id as unit_id",
         "entity_id",
-        F.col("invoice_date_submission_customer").alias("submitted_on"),
-        F.col("expected_collection_date").alias("expected_on"),
+        "invoice_date_submission_customer as submitted_on",
+        "expected_collection_date as expected_on",
     )
     names = lowest(t.customers, "customer_code", "id", "customer_name").drop("id")
-    entities = t.legal_entities.select(
-        F.col("id").alias("entity_id"),
-        F.col("legal_entity").alias("entity_name"),
-        F.col("legal_entity_code").alias("entity_code"),
+    units = t.company_structures.selectExpr("id as unit_id", "name as unit")
+    entities = t.legal_entities.selectExpr(
+        "id as entity_id", "legal_entity as entity_name", "legal_entity_code as entity_code"
     )
-    units = t.company_structures.select(F.col("id").alias("unit_id"), F.col("name").alias("unit"))
-    rows = (
+    return (
         facts.join(names, "customer_code", "left")
-        .join(first_contacts(t), "customer_id", "left")
-        .join(t.currencies.withColumnRenamed("id", "currency_id"), "currency_id", "left")
-        .join(rates, "currency_id", "left")
-        .join(people(t, "rsh_id", "rsh"), "rsh_id", "left")
-        .join(people(t, "bdm_id", "bdm"), "bdm_id", "left")
-        .join(people(t, "pm_id", "pm"), "pm_id", "left")
-        .join(business_heads(t), "unit_id", "left")
+        .join(currencies.drop("code_owner"), "currency_id", "left")
         .join(units, "unit_id", "left")
         .join(entities, "entity_id", "left")
-        .withColumn("customer_label", code_and_name(F.col("customer_code"), F.col("customer_name")))
-        .withColumn("division", F.lit(BLANK))
-        .withColumn("sales_order_code", F.lit(BLANK))
-        .withColumn("project_code", F.lit(BLANK))
-        .withColumn("shown_project_id", F.lit(None).cast("long"))
+        .drop("currency_id", "entity_id")
     )
-    return _finish(rows, DIR, 1)
 
 
-def credit_items(t: Tables, rates: DataFrame) -> DataFrame:
-    """Credit notes without a reference; the entity is found by name, the currency by code."""
-    facts = open_credits(t).select(
-        F.col("id").alias("doc_id"),
+def _credit_facts(t: Tables, currencies: DataFrame) -> DataFrame:
+    """Credit notes; the entity is found by name, the rate by currency code."""
+    facts = open_credits(t).selectExpr(
+        f"'{CRN}' as source",
+        "id as doc_id",
         "bdm_id",
-        F.col("customer_no").alias("customer_id"),
-        F.col("mode_no").alias("doc_no"),
-        F.col("balance_amount").alias("amount"),
-        F.col("balance_amount").alias("balance"),
-        F.col("date").alias("invoice_date"),
-        F.col("currency").alias("currency_code"),
+        "customer_no as customer_id",
+        f"'{BLANK}' as po_no",
+        "mode_no as doc_no",
+        "balance_amount as amount",
+        "balance_amount as balance",
+        "date as invoice_date",
+        "0 as credit_days",
+        "currency as currency_code",
         "project_id",
         "sales_order_id",
         "rsh_id",
-        F.col("sbu").alias("unit"),
-        F.col("entity").alias("entity_name"),
-    )
-    orders = t.sales_orders.select(
-        F.col("id").alias("sales_order_id"), "sales_order_code", F.col("sbu").alias("unit_id")
+        "sbu as unit",
+        "entity as entity_name",
+        "cast(null as date) as submitted_on",
+        "cast(null as date) as expected_on",
     )
-    projects = t.projects.select(
-        F.col("id").alias("project_id"),
-        F.col("id").alias("shown_project_id"),
+    orders = t.sales_orders.selectExpr("id as sales_order_id", "sales_order_code", "sbu as unit_id")
+    projects = t.projects.selectExpr(
+        "id as project_id",
+        "id as shown_project_id",
         "project_code",
         "project_name",
-        F.col("project_manager").alias("pm_id"),
-    )
-    customers = t.customers.select(
-        F.col("id").alias("customer_id"), "customer_code", "customer_name", "division"
+        "project_manager as pm_id",
     )
+    customers = t.customers.withColumnRenamed("id", "customer_id")
     entities = t.legal_entities.withColumnsRenamed(
         {"legal_entity": "entity_name", "legal_entity_code": "entity_code"}
     )
     entities = lowest(entities, "entity_name", "id", "entity_code").drop("id")
-    currencies = (
-        t.currencies.filter(F.col("currency_code").isNotNull())
-        .groupBy("currency_code")
-        .agg(F.min("id").alias("currency_id"))
-        .join(rates, "currency_id", "left")
-        .select("currency_code", "rate")
-    )
-    rows = (
+    rates = F.broadcast(currencies.filter("code_owner").select("currency_code", "rate"))
+    return (
         facts.join(orders, "sales_order_id", "left")
         .join(projects, "project_id", "left")
         .join(customers, "customer_id", "left")
-        .join(first_contacts(t), "customer_id", "left")
-        .join(pin_small(currencies), "currency_code", "left")
+        .join(rates, "currency_code", "left")
+        .join(entities, "entity_name", "left")
+        .drop("project_id", "sales_order_id")
+    )
+
+
+def _with_people(t: Tables, facts: DataFrame) -> DataFrame:
+    """Contact and staff names of documents that name them by id."""
+    joined = (
+        facts.join(first_contacts(t), "customer_id", "left")
         .join(people(t, "rsh_id", "rsh"), "rsh_id", "left")
         .join(people(t, "bdm_id", "bdm"), "bdm_id", "left")
         .join(people(t, "pm_id", "pm"), "pm_id", "left")
         .join(business_heads(t), "unit_id", "left")
-        .join(entities, "entity_name", "left")
-        .withColumn("customer_label", code_and_name(F.col("customer_code"), F.col("customer_name")))
-        .withColumn("po_no", F.lit(BLANK))
-        .withColumn("credit_days", F.lit(0))
-        .withColumn("submitted_on", F.lit(None).cast("date"))
-        .withColumn("expected_on", F.lit(None).cast("date"))
     )
-    return _finish(rows, CRN, -1)
-
+    return _finish(joined)
 
-def _same_row() -> Column:
-    return F.struct(*[F.col(name) for name in ITEM_COLUMNS if name != "source"])
 
+def direct_items(t: Tables, currencies: DataFrame) -> DataFrame:
+    """Stand-alone invoices."""
+    return _with_people(t, _direct_facts(t, currencies))
 
-def without_twins(consolidated: DataFrame, t: Tables, rates: DataFrame) -> DataFrame:
-    """Drop consolidated rows that equal the project row of the same invoice in every column.
 
-    Rows of other sources can never be equal, so a distinct over the whole union
-    is not needed; only invoices that stand for a consolidation are compared.
-    """
-    parents = open_invoices(t).filter(F.col("consolidated_id").isNotNull())
-    twins = _project_items(t, rates, parents).select(
-        F.col("bdm_id").alias("twin_bdm"), F.col("doc_id").alias("twin_doc"), _same_row().alias("twin")
-    )
-    same = (
-        (F.col("bdm_id") == F.col("twin_bdm"))
-        & (F.col("doc_id") == F.col("twin_doc"))
-        & _same_row().eqNullSafe(F.col("twin"))
-    )
-    return consolidated.join(twins, same, "left_anti")
+def credit_items(t: Tables, currencies: DataFrame) -> DataFrame:
+    """Credit notes without a reference invoice."""
+    return _with_people(t, _credit_facts(t, currencies))
 
 
 def open_items(t: Tables, as_of: dt.date, corrected_rates: bool = False) -> DataFrame:
-    """All open items, equal rows once."""
-    rates = report_rates(t, as_of, corrected_rates)
-    parts = [
-        project_items(t, rates),
-        direct_items(t, rates),
-        credit_items(t, rates),
-        without_twins(consolidated_items(t, rates), t, rates),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    """All open items. Rows of different sources are equal only as ``invoice_items`` says."""
+    currencies = currency_table(t, as_of, corrected_rates)
+    named = _direct_facts(t, currencies).unionByName(_credit_facts(t, currencies))
+    return invoice_items(t, currencies).unionByName(_with_people(t, named))

@@ -16,9 +16,9 @@ from duesight.functions.dates import (
     month_offset,
 )
 from duesight.functions.text import format_money
-from duesight.operators.exposure import exposure, project_exposure
+from duesight.operators.exposure import exposure
 from duesight.operators.lookup import pin_small
-from duesight.plans.open_items import report_rates
+from duesight.operators.rates import currency_table
 from duesight.session import materialise
 from duesight.settings import CON, CRN, DIR, INV, USUAL, SummaryOptions
 from duesight.sources.tables import Tables
@@ -28,8 +28,8 @@ CUSTOMER_KEY = ("bdm_id", "customer_code", "currency_code")
 
 def summary_base(t: Tables, as_of: dt.date, options: SummaryOptions = USUAL) -> DataFrame:
     """Scan every document table once and keep the result; all of the below read it."""
-    rates = report_rates(t, as_of, options.corrected_rates)
-    return materialise(exposure(t, rates, as_of, options.dedupe_orders))
+    currencies = currency_table(t, as_of, options.corrected_rates)
+    return materialise(exposure(t, currencies, as_of, options.dedupe_orders))
 
 
 def candidate_customers(base: DataFrame) -> DataFrame:
@@ -95,8 +95,8 @@ def summary_by_source(base: DataFrame, as_of: dt.date, options: SummaryOptions =
 
 def project_summary(t: Tables, as_of: dt.date, options: SummaryOptions = USUAL) -> DataFrame:
     """The project-invoice part alone. Its own due dates set the horizon, so it needs no other source."""
-    rates = report_rates(t, as_of, options.corrected_rates)
-    rows = project_exposure(t, rates, as_of, options.dedupe_orders)
+    currencies = currency_table(t, as_of, options.corrected_rates)
+    rows = exposure(t, currencies, as_of, options.dedupe_orders, sources=[INV])
     return (
         rows.filter(F.col("customer_code").isNotNull() & (F.col("summary_count") > 0))
         .groupBy(*CUSTOMER_KEY, "bucket", "month_offset")

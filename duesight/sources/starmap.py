@@ -7,24 +7,40 @@ table is joined with itself.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from duesight.settings import CC_FUNCTION_PREFIX, MONEY, RATE
-from duesight.sources.schemas import RUN_EVENT_SCHEMA
-from duesight.sources.tables import Tables, conform
+from duesight.settings import CC_FUNCTION_PREFIX
+from duesight.sources.schemas import RUN_EVENT_SCHEMA, SCHEMAS
+from duesight.sources.tables import Tables
+
+# Columns of the given tables that are used, so that reading needs no schema inference.
+GIVEN = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int",
+    "part": "p_partkey long, p_name string, p_type string, p_size int",
+    "orders": (
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,"
+        " o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey long, l_extendedprice double, l_discount double, l_returnflag string,"
+        " l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string",
+    "rates": "event_id long, ts timestamp_ntz, user_id long, value double",
+    "pages": "page_id long, html string",
+}
+FILES = {"rates": "events"}
 
 OWNERS = 10
-RATE_SHIFT_MONTHS = 276
-
-
-def _text(prefix: str, number: Column) -> Column:
-    return F.concat(F.lit(prefix), number.cast("string"))
-
-
-def _flag(condition: Column) -> Column:
-    return F.when(condition, 1).otherwise(0)
+CREDIT_DAYS = (
+    "case c_mktsegment when 'MACHINERY' then 30 when 'BUILDING' then 45"
+    " when 'AUTOMOBILE' then 60 when 'FURNITURE' then 90 end"
+)
+CURRENCY_OF_REGION = "if(r_regionkey = 0, 'INR', r_name)"
 
 
 class _Star:
@@ -34,375 +50,325 @@ class _Star:
         self._spark, self._folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        path = f"{self._folder}/{FILES.get(name, name)}.parquet"
+        frame = self._spark.read.schema(GIVEN[name]).parquet(path)
+        setattr(self, name, frame)
+        return frame
 
+    @property
+    def customer_place(self) -> DataFrame:
+        return self.customer.join(self.nation.withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey")
 
-def _credit_days(segment: Column) -> Column:
-    days = {"MACHINERY": 30, "BUILDING": 45, "AUTOMOBILE": 60, "FURNITURE": 90}
-    column = F.lit(None).cast("int")
-    for name, number in days.items():
-        column = F.when(segment == name, number).otherwise(column)
-    return column
+    @property
+    def order_place(self) -> DataFrame:
+        orders = self.orders.selectExpr("o_orderkey", "o_custkey as c_custkey")
+        return orders.join(self.customer_place, "c_custkey")
 
 
-def _customers_in_nations(star: _Star) -> DataFrame:
-    return star.customer.join(star.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-
-
-def _employees(star: _Star) -> DataFrame:
-    key = F.col("s_suppkey")
-    return star.supplier.select(
-        key.alias("id"),
-        _text("E", key).alias("employee_number"),
-        F.substring_index("s_name", "#", 1).alias("first_name"),
-        F.when(key % 11 != 7, F.substring_index("s_name", "#", -1)).alias("last_name"),
-        F.concat(F.lit("e"), key.cast("string"), F.lit("@example.com")).alias("work_email_address"),
-        _text("NATION_", F.col("s_nationkey")).alias("structure_name"),
-        F.when(key % 7 == 3, "r").when(key % 9 != 8, "c").alias("employment_status"),
+def _typed(rows: DataFrame, schema: str, expressions: dict[str, str]) -> DataFrame:
+    fields = T.StructType.fromDDL(schema)
+    return rows.selectExpr(
+        *[f"cast({expressions[field.name]} as {field.dataType.simpleString()}) as {field.name}" for field in fields]
     )
 
 
-def _customers(star: _Star) -> DataFrame:
-    key = F.col("c_custkey")
-    return star.customer.select(
-        key.alias("id"),
-        _text("C", key).alias("customer_code"),
-        F.col("c_name").alias("customer_name"),
-        F.col("c_mktsegment").alias("division"),
-    )
-
-
-def _sales_orders(star: _Star) -> DataFrame:
-    """One order per customer; a second under the next owner for every fourth customer, and a
-    third under the same owner, in another currency, for every sixth."""
-    key = F.col("c_custkey")
-    copies = F.filter(
-        F.array(
-            F.lit(0),
-            F.when(key % 4 == 0, 1),
-            F.when(key % 6 == 0, 2),
-        ),
-        lambda copy: copy.isNotNull(),
-    )
-    copy = F.col("copy")
-    order = key * 4 + copy
-    return (
-        _customers_in_nations(star)
-        .withColumn("copy", F.explode(copies))
-        .select(
-            order.alias("id"),
-            _text("SO", order).alias("sales_order_code"),
-            F.when(copy == 2, 15).otherwise(_credit_days(F.col("c_mktsegment"))).alias("credit_period"),
-            key.alias("customer_id"),
-            (key * 2 + _flag(key % 3 == 0)).alias("finance_contact_id"),
-            ((key + 3) % OWNERS).alias("rsh_id"),
-            ((key + _flag(copy == 1)) % OWNERS).alias("sales_person_id"),
-            F.col("c_nationkey").alias("sbu"),
-            ((F.col("n_regionkey") + _flag(copy == 2)) % 5).alias("currency_id"),
-            F.col("n_regionkey").alias("legal_entity_id"),
-        )
-    )
-
-
-def _project_so_masters(star: _Star) -> DataFrame:
-    orders = _sales_orders(star)
-    return orders.select(F.col("customer_id").alias("project_id"), F.col("id").alias("sales_order_id"))
-
-
-def _projects(star: _Star) -> DataFrame:
-    key = F.col("c_custkey")
-    return _customers_in_nations(star).select(
-        key.alias("id"),
-        _text("P", key).alias("project_code"),
-        F.concat("c_name", F.lit(" works")).alias("project_name"),
-        F.col("n_regionkey").alias("currency_id"),
-        ((key + 5) % OWNERS).alias("project_manager"),
-    )
-
-
-def _customer_contacts(star: _Star) -> DataFrame:
-    key = F.col("c_custkey")
-    copies = F.when(key % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    contact = key * 2 + F.col("copy")
-    return star.customer.withColumn("copy", F.explode(copies)).select(
-        contact.alias("id"),
-        key.alias("customer_id"),
-        _text("Contact ", contact).alias("contact_person_name"),
-        F.concat(F.lit("c"), contact.cast("string"), F.lit("@example.org")).alias("contact_person_email"),
-        _text("+91 ", contact + 1000).alias("contact_person_mobile"),
-    )
-
-
-def _currencies(star: _Star) -> DataFrame:
-    return star.region.select(
-        F.col("r_regionkey").alias("id"),
-        F.when(F.col("r_regionkey") == 0, "INR").otherwise(F.col("r_name")).alias("currency_code"),
-    )
-
-
-def _forex_conversions(star: _Star) -> DataFrame:
+def _employees(star: _Star):
+    return star.supplier, {
+        "id": "s_suppkey",
+        "employee_number": "concat('E', s_suppkey)",
+        "first_name": "substring_index(s_name, '#', 1)",
+        "last_name": "if(s_suppkey % 11 <> 7, substring_index(s_name, '#', -1), null)",
+        "work_email_address": "concat('e', s_suppkey, '@example.com')",
+        "structure_name": "concat('NATION_', s_nationkey)",
+        "employment_status": "case when s_suppkey % 7 = 3 then 'r' when s_suppkey % 9 <> 8 then 'c' end",
+    }
+
+
+def _customers(star: _Star):
+    return star.customer, {
+        "id": "c_custkey",
+        "customer_code": "concat('C', c_custkey)",
+        "customer_name": "c_name",
+        "division": "c_mktsegment",
+    }
+
+
+# One order per customer; a second under the next owner for every fourth customer, and a third
+# under the same owner, in another currency, for every sixth.
+ORDER_COPIES = (
+    "explode(filter(array(0, if(c_custkey % 4 = 0, 1, null), if(c_custkey % 6 = 0, 2, null)),"
+    " copy -> copy is not null)) as copy"
+)
+
+
+def _sales_orders(star: _Star):
+    return star.customer_place.selectExpr("*", ORDER_COPIES), {
+        "id": "c_custkey * 4 + copy",
+        "sales_order_code": "concat('SO', c_custkey * 4 + copy)",
+        "credit_period": f"if(copy = 2, 15, {CREDIT_DAYS})",
+        "customer_id": "c_custkey",
+        "finance_contact_id": "c_custkey * 2 + if(c_custkey % 3 = 0, 1, 0)",
+        "rsh_id": f"(c_custkey + 3) % {OWNERS}",
+        "sales_person_id": f"(c_custkey + if(copy = 1, 1, 0)) % {OWNERS}",
+        "sbu": "c_nationkey",
+        "currency_id": "(n_regionkey + if(copy = 2, 1, 0)) % 5",
+        "legal_entity_id": "n_regionkey",
+    }
+
+
+def _project_so_masters(star: _Star):
+    return star.customer.selectExpr("c_custkey", ORDER_COPIES), {
+        "project_id": "c_custkey",
+        "sales_order_id": "c_custkey * 4 + copy",
+    }
+
+
+def _projects(star: _Star):
+    return star.customer_place, {
+        "id": "c_custkey",
+        "project_code": "concat('P', c_custkey)",
+        "project_name": "concat(c_name, ' works')",
+        "currency_id": "n_regionkey",
+        "project_manager": f"(c_custkey + 5) % {OWNERS}",
+    }
+
+
+def _customer_contacts(star: _Star):
+    copies = "explode(if(c_custkey % 3 = 0, array(0, 1), array(0))) as copy"
+    return star.customer.selectExpr("c_custkey", copies), {
+        "id": "c_custkey * 2 + copy",
+        "customer_id": "c_custkey",
+        "contact_person_name": "concat('Contact ', c_custkey * 2 + copy)",
+        "contact_person_email": "concat('c', c_custkey * 2 + copy, '@example.org')",
+        "contact_person_mobile": "concat('+91 ', c_custkey * 2 + copy + 1000)",
+    }
+
+
+def _currencies(star: _Star):
+    return star.region, {"id": "r_regionkey", "currency_code": CURRENCY_OF_REGION}
+
+
+def _forex_conversions(star: _Star):
     """The currency with number 4 has no rate."""
-    currency = F.col("user_id") % 5
-    return star.events.filter(currency != 4).select(
-        F.col("event_id").alias("id"),
-        currency.alias("from_currency_id"),
-        F.add_months(F.col("ts").cast("date"), -RATE_SHIFT_MONTHS).alias("date"),
-        F.col("value").cast(RATE).alias("value"),
-    )
-
-
-def _invoices(star: _Star) -> DataFrame:
-    key, total = F.col("o_orderkey"), F.col("o_totalprice").cast(MONEY)
-    day = F.col("o_orderdate").cast("date")
-    half = total - F.floor(F.col("o_totalprice") / 2).cast(MONEY)
-    balance = (
-        F.when(F.col("o_orderstatus") == "F", F.lit(0))
-        .when(F.col("o_orderstatus") == "P", half)
-        .otherwise(total)
-    )
-    return star.orders.select(
-        key.alias("id"),
-        F.col("o_custkey").alias("project_id"),
-        F.when(key % 3 != 0, F.floor(key / 8)).alias("po_id"),
-        _text("IN", key).alias("invoice_code"),
-        total.alias("total_amount"),
-        balance.cast(MONEY).alias("balance_amount"),
-        day.alias("invoice_date"),
-        F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "d").otherwise("a").alias("status"),
-        _flag(key % 17 == 0).alias("deleted"),
-        F.when((key % 13 == 0) & (key > 0), key - 1).alias("invoice_reference"),
-        F.when(key % 10 == 0, key - key % 20).alias("consolidated_id"),
-        F.when(key % 2 == 0, F.date_add(day, 2)).alias("invoice_date_submission_customer"),
-        F.when(key % 5 == 0, F.date_add(day, 60)).alias("expected_collection_date"),
-    )
-
-
-def _invoice_consolidations(star: _Star) -> DataFrame:
-    key = F.col("o_orderkey")
-    return star.orders.filter(key % 20 == 0).select(key.alias("id"))
-
-
-def _invoice_consolidation_details(star: _Star) -> DataFrame:
+    return star.rates.filter("user_id % 5 <> 4"), {
+        "id": "event_id",
+        "from_currency_id": "user_id % 5",
+        "date": "add_months(cast(ts as date), -276)",
+        "value": "value",
+    }
+
+
+def _invoices(star: _Star):
+    total = "cast(o_totalprice as decimal(18,2))"
+    half = f"{total} - cast(floor(o_totalprice / 2) as decimal(18,2))"
+    return star.orders, {
+        "id": "o_orderkey",
+        "project_id": "o_custkey",
+        "po_id": "if(o_orderkey % 3 <> 0, o_orderkey div 8, null)",
+        "invoice_code": "concat('IN', o_orderkey)",
+        "total_amount": total,
+        "balance_amount": f"case o_orderstatus when 'F' then 0 when 'P' then {half} else {total} end",
+        "invoice_date": "o_orderdate",
+        "status": "if(o_orderpriority = '4-NOT SPECIFIED', 'd', 'a')",
+        "deleted": "if(o_orderkey % 17 = 0, 1, 0)",
+        "invoice_reference": "if(o_orderkey % 13 = 0 and o_orderkey > 0, o_orderkey - 1, null)",
+        "consolidated_id": "if(o_orderkey % 10 = 0, o_orderkey - o_orderkey % 20, null)",
+        "invoice_date_submission_customer": "if(o_orderkey % 2 = 0, date_add(cast(o_orderdate as date), 2), null)",
+        "expected_collection_date": "if(o_orderkey % 5 = 0, date_add(cast(o_orderdate as date), 60), null)",
+    }
+
+
+def _invoice_consolidations(star: _Star):
+    return star.orders.filter("o_orderkey % 20 = 0"), {"id": "o_orderkey"}
+
+
+def _invoice_consolidation_details(star: _Star):
     """Some neighbours of a parent, and at times the parent itself."""
-    key = F.col("o_orderkey")
-    return star.orders.filter(((key % 10).between(1, 3)) | (key % 30 == 0)).select(
-        (key - key % 20).alias("invoice_consolidation_id"), key.alias("invoice_id")
-    )
-
-
-def _orders_with_customer(star: _Star) -> DataFrame:
-    orders = star.orders.select("o_orderkey", "o_custkey")
-    customers = _customers_in_nations(star).select(
-        "c_custkey", "c_nationkey", "c_mktsegment", "n_regionkey"
-    )
-    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-
-
-def _lines_per_order(star: _Star, flag: str, amount: Column) -> DataFrame:
-    return (
-        star.lineitem.filter(F.col("l_returnflag") == flag)
-        .groupBy("l_orderkey")
-        .agg(F.sum(amount).alias("amount"), F.max("l_shipdate").cast("date").alias("day"))
-    )
-
-
-def _direct_invoices(star: _Star) -> DataFrame:
-    key, owner = F.col("o_orderkey"), F.col("c_custkey") % OWNERS
-    lines = _lines_per_order(star, "N", F.col("l_extendedprice").cast(MONEY))
-    joined = lines.join(_orders_with_customer(star), F.col("l_orderkey") == key)
-    return joined.select(
-        key.alias("id"),
-        F.col("c_custkey").alias("customer_id"),
-        _text("C", F.col("c_custkey") + _flag(key % 19 == 0)).alias("customer_code"),
-        _text("DPO", key).alias("po_no"),
-        _text("NI", key - _flag(key % 50 == 1)).alias("invoice_code"),
-        F.col("amount").cast(MONEY).alias("total_amount"),
-        F.col("amount").cast(MONEY).alias("balance_amount"),
-        F.col("day").alias("invoice_date"),
-        _credit_days(F.col("c_mktsegment")).alias("credit_period"),
-        F.col("n_regionkey").alias("invoicing_currency_id"),
-        _text("Direct ", key).alias("project_name"),
-        ((F.col("c_custkey") + 3) % OWNERS).alias("rsh_id"),
-        owner.alias("bdm_id"),
-        ((F.col("c_custkey") + 5) % OWNERS).alias("pm_id"),
-        F.col("c_nationkey").alias("sbu_id"),
-        F.col("n_regionkey").alias("entity_id"),
-        F.when((key % 31 == 0) & (key > 0), key - 1).alias("invoice_reference"),
-        _flag(key % 37 == 0).alias("deleted"),
-        F.when(key % 2 == 0, F.date_add("day", 2)).alias("invoice_date_submission_customer"),
-        F.when(key % 5 == 0, F.date_add("day", 60)).alias("expected_collection_date"),
-    )
-
-
-def _credit_notes(star: _Star) -> DataFrame:
-    key = F.col("l_orderkey")
-    amount = F.col("l_extendedprice").cast(MONEY) * F.col("l_discount").cast(MONEY)
-    lines = _lines_per_order(star, "R", amount)
-    return lines.withColumn("amount", F.round("amount", 2)).filter(F.col("amount") > 0).select(
-        key.alias("id"),
-        _text("CN", key).alias("mode_no"),
-        F.col("amount").cast(MONEY).alias("balance_amount"),
-        F.col("day").alias("date"),
-        _flag(key % 41 == 0).alias("deleted"),
-    )
+    return star.orders.filter("o_orderkey % 10 between 1 and 3 or o_orderkey % 30 = 0"), {
+        "invoice_consolidation_id": "o_orderkey - o_orderkey % 20",
+        "invoice_id": "o_orderkey",
+    }
 
 
-def _credit_references(star: _Star) -> DataFrame:
-    regions = star.region.select(
-        F.col("r_regionkey").alias("n_regionkey"),
-        "r_name",
-        F.when(F.col("r_regionkey") == 0, "INR").otherwise(F.col("r_name")).alias("currency"),
+def _lines_per_order(star: _Star, flag: str, amount: str) -> DataFrame:
+    lines = star.lineitem.filter(f"l_returnflag = '{flag}'").selectExpr(
+        "l_orderkey as o_orderkey", "l_shipdate", f"{amount} as amount"
     )
     return (
-        _orders_with_customer(star)
-        .join(regions, "n_regionkey")
-        .select(
-            F.col("o_orderkey").alias("credit_note_id"),
-            F.col("c_custkey").alias("customer_no"),
-            "currency",
-            F.col("c_custkey").alias("project_id"),
-            ((F.col("c_custkey") + 3) % OWNERS).alias("rsh_id"),
-            (F.col("c_custkey") % OWNERS).alias("bdm_id"),
-            _text("NATION_", F.col("c_nationkey")).alias("sbu"),
-            F.col("r_name").alias("entity"),
-        )
-    )
-
-
-def _project_purchase_orders(star: _Star) -> DataFrame:
-    key = F.col("p_partkey")
-    return star.part.select(
-        key.alias("id"),
-        F.when(F.col("p_size") == 1, "").otherwise(_text("PO-", key)).alias("attachment_reference_no"),
-        _flag(F.col("p_size") % 2 == 0).alias("is_primary"),
+        lines.groupBy("o_orderkey")
+        .agg({"amount": "sum", "l_shipdate": "max"})
+        .withColumnsRenamed({"sum(amount)": "amount", "max(l_shipdate)": "day"})
     )
 
 
-def _po_so_masters(star: _Star) -> DataFrame:
-    key = F.col("p_partkey")
-    return star.part.select(key.alias("po_id"), (key - key % 4).alias("sales_order_id"))
-
-
-def _general_approvers(star: _Star) -> DataFrame:
+def _direct_invoices(star: _Star):
+    lines = _lines_per_order(star, "N", "cast(l_extendedprice as decimal(18,2))")
+    return lines.join(star.order_place, "o_orderkey"), {
+        "id": "o_orderkey",
+        "customer_id": "c_custkey",
+        "customer_code": "concat('C', c_custkey + if(o_orderkey % 19 = 0, 1, 0))",
+        "po_no": "concat('DPO', o_orderkey)",
+        "invoice_code": "concat('NI', o_orderkey - if(o_orderkey % 50 = 1, 1, 0))",
+        "total_amount": "amount",
+        "balance_amount": "amount",
+        "invoice_date": "day",
+        "credit_period": CREDIT_DAYS,
+        "invoicing_currency_id": "n_regionkey",
+        "project_name": "concat('Direct ', o_orderkey)",
+        "rsh_id": f"(c_custkey + 3) % {OWNERS}",
+        "bdm_id": f"c_custkey % {OWNERS}",
+        "pm_id": f"(c_custkey + 5) % {OWNERS}",
+        "sbu_id": "c_nationkey",
+        "entity_id": "n_regionkey",
+        "invoice_reference": "if(o_orderkey % 31 = 0 and o_orderkey > 0, o_orderkey - 1, null)",
+        "deleted": "if(o_orderkey % 37 = 0, 1, 0)",
+        "invoice_date_submission_customer": "if(o_orderkey % 2 = 0, date_add(cast(day as date), 2), null)",
+        "expected_collection_date": "if(o_orderkey % 5 = 0, date_add(cast(day as date), 60), null)",
+    }
+
+
+def _credit_notes(star: _Star):
+    amount = "cast(l_extendedprice as decimal(18,2)) * cast(l_discount as decimal(18,2))"
+    return _lines_per_order(star, "R", amount).filter("round(amount, 2) > 0"), {
+        "id": "o_orderkey",
+        "mode_no": "concat('CN', o_orderkey)",
+        "balance_amount": "round(amount, 2)",
+        "date": "day",
+        "deleted": "if(o_orderkey % 41 = 0, 1, 0)",
+    }
+
+
+def _credit_references(star: _Star):
+    regions = star.region.withColumnRenamed("r_regionkey", "n_regionkey")
+    return star.order_place.join(regions, "n_regionkey"), {
+        "credit_note_id": "o_orderkey",
+        "customer_no": "c_custkey",
+        "currency": "if(n_regionkey = 0, 'INR', r_name)",
+        "project_id": "c_custkey",
+        "rsh_id": f"(c_custkey + 3) % {OWNERS}",
+        "bdm_id": f"c_custkey % {OWNERS}",
+        "sbu": "concat('NATION_', c_nationkey)",
+        "entity": "r_name",
+    }
+
+
+def _project_purchase_orders(star: _Star):
+    return star.part, {
+        "id": "p_partkey",
+        "attachment_reference_no": "if(p_size = 1, '', concat('PO-', p_partkey))",
+        "is_primary": "if(p_size % 2 = 0, 1, 0)",
+    }
+
+
+def _po_so_masters(star: _Star):
+    return star.part, {"po_id": "p_partkey", "sales_order_id": "p_partkey - p_partkey % 4"}
+
+
+def _general_approvers(star: _Star):
     """Business heads per unit (function 4), and many people in copy per owner."""
-    unit, customer = F.col("n_nationkey").cast("long"), F.col("c_custkey")
-    copies = F.when(unit % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    heads = star.nation.withColumn("copy", F.explode(copies)).select(
-        (unit * 2 + F.col("copy")).alias("id"),
-        unit.alias("structure_id"),
-        F.lit(4).cast("long").alias("function_id"),
-        _text("E", (unit + F.col("copy")) % OWNERS).alias("employee_id"),
-        _flag(F.col("copy") == 0).alias("status"),
+    copies = "explode(if(n_nationkey % 3 = 0, array(0, 1), array(0))) as copy"
+    heads = star.nation.selectExpr("n_nationkey", copies).selectExpr(
+        "cast(n_nationkey * 2 + copy as long) as id",
+        "n_nationkey as structure_id",
+        "4L as function_id",
+        f"concat('E', (n_nationkey + copy) % {OWNERS}) as employee_id",
+        "if(copy = 0, 1, 0) as status",
     )
-    in_copy = star.customer.select(
-        (customer + 1000).alias("id"),
-        F.col("c_nationkey").cast("long").alias("structure_id"),
-        (customer % OWNERS + 100).alias("function_id"),
-        _text("E", F.floor(customer / 10) % 12).alias("employee_id"),
-        _flag(customer % 3 != 0).alias("status"),
+    in_copy = star.customer.selectExpr(
+        "c_custkey + 1000 as id",
+        "c_nationkey as structure_id",
+        f"c_custkey % {OWNERS} + 100 as function_id",
+        "concat('E', c_custkey div 10 % 12) as employee_id",
+        "if(c_custkey % 3 <> 0, 1, 0) as status",
     )
-    return heads.unionByName(in_copy)
+    return heads.union(in_copy), {name: name for name in in_copy.columns}
 
 
-def _company_structures(star: _Star) -> DataFrame:
-    return star.nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+def _company_structures(star: _Star):
+    return star.nation, {"id": "n_nationkey", "name": "n_name"}
 
 
-def _legal_entities(star: _Star) -> DataFrame:
-    return star.region.select(
-        F.col("r_regionkey").alias("id"),
-        F.col("r_name").alias("legal_entity"),
-        F.substring("r_name", 1, 2).alias("legal_entity_code"),
-    )
+def _legal_entities(star: _Star):
+    return star.region, {
+        "id": "r_regionkey",
+        "legal_entity": "r_name",
+        "legal_entity_code": "substring(r_name, 1, 2)",
+    }
 
 
-def _debtor_reports(star: _Star) -> DataFrame:
-    return star.customer.select((F.col("c_custkey") % OWNERS).alias("bdm_id"))
+def _debtor_reports(star: _Star):
+    return star.customer, {"bdm_id": f"c_custkey % {OWNERS}"}
 
 
-def _function_names(star: _Star) -> DataFrame:
-    person, part = F.col("s_suppkey"), F.col("p_partkey")
-    copy_lists = star.supplier.select(
-        (person + 100).alias("id"),
-        F.lit("Mail").alias("type"),
-        _text(CC_FUNCTION_PREFIX + "e", person).alias("name"),
+def _function_names(star: _Star):
+    copy_lists = star.supplier.selectExpr(
+        "s_suppkey + 100 as id", "'Mail' as type", f"concat('{CC_FUNCTION_PREFIX}e', s_suppkey) as name"
     )
-    jobs = star.part.select(
-        (part + 1_000_000_000).alias("id"),
-        F.when(part % 3 == 0, "Web").otherwise("Cron").alias("type"),
-        _text("job_", part % 7).alias("name"),
+    jobs = star.part.selectExpr(
+        "p_partkey + 1000000000 as id",
+        "if(p_partkey % 3 = 0, 'Web', 'Cron') as type",
+        "concat('job_', p_partkey % 7) as name",
     )
-    return copy_lists.unionByName(jobs)
+    return copy_lists.union(jobs), {name: name for name in jobs.columns}
 
 
-def _configuration_values(star: _Star) -> DataFrame:
+def _configuration_values(star: _Star):
     """Parents come from regions, their children from parts."""
-    region, part, size = F.col("r_regionkey").cast("long"), F.col("p_partkey"), F.col("p_size")
-    parents = star.region.select(
-        region.alias("id"),
-        F.lit(None).cast("long").alias("parent_id"),
-        F.when(region == 0, "mail_details")
-        .when(region == 1, "ar_mail_config")
-        .otherwise(F.concat(F.lit("other_"), F.col("r_name")))
-        .alias("configuration_key"),
-        F.lit(None).cast("string").alias("configuration_value"),
-    )
-    names = {1: "host", 2: "port", 3: "ar_username", 4: "ar_from", 5: "debtors_bdm_cron_bcc"}
-    key = _text("key_", size)
-    for number, name in names.items():
-        key = F.when(size == number, name).otherwise(key)
-    addresses = F.concat(F.lit("a"), part.cast("string"), F.lit("@example.com, b@example.com,,"))
-    children = star.part.select(
-        (part + 100).alias("id"),
-        (part % 5).alias("parent_id"),
-        key.alias("configuration_key"),
-        F.when(size == 5, addresses).otherwise(F.concat("p_name", F.lit(" "), part.cast("string"))).alias(
-            "configuration_value"
-        ),
+    parents = star.region.selectExpr(
+        "cast(r_regionkey as long) as id",
+        "cast(null as long) as parent_id",
+        "case r_regionkey when 0 then 'mail_details' when 1 then 'ar_mail_config'"
+        " else concat('other_', r_name) end as configuration_key",
+        "cast(null as string) as configuration_value",
     )
-    return parents.unionByName(children)
-
-
-def _mail_configurations(star: _Star) -> DataFrame:
-    key, segment = F.col("c_custkey"), F.col("c_mktsegment")
-    return star.customer.select(
-        key.alias("id"),
-        (key % 5).alias("function_id"),
-        F.col("c_nationkey").alias("structure_id"),
-        _text("E", key % 12).alias("employee_id"),
-        F.when(segment == "MACHINERY", "to")
-        .when(segment == "BUILDING", "cc")
-        .when(segment == "AUTOMOBILE", "bcc")
-        .otherwise("off")
-        .alias("mail_to_type"),
+    children = star.part.selectExpr(
+        "p_partkey + 100 as id",
+        "p_partkey % 5 as parent_id",
+        "case p_size when 1 then 'host' when 2 then 'port' when 3 then 'ar_username' when 4 then 'ar_from'"
+        " when 5 then 'debtors_bdm_cron_bcc' else concat('key_', p_size) end as configuration_key",
+        "if(p_size = 5, concat('a', p_partkey, '@example.com, b@example.com,,'), concat(p_name, ' ', p_partkey))"
+        " as configuration_value",
     )
+    return parents.union(children), {name: name for name in children.columns}
+
+
+def _mail_configurations(star: _Star):
+    return star.customer, {
+        "id": "c_custkey",
+        "function_id": "c_custkey % 5",
+        "structure_id": "c_nationkey",
+        "employee_id": "concat('E', c_custkey % 12)",
+        "mail_to_type": (
+            "case c_mktsegment when 'MACHINERY' then 'to' when 'BUILDING' then 'cc'"
+            " when 'AUTOMOBILE' then 'bcc' else 'off' end"
+        ),
+    }
 
 
-def _schedules(star: _Star) -> DataFrame:
-    key = F.col("c_custkey")
-    return star.customer.select(
-        key.alias("id"),
-        _text("job_", key % 9).alias("name"),
-        _flag(key % 5 != 0).alias("status"),
-        (key % 24).alias("hour"),
-        (key % 60).alias("minute"),
-        (key % 7).alias("dayofweek"),
-    )
+def _schedules(star: _Star):
+    return star.customer, {
+        "id": "c_custkey",
+        "name": "concat('job_', c_custkey % 9)",
+        "status": "if(c_custkey % 5 <> 0, 1, 0)",
+        "hour": "c_custkey % 24",
+        "minute": "c_custkey % 60",
+        "dayofweek": "c_custkey % 7",
+    }
 
 
-def _epoch(moment: Column) -> Column:
-    return F.unix_timestamp(moment.cast("timestamp"))
+EVENT_EPOCH = "unix_timestamp(cast(ts as timestamp))"
+HOUR_EPOCH = "unix_timestamp(date_trunc('hour', cast(ts as timestamp)))"
 
 
-def _scheduler_logs(star: _Star) -> DataFrame:
-    return star.events.select(
-        F.col("event_id").alias("id"),
-        F.col("user_id").alias("schedule_id"),
-        F.col("event_type").alias("log"),
-        _flag(F.col("event_type") != "error").alias("status"),
-        _epoch(F.col("ts")).alias("date_runned"),
-        _epoch(F.date_trunc("hour", F.col("ts"))).alias("date_cron"),
-    )
+def _scheduler_logs(star: _Star):
+    return star.events, {
+        "id": "event_id",
+        "schedule_id": "user_id",
+        "log": "event_type",
+        "status": "if(event_type <> 'error', 1, 0)",
+        "date_runned": EVENT_EPOCH,
+        "date_cron": HOUR_EPOCH,
+    }
 
 
 _BUILDERS = {
@@ -437,24 +403,27 @@ _BUILDERS = {
 def star_tables(spark: SparkSession, folder: str) -> Tables:
     """The receivables tables over one folder of test tables."""
     star = _Star(spark, folder)
-    return Tables(lambda name: conform(_BUILDERS[name](star), name))
+
+    def read(name: str) -> DataFrame:
+        rows, expressions = _BUILDERS[name](star)
+        return _typed(rows, SCHEMAS[name], expressions)
+
+    return Tables(read)
 
 
 def star_run_events(spark: SparkSession, folder: str) -> DataFrame:
     """An append-only run log: three consecutive events make one run."""
-    star, event = _Star(spark, folder), F.col("event_id")
-    rows = star.events.select(
-        _text("run-", event - event % 3).alias("run_id"),
-        F.col("user_id").alias("schedule_id"),
-        _epoch(F.col("ts")).alias("event_ts"),
-        _epoch(F.date_trunc("hour", F.col("ts"))).alias("planned_ts"),
-        _flag(F.col("event_type") != "error").alias("status"),
-        F.col("event_type").alias("message"),
-    )
-    return rows.to(T.StructType.fromDDL(RUN_EVENT_SCHEMA))
+    columns = {
+        "run_id": "concat('run-', event_id - event_id % 3)",
+        "schedule_id": "user_id",
+        "event_ts": EVENT_EPOCH,
+        "planned_ts": HOUR_EPOCH,
+        "status": "if(event_type <> 'error', 1, 0)",
+        "message": "event_type",
+    }
+    return _typed(_Star(spark, folder).events, RUN_EVENT_SCHEMA, columns)
 
 
 def star_failures(spark: SparkSession, folder: str) -> DataFrame:
     """Failure messages with markup in them: whole web pages."""
-    star = _Star(spark, folder)
-    return star.pages.select(F.col("page_id").alias("failure_id"), F.col("html").alias("message"))
+    return _Star(spark, folder).pages.selectExpr("page_id as failure_id", "html as message")
