@@ -571,7 +571,8 @@ REGISTRY["run_log_state"] = Query(
         FROM events)
     SELECT run_id, min(event_ts) OVER (PARTITION BY run_id) AS started_ts, event_ts, schedule_id, planned_ts,
         status, message
-    FROM log QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY event_ts DESC, status DESC, message DESC) = 1""",
+    FROM log QUALIFY row_number() OVER (PARTITION BY run_id 
+        ORDER BY event_ts DESC, status DESC, message DESC, schedule_id DESC) = 1""",
 )
 
 

@@ -125,7 +125,7 @@ def _direct_days(t: Tables, currencies: DataFrame) -> DataFrame:
         )
         .agg(*_measures(unpaid, unpaid, F.col("balance_amount")))
     )
-    return days.join(currencies.drop("code_owner"), "currency_id", "left").withColumn("source", F.lit(DIR))
+    return days.join(currencies, "currency_id", "left").withColumn("source", F.lit(DIR))
 
 
 def _credit_days(t: Tables) -> DataFrame:

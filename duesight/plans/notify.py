@@ -29,7 +29,7 @@ def report_files(t: Tables, as_of: dt.date) -> DataFrame:
 
 def address_list(text: Column) -> Column:
     """Addresses of a comma-separated setting, without blanks and empty entries."""
-    parts = F.transform(F.split(text, ","), F.trim)
+    parts = F.transform(F.split(text, ","), lambda address: F.trim(address))
     return F.filter(parts, lambda address: address != "")
 
 

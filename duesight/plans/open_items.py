@@ -190,7 +190,7 @@ def _direct_facts(t: Tables, currencies: DataFrame) -> DataFrame:
     )
     return (
         facts.join(names, "customer_code", "left")
-        .join(currencies.drop("code_owner"), "currency_id", "left")
+        .join(currencies, "currency_id", "left")
         .join(units, "unit_id", "left")
         .join(entities, "entity_id", "left")
         .drop("currency_id", "entity_id")
@@ -232,7 +232,8 @@ def _credit_facts(t: Tables, currencies: DataFrame) -> DataFrame:
         {"legal_entity": "entity_name", "legal_entity_code": "entity_code"}
     )
     entities = lowest(entities, "entity_name", "id", "entity_code").drop("id")
-    rates = F.broadcast(currencies.filter("code_owner").select("currency_code", "rate"))
+    by_code = currencies.filter("currency_code is not null").groupBy("currency_code")
+    rates = by_code.agg(F.min_by("rate", "currency_id").alias("rate"))
     return (
         facts.join(orders, "sales_order_id", "left")
         .join(projects, "project_id", "left")

@@ -96,7 +96,7 @@ def run_state(events: DataFrame) -> DataFrame:
     """Current state of every run: its latest event."""
     latest = F.max_by(
         F.struct("schedule_id", "planned_ts", "status", "message"),
-        F.struct("event_ts", "status", "message"),
+        F.struct("event_ts", "status", "message", "schedule_id"),
     )
     return (
         events.groupBy("run_id")
