@@ -7,7 +7,7 @@ import sys
 import time
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from checks.queries import REGISTRY
 
@@ -37,29 +37,25 @@ def _rows(columns: list[str], rows: list) -> list[tuple]:
     return sorted(tuple(_cell(row[index]) for index in order) for row in rows)
 
 
-def differences(spark: SparkSession, connection, folder: str, name: str) -> tuple[str, int, float]:
-    """Empty text if the query and its SQL agree, else what differs; row count and seconds."""
+def differences(frame: DataFrame, connection, name: str) -> tuple[str, int]:
+    """Empty text if the query's result and its SQL agree, else what differs; and the row count."""
     query = REGISTRY[name]
-    started = time.time()
-    frame = query.run(spark, folder)
     actual = _rows(frame.columns, frame.collect())
-    seconds = time.time() - started
     if query.sql is None:
-        return "", len(actual), seconds
+        return "", len(actual)
     result = connection.execute(query.sql)
     names = [column[0] for column in result.description]
     expected = _rows(names, result.fetchall())
     if sorted(names) != sorted(frame.columns):
-        return f"columns {sorted(frame.columns)} != {sorted(names)}", len(actual), seconds
+        return f"columns {sorted(frame.columns)} != {sorted(names)}", len(actual)
     if actual != expected:
         ours, theirs = set(actual), set(expected)
         return (
             f"rows {len(actual)} != {len(expected)}; only Spark {sorted(ours - theirs)[:2]};"
             f" only SQL {sorted(theirs - ours)[:2]}",
             len(actual),
-            seconds,
         )
-    return "", len(actual), seconds
+    return "", len(actual)
 
 
 def main() -> int:
@@ -74,10 +70,12 @@ def main() -> int:
     spark.sparkContext.setLogLevel("ERROR")
     connection, failed = connect(folder), 0
     for name in names:
+        started = time.time()
         try:
-            text, count, seconds = differences(spark, connection, folder, name)
+            text, count = differences(REGISTRY[name].run(spark, folder), connection, name)
         except Exception as error:  # noqa: BLE001 - report and go on with the next query
-            text, count, seconds = f"{type(error).__name__}: {str(error)[:1500]}", 0, 0.0
+            text, count = f"{type(error).__name__}: {str(error)[:1500]}", 0
+        seconds = time.time() - started
         failed += bool(text)
         print(f"{'FAIL' if text else 'ok  '} {name:32} {count:8} rows {seconds:6.2f}s {text}", flush=True)
     print(f"{failed} of {len(names)} differ")

@@ -17,7 +17,11 @@ def connection():
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query(spark, connection, name):
-    text, count, _ = differences(spark, connection, FOLDER, name)
+    frame = contract.queries()[name](spark, FOLDER)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython", "MapInPandas"):
+        assert banned not in plan
+    text, count = differences(frame, connection, name)
     assert text == ""
     if name != "latest_run_filtered":
         assert count > 0
