@@ -305,6 +305,7 @@ CORE = {
 }
 
 USUAL_RULES = {
+    "{rate_rows}": "newest_rate",
     "{horizon_sources}": "'INV', 'DIR'",
     "{inv_once}": "true",
     "{con_once}": "true",
@@ -342,6 +343,9 @@ def statement(select: str, as_of: str = AS_OF, **changed: str) -> str:
                 visit(views[name])
 
     visit(select)
+    for view in ("newest_rate", "known_rate"):
+        if "rates" in needed:
+            needed["forex_conversions"] = needed[view] = None
     parts = [f"{name} AS ({views[name]})" for name in names if name in needed]
     prefix = f"WITH {', '.join(parts)}\n" if parts else ""
     return _expand(prefix + select, as_of, rules)

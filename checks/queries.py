@@ -15,7 +15,8 @@ from duesight.functions import dates
 from duesight.functions.text import format_money
 from duesight.operators import documents, exposure, routes
 from duesight.operators.rates import asof_rate, currency_table, latest_rate
-from duesight.plans import detail_sheet, notify, open_items, people, runlog, summary
+from duesight.plans import detail_sheet, notify, open_items, people, runlog
+from duesight.plans.summary import CUSTOMER_KEY, AgeingSummary, project_summary
 from duesight.session import prepare
 from duesight.settings import DEFAULT_AS_OF, DIR, USUAL, SummaryOptions
 from duesight.sources.starmap import star_failures, star_run_events, star_tables
@@ -25,6 +26,8 @@ RATE_DAY = dt.date.fromisoformat(RATE_AS_OF)
 # A Saturday morning, so that weekday 6 is today's.
 NOW = dt.datetime(2001, 6, 16, 9, 30, 15)
 
+MONTH_END = dt.date(2001, 2, 28)
+
 DEDUPED = SummaryOptions(dedupe_orders=True)
 CREDITS_ADDED = SummaryOptions(future_credits_added=True)
 LONG_HORIZON = SummaryOptions(consolidated_horizon=True)
@@ -77,8 +80,8 @@ def _currencies(t: Tables) -> DataFrame:
     return currency_table(t, DEFAULT_AS_OF)
 
 
-def _base(t: Tables, options: SummaryOptions = USUAL) -> DataFrame:
-    return summary.summary_base(t, DEFAULT_AS_OF, options)
+def _summary(t: Tables, options: SummaryOptions = USUAL, as_of: dt.date = DEFAULT_AS_OF) -> AgeingSummary:
+    return AgeingSummary(t, as_of, options)
 
 
 # --- rates -----------------------------------------------------------------------------------
@@ -193,6 +196,11 @@ def _(t: Tables) -> DataFrame:
     return open_items.open_items(t, DEFAULT_AS_OF)
 
 
+@query("open_items_corrected_rates", ITEM_SQL + "items", as_of=RATE_AS_OF, rate_rows="known_rate")
+def _(t: Tables) -> DataFrame:
+    return open_items.open_items(t, RATE_DAY, corrected_rates=True)
+
+
 @query(
     "detail_sheet",
     """SELECT bdm_id, doc_key, customer_label AS customer_name, doc_no AS invoice_number,
@@ -266,7 +274,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("candidate_customers", "SELECT bdm_id, customer_code FROM candidates")
 def _(t: Tables) -> DataFrame:
-    return summary.candidate_customers(_base(t))
+    return _summary(t).candidate_customers()
 
 
 @query(
@@ -276,8 +284,8 @@ def _(t: Tables) -> DataFrame:
       AND (bdm_id, list_code) IN (SELECT (bdm_id, customer_code) FROM candidates) GROUP BY 1, 2, 3""",
 )
 def _(t: Tables) -> DataFrame:
-    rows = summary.listed(_base(t)).filter((F.col("source") == DIR) & (F.col("open_count") > 0))
-    return rows.groupBy(*summary.CUSTOMER_KEY).agg(F.sum("open_amount").alias("amount"))
+    rows = _summary(t).listed().filter((F.col("source") == DIR) & (F.col("open_count") > 0))
+    return rows.groupBy(*CUSTOMER_KEY).agg(F.sum("open_amount").alias("amount"))
 
 
 HORIZON_SQL = f"SELECT bdm_id, {_day('last_due_date')}, months FROM horizon"
@@ -285,12 +293,12 @@ HORIZON_SQL = f"SELECT bdm_id, {_day('last_due_date')}, months FROM horizon"
 
 @query("ageing_horizon", HORIZON_SQL)
 def _(t: Tables) -> DataFrame:
-    return summary.ageing_horizon(_base(t), DEFAULT_AS_OF)
+    return _summary(t).horizon()
 
 
 @query("ageing_horizon_consolidated", HORIZON_SQL, horizon_sources="'INV', 'DIR', 'CON'")
 def _(t: Tables) -> DataFrame:
-    return summary.ageing_horizon(_base(t), DEFAULT_AS_OF, LONG_HORIZON)
+    return _summary(t, LONG_HORIZON).horizon()
 
 
 SUMMARY_COLUMNS = "bdm_id, customer_code, currency_code, bucket, month_offset"
@@ -303,14 +311,13 @@ def _summary_sql(source: str) -> str:
     )
 
 
-def _one_source(t: Tables, source: str, options: SummaryOptions = USUAL) -> DataFrame:
-    rows = summary.summary_by_source(_base(t, options), DEFAULT_AS_OF, options)
-    return rows.filter(F.col("source") == source).drop("source")
+def _one_source(t: Tables, source: str) -> DataFrame:
+    return _summary(t).by_source().filter(F.col("source") == source).drop("source")
 
 
 @query("summary_inv", _summary_sql("INV"))
 def _(t: Tables) -> DataFrame:
-    return summary.project_summary(t, DEFAULT_AS_OF)
+    return project_summary(t, DEFAULT_AS_OF)
 
 
 @query("summary_con", _summary_sql("CON"))
@@ -337,17 +344,22 @@ ONE_ORDER = (
 
 @query("summary_merged", MERGED_SQL)
 def _(t: Tables) -> DataFrame:
-    return summary.summary_merged(_base(t), DEFAULT_AS_OF)
+    return _summary(t).merged()
 
 
 @query("summary_merged_credits_added", MERGED_SQL, added="true")
 def _(t: Tables) -> DataFrame:
-    return summary.summary_merged(_base(t), DEFAULT_AS_OF, CREDITS_ADDED)
+    return _summary(t, CREDITS_ADDED).merged()
 
 
 @query("summary_merged_deduped", MERGED_SQL, inv_once=ONE_ORDER, con_once=ONE_ORDER)
 def _(t: Tables) -> DataFrame:
-    return summary.summary_merged(_base(t, DEDUPED), DEFAULT_AS_OF, DEDUPED)
+    return _summary(t, DEDUPED).merged()
+
+
+@query("summary_merged_month_end", MERGED_SQL, as_of=MONTH_END.isoformat())
+def _(t: Tables) -> DataFrame:
+    return _summary(t, as_of=MONTH_END).merged()
 
 
 @query(
@@ -356,12 +368,12 @@ def _(t: Tables) -> DataFrame:
     FROM labels_of_keys""",
 )
 def _(t: Tables) -> DataFrame:
-    return summary.grand_total(_base(t), DEFAULT_AS_OF)
+    return _summary(t).grand_total()
 
 
 @query("bucket_totals", f"SELECT bdm_id, source, bucket, month_offset, {_money('total')} FROM totals")
 def _(t: Tables) -> DataFrame:
-    return summary.bucket_totals(_base(t), DEFAULT_AS_OF)
+    return _summary(t).bucket_totals()
 
 
 VISIBLE_SQL = """SELECT bdm_id, bucket, month_offset, total_text,
@@ -373,7 +385,7 @@ VISIBLE_SQL = """SELECT bdm_id, bucket, month_offset, total_text,
 
 @query("visible_buckets", VISIBLE_SQL)
 def _(t: Tables) -> DataFrame:
-    return summary.visible_buckets(_base(t), DEFAULT_AS_OF)
+    return _summary(t).visible_buckets()
 
 
 @query(
@@ -383,7 +395,7 @@ def _(t: Tables) -> DataFrame:
     FROM ({VISIBLE_SQL}) GROUP BY bdm_id""",
 )
 def _(t: Tables) -> DataFrame:
-    return summary.visible_spans(_base(t), DEFAULT_AS_OF)
+    return _summary(t).visible_spans()
 
 
 def _cell_sql(bucket: str) -> str:
@@ -412,7 +424,7 @@ ON w.bdm_id = k.bdm_id AND w.customer_code = k.customer_code
 
 @query("summary_report", REPORT_SQL)
 def _(t: Tables) -> DataFrame:
-    return summary.summary_report(_base(t), DEFAULT_AS_OF)
+    return _summary(t).report()
 
 
 # --- people and configuration ----------------------------------------------------------------
@@ -506,7 +518,7 @@ def _(t: Tables) -> DataFrame:
       AND o.bdm_id IN (SELECT bdm_id FROM summaries)""",
 )
 def _(t: Tables) -> DataFrame:
-    outbox = notify.notification_outbox(t, _base(t), DEFAULT_AS_OF)
+    outbox = notify.notification_outbox(t, _summary(t))
     shown = F.transform("cc", lambda copy: F.format_string("%s <%s>", copy["cc_name"], copy["cc_email"]))
     return outbox.withColumn("cc", F.array_join(shown, "; ")).withColumn("bcc", F.array_join("bcc", "; "))
 

@@ -55,8 +55,12 @@ VIEWS = {
     "newest_rate": """
         SELECT from_currency_id AS currency_id, value AS rate, date FROM forex_conversions
         QUALIFY row_number() OVER (PARTITION BY from_currency_id ORDER BY date DESC, id DESC) = 1""",
+    "known_rate": """
+        SELECT from_currency_id AS currency_id, value AS rate, date FROM forex_conversions
+        WHERE date <= DATE '{as_of}'
+        QUALIFY row_number() OVER (PARTITION BY from_currency_id ORDER BY date DESC, id DESC) = 1""",
     "rates": """
-        SELECT currency_id, rate, date AS rate_date FROM newest_rate WHERE date <= DATE '{as_of}'""",
+        SELECT currency_id, rate, date AS rate_date FROM {rate_rows} WHERE date <= DATE '{as_of}'""",
     "invoices": """
         SELECT o_orderkey AS id, o_custkey AS project_id,
                CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey // 8 END AS po_id,

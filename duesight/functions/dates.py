@@ -45,24 +45,23 @@ def month_offset(due: Column, as_of: dt.date) -> Column:
     return F.year(due) * 12 + F.month(due) - F.lit(as_of.year * 12 + as_of.month)
 
 
-def bucket_offset(due: Column, as_of: dt.date) -> Column:
-    """Month offset of a due date's bucket; everything before the recent months shares one."""
-    return F.when(due.isNotNull(), F.greatest(month_offset(due, as_of), F.lit(min(RECENT) - 1)))
-
-
-def ageing_bucket(due: Column, as_of: dt.date) -> Column:
-    """Bucket of a due date; a document without one stays unplaced."""
-    offset = month_offset(due, as_of)
-    bucket = F.when(due.isNull(), UNPLACED).when(offset < min(RECENT), PAST)
+def bucket_name(offset: Column, overdue: Column) -> Column:
+    """Bucket of a month offset; ``overdue`` splits the current month. No offset, no bucket."""
+    bucket = F.when(offset.isNull(), UNPLACED).when(offset < min(RECENT), PAST)
     for months, name in RECENT.items():
         bucket = bucket.when(offset == months, name)
     return (
-        bucket.when((offset == 0) & (due < F.lit(as_of)), CURRENT_DUE)
+        bucket.when((offset == 0) & overdue, CURRENT_DUE)
         .when(offset == 0, CURRENT_NOT_DUE)
         .otherwise(F.concat(F.lit("p"), offset.cast("string")))
     )
 
 
+def ageing_bucket(due: Column, as_of: dt.date) -> Column:
+    """Bucket of a due date; a document without one stays unplaced."""
+    return bucket_name(month_offset(due, as_of), due < F.lit(as_of))
+
+
 def month_start(as_of: dt.date, offset: int) -> dt.date:
     index = as_of.year * 12 + as_of.month - 1 + offset
     return dt.date(index // 12, index % 12 + 1, 1)

@@ -15,23 +15,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duesight.functions.dates import ageing_bucket, bucket_offset, due_date
+from duesight.functions.dates import RECENT, bucket_name, due_date, month_offset
 from duesight.operators.documents import unpaid_credits
 from duesight.operators.routes import summary_routes
-from duesight.settings import APPROVED_STATUS, CON, CRN, DIR, INV, MONEY, MONEY_SUM
+from duesight.settings import APPROVED_STATUS, CON, CRN, DIR, INV, MONEY, MONEY_SUM, RATE
 from duesight.sources.tables import Tables
 
 MEASURES = ("open_count", "open_amount", "summary_count", "summary_amount")
-KEYS = (
-    "bdm_id",
-    "source",
-    "candidate_code",
-    "customer_code",
-    "customer_name",
-    "currency_code",
-    "bucket",
-    "month_offset",
-)
+KEYS = ("bdm_id", "source", "candidate_code", "customer_code", "customer_name", "currency_code")
 
 
 def _measures(is_open: Column, in_summary: Column, amount: Column) -> list[Column]:
@@ -140,7 +131,9 @@ def _credit_days(t: Tables) -> DataFrame:
         )
         .agg(*_measures(always, always, F.col("balance_amount")))
     )
-    return days.withColumn("source", F.lit(CRN))
+    return days.selectExpr(
+        "*", f"'{CRN}' as source", "cast(null as string) as candidate_code", f"cast(null as {RATE}) as rate"
+    )
 
 
 def _customer_rows(t: Tables, days: DataFrame) -> DataFrame:
@@ -154,32 +147,33 @@ def _customer_rows(t: Tables, days: DataFrame) -> DataFrame:
 def _by_bucket(rows: DataFrame, as_of: dt.date) -> DataFrame:
     """Collapse routed rows to buckets.
 
-    ``total_amount`` is what the column totals add up: invoices are converted up
-    to the current month and taken as they are in later ones, the other two
-    sources are never converted.
+    Rows are grouped by their month, with all months before the recent ones as
+    one, and buckets get their names afterwards. ``total_amount`` is what the
+    column totals add up: invoices are converted up to the current month and taken
+    as they are in later ones, the other two sources are never converted.
     """
-    due, amount = F.col("due_date"), F.col("open_amount")
-    offset = bucket_offset(due, as_of)
+    due, offset, amount = F.col("due_date"), F.col("month_offset"), F.col("open_amount")
+    oldest = F.lit(min(RECENT) - 1)
+    months = rows.withColumns(
+        {
+            "month_offset": F.when(due.isNotNull(), F.greatest(month_offset(due, as_of), oldest)),
+            "overdue": due < F.lit(as_of),
+        }
+    )
     converted = F.col("source").isin(INV, DIR) & (F.coalesce(offset, F.lit(0)) <= 0)
-    total = F.when(converted, F.col("rate") * amount).otherwise(amount)
+    total = F.when(converted, F.col("rate") * amount).otherwise(amount).cast("decimal(38,8)")
     return (
-        rows.withColumns(
-            {
-                "bucket": ageing_bucket(due, as_of),
-                "month_offset": offset,
-                "total_amount": total.cast("decimal(38,8)"),
-                "horizon_date": F.when(F.col("open_count") > 0, F.col("horizon_date")),
-            }
-        )
-        .groupBy(*KEYS)
+        months.groupBy(*KEYS, "month_offset", "overdue")
         .agg(
             F.sum("open_count").alias("open_count"),
             F.sum("open_amount").cast(MONEY_SUM).alias("open_amount"),
             F.sum("summary_count").alias("summary_count"),
             F.sum("summary_amount").cast(MONEY_SUM).alias("summary_amount"),
-            F.sum("total_amount").cast("decimal(38,8)").alias("total_amount"),
-            F.max("horizon_date").alias("last_due_date"),
+            F.sum(total).cast("decimal(38,8)").alias("total_amount"),
+            F.max(F.when(F.col("open_count") > 0, F.col("horizon_date"))).alias("last_due_date"),
         )
+        .withColumn("bucket", bucket_name(offset, F.col("overdue")))
+        .drop("overdue")
     )
 
 
@@ -207,6 +201,6 @@ def exposure(
     credits = [_credit_days(t)] if CRN in sources else []
     if direct or credits:
         parts.append(_customer_rows(t, union(direct + credits)))
-    columns = [*KEYS[:-2], "due_date", "horizon_date", "rate", *MEASURES]
+    columns = [*KEYS, "due_date", "horizon_date", "rate", *MEASURES]
     rows = union([part.select(*[name for name in columns if name in part.columns]) for part in parts])
     return _by_bucket(rows, as_of)

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from duesight.functions.text import report_file_name, strip_tags
 from duesight.plans.people import active_owners, config_map_merged, owner_cc, report_owners
-from duesight.plans.summary import CUSTOMER_KEY, summary_by_source
-from duesight.settings import BCC_CONFIG_KEY, USUAL, SummaryOptions
+from duesight.plans.summary import AgeingSummary
+from duesight.settings import BCC_CONFIG_KEY
 from duesight.sources.tables import Tables
 
 # What a failed hand-over is logged as, and what a trim removes.
@@ -40,11 +40,9 @@ def blind_copies(t: Tables) -> list[str]:
     return list(row.bcc or []) if row else []
 
 
-def notification_outbox(
-    t: Tables, base: DataFrame, as_of: dt.date, options: SummaryOptions = USUAL, extension: str = "csv"
-) -> DataFrame:
+def notification_outbox(t: Tables, summary: AgeingSummary, extension: str = "csv") -> DataFrame:
     """Recipient, copies, subject and attachment. An owner's own address is no copy."""
-    reported = summary_by_source(base, as_of, options).select(CUSTOMER_KEY[0]).distinct()
+    reported = summary.by_source().select("bdm_id").distinct()
     owners = (
         report_owners(t)
         .join(active_owners(t), "bdm_id", "left_semi")
@@ -60,7 +58,7 @@ def notification_outbox(
     )
     no_copies = F.array().cast("array<struct<cc_name: string, cc_email: string>>")
     bcc = F.array(*[F.lit(address) for address in blind_copies(t)]).cast("array<string>")
-    subject = report_file_name(F.col("owner_name"), as_of)
+    subject = report_file_name(F.col("owner_name"), summary.as_of)
     return owners.join(copies, "bdm_id", "left").select(
         "bdm_id",
         F.col("email").alias("to_email"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,72 +26,10 @@ from duesight.sources.tables import Tables
 
 CUSTOMER_KEY = ("bdm_id", "customer_code", "currency_code")
 
-
-def summary_base(t: Tables, as_of: dt.date, options: SummaryOptions = USUAL) -> DataFrame:
-    """Scan every document table once and keep the result; all of the below read it."""
-    currencies = currency_table(t, as_of, options.corrected_rates)
-    return materialise(exposure(t, currencies, as_of, options.dedupe_orders))
-
-
-def candidate_customers(base: DataFrame) -> DataFrame:
-    """Owner and code of every customer with an unsettled balance, of either sign."""
-    return (
-        base.select("bdm_id", F.col("candidate_code").alias("customer_code"))
-        .filter(F.col("customer_code").isNotNull())
-        .distinct()
-    )
-
-
-def ageing_horizon(base: DataFrame, as_of: dt.date, options: SummaryOptions = USUAL) -> DataFrame:
-    """Owner -> last due date of its invoices and how many future months the summary spans."""
-    sources = [INV, DIR, CON] if options.consolidated_horizon else [INV, DIR]
-    return (
-        base.filter(F.col("source").isin(sources))
-        .groupBy("bdm_id")
-        .agg(F.max("last_due_date").alias("last_due_date"))
-        .filter(F.col("last_due_date").isNotNull())
-        .withColumn("months", F.greatest(month_offset(F.col("last_due_date"), as_of), F.lit(0)))
-    )
-
-
-def listed(base: DataFrame) -> DataFrame:
-    """Rows of candidate customers.
-
-    A row of the other three sources is its own candidate: what is unpaid is
-    unsettled, under the same code. Only a stand-alone invoice can carry a code
-    that differs from its customer's, so only those rows need the semi-join.
-    """
-    known = base.filter(F.col("customer_code").isNotNull())
-    direct = known.filter(F.col("source") == DIR)
-    others = known.filter(F.col("source") != DIR)
-    listed = direct.join(candidate_customers(base), ["bdm_id", "customer_code"], "left_semi")
-    return others.unionByName(listed)
-
-
-def _within_horizon(rows: DataFrame, horizon: DataFrame) -> DataFrame:
-    """Months past the owner's horizon have no bucket."""
-    months = F.coalesce(F.col("months"), F.lit(0))
-    beyond = F.coalesce(F.col("month_offset") > months, F.lit(False))
-    joined = rows.join(pin_small(horizon.select("bdm_id", "months")), "bdm_id", "left")
-    return (
-        joined.withColumn("bucket", F.when(beyond, UNPLACED).otherwise(F.col("bucket")))
-        .withColumn("month_offset", F.when(~beyond, F.col("month_offset")))
-        .drop("months")
-    )
-
-
-def _summary_rows(base: DataFrame, as_of: dt.date, options: SummaryOptions = USUAL) -> DataFrame:
-    rows = listed(base).filter(F.col("summary_count") > 0)
-    return _within_horizon(rows, ageing_horizon(base, as_of, options))
-
-
-def summary_by_source(base: DataFrame, as_of: dt.date, options: SummaryOptions = USUAL) -> DataFrame:
-    """Sums per owner, customer, currency and bucket, one set of rows per source."""
-    return (
-        _summary_rows(base, as_of, options)
-        .groupBy("source", *CUSTOMER_KEY, "bucket", "month_offset")
-        .agg(F.sum("summary_amount").alias("amount"))
-    )
+# Which source names a customer: the first in this list that has the key. A credit note comes
+# earlier where there is no currency.
+LABEL_ORDER = (DIR, INV, CON, CRN)
+LABEL_ORDER_WITHOUT_CURRENCY = (DIR, CRN, INV, CON)
 
 
 def project_summary(t: Tables, as_of: dt.date, options: SummaryOptions = USUAL) -> DataFrame:
@@ -104,156 +43,211 @@ def project_summary(t: Tables, as_of: dt.date, options: SummaryOptions = USUAL)
     )
 
 
-def _sign(future_credits_added: bool) -> Column:
-    """Credits reduce what is owed. The flag adds them up in future months instead."""
-    reduces = F.col("source") == CRN
-    if future_credits_added:
-        reduces = reduces & (F.coalesce(F.col("month_offset"), F.lit(0)) <= 0)
-    return F.when(reduces, -1).otherwise(1)
-
-
-def _merged(base: DataFrame, as_of: dt.date, options: SummaryOptions) -> DataFrame:
-    net = F.col("summary_amount") * _sign(options.future_credits_added)
-    total = F.col("summary_amount") * _sign(False)
-    name = F.coalesce(F.col("customer_name"), F.lit(""))
-    # Which source names the customer: first in this list that has the key.
-    order = [DIR, INV, CON, CRN]
-    order_without_currency = [DIR, CRN, INV, CON]
-    rank = F.when(
-        F.col("currency_code").isNull(), F.array_position(F.array(*map(F.lit, order_without_currency)), F.col("source"))
-    ).otherwise(F.array_position(F.array(*map(F.lit, order)), F.col("source")))
-    return (
-        _summary_rows(base, as_of, options)
-        .groupBy(*CUSTOMER_KEY, "bucket", "month_offset")
-        .agg(
-            F.sum(net).alias("net_amount"),
-            F.sum(F.when(F.col("bucket") != UNPLACED, total).otherwise(0)).alias("placed_amount"),
-            F.min(F.struct(rank.alias("rank"), name.alias("name"))).alias("named"),
-        )
-    )
+def _rank(order: tuple[str, ...]) -> Column:
+    return F.array_position(F.array(*map(F.lit, order)), F.col("source"))
 
 
-def summary_merged(base: DataFrame, as_of: dt.date, options: SummaryOptions = USUAL) -> DataFrame:
-    """Net amount per owner, customer, currency and bucket over all sources."""
-    return _merged(base, as_of, options).select(
-        *CUSTOMER_KEY, "bucket", "month_offset", "net_amount"
-    )
-
+class AgeingSummary:
+    """The summary of all owners as of one day.
 
-def _customers(base: DataFrame, as_of: dt.date, options: SummaryOptions) -> DataFrame:
-    """One row per owner, customer and currency, its buckets in arrays of bounded length."""
-    cell = F.struct("month_offset", "bucket", "net_amount")
-    label = F.concat(F.col("customer_code"), F.lit(" - "), F.min("named")["name"])
-    return (
-        _merged(base, as_of, options)
-        .groupBy(*CUSTOMER_KEY)
-        .agg(
-            label.alias("customer_label"),
-            F.sum("placed_amount").alias("grand_total"),
-            *[
-                F.sum(F.when(F.col("bucket") == name, F.col("net_amount"))).alias(name)
-                for name in FIXED_BUCKETS
-            ],
-            F.array_sort(F.collect_list(F.when(F.col("month_offset") > 0, cell))).alias("future"),
-        )
-    )
-
-
-def grand_total(base: DataFrame, as_of: dt.date, options: SummaryOptions = USUAL) -> DataFrame:
-    """Net of all buckets, shown or not; credits always reduce it."""
-    return _customers(base, as_of, options).select(*CUSTOMER_KEY, "customer_label", "grand_total")
-
-
-def bucket_totals(base: DataFrame, as_of: dt.date, options: SummaryOptions = USUAL) -> DataFrame:
-    """Per owner, source and bucket the sum that decides whether a column is shown.
-
-    It mixes converted and unconverted money and adds credits, so it is no amount
-    to publish.
+    Every document table is scanned once, when the summary is made; all results
+    are then read off ``base``, which holds one row per owner, source, customer,
+    currency and bucket.
     """
-    rows = listed(base).filter((F.col("open_count") > 0) & (F.col("bucket") != UNPLACED))
-    placed = _within_horizon(rows, ageing_horizon(base, as_of, options)).filter(F.col("bucket") != UNPLACED)
-    return placed.groupBy("bdm_id", "source", "bucket", "month_offset").agg(
-        F.coalesce(F.sum("total_amount"), F.lit(0)).cast("decimal(38,8)").alias("total")
-    )
 
-
-def visible_buckets(base: DataFrame, as_of: dt.date, options: SummaryOptions = USUAL) -> DataFrame:
-    """Buckets an owner's summary shows: those whose total does not print as empty."""
-    totals = (
-        bucket_totals(base, as_of, options)
-        .groupBy("bdm_id", "bucket", "month_offset")
-        .agg(F.sum("total").cast("decimal(38,8)").alias("total"))
-    )
-    section = F.when(F.col("bucket").isin(*DUE_BUCKETS), "due").otherwise("not_due")
-    return (
-        totals.withColumn("total_text", format_money(F.col("total")))
-        .filter(F.col("total_text") != "")
-        .select(
-            "bdm_id",
-            "bucket",
-            "month_offset",
-            bucket_label(F.col("bucket"), F.col("month_offset"), as_of).alias("label"),
-            section.alias("section"),
-            "total_text",
+    def __init__(self, t: Tables, as_of: dt.date, options: SummaryOptions = USUAL):
+        self.as_of, self.options = as_of, options
+        currencies = currency_table(t, as_of, options.corrected_rates)
+        self.base = materialise(exposure(t, currencies, as_of, options.dedupe_orders))
+
+    def candidate_customers(self) -> DataFrame:
+        """Owner and code of every customer with an unsettled balance, of either sign."""
+        return (
+            self.base.select("bdm_id", F.col("candidate_code").alias("customer_code"))
+            .filter(F.col("customer_code").isNotNull())
+            .distinct()
         )
-    )
 
-
-def visible_spans(base: DataFrame, as_of: dt.date, options: SummaryOptions = USUAL) -> DataFrame:
-    """How many due and not-due columns an owner's summary has."""
-    section = F.col("section")
-    return (
-        visible_buckets(base, as_of, options)
-        .groupBy("bdm_id")
-        .agg(
-            F.count_if(section == "due").alias("due_columns"),
-            F.count_if(section == "not_due").alias("not_due_columns"),
+    def horizon(self) -> DataFrame:
+        """Owner -> last due date of its invoices and how many future months the summary spans."""
+        sources = [INV, DIR, CON] if self.options.consolidated_horizon else [INV, DIR]
+        return (
+            self.base.filter(F.col("source").isin(sources))
+            .groupBy("bdm_id")
+            .agg(F.max("last_due_date").alias("last_due_date"))
+            .filter(F.col("last_due_date").isNotNull())
+            .withColumn("months", F.greatest(month_offset(F.col("last_due_date"), self.as_of), F.lit(0)))
         )
-    )
 
+    @cached_property
+    def _months(self) -> DataFrame:
+        return pin_small(self.horizon().select("bdm_id", "months"))
+
+    def listed(self) -> DataFrame:
+        """Rows of candidate customers.
+
+        A row of the other three sources is its own candidate: what is unpaid is
+        unsettled, under the same code. Only a stand-alone invoice can carry a code
+        that differs from its customer's, so only those rows need the semi-join.
+        """
+        known = self.base.filter(F.col("customer_code").isNotNull())
+        direct = known.filter(F.col("source") == DIR)
+        listed = direct.join(self.candidate_customers(), ["bdm_id", "customer_code"], "left_semi")
+        return known.filter(F.col("source") != DIR).unionByName(listed)
+
+    def _within_horizon(self, rows: DataFrame) -> DataFrame:
+        """Months past the owner's horizon have no bucket."""
+        beyond = F.coalesce(F.col("month_offset") > F.coalesce("months", F.lit(0)), F.lit(False))
+        return rows.join(self._months, "bdm_id", "left").withColumns(
+            {
+                "bucket": F.when(beyond, UNPLACED).otherwise(F.col("bucket")),
+                "month_offset": F.when(~beyond, F.col("month_offset")),
+            }
+        )
 
-def summary_report(base: DataFrame, as_of: dt.date, options: SummaryOptions = USUAL) -> DataFrame:
-    """The printed summary. A hidden column is NULL, a shown but empty cell is ``''``.
+    def _summary_rows(self) -> DataFrame:
+        return self._within_horizon(self.listed().filter(F.col("summary_count") > 0))
 
-    Future months, of which every owner has a different number, come as one text
-    of ``month=amount`` entries; ``summary_wide`` gives them as columns.
-    """
-    shown = (
-        visible_buckets(base, as_of, options)
-        .groupBy("bdm_id")
-        .agg(F.array_sort(F.collect_list("bucket")).alias("shown"))
-    )
-    rows = _customers(base, as_of, options).join(pin_small(shown), "bdm_id", "left")
-    currency = F.col("currency_code")
+    def by_source(self) -> DataFrame:
+        """Sums per owner, customer, currency and bucket, one set of rows per source."""
+        return (
+            self._summary_rows()
+            .groupBy("source", *CUSTOMER_KEY, "bucket", "month_offset")
+            .agg(F.sum("summary_amount").alias("amount"))
+        )
 
-    def is_shown(bucket: Column) -> Column:
-        return F.coalesce(F.array_contains(F.col("shown"), bucket), F.lit(False))
+    def _net(self) -> DataFrame:
+        """Net sums per bucket, with what the label and the grand total need."""
+        amount, is_credit = F.col("summary_amount"), F.col("source") == CRN
+        signed = F.when(is_credit, -amount).otherwise(amount)
+        cell = signed
+        if self.options.future_credits_added:
+            cell = F.when(F.col("month_offset") > 0, amount).otherwise(signed)
+        rank = F.when(F.col("currency_code").isNull(), _rank(LABEL_ORDER_WITHOUT_CURRENCY)).otherwise(
+            _rank(LABEL_ORDER)
+        )
+        named = F.struct(rank.alias("rank"), F.coalesce("customer_name", F.lit("")).alias("name"))
+        return (
+            self._summary_rows()
+            .groupBy(*CUSTOMER_KEY, "bucket", "month_offset")
+            .agg(
+                F.sum(cell).alias("net_amount"),
+                F.sum(F.when(F.col("bucket") != UNPLACED, signed).otherwise(0)).alias("placed_amount"),
+                F.min(named).alias("named"),
+            )
+        )
 
-    def cell(name: str) -> Column:
-        text = format_money(F.coalesce(F.col(f"`{name}`"), F.lit(0)), currency)
-        return F.when(is_shown(F.lit(name)), text).alias(name.replace("-", ""))
+    def merged(self) -> DataFrame:
+        """Net amount per owner, customer, currency and bucket over all sources."""
+        return self._net().select(*CUSTOMER_KEY, "bucket", "month_offset", "net_amount")
+
+    def wide(self) -> DataFrame:
+        """One column per bucket, as many future months as the farthest horizon needs."""
+        months = self._months.agg(F.max("months")).first()[0] or 0
+        buckets = [*FIXED_BUCKETS, *[f"p{offset}" for offset in range(1, months + 1)]]
+        return self.merged().groupBy(*CUSTOMER_KEY).pivot("bucket", buckets).agg(F.sum("net_amount"))
+
+    def _customers(self) -> DataFrame:
+        """One row per owner, customer and currency; ``future`` has an entry per month at most."""
+        cell = F.struct("month_offset", "bucket", "net_amount")
+        label = F.concat(F.col("customer_code"), F.lit(" - "), F.min("named")["name"])
+        fixed = [
+            F.sum(F.when(F.col("bucket") == name, F.col("net_amount"))).alias(name) for name in FIXED_BUCKETS
+        ]
+        return (
+            self._net()
+            .groupBy(*CUSTOMER_KEY)
+            .agg(
+                label.alias("customer_label"),
+                F.sum("placed_amount").alias("grand_total"),
+                *fixed,
+                F.array_sort(F.collect_list(F.when(F.col("month_offset") > 0, cell))).alias("future"),
+            )
+        )
 
-    def future_cell(item: Column) -> Column:
-        return F.concat(
-            month_label(item["month_offset"], as_of), F.lit("="), format_money(item["net_amount"], currency)
+    def grand_total(self) -> DataFrame:
+        """Net of all buckets, shown or not; credits always reduce it."""
+        return self._customers().select(*CUSTOMER_KEY, "customer_label", "grand_total")
+
+    def bucket_totals(self) -> DataFrame:
+        """Per owner, source and bucket the sum that decides whether a column is shown.
+
+        It mixes converted and unconverted money and adds credits, so it is no amount
+        to publish.
+        """
+        rows = self._within_horizon(self.listed().filter(F.col("open_count") > 0))
+        return (
+            rows.filter(F.col("bucket") != UNPLACED)
+            .groupBy("bdm_id", "source", "bucket", "month_offset")
+            .agg(F.coalesce(F.sum("total_amount"), F.lit(0)).cast("decimal(38,8)").alias("total"))
         )
 
-    printed = F.filter(
-        F.col("future"),
-        lambda item: is_shown(item["bucket"]) & (format_money(item["net_amount"], currency) != ""),
-    )
-    return rows.select(
-        *CUSTOMER_KEY,
-        "customer_label",
-        *[cell(name) for name in FIXED_BUCKETS],
-        F.array_join(F.transform(printed, future_cell), "; ").alias("future_months"),
-        format_money(F.col("grand_total"), currency).alias("grand_total"),
-    )
+    def visible_buckets(self) -> DataFrame:
+        """Buckets an owner's summary shows: those whose total does not print as empty."""
+        bucket, offset = F.col("bucket"), F.col("month_offset")
+        return (
+            self.bucket_totals()
+            .groupBy("bdm_id", "bucket", "month_offset")
+            .agg(format_money(F.sum("total").cast("decimal(38,8)")).alias("total_text"))
+            .filter(F.col("total_text") != "")
+            .select(
+                "bdm_id",
+                "bucket",
+                "month_offset",
+                bucket_label(bucket, offset, self.as_of).alias("label"),
+                F.when(bucket.isin(*DUE_BUCKETS), "due").otherwise("not_due").alias("section"),
+                "total_text",
+            )
+        )
 
+    def visible_spans(self) -> DataFrame:
+        """How many due and not-due columns an owner's summary has."""
+        section = F.col("section")
+        return (
+            self.visible_buckets()
+            .groupBy("bdm_id")
+            .agg(
+                F.count_if(section == "due").alias("due_columns"),
+                F.count_if(section == "not_due").alias("not_due_columns"),
+            )
+        )
 
-def summary_wide(base: DataFrame, as_of: dt.date, options: SummaryOptions = USUAL) -> DataFrame:
-    """One column per bucket, as many future months as the farthest horizon needs."""
-    months = ageing_horizon(base, as_of, options).agg(F.max("months")).first()[0] or 0
-    buckets = [*FIXED_BUCKETS, *[f"p{offset}" for offset in range(1, months + 1)]]
-    merged = summary_merged(base, as_of, options)
-    return merged.groupBy(*CUSTOMER_KEY).pivot("bucket", buckets).agg(F.sum("net_amount"))
+    def report(self) -> DataFrame:
+        """The printed summary. A hidden column is NULL, a shown but empty cell is ``''``.
+
+        Future months, of which every owner has a different number, come as one text
+        of ``month=amount`` entries; ``wide`` gives them as columns.
+        """
+        shown = self.visible_buckets().groupBy("bdm_id").agg(F.collect_list("bucket").alias("shown"))
+        currency = F.col("currency_code")
+
+        def is_shown(bucket: Column) -> Column:
+            return F.coalesce(F.array_contains(F.col("shown"), bucket), F.lit(False))
+
+        def cell(name: str) -> Column:
+            text = format_money(F.coalesce(F.col(f"`{name}`"), F.lit(0)), currency)
+            return F.when(is_shown(F.lit(name)), text).alias(name.replace("-", ""))
+
+        # Months are turned into text first, so that each amount is formatted once.
+        texts = F.transform(
+            F.filter("future", lambda item: is_shown(item["bucket"])),
+            lambda item: F.struct(
+                month_label(item["month_offset"], self.as_of).alias("label"),
+                format_money(item["net_amount"], currency).alias("text"),
+            ),
+        )
+        printed = F.transform(
+            F.filter(texts, lambda month: month["text"] != ""),
+            lambda month: F.concat(month["label"], F.lit("="), month["text"]),
+        )
+        return (
+            self._customers()
+            .join(pin_small(shown), "bdm_id", "left")
+            .select(
+                *CUSTOMER_KEY,
+                "customer_label",
+                *[cell(name) for name in FIXED_BUCKETS],
+                F.array_join(printed, "; ").alias("future_months"),
+                format_money(F.col("grand_total"), currency).alias("grand_total"),
+            )
+        )

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
-from duesight.plans import notify, people, runlog, summary
+from duesight.plans import notify, people, runlog
+from duesight.plans.summary import AgeingSummary
 from tests.conftest import AS_OF, hand_tables, records
 
 FRIDAY = dt.datetime(2001, 6, 15, 9, 30, 20)
@@ -51,8 +52,7 @@ def test_configuration(cases):
 
 
 def test_outbox(cases):
-    base = summary.summary_base(cases, AS_OF)
-    rows = {row["bdm_id"]: row for row in records(notify.notification_outbox(cases, base, AS_OF))}
+    rows = {row["bdm_id"]: row for row in records(notify.notification_outbox(cases, AgeingSummary(cases, AS_OF)))}
     # not: who left, whose status is unknown, who has nothing to report, who is no employee
     assert set(rows) == {1, 4, 6, 7}
     assert [tuple(copy) for copy in rows[1]["cc"]] == [("Dee Ray", "dee@example.com")]

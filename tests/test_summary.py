@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from duesight.plans import summary
+from duesight.plans.summary import AgeingSummary
 from duesight.settings import SummaryOptions
 from tests.conftest import AS_OF, records
 
@@ -14,8 +14,8 @@ LONG = SummaryOptions(consolidated_horizon=True)
 
 
 @pytest.fixture(scope="module")
-def base(cases):
-    return summary.summary_base(cases, AS_OF)
+def summary(cases):
+    return AgeingSummary(cases, AS_OF)
 
 
 def cells(df, owner, code, value="net_amount"):
@@ -26,8 +26,8 @@ def cells(df, owner, code, value="net_amount"):
 
 
 @pytest.fixture(scope="module")
-def merged(base):
-    return summary.summary_merged(base, AS_OF).cache()
+def merged(summary):
+    return summary.merged().cache()
 
 
 def test_buckets_of_one_customer(merged):
@@ -45,53 +45,53 @@ def test_buckets_of_one_customer(merged):
     }
 
 
-def test_credits_of_future_months_can_be_added(base):
-    assert cells(summary.summary_merged(base, AS_OF, ADDED), 1, "C1")["p1"] == 35.0
+def test_credits_of_future_months_can_be_added(cases):
+    assert cells(AgeingSummary(cases, AS_OF, ADDED).merged(), 1, "C1")["p1"] == 35.0
 
 
-def test_grand_total_ignores_the_unplaced_and_subtracts_credits(base):
+def test_grand_total_ignores_the_unplaced_and_subtracts_credits(summary):
     totals = {
         (row["bdm_id"], row["customer_code"]): float(row["grand_total"])
-        for row in records(summary.grand_total(base, AS_OF))
+        for row in records(summary.grand_total())
     }
     assert totals[1, "C1"] == 1600 + 800 + 397.5 + 200 + 109 + 25
     assert totals[7, "C5"] == 123456.5
 
 
-def test_total_is_the_sum_of_placed_buckets(base, merged):
+def test_total_is_the_sum_of_placed_buckets(summary, merged):
     placed = merged.filter("bucket <> 'unplaced'").groupBy("bdm_id", "customer_code").sum("net_amount")
     sums = {(row[0], row[1]): row[2] for row in placed.collect()}
-    for row in records(summary.grand_total(base, AS_OF)):
+    for row in records(summary.grand_total()):
         assert sums[row["bdm_id"], row["customer_code"]] == row["grand_total"]
 
 
 def test_two_orders_of_one_owner_count_twice_unless_deduped(cases, merged):
     assert cells(merged, 4, "C2") == {"current_not_due": 50.0, "p1": 50.0}
-    deduped = summary.summary_base(cases, AS_OF, DEDUPED)
-    assert cells(summary.summary_merged(deduped, AS_OF, DEDUPED), 4, "C2") == {"current_not_due": 50.0}
+    deduped = AgeingSummary(cases, AS_OF, DEDUPED)
+    assert cells(deduped.merged(), 4, "C2") == {"current_not_due": 50.0}
 
 
 def test_two_owners_each_see_the_invoice(merged):
     assert cells(merged, 4, "C3") == cells(merged, 6, "C3") == {"current_not_due": 70.0}
 
 
-def test_consolidation_counts_its_constituents_by_their_own_dates(base, merged):
-    by_source = summary.summary_by_source(base, AS_OF).filter("source = 'CON'")
+def test_consolidation_counts_its_constituents_by_their_own_dates(summary, merged):
+    by_source = summary.by_source().filter("source = 'CON'")
     assert cells(by_source, 6, "C4", "amount") == {"m-1": 100.0, "current_not_due": 200.0}
     # the constituents are ordinary invoices as well
     assert cells(merged, 6, "C4") == {"m-1": 200.0, "current_not_due": 400.0}
 
 
-def test_direct_invoice_whose_code_is_no_candidate_is_left_out(base, merged):
+def test_direct_invoice_whose_code_is_no_candidate_is_left_out(summary, merged):
     assert cells(merged, 4, "C12") == {}
     # duplicates, deleted and revised ones all count
     assert cells(merged, 4, "C11") == {"current_due": 11.0 + 12 + 14 + 15 + 16}
-    codes = {row["customer_code"] for row in records(summary.candidate_customers(base)) if row["bdm_id"] == 4}
+    codes = {row["customer_code"] for row in records(summary.candidate_customers()) if row["bdm_id"] == 4}
     assert codes == {"C2", "C3", "C11", "CX"}
 
 
-def test_overpaid_invoice_makes_a_candidate_but_no_row(base, merged):
-    candidates = {(row["bdm_id"], row["customer_code"]) for row in records(summary.candidate_customers(base))}
+def test_overpaid_invoice_makes_a_candidate_but_no_row(summary, merged):
+    candidates = {(row["bdm_id"], row["customer_code"]) for row in records(summary.candidate_customers())}
     assert (1, "C10") in candidates
     assert cells(merged, 1, "C10") == {}
 
@@ -100,47 +100,47 @@ def test_unknown_owner_has_a_summary(merged):
     assert cells(merged, 99, "C9") == {"current_not_due": 1.0}
 
 
-def test_horizon(base):
-    horizon = {row["bdm_id"]: (str(row["last_due_date"]), row["months"]) for row in records(summary.ageing_horizon(base, AS_OF))}
+def test_horizon(cases, summary):
+    horizon = {row["bdm_id"]: (str(row["last_due_date"]), row["months"]) for row in records(summary.horizon())}
     assert horizon[1] == ("2001-07-11", 1)
     assert horizon[4] == ("2001-07-15", 1)
     assert horizon[7] == ("2001-05-31", 0)
-    longer = summary.ageing_horizon(base, AS_OF, LONG).filter("bdm_id = 6").first()
+    longer = AgeingSummary(cases, AS_OF, LONG).horizon().filter("bdm_id = 6").first()
     assert str(longer["last_due_date"]) == "2001-06-20"
 
 
-def test_hidden_bucket_is_still_in_the_total(base):
-    visible = {(row["bdm_id"], row["bucket"]) for row in records(summary.visible_buckets(base, AS_OF))}
+def test_hidden_bucket_is_still_in_the_total(summary):
+    visible = {(row["bdm_id"], row["bucket"]) for row in records(summary.visible_buckets())}
     # no rate, so nothing adds up to a visible column
     assert not [bucket for owner, bucket in visible if owner == 7]
     assert (1, "current_due") in visible and (1, "p1") in visible
-    row = summary.summary_report(base, AS_OF).filter("bdm_id = 7").first()
+    row = summary.report().filter("bdm_id = 7").first()
     assert (row["m1"], row["past"], row["grand_total"]) == (None, None, "123,457")
 
 
-def test_column_totals_add_credits_and_do_not_need_approval(base):
-    totals = summary.bucket_totals(base, AS_OF).filter("bdm_id = 1")
+def test_column_totals_add_credits_and_do_not_need_approval(summary):
+    totals = summary.bucket_totals().filter("bdm_id = 1")
     values = {(row["source"], row["bucket"]): float(row["total"]) for row in records(totals)}
     assert values["CRN", "p1"] == 5.0
     assert values["INV", "current_not_due"] == 100 + 9 + 7
 
 
-def test_report_row(base):
-    row = summary.summary_report(base, AS_OF).filter("bdm_id = 1").first()
+def test_report_row(summary):
+    row = summary.report().filter("bdm_id = 1").first()
     assert row["customer_label"] == "C1 - Name 1"
     assert (row["past"], row["m3"], row["m2"], row["m1"]) == ("1,600", "800", None, "398")
     assert (row["current_due"], row["current_not_due"], row["future_months"]) == ("200", "109", "Jul-01=25")
     assert row["grand_total"] == "3,132"
 
 
-def test_wide_summary_has_a_column_per_month(base):
-    wide = summary.summary_wide(base, AS_OF)
+def test_wide_summary_has_a_column_per_month(summary):
+    wide = summary.wide()
     assert wide.columns[3:] == ["past", "m-3", "m-2", "m-1", "current_due", "current_not_due", "p1"]
     row = wide.filter("bdm_id = 1 and customer_code = 'C1'").first()
     assert (float(row["p1"]), row["m-2"]) == (25.0, None)
 
 
-def test_visible_spans(base):
-    spans = {row["bdm_id"]: row for row in records(summary.visible_spans(base, AS_OF))}
+def test_visible_spans(summary):
+    spans = {row["bdm_id"]: row for row in records(summary.visible_spans())}
     assert (spans[1]["due_columns"], spans[1]["not_due_columns"]) == (4, 2)
     assert 7 not in spans
