@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duesight.operators.lookup import first_per
-from duesight.operators.routes import owner_orders
+from duesight.operators.routes import known_owners, owner_orders
 from duesight.settings import APPROVED_STATUS
 from duesight.sources.tables import Tables
 
@@ -69,9 +69,8 @@ def consolidation_routes(t: Tables) -> DataFrame:
 
 def open_direct_invoices(t: Tables) -> DataFrame:
     """Unpaid stand-alone invoices of known owners, one per owner and invoice code."""
-    owners = t.employees.select(F.col("id").alias("bdm_id"))
     unpaid = t.direct_invoices.filter((F.col("balance_amount") > 0) & (F.col("deleted") == 0))
-    current = without_revised(unpaid, t.direct_invoices).join(owners, "bdm_id", "left_semi")
+    current = without_revised(unpaid, t.direct_invoices).join(known_owners(t), "bdm_id", "left_semi")
     return first_per(current, ["bdm_id", "invoice_code"], ["id"])
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duesight.functions.text import person_name
-from duesight.operators.lookup import first_per, lowest
+from duesight.operators.lookup import first_per, lowest, pin_small
 from duesight.settings import BUSINESS_HEAD_FUNCTION
 from duesight.sources.tables import Tables
 
@@ -22,21 +22,38 @@ def owned_orders(t: Tables) -> DataFrame:
     return t.project_so_masters.join(orders.filter("bdm_id is not null"), "sales_order_id")
 
 
+def staff(t: Tables) -> DataFrame:
+    """Id, number and full name of all employees; broadcast if counted small."""
+
+    def build() -> DataFrame:
+        name = person_name(F.col("first_name"), F.col("last_name"))
+        return pin_small(t.employees.select("id", "employee_number", name.alias("full_name")))
+
+    return t.once("staff", build)
+
+
+def known_owners(t: Tables) -> DataFrame:
+    return staff(t).select(F.col("id").alias("bdm_id"))
+
+
 def people(t: Tables, id_name: str, label: str) -> DataFrame:
     """Employee id -> full name, under the names the caller joins on."""
-    name = person_name(F.col("first_name"), F.col("last_name"))
-    return t.employees.select(F.col("id").alias(id_name), name.alias(label))
+    return staff(t).select(F.col("id").alias(id_name), F.col("full_name").alias(label))
 
 
 def business_heads(t: Tables) -> DataFrame:
     """Unit -> name of its business head; the lowest employee number wins."""
-    approvers = t.general_approvers.filter(F.col("function_id") == BUSINESS_HEAD_FUNCTION)
-    heads = approvers.groupBy(F.col("structure_id").alias("unit_id")).agg(
-        F.min("employee_id").alias("employee_number")
-    )
-    named = t.employees.withColumn("business_head", person_name(F.col("first_name"), F.col("last_name")))
-    by_number = lowest(named, "employee_number", "id", "business_head").drop("id")
-    return heads.join(by_number, "employee_number", "left").select("unit_id", "business_head")
+
+    def build() -> DataFrame:
+        approvers = t.general_approvers.filter(F.col("function_id") == BUSINESS_HEAD_FUNCTION)
+        heads = approvers.groupBy(F.col("structure_id").alias("unit_id")).agg(
+            F.min("employee_id").alias("employee_number")
+        )
+        names = lowest(staff(t), "employee_number", "id", "full_name")
+        named = heads.join(names, "employee_number", "left")
+        return pin_small(named.select("unit_id", F.col("full_name").alias("business_head")))
+
+    return t.once("business_heads", build)
 
 
 def first_contacts(t: Tables) -> DataFrame:
@@ -91,8 +108,7 @@ def summary_routes(t: Tables, currencies: DataFrame, dedupe: bool = False) -> Da
 
 def owner_orders(t: Tables) -> DataFrame:
     """The one sales order through which an owner who is an employee sees a project."""
-    owners = t.employees.select(F.col("id").alias("bdm_id"))
-    orders = owned_orders(t).join(owners, "bdm_id", "left_semi")
+    orders = owned_orders(t).join(known_owners(t), "bdm_id", "left_semi")
     return first_per(orders, ["project_id", "bdm_id"], ["sales_order_id"])
 
 

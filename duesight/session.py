@@ -31,7 +31,7 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir")
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")

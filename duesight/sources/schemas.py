@@ -89,3 +89,9 @@ TEXT_KEYS = {
     "mail_configurations": ("employee_id",),
     "schedules": ("name",),
 }
+
+
+def columns_of(ddl: str) -> dict[str, str]:
+    """Column names and types of a schema text, in order."""
+    parts = ddl.replace(",2)", ";2)").replace(",6)", ";6)").split(",")
+    return {name: kind.replace(";", ",") for name, kind in (part.split() for part in parts)}

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duesight.plans.detail_sheet import SHEET_HEADINGS, SORT_COLUMNS
+from duesight.plans.summary import CUSTOMER_KEY
 
 
 def write_detail_sheets(
@@ -26,6 +27,15 @@ def write_detail_sheets(
     writer.option("maxRecordsPerFile", rows_per_file).format(file_format).save(folder)
 
 
+def write_summary(report: DataFrame, folder: str, file_format: str = "csv") -> None:
+    """Summary rows in the order of owner, customer and currency across all files."""
+    ordered = report.repartitionByRange(*CUSTOMER_KEY).sortWithinPartitions(*CUSTOMER_KEY)
+    writer = ordered.write.mode("overwrite")
+    if file_format == "csv":
+        writer = writer.option("header", "true")
+    writer.format(file_format).save(folder)
+
+
 def append_rows(rows: DataFrame, folder: str) -> None:
     """Add rows to a log; earlier rows are never touched."""
     rows.write.mode("append").parquet(folder)

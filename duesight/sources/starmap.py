@@ -8,10 +8,9 @@ table is joined with itself.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from duesight.settings import CC_FUNCTION_PREFIX
-from duesight.sources.schemas import RUN_EVENT_SCHEMA, SCHEMAS
+from duesight.sources.schemas import RUN_EVENT_SCHEMA, SCHEMAS, columns_of
 from duesight.sources.tables import Tables
 
 # Columns of the given tables that are used, so that reading needs no schema inference.
@@ -66,10 +65,8 @@ class _Star:
 
 
 def _typed(rows: DataFrame, schema: str, expressions: dict[str, str]) -> DataFrame:
-    fields = T.StructType.fromDDL(schema)
-    return rows.selectExpr(
-        *[f"cast({expressions[field.name]} as {field.dataType.simpleString()}) as {field.name}" for field in fields]
-    )
+    kinds = columns_of(schema)
+    return rows.selectExpr(*[f"cast({expressions[name]} as {kind}) as {name}" for name, kind in kinds.items()])
 
 
 def _employees(star: _Star):

@@ -17,6 +17,7 @@ class Tables:
     def __init__(self, read: Callable[[str], DataFrame]):
         self._read = read
         self._frames: dict[str, DataFrame] = {}
+        self._lookups: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in SCHEMAS:
@@ -25,6 +26,12 @@ class Tables:
             self._frames[name] = self._read(name)
         return self._frames[name]
 
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A lookup derived from these tables, built on first use and shared by all that need it."""
+        if name not in self._lookups:
+            self._lookups[name] = build()
+        return self._lookups[name]
+
     def replace(self, **frames: DataFrame) -> Tables:
         """The same tables with some of them swapped."""
         copy = Tables(self._read)

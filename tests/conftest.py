@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import SparkSession
 
 from duesight.session import prepare
-from duesight.sources.schemas import SCHEMAS
+from duesight.sources.schemas import SCHEMAS, columns_of
 from duesight.sources.tables import Tables
 
 AS_OF = dt.date(2001, 6, 15)
@@ -44,11 +44,9 @@ def _cast(value, kind: str):
 
 def table(spark, name: str, rows: list[dict]):
     """Rows given as dictionaries; columns left out are NULL."""
-    fields = [part.strip().rsplit(" ", 1) for part in SCHEMAS[name].replace(",2)", ";2)").replace(",6)", ";6)").split(",")]
-    fields = [(column, kind.replace(";", ",")) for column, kind in fields]
-    known = {column for column, _ in fields}
-    assert all(set(row) <= known for row in rows), name
-    data = [tuple(_cast(row.get(column), kind) for column, kind in fields) for row in rows]
+    fields = columns_of(SCHEMAS[name])
+    assert all(set(row) <= set(fields) for row in rows), name
+    data = [tuple(_cast(row.get(column), kind) for column, kind in fields.items()) for row in rows]
     return spark.createDataFrame(data, SCHEMAS[name])
 
 

@@ -11,16 +11,17 @@ import pytest
 
 from duesight.plans import runlog
 from duesight.plans.detail_sheet import SHEET_HEADINGS, detail_sheet
+from duesight.plans.summary import AgeingSummary
 from duesight.session import materialise
 from duesight.sources import sinks, tables
-from duesight.sources.schemas import RUN_EVENT_SCHEMA, SCHEMAS
+from duesight.sources.schemas import RUN_EVENT_SCHEMA, SCHEMAS, columns_of
 from tests.conftest import AS_OF, CASES, records
 
 
 def test_csv_tables_lose_zero_dates_and_keep_types(spark, tmp_path):
     folder = tmp_path / "invoices"
     folder.mkdir()
-    columns = [part.split()[0] for part in SCHEMAS["invoices"].replace("(18,2)", "").split(",")]
+    columns = list(columns_of(SCHEMAS["invoices"]))
     row = dict.fromkeys(columns, "")
     row |= {"id": "7", "balance_amount": "12.50", "invoice_date": "2001-06-01", "expected_collection_date": "0000-00-00"}
     with open(folder / "part.csv", "w", newline="") as file:
@@ -109,6 +110,16 @@ def test_detail_sheets(cases, tmp_path):
     assert [line[1] for line in lines] == ["IN1005", "IN1004", "N4", "IN1003", "IN1002", "IN1001", "N1", "N2"]
 
 
+def test_summary_is_ordered(cases, tmp_path):
+    folder = tmp_path / "summary"
+    sinks.write_summary(AgeingSummary(cases, AS_OF).report(), str(folder))
+    keys = []
+    for path in sorted(folder.glob("*.csv")):
+        with open(path, newline="") as file:
+            keys += [(int(row["bdm_id"]), row["customer_code"]) for row in csv.DictReader(file)]
+    assert keys == sorted(keys) and (1, "C1") in keys
+
+
 def test_log_is_only_appended_to(spark, tmp_path):
     folder = str(tmp_path / "log")
     first = spark.createDataFrame([("r1", 1, 10, 10, None, "")], RUN_EVENT_SCHEMA)
