@@ -12,10 +12,18 @@ from duesight.sources.tables import Tables
 
 
 def _newest(history: DataFrame) -> DataFrame:
-    newest = F.max_by(F.struct("value", "date"), F.struct("date", "id"))
+    """Last entry of each currency's last day.
+
+    Days come first: their buffers are plain numbers, so a long history is hashed on
+    the map side and not sorted, and only currencies times days are left for the rest.
+    """
+    days = history.groupBy(F.col("from_currency_id").alias("currency_id"), "date").agg(
+        F.max_by("value", "id").alias("value")
+    )
+    newest = F.max_by(F.struct("value", "date"), "date").alias("newest")
     return (
-        history.groupBy(F.col("from_currency_id").alias("currency_id"))
-        .agg(newest.alias("newest"))
+        days.groupBy("currency_id")
+        .agg(newest)
         .select("currency_id", F.col("newest.value").alias("rate"), F.col("newest.date").alias("rate_date"))
     )
 

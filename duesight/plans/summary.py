@@ -58,7 +58,7 @@ class AgeingSummary:
     def __init__(self, t: Tables, as_of: dt.date, options: SummaryOptions = USUAL):
         self.as_of, self.options = as_of, options
         currencies = currency_table(t, as_of, options.corrected_rates)
-        self.base = materialise(exposure(t, currencies, as_of, options.dedupe_orders))
+        self.base = materialise(exposure(t, currencies, as_of, options.dedupe_orders), "exposure")
 
     def candidate_customers(self) -> DataFrame:
         """Owner and code of every customer with an unsettled balance, of either sign."""

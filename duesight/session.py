@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,18 +24,28 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the checkpoint folder so several readers share one computation.
+def _shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    local session without that setting gets a scratch folder of its own.
+    Only a local session without that setting gets a scratch folder of its own.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="duesight-checkpoint-")
+            folder = tempfile.mkdtemp(prefix="duesight-")
         context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    return context.getCheckpointDir()
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back from there.
+
+    Its readers share one computation, read only the columns they need, survive
+    the loss of executors, and know its size when they choose a join.
+    """
+    path = f"{_shared_folder(df.sparkSession)}/{name}-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -137,11 +137,12 @@ def test_outbox_is_one_json_line_per_owner(spark, tmp_path):
     assert text.strip() == '{"bdm_id":1,"to_email":"a@example.com","bcc":["b"]}'
 
 
-def test_materialised_table_is_read_back_from_the_checkpoint(spark):
-    frame = materialise(spark.range(10).selectExpr("id % 3 as k").groupBy("k").count())
-    plan = frame._jdf.queryExecution().executedPlan().toString()
-    assert "Scan ExistingRDD" in plan and "Aggregate" not in plan
-    assert spark.sparkContext.getCheckpointDir() is not None
+def test_materialised_table_is_read_back_by_column(spark):
+    frame = materialise(spark.range(10).selectExpr("id % 3 as k").groupBy("k").count(), "counts")
+    assert {tuple(row) for row in frame.collect()} == {(0, 4), (1, 3), (2, 3)}
+    plan = frame.select("k")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<k:bigint>" in plan and "Aggregate" not in plan
+    assert spark.sparkContext.getCheckpointDir() in plan
 
 
 def test_cases_cover_every_table():
