@@ -1,4 +1,4 @@
-"""Run registered queries against their SQL: ``python -m checks.compare FOLDER [NAME ...]``."""
+"""Run registered queries against their SQL: ``python -m duesight.checks.compare FOLDER [NAME ...]``."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ import time
 import duckdb
 from pyspark.sql import DataFrame, SparkSession
 
-from checks.queries import REGISTRY
+from duesight.checks.queries import REGISTRY
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels"

@@ -7,7 +7,7 @@ first and adds up before it joins.
 
 from __future__ import annotations
 
-from checks.views import VIEWS
+from duesight.checks.views import VIEWS
 
 # The dates the statements are evaluated for.
 AS_OF = "2001-06-15"

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.oracle import AS_OF, RATE_AS_OF, statement
+from duesight.checks.oracle import AS_OF, RATE_AS_OF, statement
 from duesight.functions import dates
 from duesight.functions.text import format_money
 from duesight.operators import documents, exposure, routes

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
-from checks.compare import connect, differences
+from duesight.checks.compare import connect, differences
 
 FOLDER = "/root/testdata/sf0.001"
 
