@@ -26,11 +26,12 @@ def without_revised(documents: DataFrame, all_documents: DataFrame) -> DataFrame
 
 
 def _approved_open(t: Tables) -> DataFrame:
+    """Approved, unpaid invoices that revise no other; a reference of 0 is an empty one."""
     return t.invoices.filter(
         (F.col("status") == APPROVED_STATUS)
         & (F.col("deleted") == 0)
         & (F.col("balance_amount") > 0)
-        & F.col("invoice_reference").isNull()
+        & (F.col("invoice_reference").isNull() | (F.col("invoice_reference") == 0))
     )
 
 

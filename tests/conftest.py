@@ -177,7 +177,7 @@ CASES = {
     "invoices": [
         _invoice(1001, 10, "2001-06-05", 100),
         _invoice(1002, 10, "2001-06-04", 200, po_id=4, invoice_date_submission_customer="2001-06-06"),
-        _invoice(1003, 10, "2001-05-21", 400, po_id=5),
+        _invoice(1003, 10, "2001-05-21", 400, po_id=5, invoice_reference=0),
         _invoice(1004, 10, "2001-03-21", 800),
         _invoice(1005, 10, "2001-02-18", 1600, total_amount=None),
         # revised by the next one
