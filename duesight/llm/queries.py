@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duesight.llm import exact_dedup, language_id, packing, pii, simhash
+from duesight.llm import exact_dedup, language_id, packing, piece_encoding, pii, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,8 +45,14 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer("piece_bpe_32k.model")
+    rows = piece_encoding.encode(table(spark, sf_dir, "documents"), lambda: piece_encoding.PieceEncoder(path))
+    return rows.select("doc_id", "n_tokens", F.sha2(F.col("ids").cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_pii, op5_simhash, op6_exact_dedup, op7_packing, op9_language_id)
+    f.__name__: f for f in (op2_pii, op5_simhash, op6_exact_dedup, op7_packing, op9_language_id, op10_piece_encoding)
 }
 
 _BLANKS = r"[ \t\n\v\f\r]"
