@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duesight.llm import exact_dedup, language_id, packing, piece_encoding, pii, simhash
+from duesight.llm import exact_dedup, html_extraction, language_id, neighbours, packing, piece_encoding, pii, recompression, simhash, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,11 +20,25 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(rows, rows.filter("vec_id % 20 = 0"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
     return found.select("doc_id", *[pii.number(kind).alias(f"n_{kind}") for kind in pii.KINDS], F.sha2(pii.as_text(F.col("base")).cast("binary"), 256).alias("base_sha256"), pii.as_text(F.col("spans")).alias("spans"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extraction.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -38,6 +52,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), lambda: packing.WordEncoder(path))
 
 
+def op8_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = language_id.held_out(F.col("doc_id"))
@@ -52,7 +70,19 @@ def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_pii, op5_simhash, op6_exact_dedup, op7_packing, op9_language_id, op10_piece_encoding)
+    f.__name__: f
+    for f in (
+        op1_neighbours,
+        op2_pii,
+        op3_html_extraction,
+        op4_suffix_dedup,
+        op5_simhash,
+        op6_exact_dedup,
+        op7_packing,
+        op8_recompression,
+        op9_language_id,
+        op10_piece_encoding,
+    )
 }
 
 _BLANKS = r"[ \t\n\v\f\r]"
