@@ -30,7 +30,8 @@ def whole_runs(batches: Iterator[pd.DataFrame], keys: Sequence[str]) -> Iterator
         if last == 0 and held and all(held[-1][k].iloc[-1] == batch[k].iloc[0] for k in keys):
             held.append(batch)  # the key goes on through this batch
             continue
-        yield pd.concat([*held, batch.iloc[:last]], ignore_index=True)
+        if held or last:
+            yield pd.concat([*held, batch.iloc[:last]], ignore_index=True)
         held = [batch.iloc[last:]]
     if held:
         yield pd.concat(held, ignore_index=True)
