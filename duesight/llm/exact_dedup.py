@@ -24,6 +24,8 @@ _SETTINGS = {
     # All stores of an executor share one bounded piece of memory.
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # A store takes the disk it fills, not whole preallocated files.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.minBatchesToRetain": "2",
     "spark.sql.streaming.metricsEnabled": "false",
 }
