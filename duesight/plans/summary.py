@@ -1,4 +1,4 @@
-"""Customer-by-currency summary with month buckets, read off one materialised exposure table."""
+"""Customer-by-currency summary with month buckets, read off one exposure table."""
 
 from __future__ import annotations
 
@@ -18,9 +18,8 @@ from duesight.functions.dates import (
 )
 from duesight.functions.text import format_money
 from duesight.operators.exposure import exposure
-from duesight.operators.lookup import pin_small
 from duesight.operators.rates import currency_table
-from duesight.session import materialise
+from duesight.session import Stored
 from duesight.settings import CON, CRN, DIR, INV, USUAL, SummaryOptions
 from duesight.sources.tables import Tables
 
@@ -50,15 +49,36 @@ def _rank(order: tuple[str, ...]) -> Column:
 class AgeingSummary:
     """The summary of all owners as of one day.
 
-    Every document table is scanned once, when the summary is made; all results
-    are then read off ``base``, which holds one row per owner, source, customer,
-    currency and bucket.
+    All results are read off ``base``, which holds one row per owner, source, customer, currency
+    and bucket. Without a ``folder`` it is a plan, of which each result runs the sources it needs. With a
+    folder that all executors share it is written there when the first result asks for it,
+    and read by all; ``release``, or the end of a ``with`` block, deletes it.
     """
 
-    def __init__(self, t: Tables, as_of: dt.date, options: SummaryOptions = USUAL):
+    def __init__(self, t: Tables, as_of: dt.date, options: SummaryOptions = USUAL, folder: str | None = None):
         self.as_of, self.options = as_of, options
-        currencies = currency_table(t, as_of, options.corrected_rates)
-        self.base = materialise(exposure(t, currencies, as_of, options.dedupe_orders), "exposure")
+        self._tables, self._folder = t, folder
+
+    @cached_property
+    def base(self) -> DataFrame:
+        currencies = currency_table(self._tables, self.as_of, self.options.corrected_rates)
+        rows = exposure(self._tables, currencies, self.as_of, self.options.dedupe_orders)
+        if self._folder is None:
+            return rows
+        self._stored = Stored(rows, self._folder, "exposure")
+        return self._stored.frame
+
+    def release(self) -> None:
+        """Delete the stored table; results that are not written yet can't be read afterwards."""
+        if "_stored" in self.__dict__:
+            self._stored.delete()
+            del self._stored, self.__dict__["base"]
+
+    def __enter__(self) -> AgeingSummary:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.release()
 
     def candidate_customers(self) -> DataFrame:
         """Owner and code of every customer with an unsettled balance, of either sign."""
@@ -81,7 +101,7 @@ class AgeingSummary:
 
     @cached_property
     def _months(self) -> DataFrame:
-        return pin_small(self.horizon().select("bdm_id", "months"))
+        return self.horizon().select("bdm_id", "months")
 
     def listed(self) -> DataFrame:
         """Rows of candidate customers.
@@ -141,9 +161,10 @@ class AgeingSummary:
         """Net amount per owner, customer, currency and bucket over all sources."""
         return self._net().select(*CUSTOMER_KEY, "bucket", "month_offset", "net_amount")
 
-    def wide(self) -> DataFrame:
-        """One column per bucket, as many future months as the farthest horizon needs."""
-        months = self._months.agg(F.max("months")).first()[0] or 0
+    def wide(self, months: int | None = None) -> DataFrame:
+        """One column per bucket and ``months`` future months, or as many as the farthest horizon needs."""
+        if months is None:
+            months = self._months.agg(F.max("months")).first()[0] or 0
         buckets = [*FIXED_BUCKETS, *[f"p{offset}" for offset in range(1, months + 1)]]
         return self.merged().groupBy(*CUSTOMER_KEY).pivot("bucket", buckets).agg(F.sum("net_amount"))
 
@@ -242,7 +263,7 @@ class AgeingSummary:
         )
         return (
             self._customers()
-            .join(pin_small(shown), "bdm_id", "left")
+            .join(shown, "bdm_id", "left")
             .select(
                 *CUSTOMER_KEY,
                 "customer_label",

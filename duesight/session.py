@@ -1,8 +1,7 @@
-"""Session settings the jobs rely on, and reliable materialisation."""
+"""Session settings the jobs rely on, and tables stored between jobs."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,34 +17,24 @@ SQL_SETTINGS = {
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the run-time SQL settings; sizing (partitions, memory) stays with the cluster."""
+    """Set the run-time SQL settings on the caller's session, for good; sizing stays with the cluster."""
     for key, value in SQL_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a scratch folder of its own.
-    """
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="duesight-")
-        context.setCheckpointDir(folder)
-    return context.getCheckpointDir()
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back from there.
+class Stored:
+    """``rows`` written once to a folder that all executors share, and read back from there as ``frame``.
 
     Its readers share one computation, read only the columns they need, survive
     the loss of executors, and know its size when they choose a join.
     """
-    path = f"{_shared_folder(df.sparkSession)}/{name}-{uuid.uuid4()}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def __init__(self, rows: DataFrame, folder: str, name: str):
+        self._spark, self.path = rows.sparkSession, f"{folder.rstrip('/')}/{name}-{uuid.uuid4()}"
+        rows.write.parquet(self.path)
+        self.frame = self._spark.read.schema(rows.schema).parquet(self.path)
+
+    def delete(self) -> None:
+        path = self._spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(path, True)

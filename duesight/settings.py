@@ -21,17 +21,18 @@ RECIPIENT_TYPES = ("to", "cc", "bcc")
 SERVER_CONFIG_PARENT = "mail_details"
 SERVER_CONFIG_KEYS = ("host", "port")
 REPORT_CONFIG_PARENT = "ar_mail_config"
+SENDER_CONFIG_KEY = "ar_from"
 BCC_CONFIG_KEY = "debtors_bdm_cron_bcc"
 DOC_KEY_PREFIX = {INV: "", CON: "", DIR: "NON_", CRN: "Cr_"}
 INDIAN_GROUPING_CURRENCY = "INR"
 FILE_PREFIX = "debtors_report"
 BLANK = " "
 
-# Money of a single document, sums of money, and rates. A sum times a rate
-# still fits 38 digits without losing a decimal place.
+# Money of a single document, sums of money, and rates. A document times a rate is
+# exact; a sum times a rate has six decimal places, four more than any result shows.
 MONEY = "decimal(18,2)"
 MONEY_SUM = "decimal(23,2)"
-RATE = "decimal(14,6)"
+RATE = "decimal(18,6)"
 
 DEFAULT_AS_OF = dt.date(2001, 6, 15)
 

@@ -41,7 +41,7 @@ SCHEMAS = {
         " contact_person_mobile string"
     ),
     "currencies": "id long, currency_code string",
-    "forex_conversions": "id long, from_currency_id long, date date, value decimal(14,6)",
+    "forex_conversions": "id long, from_currency_id long, date date, value decimal(18,6)",
     "employees": (
         "id long, employee_number string, first_name string, last_name string,"
         " work_email_address string, structure_name string, employment_status string"
@@ -74,6 +74,15 @@ RUN_EVENT_SCHEMA = (
     "run_id string, schedule_id long, event_ts long, planned_ts long, status int, message string"
 )
 
+# What tables without an id are split on when a database is read.
+PARTITION_COLUMNS = {
+    "credit_references": "credit_note_id",
+    "invoice_consolidation_details": "invoice_id",
+    "project_so_masters": "project_id",
+    "po_so_masters": "po_id",
+    "debtor_reports": "bdm_id",
+}
+
 # Text columns that take part in joins or grouping.
 TEXT_KEYS = {
     "direct_invoices": ("customer_code", "invoice_code"),

@@ -422,5 +422,9 @@ def star_run_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def star_failures(spark: SparkSession, folder: str) -> DataFrame:
-    """Failure messages with markup in them: whole web pages."""
-    return _Star(spark, folder).pages.selectExpr("page_id as failure_id", "html as message")
+    """Failures of all three causes, with markup in their messages: web pages, some of them cut off."""
+    return _Star(spark, folder).pages.selectExpr(
+        "page_id as failure_id",
+        "case page_id % 3 when 0 then 'refused' when 1 then 'mailer' else 'other' end as cause",
+        "if(page_id % 5 = 0, substring(html, 1, cast(200 + page_id % 97 as int)), html) as message",
+    )

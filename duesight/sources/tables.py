@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from duesight.sources.schemas import SCHEMAS, TEXT_KEYS
+from duesight.sources.schemas import PARTITION_COLUMNS, SCHEMAS, TEXT_KEYS
 
 
 class Tables:
@@ -39,12 +39,32 @@ class Tables:
         return copy
 
 
+ZERO_DATE = r"^0000-00-00"
+# Wide enough to see a decimal place that a column's type would drop.
+_EXACT = T.DecimalType(38, 12)
+
+
+def _held(column: Column, field: T.StructField, given: T.DataType) -> Column:
+    """``column`` as the field's type; a value that would be lost or rounded is an error."""
+    kept = column.try_cast(field.dataType)
+    lost = kept.isNull()
+    if isinstance(field.dataType, T.DecimalType):
+        lost |= ~F.coalesce(column.try_cast(_EXACT) == kept.try_cast(_EXACT), F.lit(False))
+    if isinstance(given, T.StringType):
+        blank = F.btrim(column) == ""
+        if isinstance(field.dataType, T.DateType):
+            blank |= column.rlike(ZERO_DATE)
+        lost &= ~blank
+    problem = F.concat(F.lit(f"{field.name} can't hold "), column.cast("string"))
+    return F.when(column.isNotNull() & lost, F.raise_error(problem)).otherwise(kept)
+
+
 def conform(df: DataFrame, table: str, normalise_keys: bool = False) -> DataFrame:
     """Project ``df`` onto the table's schema.
 
     Columns that already have their type pass untouched, so filters on them still
-    reach the file scan. Text that is no date (such as ``0000-00-00``) or no number
-    becomes NULL.
+    reach the file scan. Blank text and zero dates (``0000-00-00``) become NULL. Any other
+    value that its type can't hold as it is stops the read with the column and the value.
     """
     schema = T.StructType.fromDDL(SCHEMAS[table])
     keys = TEXT_KEYS.get(table, ()) if normalise_keys else ()
@@ -52,7 +72,7 @@ def conform(df: DataFrame, table: str, normalise_keys: bool = False) -> DataFram
     for field in schema:
         column = F.col(field.name)
         if df.schema[field.name].dataType != field.dataType:
-            column = column.try_cast(field.dataType)
+            column = _held(column, field, df.schema[field.name].dataType)
         if field.name in keys:
             column = F.lower(F.rtrim(column))
         columns.append(column.alias(field.name))
@@ -83,7 +103,8 @@ def jdbc_tables(
     """Tables of a live database.
 
     ``options`` holds url, driver and credentials. A table named in ``key_ranges``
-    is read by ``partitions`` tasks in parallel, split on its ``id``.
+    is read by ``partitions`` tasks in parallel, split on its ``id`` or, if it has none,
+    on its column in ``PARTITION_COLUMNS``.
     """
     renamed = renamed or {}
 
@@ -92,7 +113,7 @@ def jdbc_tables(
         if name in key_ranges:
             low, high = key_ranges[name]
             reader = reader.options(
-                partitionColumn="id", lowerBound=low, upperBound=high, numPartitions=partitions
+                partitionColumn=PARTITION_COLUMNS.get(name, "id"), lowerBound=low, upperBound=high, numPartitions=partitions
             )
         return conform(reader.load(), name, normalise_keys)
 

@@ -12,7 +12,7 @@ import pytest
 from duesight.plans import runlog
 from duesight.plans.detail_sheet import SHEET_HEADINGS, detail_sheet
 from duesight.plans.summary import AgeingSummary
-from duesight.session import materialise
+from duesight.session import Stored
 from duesight.sources import sinks, tables
 from duesight.sources.schemas import RUN_EVENT_SCHEMA, SCHEMAS, columns_of
 from tests.conftest import AS_OF, CASES, records
@@ -97,6 +97,29 @@ def test_jdbc_reader_splits_large_tables(spark):
     }
 
 
+@pytest.mark.parametrize("name", ["credit_references", "invoice_consolidation_details", "project_so_masters", "po_so_masters", "debtor_reports"])
+def test_tables_without_an_id_are_read_in_parallel(spark, name):
+    seen = {}
+
+    class Reader:
+        def format(self, _):
+            return self
+
+        def options(self, **values):
+            seen.update(values)
+            return self
+
+        def option(self, *_):
+            return self
+
+        def load(self):
+            return spark.createDataFrame([], SCHEMAS[name])
+
+    source = tables.jdbc_tables(SimpleNamespace(read=Reader()), {}, key_ranges={name: (1, 9)}, partitions=4)
+    assert getattr(source, name).count() == 0
+    assert seen["partitionColumn"] in columns_of(SCHEMAS[name]) and seen["numPartitions"] == 4
+
+
 def test_detail_sheets(cases, tmp_path):
     folder = tmp_path / "sheets"
     sinks.write_detail_sheets(detail_sheet(cases, AS_OF), str(folder))
@@ -137,12 +160,52 @@ def test_outbox_is_one_json_line_per_owner(spark, tmp_path):
     assert text.strip() == '{"bdm_id":1,"to_email":"a@example.com","bcc":["b"]}'
 
 
-def test_materialised_table_is_read_back_by_column(spark):
-    frame = materialise(spark.range(10).selectExpr("id % 3 as k").groupBy("k").count(), "counts")
-    assert {tuple(row) for row in frame.collect()} == {(0, 4), (1, 3), (2, 3)}
-    plan = frame.select("k")._jdf.queryExecution().executedPlan().toString()
+def test_stored_table_is_read_back_by_column(spark, tmp_path):
+    stored = Stored(spark.range(10).selectExpr("id % 3 as k").groupBy("k").count(), str(tmp_path), "counts")
+    assert {tuple(row) for row in stored.frame.collect()} == {(0, 4), (1, 3), (2, 3)}
+    plan = stored.frame.select("k")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<k:bigint>" in plan and "Aggregate" not in plan
-    assert spark.sparkContext.getCheckpointDir() in plan
+    stored.delete()
+    assert not list(tmp_path.iterdir())
+
+
+def test_summary_is_stored_only_where_a_folder_is_named(cases, tmp_path):
+    want = sorted(map(tuple, AgeingSummary(cases, AS_OF).merged().collect()), key=str)
+    with AgeingSummary(cases, AS_OF, folder=str(tmp_path)) as summary:
+        assert not list(tmp_path.iterdir())
+        assert sorted(map(tuple, summary.merged().collect()), key=str) == want
+        summary.report().collect()
+        assert len(list(tmp_path.iterdir())) == 1
+    assert not list(tmp_path.iterdir())
+
+
+def test_one_source_reads_no_other(cases):
+    plan = AgeingSummary(cases, AS_OF).by_source().filter("source = 'CON'")
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "mode_no" not in text
+
+
+@pytest.mark.parametrize(
+    ("table", "column", "value"),
+    [
+        ("forex_conversions", "value", "1234567890123.5"),
+        ("forex_conversions", "value", "0.00000049"),
+        ("forex_conversions", "value", "abc"),
+        ("invoices", "balance_amount", "12345678901234567.00"),
+        ("invoices", "invoice_date", "soon"),
+        ("invoices", "project_id", "7x"),
+    ],
+)
+def test_values_a_type_cannot_hold_stop_the_read(spark, table, column, value):
+    names = list(columns_of(SCHEMAS[table]))
+    given = spark.createDataFrame([{**dict.fromkeys(names, ""), column: value}], ", ".join(f"{n} string" for n in names))
+    with pytest.raises(Exception, match=f"{column} can't hold"):
+        tables.conform(given, table).collect()
+
+
+def test_a_long_rate_is_held(spark):
+    given = spark.createDataFrame([("1", "2", "2001-01-01", "123456789.5")], "id string, from_currency_id string, date string, value string")
+    assert str(tables.conform(given, "forex_conversions").first().value) == "123456789.500000"
 
 
 def test_cases_cover_every_table():
