@@ -16,19 +16,82 @@ UNPLACED = "unplaced"
 FIXED_BUCKETS = (PAST, *RECENT.values(), CURRENT_DUE, CURRENT_NOT_DUE)
 DUE_BUCKETS = (PAST, *RECENT.values(), CURRENT_DUE)
 
-# Date-part letters of the run log's filters.
+
+
+def _text(pattern: str):
+    return lambda moment: F.date_format(moment, pattern)
+
+
+def _twelve_hours(moment: Column) -> Column:
+    return (F.hour(moment) + 11) % 12 + 1
+
+
+def _iso_year(moment: Column) -> Column:
+    """Year of the Thursday of the week."""
+    return F.year(F.date_add(F.to_date(moment), 3 - (F.dayofweek(moment) + 5) % 7))
+
+
+def _week_from_sunday(moment: Column) -> Column:
+    """0 to 53; week 1 begins with the first Sunday."""
+    return F.floor((F.dayofyear(moment) + 7 - F.dayofweek(moment)) / 7).cast("int")
+
+
+def _before_first_sunday(moment: Column) -> Column:
+    return F.date_add(F.trunc(F.to_date(moment), "year"), -1)
+
+
+def _week_from_monday(moment: Column) -> Column:
+    """0 to 53; week 1 has four days of the year or more."""
+    day, year = F.to_date(moment), _iso_year(moment)
+    return (
+        F.when(year < F.year(moment), 0)
+        .when(year > F.year(moment), F.weekofyear(F.date_add(day, -7)) + 1)
+        .otherwise(F.weekofyear(moment))
+    )
+
+
+def _day_with_suffix(moment: Column) -> Column:
+    day = F.dayofmonth(moment)
+    ending = F.when(day.between(11, 13), "th").when(day % 10 == 1, "st").when(day % 10 == 2, "nd").when(day % 10 == 3, "rd")
+    return F.concat(day.cast("string"), ending.otherwise("th"))
+
+
+# The letters of FROM_UNIXTIME's format, as numbers where they are digits.
 DATE_PARTS = {
     "Y": F.year,
+    "y": lambda moment: F.year(moment) % 100,
     "m": F.month,
     "c": F.month,
+    "M": _text("MMMM"),
+    "b": _text("MMM"),
     "d": F.dayofmonth,
     "e": F.dayofmonth,
+    "D": _day_with_suffix,
     "j": F.dayofyear,
     "H": F.hour,
     "k": F.hour,
+    "h": _twelve_hours,
+    "I": _twelve_hours,
+    "l": _twelve_hours,
     "i": F.minute,
     "s": F.second,
+    "S": F.second,
+    "f": lambda moment: F.lit(0),
+    "p": _text("a"),
+    "r": _text("hh:mm:ss a"),
+    "T": _text("HH:mm:ss"),
     "w": lambda moment: weekday_from_sunday(moment),
+    "W": _text("EEEE"),
+    "a": _text("EEE"),
+    "U": _week_from_sunday,
+    "u": _week_from_monday,
+    "V": lambda moment: F.when(_week_from_sunday(moment) > 0, _week_from_sunday(moment)).otherwise(
+        _week_from_sunday(_before_first_sunday(moment))
+    ),
+    "v": F.weekofyear,
+    "X": lambda moment: F.year(moment) - F.when(_week_from_sunday(moment) > 0, 0).otherwise(1),
+    "x": _iso_year,
+    "%": lambda moment: F.lit("%"),
 }
 
 
@@ -87,6 +150,8 @@ def month_text(day: Column) -> Column:
 
 def epoch_part(epoch_seconds: Column, part: str) -> Column:
     """One date part (``d``, ``H``, …) of an epoch column, in the session time zone."""
+    if part not in DATE_PARTS:
+        raise ValueError(f"no date part {part!r}; there are {' '.join(DATE_PARTS)}")
     return DATE_PARTS[part](F.timestamp_seconds(epoch_seconds))
 
 

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from duesight.settings import FILE_PREFIX, INDIAN_GROUPING_CURRENCY
 
-# Where a comma goes, and what counts as a tag. Quantifiers are
-# possessive, so a long malformed tag costs linear time and no stack.
+# Where a comma goes, and what counts as a tag. A comment, tag or quoted
+# value that is never closed runs to the end of the text. Quantifiers are possessive, so
+# every character is passed once and a long tag takes no stack.
 _GROUP_BY_THREE = r"(?<=\d)(?=(\d{3})+$)"
 _GROUP_INDIAN = r"(?<=\d)(?=(\d{2})*\d{3}$)"
-_TAG = r"""(?s)<!--.*?-->|<[^\s<>"'](?:[^<>"']++|"[^"]*+"|'[^']*+')*+>"""
+_TAG = r"""(?s)<!--(?:.*?-->|.*+)|<[^\s<>"'](?:[^<>"']++|"[^"]*+(?:"|\z)|'[^']*+(?:'|\z))*+(?:>|\z)"""
 
 
 def format_money(value: Column, currency: Column | None = None) -> Column:

@@ -187,7 +187,8 @@ def exposure(
     """Balances by owner, source, customer, currency and bucket.
 
     Candidates, horizon, summaries and column totals are all read off this one
-    small table, so every document table is scanned once per report.
+    small table. To make it, invoices are read three times (as documents, as parents
+    and as constituents) and the other document tables once.
     """
 
     def union(parts: list[DataFrame]) -> DataFrame:

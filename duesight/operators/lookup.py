@@ -1,4 +1,4 @@
-"""Small building blocks: size-checked lookups, first row per key, optional predicates."""
+"""Small building blocks: first row per key, lowest row per key, optional predicates."""
 
 from __future__ import annotations
 
@@ -8,22 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A lookup is sent to every executor only if it was counted to be no longer than this.
-MAX_BROADCAST_ROWS = 100_000
-
-
-def pin_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Turn a narrow lookup into a broadcast table if it has at most ``max_rows`` rows.
-
-    At most ``max_rows + 1`` rows reach the driver. A longer lookup comes back
-    unchanged, and the join above it shuffles.
-    """
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
 def first_per(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """First row of each key. Spark keeps one row per key and task before it shuffles."""
     window = Window.partitionBy(*keys).orderBy(*order)
@@ -42,6 +26,18 @@ def lowest(df: DataFrame, key: str, by: str, value: str) -> DataFrame:
     )
 
 
+def left_lookup(rows: DataFrame, table: DataFrame, key: str, spread: str) -> DataFrame:
+    """Left join of ``table`` on a ``key`` that may be NULL in ``rows``.
+
+    Rows without the key get one of their own, made of the number ``spread``, that matches nothing, so they
+    do not all meet in one shuffle partition. Keys of ``table`` are not negative.
+    """
+    own = F.coalesce(F.col(key), -1 - F.abs(F.col(spread)))
+    return (
+        rows.withColumn("_key", own).join(table.withColumnRenamed(key, "_key"), "_key", "left").drop("_key")
+    )
+
+
 def all_of(predicates: Sequence[Column]) -> Column:
     """Conjunction of any number of optional predicates."""
     return reduce(lambda left, right: left & right, predicates, F.lit(True))

@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from duesight.operators.lookup import pin_small
 from duesight.sources.tables import Tables
 
 
@@ -39,11 +38,11 @@ def asof_rate(history: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def currency_table(t: Tables, as_of: dt.date, corrected: bool = False) -> DataFrame:
-    """Currency id -> code and rate of one run, counted and then broadcast.
+    """Currency id -> code and rate of one run.
 
     ``corrected`` falls back to an older rate where the newest lies ahead.
     """
     pick = asof_rate if corrected else latest_rate
     rates = pick(t.forex_conversions, as_of).select("currency_id", "rate")
     currencies = t.currencies.withColumnRenamed("id", "currency_id")
-    return pin_small(currencies.join(rates, "currency_id", "full"))
+    return currencies.join(rates, "currency_id", "full")

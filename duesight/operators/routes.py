@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duesight.functions.text import person_name
-from duesight.operators.lookup import first_per, lowest, pin_small
+from duesight.operators.lookup import first_per, lowest
 from duesight.settings import BUSINESS_HEAD_FUNCTION
 from duesight.sources.tables import Tables
 
@@ -23,11 +23,11 @@ def owned_orders(t: Tables) -> DataFrame:
 
 
 def staff(t: Tables) -> DataFrame:
-    """Id, number and full name of all employees; broadcast if counted small."""
+    """Id, number and full name of all employees."""
 
     def build() -> DataFrame:
         name = person_name(F.col("first_name"), F.col("last_name"))
-        return pin_small(t.employees.select("id", "employee_number", name.alias("full_name")))
+        return t.employees.select("id", "employee_number", name.alias("full_name"))
 
     return t.once("staff", build)
 
@@ -51,19 +51,16 @@ def business_heads(t: Tables) -> DataFrame:
         )
         names = lowest(staff(t), "employee_number", "id", "full_name")
         named = heads.join(names, "employee_number", "left")
-        return pin_small(named.select("unit_id", F.col("full_name").alias("business_head")))
+        return named.select("unit_id", F.col("full_name").alias("business_head"))
 
     return t.once("business_heads", build)
 
 
 def first_contacts(t: Tables) -> DataFrame:
     """Customer -> its contact with the lowest id."""
-    contact = F.struct("contact_person_name", "contact_person_email", "contact_person_mobile")
-    return (
-        t.customer_contacts.groupBy("customer_id")
-        .agg(F.min_by(contact, "id").alias("contact"))
-        .select("customer_id", "contact.*")
-    )
+    first = t.customer_contacts.groupBy("customer_id").agg(F.min("id").alias("id")).select("id")
+    contacts = t.customer_contacts.join(first, "id", "left_semi")
+    return contacts.select("customer_id", "contact_person_name", "contact_person_email", "contact_person_mobile")
 
 
 def fallback_purchase_orders(t: Tables) -> DataFrame:
@@ -91,9 +88,9 @@ def summary_routes(t: Tables, currencies: DataFrame, dedupe: bool = False) -> Da
     rates = currencies.selectExpr("currency_id as rate_currency_id", "rate")
     return (
         orders.join(customers, "customer_id", "left")
-        .join(F.broadcast(currencies.select("currency_id", "currency_code")), "currency_id", "left")
+        .join(currencies.select("currency_id", "currency_code"), "currency_id", "left")
         .join(projects, "project_id", "left")
-        .join(F.broadcast(rates), "rate_currency_id", "left")
+        .join(rates, "rate_currency_id", "left")
         .selectExpr(
             "project_id",
             "bdm_id",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from duesight.operators.documents import (
@@ -14,9 +14,16 @@ from duesight.operators.documents import (
     open_invoices,
     open_parents,
 )
-from duesight.operators.lookup import lowest
+from duesight.operators.lookup import left_lookup, lowest
 from duesight.operators.rates import currency_table
-from duesight.operators.routes import business_heads, detail_routes, first_contacts, owner_orders, people
+from duesight.operators.routes import (
+    business_heads,
+    detail_routes,
+    fallback_purchase_orders,
+    first_contacts,
+    owner_orders,
+    people,
+)
 from duesight.settings import BLANK, CON, CRN, DIR, DOC_KEY_PREFIX, INV
 from duesight.sources.tables import Tables
 
@@ -80,19 +87,22 @@ def _finish(rows: DataFrame) -> DataFrame:
     )
 
 
-def with_purchase_order(rows: DataFrame, t: Tables, doc_id: str) -> DataFrame:
-    """``po_no``: the document's own purchase order, else its sales order's primary one.
+def with_own_purchase_order(facts: DataFrame, t: Tables) -> DataFrame:
+    """``own_po_no``: the document's own purchase order, joined while the rows are still narrow."""
+    orders = t.project_purchase_orders.selectExpr("id as po_id", "attachment_reference_no as own_po_no")
+    return left_lookup(facts, orders, "po_id", "doc_id").drop("po_id")
 
-    Documents without a purchase order get a key of their own that matches
-    nothing, so they do not all meet in one shuffle partition.
-    """
-    orders = t.project_purchase_orders.selectExpr("id as po_key", "attachment_reference_no as own_po_no")
-    return (
-        rows.withColumn("po_key", F.expr(f"coalesce(po_id, -1 - {doc_id})"))
-        .join(orders, "po_key", "left")
-        .withColumn("po_no", F.expr("case when own_po_no <> '' then own_po_no else fallback_po_no end"))
-        .drop("po_key", "own_po_no", "fallback_po_no", "po_id")
-    )
+
+# The document's own purchase order, else its sales order's primary one.
+PO_NO = "case when own_po_no <> '' then own_po_no else fallback_po_no end"
+
+
+def purchase_orders(t: Tables) -> DataFrame:
+    """Owner and document -> purchase order of every open project invoice."""
+    facts = with_own_purchase_order(_invoice_facts(open_invoices(t), INV), t)
+    chosen = owner_orders(t).select("project_id", "bdm_id", "sales_order_id")
+    routed = facts.join(chosen.join(fallback_purchase_orders(t), "sales_order_id", "left"), "project_id")
+    return routed.selectExpr("bdm_id", "doc_id", f"{PO_NO} as po_no")
 
 
 def _invoice_facts(invoices: DataFrame, source: str) -> DataFrame:
@@ -120,8 +130,8 @@ def _parent_facts(t: Tables) -> DataFrame:
 def _described(t: Tables, currencies: DataFrame, facts: DataFrame) -> DataFrame:
     """Invoice facts with a project, and with an owner where that is already settled."""
     on = ["project_id", "bdm_id"] if "bdm_id" in facts.columns else ["project_id"]
-    routed = facts.join(detail_routes(t, currencies), on)
-    return _finish(with_purchase_order(routed, t, "doc_id"))
+    routed = with_own_purchase_order(facts, t).join(detail_routes(t, currencies), on)
+    return _finish(routed.withColumn("po_no", F.expr(PO_NO)))
 
 
 def project_items(t: Tables, currencies: DataFrame) -> DataFrame:
@@ -145,12 +155,13 @@ def invoice_items(t: Tables, currencies: DataFrame) -> DataFrame:
     parents = _invoice_facts(invoices.filter(F.col("consolidated_id").isNotNull()), INV)
     owners = owner_orders(t).select("project_id", "bdm_id")
     both = parents.join(owners, "project_id").unionByName(_parent_facts(t))
-    shown = [name for name in ITEM_COLUMNS if name != "source"]
+    shown = F.struct(*[name for name in ITEM_COLUMNS if name != "source"])
+    # An owner has a document as an invoice and as a parent at most.
+    own = Window.partitionBy("bdm_id", "doc_id").orderBy(F.col("source") != INV)
     once = (
         _described(t, currencies, both)
-        .groupBy(*shown)
-        .agg(F.min(F.when(F.col("source") == INV, 0).otherwise(1)).alias("only_parent"))
-        .selectExpr("*", f"if(only_parent = 0, '{INV}', '{CON}') as source")
+        .withColumn("again", F.lag(shown).over(own).eqNullSafe(shown))
+        .filter(~F.col("again"))
         .select(*ITEM_COLUMNS)
     )
     return _described(t, currencies, alone).unionByName(once)
@@ -234,10 +245,10 @@ def _credit_facts(t: Tables, currencies: DataFrame) -> DataFrame:
     entities = lowest(entities, "entity_name", "id", "entity_code").drop("id")
     by_code = currencies.filter("currency_code is not null").groupBy("currency_code")
     rates = by_code.agg(F.min_by("rate", "currency_id").alias("rate"))
+    routed = left_lookup(facts, orders, "sales_order_id", "doc_id")
+    placed = left_lookup(routed, projects, "project_id", "doc_id")
     return (
-        facts.join(orders, "sales_order_id", "left")
-        .join(projects, "project_id", "left")
-        .join(customers, "customer_id", "left")
+        left_lookup(placed, customers, "customer_id", "doc_id")
         .join(rates, "currency_code", "left")
         .join(entities, "entity_name", "left")
         .drop("project_id", "sales_order_id")
@@ -247,7 +258,7 @@ def _credit_facts(t: Tables, currencies: DataFrame) -> DataFrame:
 def _with_people(t: Tables, facts: DataFrame) -> DataFrame:
     """Contact and staff names of documents that name them by id."""
     joined = (
-        facts.join(first_contacts(t), "customer_id", "left")
+        left_lookup(facts, first_contacts(t), "customer_id", "doc_id")
         .join(people(t, "rsh_id", "rsh"), "rsh_id", "left")
         .join(people(t, "bdm_id", "bdm"), "bdm_id", "left")
         .join(people(t, "pm_id", "pm"), "pm_id", "left")

@@ -114,7 +114,11 @@ def recipients_by_type(
 
 
 def recipient_lists(recipients: DataFrame) -> DataFrame:
-    """One row per function with its distinct addresses as sorted lists."""
+    """One row per function with its distinct addresses as sorted lists, for a sink that wants them so.
+
+    A list holds the staff configured for one function. Jobs go on with ``recipients_by_type``, whose rows
+    have no such bound.
+    """
     kind = F.col("mail_to_type")
     return recipients.groupBy("function_id", "greeting").agg(
         *[
@@ -126,27 +130,24 @@ def recipient_lists(recipients: DataFrame) -> DataFrame:
 
 def config_map(t: Tables) -> DataFrame:
     """Key and value of every configuration group; the last entry of a key wins."""
-    parents = t.configuration_values.select(
-        F.col("id").alias("parent_id"), F.col("configuration_key").alias("parent_key")
-    )
-    return (
-        t.configuration_values.join(parents, "parent_id")
-        .groupBy("parent_key", "configuration_key")
-        .agg(F.max_by("configuration_value", "id").alias("configuration_value"))
-    )
+    rows = t.configuration_values
+    parents = rows.select(F.col("id").alias("parent_id"), F.col("configuration_key").alias("parent_key"))
+    # Entries come down to the last of each parent and key before they meet their parent, and again
+    # for parents of one name. Only numbers are grouped; the values of the winners are fetched by id.
+    last = rows.filter("parent_id is not null").groupBy("parent_id", "configuration_key").agg(F.max("id").alias("id"))
+    winners = last.join(parents, "parent_id").groupBy("parent_key", "configuration_key").agg(F.max("id").alias("id"))
+    return winners.join(rows.select("id", "configuration_value"), "id").drop("id")
 
 
 def config_map_merged(t: Tables) -> DataFrame:
     """The report's own settings, over which host and port of the mail server are laid."""
     settings = config_map(t)
-    own = settings.filter(F.col("parent_key") == REPORT_CONFIG_PARENT).withColumn("layer", F.lit(0))
-    server = settings.filter(
-        (F.col("parent_key") == SERVER_CONFIG_PARENT) & F.col("configuration_key").isin(*SERVER_CONFIG_KEYS)
-    ).withColumn("layer", F.lit(1))
+    of_server = (F.col("parent_key") == SERVER_CONFIG_PARENT) & F.col("configuration_key").isin(*SERVER_CONFIG_KEYS)
+    layered = settings.filter((F.col("parent_key") == REPORT_CONFIG_PARENT) | of_server)
     return (
-        own.unionByName(server)
-        .groupBy("configuration_key")
-        .agg(F.max_by("configuration_value", "layer").alias("configuration_value"))
+        layered.groupBy("configuration_key")
+        .agg(F.max_by(F.struct("configuration_value"), of_server.cast("int")).alias("last"))
+        .select("configuration_key", "last.configuration_value")
     )
 
 

@@ -60,13 +60,13 @@ def latest_run(
         predicates.append(F.col("date_cron") >= int(midnight.timestamp()))
     for part, value in (parts or {}).items():
         predicates.append(epoch_part(F.col("date_cron"), part) == value)
-    run = F.struct("id", "log", "status", "date_runned", "date_cron")
-    return (
-        t.scheduler_logs.filter(all_of(predicates))
-        .groupBy("schedule_id")
-        .agg(F.max_by(run, F.struct("date_runned", "id")).alias("run"))
-        .select("schedule_id", "run.*")
-    )
+    runs = t.scheduler_logs.filter(all_of(predicates))
+    # Numbers only, so that the log is hashed: the last moment of each schedule, then its last id. The text
+    # of the winners is fetched by id.
+    moments = runs.groupBy("schedule_id", "date_runned").agg(F.max("id").alias("id"))
+    last = moments.groupBy("schedule_id").agg(F.max_by("id", "date_runned").alias("id"))
+    known = last.filter("id is not null")
+    return runs.join(known, ["schedule_id", "id"]).select("schedule_id", "id", "log", "status", "date_runned", "date_cron")
 
 
 def start_events(due: DataFrame, now: dt.datetime) -> DataFrame:
@@ -94,12 +94,12 @@ def end_events(starts: DataFrame, now: dt.datetime, status: int, message: str =
 
 def run_state(events: DataFrame) -> DataFrame:
     """Current state of every run: its latest event."""
-    latest = F.max_by(
-        F.struct("schedule_id", "planned_ts", "status", "message"),
-        F.struct("event_ts", "status", "message", "schedule_id"),
-    )
+    # Moments are numbers and hashed; only the events of a run's last moment are compared as text.
+    moments = events.groupBy("run_id").agg(F.min("event_ts").alias("started_ts"), F.max("event_ts").alias("event_ts"))
+    last = events.join(moments, ["run_id", "event_ts"])
+    latest = F.max(F.struct("status", "message", "schedule_id", "planned_ts")).alias("latest")
     return (
-        events.groupBy("run_id")
-        .agg(F.min("event_ts").alias("started_ts"), F.max("event_ts").alias("event_ts"), latest.alias("latest"))
-        .select("run_id", "started_ts", "event_ts", "latest.*")
+        last.groupBy("run_id", "started_ts", "event_ts")
+        .agg(latest)
+        .select("run_id", "started_ts", "event_ts", "latest.schedule_id", "latest.planned_ts", "latest.status", "latest.message")
     )

@@ -82,6 +82,21 @@ def test_weekday_and_epoch_parts(spark):
     assert tuple(row.first()) == (0, 17, 9, 5, 6, 2001, 0, 168)
 
 
+def test_every_letter_of_the_database_format(spark):
+    """Two days that weeks count differently: a Sunday, and a Monday in next year's first ISO week."""
+    sunday = F.lit(int(dt.datetime(2001, 6, 3, 0, 5, 7, tzinfo=dt.UTC).timestamp()))
+    monday = F.lit(int(dt.datetime(2001, 12, 31, 13, 5, 7, tzinfo=dt.UTC).timestamp()))
+    want = {
+        "y": (1, 1), "M": ("June", "December"), "b": ("Jun", "Dec"), "D": ("3rd", "31st"), "h": (12, 1), "l": (12, 1), "k": (0, 13),
+        "f": (0, 0), "p": ("AM", "PM"), "r": ("12:05:07 AM", "01:05:07 PM"), "T": ("00:05:07", "13:05:07"), "W": ("Sunday", "Monday"),
+        "a": ("Sun", "Mon"), "U": (22, 52), "u": (22, 53), "V": (22, 52), "v": (22, 1), "X": (2001, 2001), "x": (2001, 2002), "%": ("%", "%"),
+    }
+    row = spark.range(1).select(*[dates.epoch_part(moment, part) for part in want for moment in (sunday, monday)]).first()
+    assert dict(zip(want, zip(row[::2], row[1::2], strict=True), strict=True)) == want
+    with pytest.raises(ValueError, match="no date part 'Q'"):
+        dates.epoch_part(sunday, "Q")
+
+
 def test_names(spark):
     row = spark.range(1).select(
         text.person_name(F.lit("A"), F.lit(None).cast("string")),
@@ -103,6 +118,11 @@ def test_names(spark):
         ("line\n<i\nid=1>two</i>", "line\ntwo"),
         ("<" + "a" * 50000 + ">end", "end"),
         ("<a " + "x='1' " * 20000 + ">end", "end"),
+        ('x <a href="q', "x "),
+        ("a <!-- open <b>", "a "),
+        ("<p>a</p><img src='", "a"),
+        ("<!--" * 200_000, ""),
+        ("<" * 200_000, "<" * 200_000),
     ],
 )
 def test_strip_tags(spark, raw, expected):

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 from duesight.checks.compare import connect, differences
+from duesight.checks.queries import REGISTRY
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -15,7 +16,7 @@ def connection():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query(spark, connection, name):
     frame = contract.queries()[name](spark, FOLDER)
     plan = frame._jdf.queryExecution().executedPlan().toString()
@@ -28,7 +29,7 @@ def test_query(spark, connection, name):
 
 
 def test_every_query_has_sql():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(REGISTRY) <= set(contract.oracle_sql()) & set(contract.queries())
 
 
 def test_entry(spark):

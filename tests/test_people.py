@@ -58,13 +58,29 @@ def test_outbox(cases):
     assert [tuple(copy) for copy in rows[1]["cc"]] == [("Dee Ray", "dee@example.com")]
     assert rows[4]["cc"] == []
     assert rows[1]["bcc"] == ["x@example.com", "y@example.com"]
+    assert (rows[1]["from_email"], rows[1]["from_name"]) == ("new", "Accounts Receivable")
     assert rows[1]["subject"] == "debtors_report_Ann_Lee_15-Jun-2001"
     assert rows[1]["attachment"] == "debtors_report_Ann_Lee_15-Jun-2001.csv"
 
 
 def test_outbox_without_blind_copies(spark, cases):
     bare = cases.replace(configuration_values=hand_tables(spark).configuration_values)
-    assert notify.blind_copies(bare) == []
+    assert tuple(notify.mail_settings(bare).first()) == ([], None)
+    rows = notify.notification_outbox(bare, AgeingSummary(cases, AS_OF)).collect()
+    assert rows and all(row["bcc"] == [] and row["from_email"] is None for row in rows)
+
+
+def test_failure_causes(spark):
+    rows = [("refused", "x"), ("mailer", " <b>y</b>\n"), ("other", "z"), (None, "<i"), ("new", None)]
+    failures = spark.createDataFrame(rows, "cause string, message string")
+    got = notify.error_events(failures, dt.datetime(2001, 6, 15)).collect()
+    assert [(r.error_description, r.data) for r in got] == [
+        ("Mail not sent", ""),
+        ("Mail not sent, PHP Mailer Exception", "y"),
+        ("Mail not sent, Exception", "z"),
+        ("Mail not sent, Exception", ""),
+        ("Mail not sent, Exception", None),
+    ]
 
 
 def test_due_schedules(cases):

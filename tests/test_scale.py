@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from duesight.operators.documents import consolidation_routes, open_invoices
 from duesight.operators.exposure import exposure
-from duesight.operators.lookup import pin_small
+from duesight.operators.lookup import left_lookup
 from duesight.operators.rates import currency_table
+from duesight.operators.routes import summary_routes
 from duesight.plans.open_items import project_items
+from duesight.plans.people import config_map
+from duesight.plans.runlog import latest_run
 from duesight.sources.schemas import SCHEMAS
 from duesight.sources.tables import file_tables
 from tests.conftest import AS_OF, hand_tables
@@ -112,7 +115,7 @@ def test_hot_project_is_added_up_before_the_summary_joins_it(spark, skewed):
     final = plan[: plan.index("Initial Plan")]
     join, scan = final.index("SortMergeJoin"), final.index("invoice_date")
     assert final.index("partial_sum(CASE WHEN (balance_amount") > join
-    assert scan > 0 and "skew=true" not in final
+    assert scan > 0 and "SortMergeJoin(skew=true) [project_id" not in final
     total = rows.agg(F.sum("open_amount"), F.sum("open_count")).first()
     check = skewed.invoices.filter("balance_amount > 0").agg(F.sum("balance_amount"), F.count("*")).first()
     assert tuple(total) == tuple(check)
@@ -129,7 +132,34 @@ def test_dedupe_keeps_one_row_per_key_and_task_before_the_shuffle(skewed):
     assert "WindowGroupLimit [consolidated_id" in plan and ", Partial" in plan
 
 
-def test_lookup_is_broadcast_only_if_counted_small(spark):
-    small, large = spark.range(10).selectExpr("id as k"), spark.range(11).selectExpr("id as k")
-    assert "LocalTableScan" in pin_small(small, 10)._jdf.queryExecution().executedPlan().toString()
-    assert pin_small(large, 10) is large
+def test_no_lookup_is_broadcast_against_the_thresholds(spark, skewed):
+    currencies = spark.range(200_001).selectExpr("id as currency_id", "concat('X', id) as currency_code", "cast(1 as decimal(18,6)) as rate")
+    with settings(spark, **NO_BROADCAST):
+        plan = summary_routes(skewed, currencies)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan
+
+
+def test_purchase_orders_meet_narrow_rows(spark, skewed):
+    """The shuffle of invoices by purchase order carries no project or customer text."""
+    with settings(spark, **NO_BROADCAST):
+        plan = project_items(skewed, currency_table(skewed, AS_OF))._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    routed = next(i for i, line in enumerate(lines) if "Join [project_id" in line)
+    keyed = next(i for i, line in enumerate(lines) if "hashpartitioning(_key" in line)
+    assert keyed > routed and depth(lines[keyed]) > depth(lines[routed])
+
+
+def test_log_and_configuration_are_hashed(cases):
+    for frame in (latest_run(cases), config_map(cases)):
+        assert "SortAggregate" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_null_keys_are_spread(spark):
+    rows = spark.range(4000).selectExpr("id as doc_id", "if(id % 2 = 0, null, id % 10) as k")
+    table = spark.range(10).selectExpr("id as k", "concat('v', id) as v")
+    with settings(spark, **NO_BROADCAST):
+        joined = left_lookup(rows, table, "k", "doc_id")
+        sizes = [r["count"] for r in joined.filter("k is null").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 2000 and max(sizes) < 400
+    assert joined.filter("v is not null").count() == 2000 and joined.columns == ["doc_id", "k", "v"]
