@@ -75,6 +75,7 @@ class PieceEncoder:
         self.bytes = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.byte_of = {i: bytes([b]) for b, i in enumerate(self.bytes)}
         self.hidden = skip - set(self.bytes)
+        self.odd = skip | set(self.bytes)
         self.ids = {self.pieces[i]: i for i in every if i not in skip}
         self.merge = Merger({p: model.get_score(i) for p, i in self.ids.items() if len(p) > 1})
         # Pieces that merging never makes are no candidates.
@@ -84,6 +85,7 @@ class PieceEncoder:
             self.tree.add_word(piece, (len(piece), self.ids[piece]))
         self.tree.make_automaton()
         self.sizes = [len(p) for p in self.pieces]
+        self.width = len(self.pieces).bit_length()  # two ids make one small number
         #: The longest piece that a piece begins with, -1 if there is none.
         self.shorter = [-1] * len(self.pieces)
         for p in made:
@@ -100,7 +102,10 @@ class PieceEncoder:
                 self.halves[i] = tuple(self.ids[x] for x in self.merge(p, stop=2))
             for n in range(1, len(p)):
                 if p[:n] in made and p[n:] in made:
-                    self.joined[self.ids[p[:n]] << 32 | self.ids[p[n:]]] = self.rank[i]
+                    self.joined[self.ids[p[:n]] << self.width | self.ids[p[n:]]] = self.rank[i]
+        #: Pairs of characters that stand side by side in some piece.
+        self.inside = {p[n : n + 2] for p in self.ids for n in range(len(p) - 1)}
+        self.ends: dict[str, tuple[str, str]] = {}
         self.apart = not any(BLANK in p.lstrip(BLANK) for p in self.ids)
         self.pairs: dict[int, bool] = {}
         self.seen: dict[str, tuple[str, str]] = {}
@@ -116,19 +121,16 @@ class PieceEncoder:
         The merges that made the pieces are replayed from the last one back: at every stage the symbols that meet
         at the border must not be merged before the next merge on either side.
         """
-        key = a << 32 | b
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) > CACHE:
-                self.pairs.clear()
-            known = self.pairs[key] = self._goes(a, b)
+        if len(self.pairs) > CACHE:
+            self.pairs.clear()
+        known = self.pairs[a << self.width | b] = self._goes(a, b)
         return known
 
     def _goes(self, a: int, b: int) -> bool:
-        rank, halves, joined = self.rank, self.halves, self.joined
+        rank, halves, joined, width = self.rank, self.halves, self.joined, self.width
         until = 1 << 40  # merges of a lower rank come before the state that is looked at ends
         while True:
-            merged = joined.get(a << 32 | b)
+            merged = joined.get(a << width | b)
             if merged is not None and merged < until:
                 return False
             if rank[a] < 0 and rank[b] < 0:
@@ -149,20 +151,24 @@ class PieceEncoder:
             longest[last - size + 1] = i  # matches come by their ends: of one start, the longest is last
         dead: bytearray | None = None
         out: list[int] = []
-        at, piece, sizes, goes = 0, longest[0], self.sizes, self.goes
+        at, piece, last, sizes, width, known = 0, longest[0], -1, self.sizes, self.width, self.pairs.get
         while at < n:
             if piece < 0:
                 # Nothing goes on from here: shorten the piece before.
                 dead = dead or bytearray(n // 8 + 1)
                 dead[at >> 3] |= 1 << (at & 7)
                 piece = out.pop()
+                last = out[-1] if out else -1
                 at -= sizes[piece]
                 piece = self.shorter[piece]
                 continue
             stop = at + sizes[piece]
-            if (dead is None or not dead[stop >> 3] >> (stop & 7) & 1) and (not out or goes(out[-1], piece)):
+            fits = last < 0 or known(last << width | piece)
+            if fits is None:
+                fits = self.goes(last, piece)
+            if fits and (dead is None or not dead[stop >> 3] >> (stop & 7) & 1):
                 out.append(piece)
-                at, piece = stop, longest[stop]
+                at, last, piece = stop, piece, longest[stop]
             else:
                 piece = self.shorter[piece]
         return out
@@ -186,26 +192,39 @@ class PieceEncoder:
             words, mark = re.findall(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+", marked) if self.apart else [marked], ""
         if len(self.seen) > CACHE:
             self.older, self.seen = self.seen, {}
-        # Segments begin with a blank mark, plain words hold none: they share the memory without a clash.
-        out = list(map(self.seen.get, words))
-        if None in out:
-            for k, found in enumerate(out):
-                if found is None:
-                    word = words[k]
-                    found = self.seen.get(word) or self.older.get(word)
-                    if found is None:
-                        ids = self.segment(mark + word)
-                        found = "".join([f"{i} " for i in ids]), self._text(ids)
-                    if mark or word[0] == BLANK:
-                        self.seen[word] = found
-                    out[k] = found
-        return out
+        # Segments begin with a blank mark, plain words hold none: they share the memory without a clash. The
+        # one segment without either stands first in a text that gets no mark, and is told apart by a null.
+        key = "" if mark else "\0"
+        seen, older = self.seen, self.older
+        if not mark:
+            words = [w if w[0] == BLANK else key + w for w in words]
+        for word in set(words).difference(seen):
+            found = older.get(word)
+            if found is None:
+                found = self._new(mark + word.removeprefix(key) if key else mark + word, word, mark)
+            seen[word] = found
+        return list(map(seen.__getitem__, words))
+
+    def _new(self, segment: str, word: str, mark: str) -> tuple[str, str]:
+        if mark and len(word) > 1 and word[-2:] not in self.inside:
+            # No piece holds these two characters side by side: merging never passes between them.
+            stem, last = self.seen.get(word[:-1]) or self._made(segment[:-1]), self.ends.get(word[-1])
+            if last is None:
+                last = self.ends[word[-1]] = self._made(word[-1])
+            return stem[0] + last[0], stem[1] + last[1]
+        return self._made(segment)
+
+    def _made(self, segment: str) -> tuple[str, str]:
+        ids = self.segment(segment)
+        return "".join([f"{i} " for i in ids]), self._text(ids)
 
     def encode(self, text: str | None) -> list[int]:
         """All ids, the end id last."""
         return [int(i) for i in "".join([p[0] for p in self.parts(text or "")]).split()] + [self.end]
 
     def _text(self, ids: list[int]) -> str:
+        if self.odd.isdisjoint(ids):
+            return "".join(map(self.pieces.__getitem__, ids)).replace(BLANK, " ")
         out, pending = [], b""
         for i in ids:
             if i in self.byte_of:
