@@ -52,50 +52,44 @@ def grams_of(word: str) -> Iterator[str]:
 
 
 class Model:
-    """Log frequencies by language: ``words[w]`` and ``grams[g]`` are rows of one float per language."""
+    """Log frequencies by language: one row of ``table`` for each known word and n-gram, and a last one for neither."""
 
     def __init__(self, languages: list[str], counts: pd.DataFrame):
         """counts: columns kind (``w`` or ``g``), token, lang, n."""
         self.languages = sorted(languages)
         at = {lang: i for i, lang in enumerate(self.languages)}
-        self.words: dict[str, np.ndarray] = {}
-        self.grams: dict[str, np.ndarray] = {}
-        for kind, table in (("w", self.words), ("g", self.grams)):
-            part = counts[counts.kind == kind]
-            for token, lang, n in zip(part.token, part.lang, part.n, strict=True):
-                table.setdefault(token, np.zeros(len(at)))[at[lang]] += n
-        self._to_logs(self.words, lambda token: 0)
-        self._to_logs(self.grams, len)
-        self.nothing = np.full(len(at), -12.0) if at else np.zeros(0)
-
-    @staticmethod
-    def _to_logs(table: dict[str, np.ndarray], level) -> None:
-        """Add-half smoothing within each level, an n-gram length or all words."""
-        totals: dict[int, np.ndarray] = {}
-        sizes: Counter[int] = Counter()
-        for token, row in table.items():
-            totals[level(token)] = totals.get(level(token), 0) + row
-            sizes[level(token)] += 1
-        for token, row in table.items():
-            k = level(token)
-            table[token] = np.log((row + 0.5) / (totals[k] + 0.5 * sizes[k]))
+        tokens = counts[["kind", "token"]].drop_duplicates().reset_index(drop=True)
+        self.words = {t: i for i, (k, t) in enumerate(zip(tokens.kind, tokens.token, strict=True)) if k == "w"}
+        self.grams = {t: i for i, (k, t) in enumerate(zip(tokens.kind, tokens.token, strict=True)) if k == "g"}
+        numbers = np.zeros((len(tokens), len(at)))
+        for kind, token, lang, n in zip(counts.kind, counts.token, counts.lang, counts.n, strict=True):
+            numbers[(self.words if kind == "w" else self.grams)[token], at[lang]] += n
+        # Add-half smoothing within each level: all words, or the n-grams of one length.
+        levels = np.array([0 if k == "w" else len(t) for k, t in zip(tokens.kind, tokens.token, strict=True)], dtype=int)
+        self.table = np.full((len(tokens) + 1, len(at)), -12.0)
+        for level in np.unique(levels):
+            own = levels == level
+            part = numbers[own] + 0.5
+            self.table[:-1][own] = np.log(part / part.sum(axis=0))
+        self.nothing = len(tokens)
+
+    def rows_of(self, word: str) -> list[int]:
+        """The row of a known word; of an unseen one, at each position, of the longest known n-gram."""
+        known = self.words.get(word)
+        if known is not None:
+            return [known]
+        marked = f"<{word}>"
+        return [self.back_off(marked[i : i + MAX_GRAM]) for i in range(len(marked))]
+
+    def back_off(self, gram: str) -> int:
+        for n in range(len(gram), 0, -1):
+            row = self.grams.get(gram[:n])
+            if row is not None:
+                return row
+        return self.nothing
 
     def score_word(self, word: str) -> np.ndarray:
-        known = self.words.get(word)
-        return known if known is not None else self.back_off(word)
-
-    def back_off(self, word: str) -> np.ndarray:
-        """Mean over the positions of the longest known n-gram that starts there."""
-        marked, total = f"<{word}>", 0
-        for i in range(len(marked)):
-            for n in range(min(MAX_GRAM, len(marked) - i), 0, -1):
-                row = self.grams.get(marked[i : i + n])
-                if row is not None:
-                    total = total + row
-                    break
-            else:
-                total = total + self.nothing
-        return total / len(marked)
+        return self.table[self.rows_of(word)].mean(axis=0)
 
 
 class Predictor:
@@ -104,30 +98,55 @@ class Predictor:
     def __init__(self, model: Model):
         self.model = model
         self.seen: dict[str, int] = {}
-        self.rows = np.zeros((CACHE + 1, len(model.languages)))
-        self.letters = np.zeros(CACHE + 1, dtype=np.int64)
-
-    def _add(self, token: str) -> int:
-        at = self.seen[token] = len(self.seen)
-        found = words_of(token)
-        self.letters[at] = len(found)
-        self.rows[at] = sum(map(self.model.score_word, found)) if found else 0
-        return at
+        self.grams: dict[str, int] = {}
+        self.scores = np.zeros((CACHE, len(model.languages)))
+        self.letters = np.zeros(CACHE, dtype=np.int64)
+
+    def _add(self, tokens: list[str]) -> None:
+        """Score new tokens: means over the rows of each word, added up by token."""
+        model, grams = self.model, self.grams
+        if len(grams) > CACHE:
+            grams.clear()
+        rows, sizes, owner = [], [], []
+        first = len(self.seen)
+        for k, token in enumerate(tokens, first):
+            self.seen[token] = k
+            self.scores[k], self.letters[k] = 0, 0
+            low = token.lower()
+            for word in [low] if low.isalpha() else _LETTERS.findall(low):
+                known = model.words.get(word)
+                if known is not None:
+                    rows.append(known)
+                    sizes.append(1)
+                else:
+                    marked = f"<{word}>"
+                    for i in range(len(marked)):
+                        gram = marked[i : i + MAX_GRAM]
+                        row = grams.get(gram)
+                        if row is None:
+                            row = grams[gram] = model.back_off(gram)
+                        rows.append(row)
+                    sizes.append(len(marked))
+                owner.append(k)
+        if owner:
+            starts = np.cumsum([0, *sizes[:-1]])
+            means = np.add.reduceat(model.table[rows], starts, axis=0) / np.array(sizes)[:, None]
+            np.add.at(self.scores, owner, means)
+            np.add.at(self.letters, owner, 1)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         if not text or not self.model.languages:
             return UNKNOWN, 0.0
         total, n = 0, 0
         tokens = text.split()
-        for start in range(0, len(tokens), CACHE // 2):  # a long text may hold more words than the cache
+        for start in range(0, len(tokens), CACHE // 2):  # a long text may hold more words than the memory
             part = tokens[start : start + CACHE // 2]
             if len(self.seen) > CACHE // 2:
                 self.seen.clear()
-            get = self.seen.get
-            at = [get(t, -1) for t in part]
-            if -1 in at:
-                at = [i if i >= 0 else (j if (j := get(t, -1)) >= 0 else self._add(t)) for t, i in zip(part, at, strict=True)]
-            total, n = total + self.rows[at].sum(axis=0), n + int(self.letters[at].sum())
+            if new := set(part).difference(self.seen):
+                self._add(sorted(new))
+            at = list(map(self.seen.__getitem__, part))
+            total, n = total + self.scores[at].sum(axis=0), n + int(self.letters[at].sum())
         if not n:
             return UNKNOWN, 0.0
         best = int(np.argmax(total))
