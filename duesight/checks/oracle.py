@@ -80,7 +80,7 @@ CORE = {
         SELECT s.bdm_id, 'INV' AS source, s.id AS doc_id, s.id::VARCHAR AS doc_key, s.customer_id,
                s.customer_code || ' - ' || s.customer_name AS customer_label, s.division,
                CASE WHEN po.attachment_reference_no <> '' THEN po.attachment_reference_no
-                    ELSE (SELECT min_by(q.attachment_reference_no, q.id) FROM po_so_masters m
+                    ELSE (SELECT first(q.attachment_reference_no ORDER BY q.id) FROM po_so_masters m
                           JOIN project_purchase_orders q ON q.id = m.po_id AND q.is_primary = 1
                           WHERE m.sales_order_id = s.sales_order_id) END AS po_no,
                cc.contact_person_name AS contact_name, cc.contact_person_email AS contact_email,
@@ -104,14 +104,14 @@ CORE = {
         LEFT JOIN rates r ON r.currency_id = s.project_currency_id
         LEFT JOIN (SELECT DISTINCT invoice_reference AS ref FROM invoices) child ON child.ref = s.id
         WHERE s.status = 'a' AND s.deleted = 0 AND s.balance_amount > 0 AND child.ref IS NULL
-          AND s.invoice_reference IS NULL AND e2.id IS NOT NULL
+          AND coalesce(s.invoice_reference, 0) = 0 AND e2.id IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY s.bdm_id, s.id
-                                   ORDER BY s.sales_order_id, s.project_id, h.employee_id, cc.id) = 1""",
+                                   ORDER BY s.sales_order_id, s.project_id, h.approver_id, cc.id) = 1""",
     "items_con": """
         SELECT s.bdm_id, 'CON' AS source, s.parent_id AS doc_id, s.parent_id::VARCHAR AS doc_key, s.customer_id,
                s.customer_code || ' - ' || s.customer_name AS customer_label, s.division,
                CASE WHEN po.attachment_reference_no <> '' THEN po.attachment_reference_no
-                    ELSE (SELECT min_by(q.attachment_reference_no, q.id) FROM po_so_masters m
+                    ELSE (SELECT first(q.attachment_reference_no ORDER BY q.id) FROM po_so_masters m
                           JOIN project_purchase_orders q ON q.id = m.po_id AND q.is_primary = 1
                           WHERE m.sales_order_id = s.sales_order_id) END AS po_no,
                cc.contact_person_name AS contact_name, cc.contact_person_email AS contact_email,
@@ -135,9 +135,9 @@ CORE = {
         LEFT JOIN legal_entities le ON le.id = s.legal_entity_id
         LEFT JOIN rates r ON r.currency_id = s.project_currency_id
         WHERE s.parent_status = 'a' AND s.parent_deleted = 0 AND s.parent_balance > 0
-          AND s.invoice_reference IS NULL AND s.parent_reference IS NULL AND e2.id IS NOT NULL
+          AND s.invoice_reference IS NULL AND coalesce(s.parent_reference, 0) = 0 AND e2.id IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY s.bdm_id, s.parent_id
-            ORDER BY s.sales_order_id, s.project_id, s.constituent_id, h.employee_id, cc.id) = 1""",
+            ORDER BY s.sales_order_id, s.project_id, s.constituent_id, h.approver_id, cc.id) = 1""",
     "items_dir": """
         SELECT d.bdm_id, 'DIR' AS source, d.id AS doc_id, 'NON_' || d.id AS doc_key, d.customer_id,
                d.customer_code || ' - ' || c.customer_name AS customer_label, ' ' AS division, d.po_no,
@@ -161,7 +161,7 @@ CORE = {
         LEFT JOIN (SELECT DISTINCT invoice_reference AS ref FROM direct_invoices) child ON child.ref = d.id
         WHERE d.balance_amount > 0 AND d.deleted = 0 AND child.ref IS NULL AND e2.id IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY d.bdm_id, d.invoice_code
-                                   ORDER BY d.id, h.employee_id, cc.id, c.id) = 1""",
+                                   ORDER BY d.id, h.approver_id, cc.id, c.id) = 1""",
     "items_crn": """
         SELECT n.bdm_id, 'CRN' AS source, n.id AS doc_id, 'Cr_' || n.id AS doc_key, n.customer_no AS customer_id,
                n.customer_code || ' - ' || n.customer_name AS customer_label, n.division, ' ' AS po_no,
@@ -187,7 +187,7 @@ CORE = {
         LEFT JOIN rates r ON r.currency_id = cu.id
         WHERE n.balance_amount > 0 AND n.deleted = 0 AND n.bdm_id IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY n.bdm_id, n.mode_no
-            ORDER BY n.id, so.id NULLS LAST, n.project_id NULLS LAST, n.customer_no, h.employee_id, cc.id) = 1""",
+            ORDER BY n.id, so.id NULLS LAST, n.project_id NULLS LAST, n.customer_no, h.approver_id, cc.id) = 1""",
     "every_item": """
         SELECT * EXCLUDE (sales_order_id) FROM items_inv
         UNION ALL SELECT * EXCLUDE (sales_order_id) FROM items_dir
@@ -295,10 +295,10 @@ CORE = {
         GROUP BY 1, 2""",
     "config": """
         SELECT a.configuration_key AS parent_key, c.configuration_key,
-               max_by(c.configuration_value, c.id) AS configuration_value
+               last(c.configuration_value ORDER BY c.id) AS configuration_value
         FROM configuration_values c JOIN configuration_values a ON c.parent_id = a.id GROUP BY 1, 2""",
     "report_config": """
-        SELECT configuration_key, max_by(configuration_value, parent_key = 'mail_details') AS configuration_value
+        SELECT configuration_key, last(configuration_value ORDER BY parent_key = 'mail_details') AS configuration_value
         FROM config WHERE parent_key = 'ar_mail_config'
             OR (parent_key = 'mail_details' AND configuration_key IN ('host', 'port'))
         GROUP BY 1""",

@@ -108,7 +108,7 @@ def _(t: Tables) -> DataFrame:
 @query(
     "revision_filter",
     """SELECT i.id AS doc_id FROM invoices i LEFT JOIN invoices child ON child.invoice_reference = i.id
-    WHERE i.status = 'a' AND i.deleted = 0 AND i.balance_amount > 0 AND i.invoice_reference IS NULL
+    WHERE i.status = 'a' AND i.deleted = 0 AND i.balance_amount > 0 AND coalesce(i.invoice_reference, 0) = 0
       AND child.id IS NULL""",
 )
 def _(t: Tables) -> DataFrame:

@@ -7,7 +7,7 @@ VIEWS = {
         SELECT s_suppkey AS id, 'E' || s_suppkey AS employee_number,
                split_part(s_name, '#', 1) AS first_name,
                CASE WHEN s_suppkey % 11 <> 7 THEN split_part(s_name, '#', 2) END AS last_name,
-               'e' || s_suppkey || '@example.com' AS work_email_address,
+               CASE WHEN s_suppkey % 13 <> 5 THEN 'e' || s_suppkey || '@example.com' END AS work_email_address,
                'NATION_' || s_nationkey AS structure_name,
                CASE WHEN s_suppkey % 7 = 3 THEN 'r' WHEN s_suppkey % 9 <> 8 THEN 'c' END AS employment_status
         FROM supplier""",
@@ -49,9 +49,9 @@ VIEWS = {
         SELECT r_regionkey AS id, CASE WHEN r_regionkey = 0 THEN 'INR' ELSE r_name END AS currency_code
         FROM region""",
     "forex_conversions": """
-        SELECT event_id AS id, user_id % 5 AS from_currency_id,
+        SELECT event_id AS id, user_id % 4 AS from_currency_id,
                (ts::DATE - INTERVAL 276 MONTH)::DATE AS date, value::DECIMAL(14,6) AS value
-        FROM events WHERE user_id % 5 <> 4""",
+        FROM events""",
     "newest_rate": """
         SELECT from_currency_id AS currency_id, value AS rate, date FROM forex_conversions
         QUALIFY row_number() OVER (PARTITION BY from_currency_id ORDER BY date DESC, id DESC) = 1""",
@@ -71,7 +71,7 @@ VIEWS = {
                o_orderdate::DATE AS invoice_date,
                CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'd' ELSE 'a' END AS status,
                CASE WHEN o_orderkey % 17 = 0 THEN 1 ELSE 0 END AS deleted,
-               CASE WHEN o_orderkey % 13 = 0 AND o_orderkey > 0 THEN o_orderkey - 1 END AS invoice_reference,
+               CASE WHEN o_orderkey % 13 = 0 AND o_orderkey > 0 THEN o_orderkey - 1 WHEN o_orderkey % 11 = 5 THEN 0 END AS invoice_reference,
                CASE WHEN o_orderkey % 10 = 0 THEN o_orderkey - o_orderkey % 20 END AS consolidated_id,
                CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate::DATE + 2 END AS submitted_on,
                CASE WHEN o_orderkey % 5 = 0 THEN o_orderdate::DATE + 60 END AS expected_on
@@ -97,7 +97,7 @@ VIEWS = {
                CASE WHEN o.o_orderkey % 5 = 0 THEN l.day + 60 END AS expected_on
         FROM (SELECT l_orderkey, sum(l_extendedprice::DECIMAL(18,2))::DECIMAL(18,2) AS amount,
                      max(l_shipdate)::DATE AS day
-              FROM lineitem WHERE l_returnflag = 'N' GROUP BY l_orderkey) l
+              FROM lineitem WHERE l_returnflag IN ('N', 'A') GROUP BY l_orderkey) l
         JOIN orders o ON o.o_orderkey = l.l_orderkey
         JOIN customer_place c ON c.c_custkey = o.o_custkey""",
     "credit_notes": """
@@ -115,7 +115,7 @@ VIEWS = {
         FROM orders o JOIN customer_place c ON c.c_custkey = o.o_custkey
         JOIN region r ON r.r_regionkey = c.n_regionkey""",
     "project_purchase_orders": """
-        SELECT p_partkey AS id, CASE WHEN p_size = 1 THEN '' ELSE 'PO-' || p_partkey END AS attachment_reference_no,
+        SELECT p_partkey AS id, CASE WHEN p_size = 1 THEN '' WHEN p_size <> 2 THEN 'PO-' || p_partkey END AS attachment_reference_no,
                CASE WHEN p_size % 2 = 0 THEN 1 ELSE 0 END AS is_primary
         FROM part""",
     "po_so_masters": """
@@ -151,7 +151,7 @@ VIEWS = {
         SELECT p_partkey + 100, p_partkey % 5,
                CASE p_size WHEN 1 THEN 'host' WHEN 2 THEN 'port' WHEN 3 THEN 'ar_username' WHEN 4 THEN 'ar_from'
                     WHEN 5 THEN 'debtors_bdm_cron_bcc' ELSE 'key_' || p_size END,
-               CASE WHEN p_size = 5 THEN 'a' || p_partkey || '@example.com, b@example.com,,'
+               CASE WHEN p_partkey % 17 = 3 THEN NULL WHEN p_size = 5 THEN 'a' || p_partkey || '@example.com, b@example.com,,'
                     ELSE p_name || ' ' || p_partkey END
         FROM part""",
     "mail_configurations": """
@@ -172,7 +172,7 @@ VIEWS = {
                floor(epoch(date_trunc('hour', ts)))::BIGINT AS date_cron
         FROM events""",
     "heads": """
-        SELECT a.structure_id, a.employee_id, e.full_name
+        SELECT a.structure_id, a.id AS approver_id, e.full_name
         FROM general_approvers a LEFT JOIN employees e ON e.employee_number = a.employee_id
         WHERE a.function_id = 4""",
 }

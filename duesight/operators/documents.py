@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duesight.operators.lookup import first_per
@@ -25,13 +25,18 @@ def without_revised(documents: DataFrame, all_documents: DataFrame) -> DataFrame
     return documents.join(revised, "id", "left_anti")
 
 
+def _revises_none() -> Column:
+    """No reference to an earlier document; 0 is an empty reference."""
+    return F.coalesce("invoice_reference", F.lit(0)) == 0
+
+
 def _approved_open(t: Tables) -> DataFrame:
-    """Approved, unpaid invoices that revise no other; a reference of 0 is an empty one."""
+    """Approved, unpaid invoices that revise no other."""
     return t.invoices.filter(
         (F.col("status") == APPROVED_STATUS)
         & (F.col("deleted") == 0)
         & (F.col("balance_amount") > 0)
-        & (F.col("invoice_reference").isNull() | (F.col("invoice_reference") == 0))
+        & _revises_none()
     )
 
 

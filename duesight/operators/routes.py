@@ -42,12 +42,13 @@ def people(t: Tables, id_name: str, label: str) -> DataFrame:
 
 
 def business_heads(t: Tables) -> DataFrame:
-    """Unit -> name of its business head; the lowest employee number wins."""
+    """Unit -> name of its business head; the approver row with the lowest id wins."""
 
     def build() -> DataFrame:
         approvers = t.general_approvers.filter(F.col("function_id") == BUSINESS_HEAD_FUNCTION)
-        heads = approvers.groupBy(F.col("structure_id").alias("unit_id")).agg(
-            F.min("employee_id").alias("employee_number")
+        first = approvers.groupBy("structure_id").agg(F.min("id").alias("id")).select("id")
+        heads = approvers.join(first, "id", "left_semi").select(
+            F.col("structure_id").alias("unit_id"), F.col("employee_id").alias("employee_number")
         )
         names = lowest(staff(t), "employee_number", "id", "full_name")
         named = heads.join(names, "employee_number", "left")

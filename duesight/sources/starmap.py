@@ -8,6 +8,7 @@ table is joined with itself.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from duesight.settings import CC_FUNCTION_PREFIX
 from duesight.sources.schemas import RUN_EVENT_SCHEMA, SCHEMAS, columns_of
@@ -75,7 +76,7 @@ def _employees(star: _Star):
         "employee_number": "concat('E', s_suppkey)",
         "first_name": "substring_index(s_name, '#', 1)",
         "last_name": "if(s_suppkey % 11 <> 7, substring_index(s_name, '#', -1), null)",
-        "work_email_address": "concat('e', s_suppkey, '@example.com')",
+        "work_email_address": "if(s_suppkey % 13 <> 5, concat('e', s_suppkey, '@example.com'), null)",
         "structure_name": "concat('NATION_', s_nationkey)",
         "employment_status": "case when s_suppkey % 7 = 3 then 'r' when s_suppkey % 9 <> 8 then 'c' end",
     }
@@ -147,9 +148,9 @@ def _currencies(star: _Star):
 
 def _forex_conversions(star: _Star):
     """The currency with number 4 has no rate."""
-    return star.rates.filter("user_id % 5 <> 4"), {
+    return star.rates, {
         "id": "event_id",
-        "from_currency_id": "user_id % 5",
+        "from_currency_id": "user_id % 4",
         "date": "add_months(cast(ts as date), -276)",
         "value": "value",
     }
@@ -168,7 +169,7 @@ def _invoices(star: _Star):
         "invoice_date": "o_orderdate",
         "status": "if(o_orderpriority = '4-NOT SPECIFIED', 'd', 'a')",
         "deleted": "if(o_orderkey % 17 = 0, 1, 0)",
-        "invoice_reference": "if(o_orderkey % 13 = 0 and o_orderkey > 0, o_orderkey - 1, null)",
+        "invoice_reference": "case when o_orderkey % 13 = 0 and o_orderkey > 0 then o_orderkey - 1 when o_orderkey % 11 = 5 then 0 end",
         "consolidated_id": "if(o_orderkey % 10 = 0, o_orderkey - o_orderkey % 20, null)",
         "invoice_date_submission_customer": "if(o_orderkey % 2 = 0, date_add(cast(o_orderdate as date), 2), null)",
         "expected_collection_date": "if(o_orderkey % 5 = 0, date_add(cast(o_orderdate as date), 60), null)",
@@ -187,8 +188,8 @@ def _invoice_consolidation_details(star: _Star):
     }
 
 
-def _lines_per_order(star: _Star, flag: str, amount: str) -> DataFrame:
-    lines = star.lineitem.filter(f"l_returnflag = '{flag}'").selectExpr(
+def _lines_per_order(star: _Star, flags: str, amount: str) -> DataFrame:
+    lines = star.lineitem.filter(F.col("l_returnflag").isin(*flags)).selectExpr(
         "l_orderkey as o_orderkey", "l_shipdate", f"{amount} as amount"
     )
     return (
@@ -199,7 +200,7 @@ def _lines_per_order(star: _Star, flag: str, amount: str) -> DataFrame:
 
 
 def _direct_invoices(star: _Star):
-    lines = _lines_per_order(star, "N", "cast(l_extendedprice as decimal(18,2))")
+    lines = _lines_per_order(star, "NA", "cast(l_extendedprice as decimal(18,2))")
     return lines.join(star.order_place, "o_orderkey"), {
         "id": "o_orderkey",
         "customer_id": "c_custkey",
@@ -252,7 +253,7 @@ def _credit_references(star: _Star):
 def _project_purchase_orders(star: _Star):
     return star.part, {
         "id": "p_partkey",
-        "attachment_reference_no": "if(p_size = 1, '', concat('PO-', p_partkey))",
+        "attachment_reference_no": "case when p_size = 1 then '' when p_size <> 2 then concat('PO-', p_partkey) end",
         "is_primary": "if(p_size % 2 = 0, 1, 0)",
     }
 
@@ -323,8 +324,8 @@ def _configuration_values(star: _Star):
         "p_partkey % 5 as parent_id",
         "case p_size when 1 then 'host' when 2 then 'port' when 3 then 'ar_username' when 4 then 'ar_from'"
         " when 5 then 'debtors_bdm_cron_bcc' else concat('key_', p_size) end as configuration_key",
-        "if(p_size = 5, concat('a', p_partkey, '@example.com, b@example.com,,'), concat(p_name, ' ', p_partkey))"
-        " as configuration_value",
+        "case when p_partkey % 17 = 3 then null when p_size = 5 then concat('a', p_partkey, '@example.com, b@example.com,,')"
+        " else concat(p_name, ' ', p_partkey) end as configuration_value",
     )
     return parents.union(children), {name: name for name in children.columns}
 

@@ -92,7 +92,7 @@ def test_fan_out_is_undone_per_owner(by_key):
 
 def test_lookups(by_key):
     row = by_key[1, "INV", 1001]
-    assert (row["rsh"], row["bdm"], row["business_head"], row["pm"]) == ("Dee Ray", "Ann Lee", "Dee Ray", None)
+    assert (row["rsh"], row["bdm"], row["business_head"], row["pm"]) == ("Dee Ray", "Ann Lee", "Fay May", None)
     assert (row["unit"], row["entity_name"], row["entity_code"]) == ("Unit", "Entity", "EN")
     assert (row["contact_name"], row["customer_label"], row["division"]) == ("Finance", "C1 - Name 1", "north")
     credit = by_key[1, "CRN", 1]
