@@ -87,6 +87,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _BLANKS = r"[ \t\n\v\f\r]"
 
+#: The digits of the UTF-8 bytes stand for the bytes, two for each: 100 bytes are 200 digits.
+_BYTES_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS body FROM documents),
+n AS (SELECT doc_id, body, length(body) // 2 AS n_bytes FROM d),
+starts AS (SELECT doc_id, p, substring(body, 2 * p + 1, 200) AS part
+           FROM (SELECT doc_id, body, unnest(range(0, n_bytes - 99)) AS p FROM n)),
+ranked AS (SELECT doc_id, p, row_number() OVER (PARTITION BY part ORDER BY doc_id, p) AS k FROM starts),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 100)) AS pos FROM ranked WHERE k > 1),
+spans AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (pos <> before + 1 OR before IS NULL) AS n_spans
+          FROM (SELECT doc_id, pos, lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS before FROM gone) GROUP BY doc_id),
+each AS (SELECT doc_id, pos, substring(body, 2 * pos + 1, 2) AS byte
+         FROM (SELECT doc_id, body, unnest(range(0, n_bytes)) AS pos FROM n)),
+kept AS (SELECT doc_id, string_agg(byte, '' ORDER BY pos) AS body
+         FROM each ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT n.doc_id, n.n_bytes::BIGINT AS n_bytes, coalesce(s.n_removed, 0)::BIGINT AS n_removed,
+       coalesce(s.n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(k.body, ''))) AS kept_sha256
+FROM n LEFT JOIN spans s USING (doc_id) LEFT JOIN kept k USING (doc_id)"""
+
+_WORDS_SQL = rf"""
+WITH n AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '{_BLANKS}+'), lambda w: w <> '') AS words FROM documents),
+starts AS (SELECT doc_id, p, array_to_string(words[p : p + 49], ' ') AS part
+           FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS p FROM n)),
+owners AS (SELECT part, min(doc_id) AS owner FROM starts GROUP BY part),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS pos FROM starts JOIN owners USING (part) WHERE doc_id > owner),
+each AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM n),
+kept AS (SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY pos) AS body
+         FROM each ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id)
+SELECT n.doc_id, len(n.words)::BIGINT AS n_words, (len(n.words) - coalesce(k.n_kept, 0))::BIGINT AS n_removed,
+       sha256(coalesce(k.body, '')) AS kept_sha256
+FROM n LEFT JOIN kept k USING (doc_id)"""
+
 ORACLE_SQL = {
     "op6_exact_dedup": rf"""
 WITH n AS (
@@ -102,4 +133,6 @@ SELECT doc_id,
          ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS kept,
        sha256(body) AS text_sha256
 FROM n""",
+    "op4_suffix_dedup": _BYTES_SQL,
+    "op8_recompression": _WORDS_SQL,
 }
