@@ -13,12 +13,12 @@ from pyspark.sql import types as T
 from duesight.checks.oracle import AS_OF, RATE_AS_OF, statement
 from duesight.functions import dates
 from duesight.functions.text import format_money
-from duesight.operators import documents, exposure, routes
+from duesight.operators import documents, exposure
 from duesight.operators.rates import asof_rate, currency_table, latest_rate
 from duesight.plans import detail_sheet, notify, open_items, people, runlog
-from duesight.plans.summary import CUSTOMER_KEY, AgeingSummary, project_summary
+from duesight.plans.summary import AgeingSummary, project_summary
 from duesight.session import prepare
-from duesight.settings import DEFAULT_AS_OF, DIR, USUAL, SummaryOptions
+from duesight.settings import DEFAULT_AS_OF, USUAL, SummaryOptions
 from duesight.sources.starmap import star_failures, star_run_events, star_tables
 from duesight.sources.tables import Tables
 
@@ -117,9 +117,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("dedupe_fanout", "SELECT bdm_id, doc_id, sales_order_id FROM items_inv")
 def _(t: Tables) -> DataFrame:
-    invoices = documents.open_invoices(t).select(F.col("id").alias("doc_id"), "project_id")
-    chosen = routes.owner_orders(t).select("project_id", "bdm_id", "sales_order_id")
-    return invoices.join(chosen, "project_id").select("bdm_id", "doc_id", "sales_order_id")
+    return documents.invoice_orders(t).drop("po_id")
 
 
 @query("po_resolution", "SELECT bdm_id, doc_id, po_no FROM items_inv")
@@ -135,22 +133,7 @@ def _(t: Tables) -> DataFrame:
     WHERE cp.parent_balance > 0 GROUP BY 1""",
 )
 def _(t: Tables) -> DataFrame:
-    parents = exposure.parent_counts(t).filter(F.col("open_parents") > 0)
-    members = (
-        t.invoice_consolidation_details.withColumnsRenamed(
-            {"invoice_consolidation_id": "consolidated_id", "invoice_id": "id"}
-        )
-        .join(t.invoices.select("id", "balance_amount"), "id")
-        .groupBy("consolidated_id")
-        .agg(F.count(F.lit(1)).alias("constituents"), F.sum("balance_amount").alias("balance"))
-    )
-    paired = F.coalesce("balance", F.lit(0)).cast("decimal(23,2)") * F.col("open_parents").cast("decimal(12,0)")
-    return parents.join(members, "consolidated_id", "left").select(
-        "consolidated_id",
-        F.col("open_parents").alias("parents"),
-        F.coalesce("constituents", F.lit(0)).alias("constituents"),
-        paired.alias("paired_balance"),
-    )
+    return exposure.consolidation_balances(t)
 
 
 ITEM_TEXT = ", ".join(
@@ -248,21 +231,7 @@ def _(t: Tables) -> DataFrame:
     FROM inv_star WHERE balance_amount > 0 AND status = 'a' AND bdm_id IS NOT NULL""",
 )
 def _(t: Tables) -> DataFrame:
-    unpaid = t.invoices.filter((F.col("balance_amount") > 0) & (F.col("status") == "a"))
-    orders = routes.owned_orders(t).select("project_id", "bdm_id", "sales_order_id", "credit_period")
-    due = F.col("due_date")
-    return (
-        unpaid.join(orders, "project_id")
-        .withColumn("due_date", dates.due_date(F.col("invoice_date"), F.col("credit_period")))
-        .select(
-            "bdm_id",
-            F.col("id").alias("doc_id"),
-            "sales_order_id",
-            "due_date",
-            dates.month_offset(due, DEFAULT_AS_OF).alias("month_offset"),
-            dates.ageing_bucket(due, DEFAULT_AS_OF).alias("bucket"),
-        )
-    )
+    return exposure.invoice_buckets(t, DEFAULT_AS_OF)
 
 
 @query("candidate_customers", "SELECT bdm_id, customer_code FROM candidates")
@@ -277,8 +246,7 @@ def _(t: Tables) -> DataFrame:
       AND (bdm_id, list_code) IN (SELECT (bdm_id, customer_code) FROM candidates) GROUP BY 1, 2, 3""",
 )
 def _(t: Tables) -> DataFrame:
-    rows = _summary(t).listed().filter((F.col("source") == DIR) & (F.col("open_count") > 0))
-    return rows.groupBy(*CUSTOMER_KEY).agg(F.sum("open_amount").alias("amount"))
+    return _summary(t).listed_direct()
 
 
 HORIZON_SQL = f"SELECT bdm_id, {_day('last_due_date')}, months FROM horizon"

@@ -45,6 +45,13 @@ def open_invoices(t: Tables) -> DataFrame:
     return without_revised(_approved_open(t), t.invoices)
 
 
+def invoice_orders(t: Tables) -> DataFrame:
+    """Owner and open invoice -> the one sales order through which the owner sees it."""
+    invoices = open_invoices(t).select(F.col("id").alias("doc_id"), "project_id", "po_id")
+    chosen = owner_orders(t).select("project_id", "bdm_id", "sales_order_id")
+    return invoices.join(chosen, "project_id").select("bdm_id", "doc_id", "sales_order_id", "po_id")
+
+
 def open_parents(t: Tables) -> DataFrame:
     """Approved, unpaid invoices that stand for a consolidation."""
     consolidations = t.invoice_consolidations.withColumnRenamed("id", "consolidated_id")

@@ -15,9 +15,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duesight.functions.dates import RECENT, bucket_name, due_date, month_offset
+from duesight.functions.dates import RECENT, ageing_bucket, bucket_name, due_date, month_offset
 from duesight.operators.documents import unpaid_credits
-from duesight.operators.routes import summary_routes
+from duesight.operators.routes import owned_orders, summary_routes
 from duesight.settings import APPROVED_STATUS, CON, CRN, DIR, INV, MONEY, MONEY_SUM, RATE
 from duesight.sources.tables import Tables
 
@@ -64,6 +64,45 @@ def parent_counts(t: Tables) -> DataFrame:
     )
 
 
+def consolidation_balances(t: Tables) -> DataFrame:
+    """Consolidation -> its unpaid parents, its constituents, and the balance of all their pairs."""
+    parents = parent_counts(t).filter(F.col("open_parents") > 0)
+    members = (
+        t.invoice_consolidation_details.withColumnsRenamed(
+            {"invoice_consolidation_id": "consolidated_id", "invoice_id": "id"}
+        )
+        .join(t.invoices.select("id", "balance_amount"), "id")
+        .groupBy("consolidated_id")
+        .agg(F.count(F.lit(1)).alias("constituents"), F.sum("balance_amount").alias("balance"))
+    )
+    paired = F.coalesce("balance", F.lit(0)).cast(MONEY_SUM) * F.col("open_parents").cast("decimal(12,0)")
+    return parents.join(members, "consolidated_id", "left").select(
+        "consolidated_id",
+        F.col("open_parents").alias("parents"),
+        F.coalesce("constituents", F.lit(0)).alias("constituents"),
+        paired.alias("paired_balance"),
+    )
+
+
+def invoice_buckets(t: Tables, as_of: dt.date) -> DataFrame:
+    """Due date, month offset and bucket of every approved, unpaid invoice and sales order."""
+    unpaid = t.invoices.filter((F.col("balance_amount") > 0) & (F.col("status") == APPROVED_STATUS))
+    orders = owned_orders(t).select("project_id", "bdm_id", "sales_order_id", "credit_period")
+    due = F.col("due_date")
+    return (
+        unpaid.join(orders, "project_id")
+        .withColumn("due_date", due_date(F.col("invoice_date"), F.col("credit_period")))
+        .select(
+            "bdm_id",
+            F.col("id").alias("doc_id"),
+            "sales_order_id",
+            "due_date",
+            month_offset(due, as_of).alias("month_offset"),
+            ageing_bucket(due, as_of).alias("bucket"),
+        )
+    )
+
+
 def _constituent_days(t: Tables) -> DataFrame:
     """Constituents weighted by the number of parents, so pairs are counted but never built."""
     weights = (

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from duesight.operators.documents import (
     consolidation_routes,
+    invoice_orders,
     open_credits,
     open_direct_invoices,
     open_invoices,
@@ -99,9 +100,8 @@ PO_NO = "case when own_po_no <> '' then own_po_no else fallback_po_no end"
 
 def purchase_orders(t: Tables) -> DataFrame:
     """Owner and document -> purchase order of every open project invoice."""
-    facts = with_own_purchase_order(_invoice_facts(open_invoices(t), INV), t)
-    chosen = owner_orders(t).select("project_id", "bdm_id", "sales_order_id")
-    routed = facts.join(chosen.join(fallback_purchase_orders(t), "sales_order_id", "left"), "project_id")
+    own = with_own_purchase_order(invoice_orders(t), t)
+    routed = own.join(fallback_purchase_orders(t), "sales_order_id", "left")
     return routed.selectExpr("bdm_id", "doc_id", f"{PO_NO} as po_no")
 
 

@@ -115,6 +115,11 @@ class AgeingSummary:
         listed = direct.join(self.candidate_customers(), ["bdm_id", "customer_code"], "left_semi")
         return known.filter(F.col("source") != DIR).unionByName(listed)
 
+    def listed_direct(self) -> DataFrame:
+        """Unpaid amounts of stand-alone invoices of candidate customers, by customer and currency."""
+        rows = self.listed().filter((F.col("source") == DIR) & (F.col("open_count") > 0))
+        return rows.groupBy(*CUSTOMER_KEY).agg(F.sum("open_amount").alias("amount"))
+
     def _within_horizon(self, rows: DataFrame) -> DataFrame:
         """Months past the owner's horizon have no bucket."""
         beyond = F.coalesce(F.col("month_offset") > F.coalesce("months", F.lit(0)), F.lit(False))
