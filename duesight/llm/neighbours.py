@@ -31,24 +31,24 @@ from duesight.llm.scratch import cut
 
 @dataclass(frozen=True)
 class Build:
-    neighbours: int = 20
-    #: Blocks the graph starts from, and nodes of a block.
-    starts: int = 8
-    block: int = 512
-    start_edges: int = 10
-    #: Edges of a node that take part in a round in each direction, and candidates each member of a join keeps.
-    new: int = 12
-    old: int = 12
-    best: int = 8
+    neighbours: int = 30
+    #: Nodes of the blocks the graph starts from, the edges a node takes from each, and the number of divisions into
+    #: blocks for each doubling of the nodes.
+    block: int = 1024
+    start_edges: int = 8
+    starts: float = 3.5
+    #: Edges of a node that take part in a round in each direction.
+    new: int = 20
+    old: int = 20
     rounds: int = 8
     few: float = 0.03  # share of new edges that ends the rounds
 
 
 @dataclass(frozen=True)
 class Search:
-    beam: int = 60
-    expand: int = 20
-    rounds: int = 3
+    beam: int = 100
+    expand: int = 30
+    rounds: int = 4
     rescored: int = 45
 
 
@@ -120,13 +120,15 @@ def _keep_best(edges: DataFrame, k: int) -> DataFrame:
 def _first_graph(nodes: DataFrame, build: Build, dims: int, number: int) -> DataFrame:
     """Edges inside blocks of nodes whose signs on random directions agree."""
     bits = max(1, int(np.ceil(np.log2(max(2, number / build.block)))) + 2)
-    directions = np.random.default_rng(7).standard_normal((build.starts, bits, dims + 1)).astype(np.float32)
+    starts = int(np.ceil(build.starts * bits))
+    taken = build.start_edges if number > build.block else build.neighbours  # a single block is the whole graph
+    directions = np.random.default_rng(7).standard_normal((starts, bits, dims + 1)).astype(np.float32)
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
                 x = _matrix(batch.code, batch.scale)
-                for t in range(build.starts):
+                for t in range(starts):
                     signs = (x @ directions[t].T > 0) @ (1 << np.arange(bits))
                     yield batch.assign(start=t, signs=signs.astype(np.int64))
 
@@ -135,12 +137,12 @@ def _first_graph(nodes: DataFrame, build: Build, dims: int, number: int) -> Data
         for batch in batches:
             rest = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
             while len(rest) >= 2 * build.block:
-                yield _inside(rest.iloc[: build.block], build.start_edges)
+                yield _inside(rest.iloc[: build.block], taken)
                 rest = rest.iloc[build.block :]
         if rest is not None and len(rest) > 1:
-            yield _inside(rest, build.start_edges)
+            yield _inside(rest, taken)
 
-    parts = max(1, min(10_000, number * build.starts // (build.block * 16)))
+    parts = max(1, min(10_000, number * starts // (build.block * 16)))
     placed = nodes.mapInPandas(place, "node long, code binary, scale float, start int, signs long")
     blocks = placed.repartitionByRange(parts, "start", "signs", "node").sortWithinPartitions("start", "signs", "node")
     return _keep_best(blocks.mapInPandas(join, EDGE), build.neighbours)
@@ -156,7 +158,7 @@ def _inside(block: pd.DataFrame, k: int) -> pd.DataFrame:
     return found[np.isfinite(found.score)]
 
 
-def _local_join(build: Build):
+def _local_join():
     """At each pivot: scores of all pairs with a fresh member that beat what the member's list ends with."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -172,10 +174,6 @@ def _local_join(build: Build):
                 ok = scores > worst[a:b, None]
                 ok &= fresh[a:b, None] | fresh[None, a:b]
                 ok &= names[a:b, None] != names[None, a:b]
-                if b - a > build.best:
-                    scores[~ok] = -np.inf
-                    bound = np.partition(scores, -build.best, axis=1)[:, -build.best]
-                    ok &= scores >= bound[:, None]
                 i, j = np.nonzero(ok)
                 vs.append(names[a + i])
                 us.append(names[a + j])
@@ -200,7 +198,7 @@ def _round(edges: DataFrame, nodes: DataFrame, build: Build) -> DataFrame:
     )
     known = nodes.join(worst, "node")
     attached = drawn.join(known, "node").select("pivot", "node", "code", "scale", "worst", "fresh")
-    found = attached.repartition("pivot").sortWithinPartitions("pivot").mapInPandas(_local_join(build), EDGE)
+    found = attached.repartition("pivot").sortWithinPartitions("pivot").mapInPandas(_local_join(), EDGE)
     # An edge that was drawn as fresh has met all it will meet through it.
     met = edges.join(drawn.filter("fresh").select(F.col("pivot").alias("v"), F.col("node").alias("u"), F.lit(True).alias("met")), ["v", "u"], "left")
     kept = met.select("v", "u", "score", (F.col("fresh") & F.col("met").isNull()).alias("fresh"))
