@@ -14,7 +14,8 @@ def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session. Only a local session without it gets a temporary folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not spark.sparkContext.master.startswith(("local[", "local")) or "cluster" in spark.sparkContext.master:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
         folder = tempfile.mkdtemp(prefix="duesight-llm-")
         spark.conf.set("spark.checkpoint.dir", folder)
