@@ -12,6 +12,7 @@ one piece that holds the end id. Rows that repeat are packed each on its own.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -23,15 +24,23 @@ from pyspark.sql import functions as F
 
 WINDOW = 2048
 END_ID = 1
-#: Words whose ids a worker remembers; emptied when full.
-CACHE = 300_000
+#: Words of each of two generations whose ids a worker remembers.
+CACHE = 400_000
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+#: How byte-level pre-tokenizers write the bytes that are no printable Latin-1 characters.
+#: Latin letters but the dotted capital I, and ASCII signs but the apostrophe behind them.
+_LATIN = re.compile("([A-Za-zÀ-ÖØ-öø-\u012f\u0131-\u024f]+)([!-&(-/:-@\\[-`{-~]*)").fullmatch
+_BYTES = {b: 256 + n for n, b in enumerate([*range(33), *range(127, 161), 173])}
+
+
 class WordEncoder:
     """Ids of texts as little-endian 32-bit bytes; the ids of words between blanks are remembered.
 
-    Right for tokenizers that drop white space before they split (the blank, tab and line feed end a word for any of them).
+    Made for tokenizers that lower-case, split letters from other characters and drop white space (the blank, tab and
+    line feed part words for any of them). Of a new word of Latin letters and signs behind them, the letters go to the
+    tokenizer's model directly; the signs and any other word go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -39,19 +48,44 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.seen: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+        self.written = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
+
+    def _whole(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _new(self, word: str) -> bytes:
+        latin = _LATIN(word)
+        if latin is None:
+            return self._whole(word)
+        letters, signs = latin.groups()
+        low = letters.lower()
+        found = self.seen.get(low)
+        if found is None:
+            text = low if low.isascii() else low.encode().decode("latin-1").translate(_BYTES)
+            written = self.written
+            found = b"".join([written[t.id] for t in self.model.tokenize(text)])
+        if not signs:
+            return found
+        tail = self.marks.get(signs)
+        if tail is None:
+            if len(self.marks) > CACHE:
+                self.marks.clear()
+            tail = self.marks[signs] = self._whole(signs)
+        return found + tail
 
     def __call__(self, text: str | None) -> bytes:
         words = (text or "").replace("\n", " ").replace("\t", " ").split(" ")
         if len(self.seen) > CACHE:
-            self.seen = {"": b""}
-        try:
-            return b"".join(map(self.seen.__getitem__, words))
-        except KeyError:
-            new = list({w for w in words if w not in self.seen})
-            for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self.seen[word] = np.array(found.ids, "<u4").tobytes()
-        return b"".join(map(self.seen.__getitem__, words))
+            self.older, self.seen = self.seen, {"": b""}
+        seen, older = self.seen, self.older
+        for word in set(words).difference(seen):
+            found = older.get(word)
+            seen[word] = self._new(word) if found is None else found
+        return b"".join(map(seen.__getitem__, words))
 
 
 class Packer:

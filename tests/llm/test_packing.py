@@ -103,7 +103,7 @@ LETTERS = st.text(st.characters(min_codepoint=32, max_codepoint=600), max_size=1
 
 
 @settings(max_examples=1500, deadline=None)
-@given(st.lists(LETTERS, max_size=3).map(" ".join), st.sampled_from(["", ",", ".", ",.", "'s", "..."]))
+@given(st.lists(LETTERS, max_size=3).map(" ".join), st.sampled_from(["", ",", ".", ",.", "'s", "...", "###", "_", "<|", "$$$"]))
 def test_latin_words(text, mark):
     assert np.frombuffer(ENCODER(text + mark), "<u4").tolist() == ENCODER.tokenizer.encode(text + mark, add_special_tokens=False).ids
 
