@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLANK = "▁"
+_WORD_AND_SIGNS = re.compile(r"(\w+)(\W+)").fullmatch
 #: Segments of each of two generations, and pairs, that a worker remembers.
-CACHE = 150_000
+CACHE = 250_000
 
 
 class Merger:
@@ -206,13 +207,17 @@ class PieceEncoder:
         return list(map(seen.__getitem__, words))
 
     def _new(self, segment: str, word: str, mark: str) -> tuple[str, str]:
-        if mark and len(word) > 1 and word[-2:] not in self.inside:
-            # No piece holds these two characters side by side: merging never passes between them.
-            stem, last = self.seen.get(word[:-1]) or self._made(segment[:-1]), self.ends.get(word[-1])
-            if last is None:
-                last = self.ends[word[-1]] = self._made(word[-1])
-            return stem[0] + last[0], stem[1] + last[1]
-        return self._made(segment)
+        parts = _WORD_AND_SIGNS(word) if mark else None
+        if parts is None or parts[1][-1] + parts[2][0] in self.inside:
+            return self._made(segment)
+        # No piece holds these two characters side by side: merging never passes between them.
+        letters, signs = parts.groups()
+        stem, tail = self.seen.get(letters) or self._made(mark + letters), self.ends.get(signs)
+        if tail is None:
+            if len(self.ends) > CACHE:
+                self.ends.clear()
+            tail = self.ends[signs] = self._made(signs)
+        return stem[0] + tail[0], stem[1] + tail[1]
 
     def _made(self, segment: str) -> tuple[str, str]:
         ids = self.segment(segment)
