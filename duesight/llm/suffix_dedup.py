@@ -4,7 +4,7 @@ A text is its UTF-8 bytes. Every string of 100 bytes has an anchor that its cont
 the position of its least hashed 8 bytes among the first 72, so that the 29 bytes from there on lie in the string. Only
 suffixes at anchors whose 29 leading bytes come up in different surroundings have to be sorted. They are dealt by
 sampled splitters over their leading bytes into buckets. A bucket sorts the suffixes of all the strings its
-anchors stand for by multikey quicksort, eight bytes a step, and compares neighbours: all but the first of equal strings
+anchors stand for, leading bytes by leading bytes, by multikey quicksort, eight bytes a step, and compares neighbours: all but the first of equal strings
 are repeats. A bucket's first and last leading bytes may go on in the next bucket; the first of their strings are
 compared across the boundaries by 128-bit hashes.
 
@@ -24,12 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from duesight.llm import repeats as R
+from duesight.llm.runs import starts_of, whole_runs
 
 SIZE = 100
 LEAD = 29
 GRAM = 8
-#: Anchors of a bucket.
-BUCKET = 4000
+#: Anchors of a bucket, most buckets (the driver gets a sample of the leading bytes for each), anchors sorted at a time.
+BUCKET, MOST_BUCKETS, CHUNK = 50_000, 10_000, 4000
 _SMALL = 40
 
 
@@ -72,6 +73,7 @@ def multikey_quicksort(words: np.ndarray) -> np.ndarray:
 
 
 SUFFIX = "lead binary, text binary, doc_id long, low long, at long"
+#: A repeated string that starts at p; with a name, a string that may go on in another bucket.
 FOUND = "doc_id long, p long, name binary"
 
 
@@ -86,44 +88,58 @@ def suffixes(docs: DataFrame, anchors: DataFrame, size: int, lead: int) -> DataF
     return R.beside(docs, places, make, SUFFIX, all_docs=False)
 
 
+def _sorted_strings(frame: pd.DataFrame, size: int, edges: set[bytes]) -> Iterator[pd.DataFrame]:
+    """``FOUND`` for anchors that include all of the bucket with the same leading bytes."""
+    views = [np.lib.stride_tricks.sliding_window_view(np.frombuffer(t, np.uint8), size) for t in frame.text]
+    numbers = np.array([len(v) for v in views])
+    owner = np.repeat(np.arange(len(frame)), numbers)
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(numbers) - numbers, numbers) + frame.low.to_numpy()[owner]
+    raw = np.zeros((len(owner), -(-size // 8) * 8), np.uint8)
+    np.concatenate(views, out=raw[:, :size])
+    words = raw.view(">u8").astype(np.uint64)
+    order = multikey_quicksort(words)
+    equal = (words[order[1:]] == words[order[:-1]]).all(axis=1)
+    group = np.cumsum(np.concatenate([[True], ~equal])) - 1
+    doc = frame.doc_id.to_numpy()[owner]
+    by = np.lexsort((place[order], doc[order], group))
+    group, order = group[by], order[by]
+    new = np.concatenate([[True], group[1:] != group[:-1]])
+    lead = order[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
+    again = np.zeros(len(owner), bool)
+    again[order] = (doc[order] > doc[lead]) | (place[order] > place[lead])
+    yield pd.DataFrame({"doc_id": doc[again], "p": place[again], "name": None})
+    on_edge = frame.lead.isin(edges).to_numpy()[owner]
+    first = np.flatnonzero(~again & on_edge)
+    names = [xxhash.xxh128_digest(raw[i, :size].tobytes()) for i in first]
+    yield pd.DataFrame({"doc_id": doc[first], "p": place[first], "name": names})
+
+
 def _bucket(size: int):
-    """Repeated strings of one bucket (``name`` null), and the first of the strings that may go on elsewhere."""
+    """Repeated strings of one bucket, and the first of the strings under its first and last leading bytes.
+
+    Only one batch and one run of equal leading bytes is in memory, whatever the size of the bucket.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        frames = [b for b in batches if len(b)]  # a bucket has a bounded number of anchors
-        if not frames:
-            return
-        frame = pd.concat(frames, ignore_index=True)
-        views = [np.lib.stride_tricks.sliding_window_view(np.frombuffer(t, np.uint8), size) for t in frame.text]
-        numbers = np.array([len(v) for v in views])
-        owner = np.repeat(np.arange(len(frame)), numbers)
-        place = np.arange(len(owner)) - np.repeat(np.cumsum(numbers) - numbers, numbers) + frame.low.to_numpy()[owner]
-        raw = np.zeros((len(owner), -(-size // 8) * 8), np.uint8)
-        np.concatenate(views, out=raw[:, :size])
-        words = raw.view(">u8").astype(np.uint64)
-        order = multikey_quicksort(words)
-        equal = (words[order[1:]] == words[order[:-1]]).all(axis=1)
-        group = np.cumsum(np.concatenate([[True], ~equal])) - 1
-        doc, place = frame.doc_id.to_numpy()[owner[order]], place[order]
-        by = np.lexsort((place, doc, group))
-        group, doc, place, order = group[by], doc[by], place[by], order[by]
-        new = np.concatenate([[True], group[1:] != group[:-1]])
-        lead = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-        again = (doc > doc[lead]) | (place > place[lead])
-        edges = {min(frame.lead), max(frame.lead)}
-        on_edge = frame.lead.isin(edges).to_numpy()[owner[order]]
-        yield pd.DataFrame({"doc_id": doc[again], "p": place[again], "name": None})
-        first = np.flatnonzero(~again & on_edge)
-        names = [xxhash.xxh128_digest(raw[i, :size].tobytes()) for i in order[first]]
-        yield pd.DataFrame({"doc_id": doc[first], "p": place[first], "name": names})
+        first, held = None, None
+        for frame in whole_runs(batches, ["lead"]):
+            cuts = starts_of(frame, ["lead"])
+            steps = [0, *[int(c) for i, c in enumerate(cuts[1:-1], 1) if c // CHUNK != cuts[i - 1] // CHUNK], len(frame)]
+            for a, b in zip(steps[:-1], steps[1:], strict=True):
+                first = first or frame.lead.iat[0]
+                if held is not None:
+                    yield from _sorted_strings(held, size, {first})
+                held = frame.iloc[a:b].reset_index(drop=True)
+        if held is not None:
+            yield from _sorted_strings(held, size, {first, held.lead.iat[-1]})
 
     return run
 
 
 def repeated_strings(table: DataFrame, size: int, bucket: int) -> DataFrame:
-    """``doc_id, p``: places in ``table`` (of ``suffixes``) whose string stands at an earlier place, too."""
-    parts = max(1, -(-table.count() // bucket))
-    dealt = table.repartitionByRange(parts, "lead", "doc_id", "at")
+    """``doc_id, p``: starts in ``table`` (of ``suffixes``) whose string stands at an earlier place, too."""
+    parts = max(1, min(MOST_BUCKETS, -(-table.count() // bucket)))
+    dealt = table.repartitionByRange(parts, "lead", "doc_id", "at").sortWithinPartitions("lead")
     found = R.cut(dealt.mapInPandas(_bucket(size), FOUND), "strings")
     open_ends = found.filter("name is not null")
     owners = open_ends.groupBy("name").agg(F.min(F.struct("doc_id", "p")).alias("owner"))
