@@ -86,6 +86,16 @@ def read_state(spark: SparkSession, state: str) -> DataFrame:
         return cut(rows.select("digest", (-F.col("best.minus_id")).alias("keep_id"), F.col("best.locator").alias("locator"), "group_size"), "dedup-classes")
 
 
+def _with_class(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """The digest rows with their class. A class with over a ten-thousandth of all rows goes to every executor, so
+    that its rows need not meet in one task; there are fewer than ten thousand such classes at any size."""
+    large = F.col("group_size") * 10_000 > rows.count()
+    hot = F.broadcast(classes.filter(large))
+    of_hot = rows.join(hot, "digest")
+    others = rows.join(F.broadcast(classes.filter(large).select("digest")), "digest", "left_anti")
+    return of_hot.unionByName(others.join(classes.filter(~large), "digest"))
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest_bytes: int = 32) -> DataFrame:
     """``doc_id, keep_id, group_size, kept, text_sha256`` of every row. ``digest_bytes`` under 32 is for tests."""
     spark = docs.sparkSession
@@ -96,10 +106,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return rows.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(0).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.lit("").alias("text_sha256"))
     run_stream(spark, source, state)
     classes = read_state(spark, state)
+    members = _with_class(rows, classes.drop("locator"))
 
     # Hits are compared byte for byte: the least and the greatest text of a key are the same text. Both are
     # combined on the map side, so a group of any size moves two texts for each task.
-    hits = rows.join(classes.filter("group_size > 1").select("digest"), "digest").select("doc_id", "digest").filter("doc_id is not null").distinct()
+    hits = members.filter("group_size > 1 and doc_id is not null").select("doc_id", "digest").distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), normalised(F.col(text_col)).alias("body"))
     hit_texts = texts.join(hits, "doc_id")
     bad = cut(
@@ -107,7 +118,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .filter(F.col("low") != F.col("high")).select("digest"),
         "dedup-collisions",
     )
-    members = rows.join(classes.drop("locator"), "digest")
     if not bad.isEmpty():
         # Other texts under one digest: those keys are grouped by the whole digest-independent text instead.
         own = rows.join(bad, "digest", "left_semi").withColumnRenamed("doc_id", "id")
