@@ -16,6 +16,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import ahocorasick
 import pandas as pd
@@ -109,8 +110,9 @@ class PieceEncoder:
         self.ends: dict[str, tuple[str, str]] = {}
         self.apart = not any(BLANK in p.lstrip(BLANK) for p in self.ids)
         self.pairs: dict[int, bool] = {}
-        self.seen: dict[str, tuple[str, str]] = {}
-        self.older: dict[str, tuple[str, str]] = {}
+        self.seen: dict[str, str] = {}
+        self.older: dict[str, str] = {}
+        self.strange: dict[str, str] = {}
         self.added = "" if model.encode("a", out_type=str)[0] == "a" else BLANK
         chars = "".join(re.escape(p) for p in self.ids if len(p) == 1)
         self.runs = re.compile(f"([{chars}]+)|([^{chars}])", re.DOTALL)
@@ -182,42 +184,58 @@ class PieceEncoder:
             out += self.pieces_of(known) if known else [self.bytes[b] for b in char.encode()]
         return out
 
-    def parts(self, text: str) -> list[tuple[str, str]]:
-        """The segments of a text: decimal ids, each before a blank, and the decoded text."""
+    def written(self, text: str) -> tuple[str, str]:
+        """Decimal ids, a blank behind each, and the text that they decode to.
+
+        A segment's own text is what it decodes to nearly always; where it isn't, that is remembered in ``strange``.
+        """
         if not text:
-            return []
-        if self.apart and self.added and "  " not in text and text[0] != " " and BLANK not in text:
-            words, mark = text.split(" "), BLANK
+            return "", ""
+        marked = self.added.replace(BLANK, " ") + text.replace(BLANK, " ")
+        if self.apart and self.added and "  " not in marked and BLANK not in text:
+            words = text.split(" ")  # without their marks
         else:
-            marked = self.added + text.replace(" ", BLANK)
-            words, mark = re.findall(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+", marked) if self.apart else [marked], ""
-        if len(self.seen) > CACHE:
+            whole = marked.replace(" ", BLANK)
+            words = re.findall(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+", whole) if self.apart else [whole]
+        if len(self.strange) > CACHE:
+            self.older, self.seen, self.strange = {}, {}, {}
+        elif len(self.seen) > CACHE:
             self.older, self.seen = self.seen, {}
-        # Segments begin with a blank mark, plain words hold none: they share the memory without a clash. The
-        # one segment without either stands first in a text that gets no mark, and is told apart by a null.
-        key = "" if mark else "\0"
         seen, older = self.seen, self.older
-        if not mark:
-            words = [w if w[0] == BLANK else key + w for w in words]
         for word in set(words).difference(seen):
             found = older.get(word)
-            if found is None:
-                found = self._new(mark + word.removeprefix(key) if key else mark + word, word, mark)
-            seen[word] = found
-        return list(map(seen.__getitem__, words))
-
-    def _new(self, segment: str, word: str, mark: str) -> tuple[str, str]:
-        parts = _WORD_AND_SIGNS(word) if mark else None
-        if parts is None or parts[1][-1] + parts[2][0] in self.inside:
-            return self._made(segment)
-        # No piece holds these two characters side by side: merging never passes between them.
-        letters, signs = parts.groups()
-        stem, tail = self.seen.get(letters) or self._made(mark + letters), self.ends.get(signs)
-        if tail is None:
-            if len(self.ends) > CACHE:
-                self.ends.clear()
-            tail = self.ends[signs] = self._made(signs)
-        return stem[0] + tail[0], stem[1] + tail[1]
+            seen[word] = self._new(word) if found is None else found
+        ids = "".join(map(seen.__getitem__, words))
+        if self.strange and not self.strange.keys().isdisjoint(words):
+            marked = "".join([self.strange.get(w) or self._segment_of(w).replace(BLANK, " ") for w in words])
+        return ids, marked
+
+    def _segment_of(self, word: str) -> str:
+        """A word with its mark. Marked segments keep theirs; without an added blank, the first one has none."""
+        return word if not self.added or word.startswith(BLANK) else BLANK + word
+
+    def _new(self, word: str) -> str:
+        segment = self._segment_of(word)
+        parts = _WORD_AND_SIGNS(word) if segment is not word else None
+        if parts is not None and parts[1][-1] + parts[2][0] not in self.inside:
+            # No piece holds these two characters side by side: merging never passes between them.
+            letters, signs = parts.groups()
+            tail = self.ends.get(signs)
+            if tail is None:
+                if len(self.ends) > CACHE:
+                    self.ends.clear()
+                tail = self.ends[signs] = self._made(signs)
+            stem = self.seen.get(letters)
+            if stem is not None and letters not in self.strange:
+                stem = stem, " " + letters
+            else:
+                stem = self._made(BLANK + letters)
+            ids, text = stem[0] + tail[0], stem[1] + tail[1]
+        else:
+            ids, text = self._made(segment)
+        if text != segment.replace(BLANK, " "):
+            self.strange[word] = text
+        return ids
 
     def _made(self, segment: str) -> tuple[str, str]:
         ids = self.segment(segment)
@@ -225,7 +243,7 @@ class PieceEncoder:
 
     def encode(self, text: str | None) -> list[int]:
         """All ids, the end id last."""
-        return [int(i) for i in "".join([p[0] for p in self.parts(text or "")]).split()] + [self.end]
+        return [int(i) for i in self.written(text or "")[0].split()] + [self.end]
 
     def _text(self, ids: list[int]) -> str:
         if self.odd.isdisjoint(ids):
@@ -269,6 +287,12 @@ def _utf8(raw: bytes) -> str:
     return "".join(out)
 
 
+@lru_cache(maxsize=2)
+def shared(path: str) -> PieceEncoder:
+    """The encoder of a worker process: its tables are made once, and its memory serves all tasks of the worker."""
+    return PieceEncoder(path)
+
+
 def encode(docs: DataFrame, encoder: Callable[[], PieceEncoder], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids`` (decimal ids joined by one blank) and ``decoded`` text of every row."""
 
@@ -277,11 +301,10 @@ def encode(docs: DataFrame, encoder: Callable[[], PieceEncoder], id_col: str = "
         for batch in batches:
             numbers, written, decoded = [], [], []
             for text in batch.text:
-                parts = one.parts(text or "")
-                ids = "".join([p[0] for p in parts])
+                ids, plain = one.written(text or "")
                 numbers.append(ids.count(" ") + 1)
                 written.append(ids + str(one.end))
-                decoded.append(one.without_added("".join([p[1] for p in parts])))
+                decoded.append(one.without_added(plain))
             yield pd.DataFrame({"doc_id": batch.doc_id, "n_tokens": numbers, "ids": written, "decoded": decoded})
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

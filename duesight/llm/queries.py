@@ -65,7 +65,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer("piece_bpe_32k.model")
-    rows = piece_encoding.encode(table(spark, sf_dir, "documents"), lambda: piece_encoding.PieceEncoder(path))
+    rows = piece_encoding.encode(table(spark, sf_dir, "documents"), lambda: piece_encoding.shared(path))
     return rows.select("doc_id", "n_tokens", F.sha2(F.col("ids").cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
