@@ -86,10 +86,10 @@ def read_state(spark: SparkSession, state: str) -> DataFrame:
         return cut(rows.select("digest", (-F.col("best.minus_id")).alias("keep_id"), F.col("best.locator").alias("locator"), "group_size"), "dedup-classes")
 
 
-def _with_class(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """The digest rows with their class. A class with over a ten-thousandth of all rows goes to every executor, so
-    that its rows need not meet in one task; there are fewer than ten thousand such classes at any size."""
-    large = F.col("group_size") * 10_000 > rows.count()
+def _with_class(rows: DataFrame, classes: DataFrame, large: Column) -> DataFrame:
+    """The rows with the class of their digest, those without one left out. A ``large`` class has over a ten-thousandth
+    of all rows and goes to every executor, so that its rows need not meet in one task; there are fewer than ten
+    thousand such classes at any size."""
     hot = F.broadcast(classes.filter(large))
     of_hot = rows.join(hot, "digest")
     others = rows.join(F.broadcast(classes.filter(large).select("digest")), "digest", "left_anti")
@@ -106,13 +106,18 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return rows.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(0).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.lit("").alias("text_sha256"))
     run_stream(spark, source, state)
     classes = read_state(spark, state)
-    members = _with_class(rows, classes.drop("locator"))
+    large = F.col("group_size") * 10_000 > rows.count()
+    parts = ["doc_id", "sha", "keep_id", "group_size"]
+    members = _with_class(rows, classes.drop("locator"), large)
 
     # Hits are compared byte for byte: the least and the greatest text of a key are the same text. Both are
-    # combined on the map side, so a group of any size moves two texts for each task.
-    hits = members.filter("group_size > 1 and doc_id is not null").select("doc_id", "digest").distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), normalised(F.col(text_col)).alias("body"))
-    hit_texts = texts.join(hits, "doc_id")
+    # combined on the map side, so a group of any size moves two texts for each task. A text finds its key by its own
+    # digest, as an id may be null or stand on several texts.
+    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n_points"), normalised(F.col(text_col)).alias("body"))
+    shas = given.withColumn("sha", F.unhex(F.sha2(F.col("body").cast("binary"), 256)))
+    texts = shas.withColumn("digest", F.substring("sha", 1, digest_bytes))
+    hits = cut(classes.filter("group_size > 1").select("digest", "group_size"), "dedup-hits").hint("shuffle_hash")  # texts aren't sorted
+    hit_texts = _with_class(texts.select("digest", "body"), hits, large)
     bad = cut(
         hit_texts.groupBy("digest").agg(F.min("body").alias("low"), F.max("body").alias("high"))
         .filter(F.col("low") != F.col("high")).select("digest"),
@@ -120,11 +125,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     if not bad.isEmpty():
         # Other texts under one digest: those keys are grouped by the whole digest-independent text instead.
-        own = rows.join(bad, "digest", "left_semi").withColumnRenamed("doc_id", "id")
-        whole = own.join(texts, F.col("id").eqNullSafe(texts.doc_id)).drop("doc_id")
-        per_text = whole.groupBy("digest", "body").agg(F.max(F.struct("n_points", (-F.col("id")).alias("minus_id"))).alias("best"), F.count(F.lit(1)).alias("group_size"))
-        split = whole.join(per_text, ["digest", "body"]).select("digest", F.col("id").alias("doc_id"), "sha", "n_points", "locator", (-F.col("best.minus_id")).alias("keep_id"), "group_size")
-        members = members.join(bad, "digest", "left_anti").unionByName(split)
+        whole = texts.join(bad, "digest", "left_semi")
+        per_text = whole.groupBy("digest", "body").agg(F.max(F.struct("n_points", (-F.col("doc_id")).alias("minus_id"))).alias("best"), F.count(F.lit(1)).alias("group_size"))
+        split = whole.join(per_text, ["digest", "body"]).withColumn("keep_id", -F.col("best.minus_id")).select(*parts)
+        members = members.join(bad, "digest", "left_anti").select(*parts).unionByName(split)
     return members.select(
         "doc_id", "keep_id", "group_size",
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),

@@ -38,6 +38,15 @@ def test_awkward_rows(awkward, digest_bytes):
     assert rows_of(X.exact_dedup(awkward, digest_bytes=digest_bytes)) == brute(texts_of(awkward))
 
 
+@pytest.mark.parametrize("digest_bytes", [32, 1])
+def test_ids_on_several_texts(spark, digest_bytes):
+    """Each row meets its own text only, also if its id is null or stands on other texts."""
+    rows = [(7, "text x"), (7, "text y"), (9, "text x"), (None, "text y"), (None, "text z"), (None, "text  z"), (7, "text  x"), (None, None)]
+    rows += [(None, f"text {k}") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert rows_of(X.exact_dedup(docs, digest_bytes=digest_bytes)) == brute(rows)
+
+
 def test_empty_table(empty):
     assert X.exact_dedup(empty).collect() == []
 
