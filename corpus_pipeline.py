@@ -16,10 +16,13 @@ from duesight.llm import exact_dedup, language_id, packing, pii, queries, simhas
 from duesight.llm.scratch import cut
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each id in ``ids`` (a null id is an id)."""
-    ids = ids.select(F.col("doc_id").alias("_kept"))
-    return docs.join(ids, docs.doc_id.eqNullSafe(ids["_kept"]), "left_semi").dropDuplicates(["doc_id"])
+def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each ``doc_id, _key`` in ``kept``: the longest text. An id, null too, may stand on many
+    texts; ``_key`` says which of them is meant."""
+    kept = kept.select(F.col("doc_id").alias("_id"), F.col("_key").alias("_kept"))
+    found = docs.join(kept, docs.doc_id.eqNullSafe(kept["_id"]) & (docs["_key"] == kept["_kept"]), "left_semi")
+    row = F.struct(F.length("text").alias("n"), F.struct(*found.drop("_key").columns).alias("row"))
+    return found.groupBy("doc_id", "_key").agg(F.max(row).alias("_one")).select("_one.row.*")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,12 +34,14 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of equal texts."""
-    return _only(docs, exact_dedup.exact_dedup(docs).filter("kept"))
+    keyed = docs.withColumn("_key", F.sha2(exact_dedup.normalised(F.col("text")).cast("binary"), 256))
+    return _only(keyed, exact_dedup.exact_dedup(docs).filter("kept").select("doc_id", F.col("text_sha256").alias("_key")).distinct())
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates."""
-    return _only(docs, simhash.near_duplicates(docs).filter("doc_id <=> component_id"))
+    """The document with the smallest id of each group of near duplicates; one without id if none has one."""
+    keyed = docs.withColumn("_key", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    return _only(keyed, simhash.representatives(keyed, "_key"))
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,16 +49,16 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return int(np.packbits(2 * votes > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp`` (the fingerprint's bits as a signed long) of every row."""
+def fingerprints(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text", more: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, fp`` (the fingerprint's bits as a signed long) and the text columns ``more`` of every row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = np.array([fingerprint(text, words) for text in batch.text], dtype=np.uint64)
-            yield pd.DataFrame({"doc_id": batch.doc_id, "fp": found.view(np.int64)})
+            yield pd.DataFrame({"doc_id": batch.doc_id, "fp": found.view(np.int64)} | {c: batch[c] for c in more})
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *more)
+    return rows.mapInPandas(run, ", ".join(["doc_id long, fp long", *(f"{c} string" for c in more)]))
 
 
 class BKTree:
@@ -194,12 +194,25 @@ def near_links(codes: DataFrame, bits: int = MAX_BITS, shard: int = SHARD) -> Da
     return shards.mapInPandas(_search(bits), "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, bits: int = MAX_BITS, shard: int = SHARD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fingerprint`` (16 hex digits) and ``component_id``, the smallest id that links reach, of every row."""
-    rows = cut(fingerprints(docs, words, id_col, text_col), "fingerprints")
+def _labelled(docs: DataFrame, words: int, bits: int, shard: int, id_col: str, text_col: str, more: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, fp``, the columns ``more``, ``root`` (one fingerprint for each component) and ``component_id``."""
+    rows = cut(fingerprints(docs, words, id_col, text_col, more), "fingerprints")
     codes = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("low_id")), "codes")
     roots = components(near_links(codes.select("fp"), bits, shard))
     rooted = codes.join(roots, codes.fp == roots.node, "left").select("fp", "low_id", F.coalesce("root", "fp").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("low_id").alias("component_id"))
-    labels = cut(rooted.join(lowest, "root").select("fp", "component_id"), "labels")
-    return rows.join(labels, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    labels = cut(rooted.join(lowest, "root").select("fp", "root", "component_id"), "labels")
+    return rows.join(labels, "fp")
+
+
+def representatives(docs: DataFrame, key_col: str, words: int = WORDS, bits: int = MAX_BITS, shard: int = SHARD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id`` and ``key_col`` of one row of each component: the smallest id, null last, then the smallest key."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", key_col))
+    rows = _labelled(docs, words, bits, shard, id_col, text_col, (key_col,))
+    return rows.groupBy("root").agg(first.alias("one")).select("one.doc_id", f"one.{key_col}")
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, bits: int = MAX_BITS, shard: int = SHARD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, fingerprint`` (16 hex digits) and ``component_id``, the smallest id that links reach, of every row."""
+    rows = _labelled(docs, words, bits, shard, id_col, text_col)
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -11,7 +11,7 @@ import corpus_pipeline
 from duesight.llm import pii
 from duesight.llm.queries import tokenizer
 from tests.llm import test_exact_dedup, test_packing, test_pii, test_simhash
-from tests.llm.conftest import SMALL, texts_of
+from tests.llm.conftest import DOCS, SMALL, texts_of
 
 
 @pytest.fixture(scope="module")
@@ -70,6 +70,17 @@ def test_packed(kept):
     test_packing.check(kept[5].collect(), ids_of, 2048)
 
 
+def test_ids_that_repeat(spark):
+    """Rows without id, or with the same id, are documents of their own unless their texts are equal."""
+    one, two, three, four = (" ".join(w * n for n in range(1, 9)) for w in "abcd")
+    rows = [(None, one), (None, two), (None, two), (None, three), (7, four), (7, three + "  "), (7, three), (9, four), (8, two.title()), (None, one.title())]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCS)
+    exact = corpus_pipeline.exact(spark, docs, SMALL)
+    assert sorted(texts_of(exact), key=str) == sorted([(None, one), (None, two), (7, four), (7, three + "  "), (8, two.title()), (None, one.title())], key=str)
+    near = texts_of(corpus_pipeline.near(spark, exact, SMALL))
+    assert len(near) == 4 and {(i, t.lower()) for i, t in near} == {(None, one), (8, two), (7, three + "  "), (7, four)}
+
+
 def test_run(spark, kept):
     pieces = corpus_pipeline.run(spark, SMALL)
     assert pieces.agg(F.sum("length")).first()[0] > 0
