@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duesight.llm import exact_dedup, html_extraction, language_id, neighbours, packing, piece_encoding, pii, recompression, simhash, suffix_dedup
+from duesight.llm import exact_dedup, html_extraction, language_id, neighbours, packing, piece_encoding, pii, recompression, simhash, spelling, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,11 @@ def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_tokens", F.sha2(F.col("ids").cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.counted(table(spark, sf_dir, "documents"), least_points=6, least_count=5, slip_every=199)
+    return spelling.variants(words, factor=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_recompression,
         op9_language_id,
         op10_piece_encoding,
+        op11_spelling,
     )
 }
 
@@ -118,7 +124,37 @@ SELECT n.doc_id, len(n.words)::BIGINT AS n_words, (len(n.words) - coalesce(k.n_k
        sha256(coalesce(k.body, '')) AS kept_sha256
 FROM n LEFT JOIN kept k USING (doc_id)"""
 
+#: CRC-32 over the bytes, from a table that its polynomial gives; near words share what is left when one code point
+#: goes: at the same place (replaced), or the word itself (deleted, inserted).
+_SPELLING_SQL = r"""
+WITH RECURSIVE bits(i, c, k) AS (
+  SELECT range, range, 0 FROM range(256)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+runs AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents)),
+per_doc AS (SELECT doc_id, run, count(*) AS m FROM runs GROUP BY ALL),
+octets AS (SELECT doc_id, run, m, hex(encode(doc_id || ':' || run)) AS x FROM per_doc WHERE length(run) > 5),
+hashed AS (SELECT doc_id, run, m, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(range(1, length(x), 2), lambda p: (instr('0123456789ABCDEF', x[p]) - 1) * 16 + instr('0123456789ABCDEF', x[p + 1]) - 1)),
+    lambda s, b: xor(s >> 8, t[(xor(s, b) & 255) + 1]))) AS h FROM octets, crc),
+slips AS (SELECT CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::BIGINT) || substring(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, m FROM hashed),
+words AS (SELECT word, sum(m)::BIGINT AS n FROM slips WHERE length(word) >= 6 GROUP BY word HAVING sum(m) >= 5),
+less AS (SELECT word, n, p, left(word, p) || substring(word, p + 2) AS part
+  FROM (SELECT word, n, unnest(range(0, length(word))) AS p FROM words)),
+near AS (SELECT a.word, b.word AS other, b.n FROM less a JOIN less b ON a.part = b.part AND a.p = b.p AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.part = b.word
+  UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.part = b.word),
+best AS (SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS form, max(n) AS form_n FROM near GROUP BY word),
+formed AS (SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+    CASE WHEN form_n >= 5 * w.n THEN form END AS form, CASE WHEN form_n >= 5 * w.n THEN form_n END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word),
+steps(word, here) AS (SELECT word, word FROM formed UNION ALL SELECT s.word, f.form FROM steps s JOIN formed f ON s.here = f.word WHERE f.form IS NOT NULL),
+ends AS (SELECT s.word, s.here AS root FROM steps s JOIN formed f ON s.here = f.word WHERE f.form IS NULL)
+SELECT f.word, f.form, e.root, f.n, f.n_near, f.form_n FROM formed f JOIN ends e ON f.word = e.word"""
+
 ORACLE_SQL = {
+    "op11_spelling": _SPELLING_SQL,
     "op6_exact_dedup": rf"""
 WITH n AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,

@@ -24,5 +24,5 @@ def test_sql(spark, name):
 
 def test_every_operator_is_registered():
     names = contract.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{n}" for n in range(1, 14)}
     assert "pipeline" in names and set(ORACLE_SQL) <= set(contract.oracle_sql())
