@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from duesight.llm import exact_dedup, html_extraction, language_id, neighbours, packing, piece_encoding, pii, recompression, simhash, spelling, suffix_dedup
+from duesight.llm import exact_dedup, hard_negatives, html_extraction, language_id, neighbours, packing, piece_encoding, pii, recompression, simhash, spelling, suffix_dedup, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +74,19 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(words, factor=5)
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages have no capture time: one counts as captured as many seconds after 2020 began as its id says, modulo 10^9."""
+    archives = warc.write(table(spark, sf_dir, "pages"), F.timestamp_seconds(1_577_836_800 + F.pmod("page_id", F.lit(10**9))))
+    index = warc.merged_index(warc.read(spark, archives))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "capture", "position")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(moved, lambda usable: usable.filter("vec_id % 100 = 0"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -88,6 +101,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_language_id,
         op10_piece_encoding,
         op11_spelling,
+        op12_warc,
+        op13_hard_negatives,
     )
 }
 
@@ -153,7 +168,38 @@ steps(word, here) AS (SELECT word, word FROM formed UNION ALL SELECT s.word, f.f
 ends AS (SELECT s.word, s.here AS root FROM steps s JOIN formed f ON s.here = f.word WHERE f.form IS NULL)
 SELECT f.word, f.form, e.root, f.n, f.n_near, f.form_n FROM formed f JOIN ends e ON f.word = e.word"""
 
+_WARC_SQL = r"""
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS body, regexp_replace(regexp_replace(
+    regexp_replace(coalesce(url, ''), '[\x00-\x20\x7F]', '%20', 'g'), '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '#.*$', '') AS bare FROM pages),
+h AS (SELECT *, regexp_extract(bare, '^[^/?]*') AS place FROM p),
+k AS (SELECT page_id, url, strlen(body)::BIGINT AS payload_bytes, sha256(body) AS payload_digest,
+    array_to_string(list_reverse(string_split(regexp_replace(regexp_replace(lower(place), '^.*@|:[0-9]*$', '', 'g'), '^www\.', ''), '.')), ',')
+      || ')' || substring(bare, length(place) + 1) AS url_key FROM h),
+o AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS owner FROM k)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> owner THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> owner THEN owner END AS refers_to, url_key,
+  row_number() OVER (PARTITION BY url_key ORDER BY page_id % 1000000000, page_id) AS capture,
+  row_number() OVER (ORDER BY url_key, page_id % 1000000000, page_id) AS position
+FROM o"""
+
+_NEGATIVES_SQL = """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vec
+  FROM (SELECT * FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.vec, b.vec)::BIGINT AS score
+  FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER best)::INT AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 10"""
+
 ORACLE_SQL = {
+    "op13_hard_negatives": _NEGATIVES_SQL,
+    "op12_warc": _WARC_SQL,
     "op11_spelling": _SPELLING_SQL,
     "op6_exact_dedup": rf"""
 WITH n AS (
