@@ -12,7 +12,8 @@ keys and are opened when the merge reaches them, so a task holds those blocks th
 run, however long the runs are. A URL with very many captures is split over ranges by time and id. The index is in
 global order, and the captures of a URL key follow one another as its history.
 
-The records are told apart by a header with a random name of the archives, which no payload can know; only
+Archives are gzip files unless they are asked for plain; the places in the index are those in the unpacked file. The records
+are told apart by a header with a random name of the archives, which no payload can know; only
 archives of ``write`` can be read. Files are written and read by Spark itself, so they may lie in any store.
 
 Null urls are an empty key and give no target; a null payload is empty; a null date is the start of 1970. White space
@@ -106,7 +107,7 @@ def _record(name: str) -> Column:
     )
 
 
-def write(pages: DataFrame, date: Column, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least_shared: int = LEAST_SHARED, archive_bytes: int = ARCHIVE_BYTES) -> Archives:
+def write(pages: DataFrame, date: Column, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least_shared: int = LEAST_SHARED, archive_bytes: int = ARCHIVE_BYTES, compression: str = "gzip") -> Archives:
     """Archives of all rows in a new shared folder. Payloads are moved once, by digest or, in large groups, by row."""
     spark = pages.sparkSession
     rows = _captures(pages, id_col, url_col, payload_col, date)
@@ -125,7 +126,7 @@ def write(pages: DataFrame, date: Column, id_col: str = "page_id", url_col: str
     judged = joined.withColumn("refers_to", F.when((F.col("payload_bytes") >= least_shared) & ~F.col("owner").eqNullSafe(F.col("page_id")), F.col("owner")))
     archives = Archives(new_path(spark, "warc"), f"<urn:uuid:{uuid.uuid4()}>")
     records = judged.sortWithinPartitions(*_ORDER).select(_record(archives.name).alias("value"))
-    records.write.option("lineSep", _END).text(archives.folder)
+    records.write.option("lineSep", _END).text(archives.folder, compression=compression)
     return archives
 
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gzip
 import hashlib
 import random
 from collections import defaultdict
@@ -64,10 +65,11 @@ def test_round_trip_of_odd_rows(spark, odd, block):
     assert plain(index) == expected(rows)
 
 
-def test_history_and_places(spark, odd):
+@pytest.mark.parametrize(("compression", "opened"), [("gzip", gzip.open), ("none", open)])
+def test_history_and_places(spark, odd, compression, opened):
     """Global order, history of each key, and records found in the files at the places of the index."""
     table, rows = odd
-    archives = W.write(table, seconds())
+    archives = W.write(table, seconds(), compression=compression)
     index = W.merged_index(W.read(spark, archives), range_rows=2, sample=5, block=1).orderBy("position").collect()
     assert [r.position for r in index] == list(range(1, len(rows) + 1))
     keys = [(r.url_key, r.captured, r.page_id is not None, r.page_id or 0) for r in index]
@@ -79,7 +81,9 @@ def test_history_and_places(spark, odd):
     assert seen["com,a)/x"] == 4
     texts = {i: html for i, _, html in rows}
     for r in index:
-        body = (Path(archives.folder) / r.archive).read_bytes()[r.offset : r.offset + r.length]
+        with opened(Path(archives.folder) / r.archive, "rb") as file:
+            file.seek(r.offset)
+            body = file.read(r.length)
         assert body.startswith(archives.mark.encode()) and body.endswith(b"\r\n\r\n")
         if r.page_id is not None:
             assert f"<urn:capture:{r.page_id}>".encode() in body
@@ -98,7 +102,7 @@ def test_given_pages(spark):
 
 
 def test_damage_stops_the_read(spark, odd):
-    archives = W.write(odd[0], seconds())
+    archives = W.write(odd[0], seconds(), compression="none")
     for file in Path(archives.folder).glob("part-*"):
         file.write_bytes(file.read_bytes().replace(b"<p>xxx", b"<p>yxx"))
     for file in Path(archives.folder).glob(".*.crc"):
