@@ -14,13 +14,16 @@ from duesight.checks.oracle import AS_OF, RATE_AS_OF, statement
 from duesight.functions import dates
 from duesight.functions.text import format_money
 from duesight.operators import documents, exposure
-from duesight.operators.rates import asof_rate, currency_table, latest_rate
+from duesight.operators.rates import asof_rate, asof_rate_by_day, currency_table, latest_rate
 from duesight.plans import detail_sheet, notify, open_items, people, runlog
 from duesight.plans.summary import AgeingSummary, project_summary
-from duesight.session import prepare
+from duesight.session import Stored, prepare, shared_folder
 from duesight.settings import DEFAULT_AS_OF, USUAL, SummaryOptions
+from duesight.sources.owner_layout import store_by_owner
+from duesight.sources.run_log import RunLog
+from duesight.sources.sinks import HandOff, SheetStore
 from duesight.sources.starmap import star_failures, star_run_events, star_tables
-from duesight.sources.tables import Tables
+from duesight.sources.tables import Tables, collated
 
 RATE_DAY = dt.date.fromisoformat(RATE_AS_OF)
 # A Saturday morning, so that weekday 6 is today's.
@@ -49,7 +52,7 @@ def plain(df: DataFrame) -> DataFrame:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DecimalType):
             column = F.round(column, 2).cast("double")
-        elif isinstance(field.dataType, T.DateType):
+        elif isinstance(field.dataType, T.DateType) or (isinstance(field.dataType, T.StringType) and field.dataType != T.StringType()):
             column = column.cast("string")
         columns.append(column.alias(field.name))
     return df.select(*columns)
@@ -102,6 +105,17 @@ def _(t: Tables) -> DataFrame:
     return asof_rate(t.forex_conversions, RATE_DAY)
 
 
+@query(
+    "asof_rate_by_day",
+    f"""SELECT report_date::VARCHAR AS report_date, from_currency_id AS currency_id, {_money('value')}, date::VARCHAR AS rate_date
+    FROM (SELECT DISTINCT invoice_date AS report_date FROM invoices) JOIN forex_conversions ON date <= report_date
+    QUALIFY row_number() OVER (PARTITION BY report_date, from_currency_id ORDER BY date DESC, id DESC) = 1""".replace("AS value", "AS rate"),
+)
+def _(t: Tables) -> DataFrame:
+    """Every day on which an invoice was written is a report day."""
+    return asof_rate_by_day(t.forex_conversions, t.invoices.select(F.col("invoice_date").alias("report_date")))
+
+
 # --- documents -------------------------------------------------------------------------------
 
 
@@ -172,6 +186,14 @@ def _(t: Tables) -> DataFrame:
     return open_items.open_items(t, DEFAULT_AS_OF)
 
 
+@query("open_items_of_owners", ITEM_SQL + "items WHERE bdm_id % 5 = 2")
+def _(t: Tables) -> DataFrame:
+    """A run for some owners over documents laid out by owner."""
+    stored = store_by_owner(t, shared_folder(t.invoices.sparkSession), slots=16)
+    chosen = t.debtor_reports.filter("bdm_id % 5 = 2")
+    return open_items.open_items(stored.of_owners(chosen), DEFAULT_AS_OF)
+
+
 @query("open_items_corrected_rates", ITEM_SQL + "items", as_of=RATE_AS_OF, rate_rows="known_rate")
 def _(t: Tables) -> DataFrame:
     return open_items.open_items(t, RATE_DAY, corrected_rates=True)
@@ -201,6 +223,29 @@ def _(t: Tables) -> DataFrame:
     return detail_sheet.detail_sheet(t, DEFAULT_AS_OF).drop("sort_date")
 
 
+SHEET_ROWS = 400
+
+
+@query(
+    "sheet_manifest",
+    f"""SELECT bdm_id, past // {SHEET_ROWS} AS part, count(*) AS rows,
+        first(invoice_date ORDER BY invoice_date NULLS FIRST, doc_key)::DATE::VARCHAR AS first_date,
+        first(doc_key ORDER BY invoice_date NULLS FIRST, doc_key) AS first_key,
+        last(invoice_date ORDER BY invoice_date NULLS FIRST, doc_key)::DATE::VARCHAR AS last_date,
+        last(doc_key ORDER BY invoice_date NULLS FIRST, doc_key) AS last_key
+    FROM (SELECT *, rank() OVER (PARTITION BY bdm_id ORDER BY invoice_date NULLS FIRST, start) - 1 AS past
+          FROM (SELECT *, CASE WHEN of_day > {SHEET_ROWS} THEN left(doc_key, 6) ELSE '' END AS start
+                FROM (SELECT bdm_id, invoice_date, doc_key, count(*) OVER (PARTITION BY bdm_id, invoice_date) AS of_day FROM items)))
+    GROUP BY 1, 2""",
+)
+def _(t: Tables) -> DataFrame:
+    """The files of published sheets."""
+    spark = t.invoices.sparkSession
+    store = SheetStore(spark, shared_folder(spark))
+    store.publish(detail_sheet.detail_sheet(t, DEFAULT_AS_OF), "run", "parquet", SHEET_ROWS)
+    return store.manifest()
+
+
 @query(
     "format_money",
     """SELECT id AS doc_id, currency, {money:balance_amount:currency} AS plus_text,
@@ -273,7 +318,7 @@ def _summary_sql(source: str) -> str:
 
 
 def _one_source(t: Tables, source: str) -> DataFrame:
-    return _summary(t).by_source().filter(F.col("source") == source).drop("source")
+    return _summary(t).by_source(source).drop("source")
 
 
 @query("summary_inv", _summary_sql("INV"))
@@ -318,6 +363,38 @@ def _(t: Tables) -> DataFrame:
     return _summary(t, DEDUPED).merged()
 
 
+# Codes as people type them: in lower case, with an accent, with blanks behind.
+TYPED_CODE = """case id % 4 when 0 then lower(customer_code) when 1 then replace(customer_code, 'C', 'Ç')
+    when 2 then concat(customer_code, '  ') else customer_code end"""
+
+
+def _collated(t: Tables) -> Tables:
+    """The tables with typed codes on stand-alone invoices, and text keys compared by the database's collation."""
+    typed = t.replace(direct_invoices=t.direct_invoices.withColumn("customer_code", F.expr(TYPED_CODE)))
+    return Tables(lambda name: collated(getattr(typed, name), name))
+
+
+@query(
+    "collated_keys",
+    f"""SELECT c.customer_code, any_value(c.customer_name) AS customer_name, min(d.typed) AS first_typed, count(*) AS documents,
+        sum(d.balance_amount)::DOUBLE AS balance
+    FROM (SELECT *, {TYPED_CODE} AS typed FROM direct_invoices) d
+    JOIN customers c ON strip_accents(lower(rtrim(d.typed))) = strip_accents(lower(rtrim(c.customer_code))) GROUP BY 1""",
+)
+def _(t: Tables) -> DataFrame:
+    t = _collated(t)
+    typed = F.min(F.collate("customer_code", "UTF8_BINARY")).alias("first_typed")
+    sums = t.direct_invoices.groupBy("customer_code").agg(typed, F.count(F.lit(1)).alias("documents"), F.sum("balance_amount").alias("balance"))
+    # Of the key's two spellings the customer's own is shown.
+    return sums.withColumnRenamed("customer_code", "code").join(t.customers, F.col("code") == F.col("customer_code")).drop("code", "id", "division")
+
+
+@query("summary_merged_collated", MERGED_SQL)
+def _(t: Tables) -> DataFrame:
+    """Typed codes find the same candidates as exact ones."""
+    return _summary(_collated(t)).merged()
+
+
 @query("summary_merged_month_end", MERGED_SQL, as_of=MONTH_END.isoformat())
 def _(t: Tables) -> DataFrame:
     return _summary(t, as_of=MONTH_END).merged()
@@ -445,16 +522,20 @@ def _(t: Tables) -> DataFrame:
     return people.recipients_by_type(t)
 
 
+MOST_LISTED = 3
+
+
 @query(
     "recipient_lists",
-    f"""SELECT function_id, greeting,
+    f"""SELECT function_id, greeting, (place - 1) // {MOST_LISTED} AS part,
         coalesce(string_agg(email, ',' ORDER BY email) FILTER (mail_to_type = 'to'), '') AS to_list,
         coalesce(string_agg(email, ',' ORDER BY email) FILTER (mail_to_type = 'cc'), '') AS cc_list,
         coalesce(string_agg(email, ',' ORDER BY email) FILTER (mail_to_type = 'bcc'), '') AS bcc_list
-    FROM ({RECIPIENTS_SQL}) GROUP BY 1, 2""",
+    FROM (SELECT *, row_number() OVER (PARTITION BY function_id, mail_to_type ORDER BY email NULLS LAST) AS place FROM ({RECIPIENTS_SQL}))
+    GROUP BY 1, 2, 3""",
 )
 def _(t: Tables) -> DataFrame:
-    lists = people.recipient_lists(people.recipients_by_type(t))
+    lists = people.recipient_lists(people.recipients_by_type(t), MOST_LISTED)
     joined = {name: F.array_join(name, ",") for name in ("to_list", "cc_list", "bcc_list")}
     return lists.withColumns(joined)
 
@@ -501,6 +582,22 @@ def _(t: Tables) -> DataFrame:
     return outbox.withColumn("cc", F.array_join(shown, "; ")).withColumn("bcc", F.array_join("bcc", "; "))
 
 
+@query(
+    "outbox_handed_over",
+    f"""SELECT o.bdm_id, o.email AS to_email, {FILE_NAME_SQL} || '.csv' AS attachment, 1 AS times FROM owners o
+    WHERE o.email IS NOT NULL AND o.bdm_id IN (SELECT bdm_id FROM active) AND o.bdm_id IN (SELECT bdm_id FROM summaries)""",
+)
+def _(t: Tables) -> DataFrame:
+    """What is handed over by a run that got half way and by two that came after it."""
+    spark = t.employees.sparkSession
+    folder = shared_folder(spark)
+    outbox = Stored(notify.notification_outbox(t, _summary(t)), folder, "outbox").frame
+    box = HandOff(spark, f"{folder}/handed")
+    for rows in (outbox.filter("bdm_id % 2 = 0"), outbox, outbox):
+        box.hand_over(rows)
+    return box.handed_over().groupBy("bdm_id", "to_email", "attachment").agg(F.count(F.lit(1)).alias("times"))
+
+
 # --- run log ---------------------------------------------------------------------------------
 
 DUE_SQL = f"""SELECT name, max(id) AS schedule_id, max_by(hour, id) AS hour, max_by(minute, id) AS minute,
@@ -539,6 +636,16 @@ def _(t: Tables) -> DataFrame:
     return runlog.latest_run(t, since=dt.date(2024, 1, 10), parts={"d": 20, "H": 9})
 
 
+SINCE = dt.date(2024, 1, 20)
+
+
+@query("latest_run_since", LATEST_SQL.replace("{where}", f"WHERE to_timestamp(date_cron) AT TIME ZONE 'UTC' >= TIMESTAMP '{SINCE}'"))
+def _(t: Tables) -> DataFrame:
+    """Over a log with a folder for each day."""
+    stored = runlog.store_by_day(t.scheduler_logs, f"{shared_folder(t.schedules.sparkSession)}/log")
+    return runlog.latest_run(t.replace(scheduler_logs=stored), since=SINCE)
+
+
 @query(
     "run_log_event",
     f"""SELECT schedule_id || '-' || planned_ts AS run_id, schedule_id,
@@ -608,6 +715,20 @@ REGISTRY["run_log_state"] = Query(
 )
 
 
+def _run_log_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """Two thirds of the events, a snapshot up to the middle of the month, then the rest, late events among them."""
+    events = star_run_events(prepare(spark), folder)
+    log = RunLog(spark, shared_folder(spark))
+    late = F.pmod(F.col("event_ts"), F.lit(3)) == 0
+    log.append(events.filter(~late))
+    log.compact(dt.date(2024, 1, 15))
+    log.append(events.filter(late))
+    return plain(log.states())
+
+
+REGISTRY["run_log_compacted"] = Query(_run_log_compacted, REGISTRY["run_log_state"].sql)
+
+
 def _error_events(spark: SparkSession, folder: str) -> DataFrame:
     rows = notify.error_events(star_failures(prepare(spark), folder), NOW)
     return rows.withColumn("error_timestamp", F.date_format("error_timestamp", "yyyy-MM-dd HH:mm:ss"))
@@ -620,7 +741,7 @@ REGISTRY["error_events"] = Query(
              ELSE 'Mail not sent, Exception' END AS error_description,
         'Debtors' AS module_name, 'BDM cron' AS function_name, '0' AS emp_id,
         CASE WHEN page_id % 3 = 0 THEN '' ELSE
-        regexp_replace(trim(CASE WHEN page_id % 5 = 0 THEN html[:200 + page_id % 97] ELSE html END, ' ' || chr(9) || chr(10) || chr(11) || chr(13)),
+        regexp_replace(trim(CASE WHEN page_id % 5 = 0 THEN html || '<a href="x' ELSE html END, ' ' || chr(9) || chr(10) || chr(11) || chr(13)),
             '<!--(?s:.)*?(?:-->|\z)|<[^\s<>"''](?:[^<>"'']+|"[^"]*(?:"|\z)|''[^'']*(?:''|\z))*(?:>|\z)', '', 'g') END AS data,
         page_id AS failure_id
     FROM pages""",

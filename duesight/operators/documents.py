@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from duesight.operators.lookup import first_per
-from duesight.operators.routes import known_owners, owner_orders
+from duesight.operators.routes import in_owner_slots, known_owners, of_owned_projects, of_owners, owner_orders
 from duesight.settings import APPROVED_STATUS
 from duesight.sources.tables import Tables
 
@@ -42,7 +42,7 @@ def _approved_open(t: Tables) -> DataFrame:
 
 def open_invoices(t: Tables) -> DataFrame:
     """Approved, unpaid invoices that neither revise another nor were revised."""
-    return without_revised(_approved_open(t), t.invoices)
+    return without_revised(of_owned_projects(t, _approved_open(t)), t.invoices)
 
 
 def invoice_orders(t: Tables) -> DataFrame:
@@ -66,7 +66,7 @@ def consolidation_routes(t: Tables) -> DataFrame:
     constituents are never paired with each other. Lowest sales order, then
     project, then invoice wins.
     """
-    constituents = t.invoices.filter(F.col("invoice_reference").isNull()).select(
+    constituents = of_owned_projects(t, t.invoices.filter(F.col("invoice_reference").isNull())).select(
         F.col("id").alias("invoice_id"), "project_id", "po_id"
     )
     orders = owner_orders(t).select("project_id", "bdm_id", "sales_order_id")
@@ -83,14 +83,15 @@ def consolidation_routes(t: Tables) -> DataFrame:
 def open_direct_invoices(t: Tables) -> DataFrame:
     """Unpaid stand-alone invoices of known owners, one per owner and invoice code."""
     unpaid = t.direct_invoices.filter((F.col("balance_amount") > 0) & (F.col("deleted") == 0))
-    current = without_revised(unpaid, t.direct_invoices).join(known_owners(t), "bdm_id", "left_semi")
+    owned = of_owners(t, in_owner_slots(t, unpaid))
+    current = without_revised(owned, t.direct_invoices).join(known_owners(t), "bdm_id", "left_semi")
     return first_per(current, ["bdm_id", "invoice_code"], ["id"])
 
 
 def unpaid_credits(t: Tables) -> DataFrame:
     """Credit notes that are not used up, with owner and customer."""
     notes = t.credit_notes.filter((F.col("balance_amount") > 0) & (F.col("deleted") == 0))
-    references = t.credit_references.filter(F.col("bdm_id").isNotNull())
+    references = of_owners(t, t.credit_references.filter(F.col("bdm_id").isNotNull()))
     return notes.join(
         references.withColumnRenamed("credit_note_id", "id"), "id"
     )

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from duesight.functions.dates import RECENT, ageing_bucket, bucket_name, due_date, month_offset
 from duesight.operators.documents import unpaid_credits
-from duesight.operators.routes import owned_orders, summary_routes
+from duesight.operators.routes import in_owner_slots, of_owned_projects, of_owners, owned_orders, summary_routes
 from duesight.settings import APPROVED_STATUS, CON, CRN, DIR, INV, MONEY, MONEY_SUM, RATE
 from duesight.sources.tables import Tables
 
@@ -40,7 +40,7 @@ def _project_days(t: Tables) -> DataFrame:
     unpaid = F.col("balance_amount") > 0
     approved = unpaid & (F.col("status") == APPROVED_STATUS)
     return (
-        t.invoices.filter(F.col("balance_amount") != 0)
+        of_owned_projects(t, t.invoices.filter(F.col("balance_amount") != 0))
         .groupBy("project_id", "invoice_date")
         .agg(*_measures(unpaid, approved, F.col("balance_amount")))
         .selectExpr("*", "cast(null as date) as parent_date", f"'{INV}' as source")
@@ -115,7 +115,8 @@ def _constituent_days(t: Tables) -> DataFrame:
             F.max("parent_date").alias("parent_date"),
         )
     )
-    weighted = t.invoices.select("id", "project_id", "invoice_date", "balance_amount").join(weights, "id")
+    constituents = of_owned_projects(t, t.invoices).select("id", "project_id", "invoice_date", "balance_amount")
+    weighted = constituents.join(weights, "id")
 
     def times(parents: str) -> Column:
         return F.coalesce("balance_amount", F.lit(0)).cast(MONEY) * F.col(parents).cast("decimal(12,0)")
@@ -144,8 +145,9 @@ def _project_rows(t: Tables, currencies: DataFrame, days: DataFrame, dedupe: boo
 
 def _direct_days(t: Tables, currencies: DataFrame) -> DataFrame:
     unpaid = F.col("balance_amount") > 0
+    unsettled = t.direct_invoices.filter((F.col("balance_amount") != 0) & F.col("bdm_id").isNotNull())
     days = (
-        t.direct_invoices.filter((F.col("balance_amount") != 0) & F.col("bdm_id").isNotNull())
+        of_owners(t, in_owner_slots(t, unsettled))
         .groupBy(
             "bdm_id",
             "customer_id",
@@ -170,9 +172,9 @@ def _credit_days(t: Tables) -> DataFrame:
         )
         .agg(*_measures(always, always, F.col("balance_amount")))
     )
-    return days.selectExpr(
-        "*", f"'{CRN}' as source", "cast(null as string) as candidate_code", f"cast(null as {RATE}) as rate"
-    )
+    # Its candidate code is its customer's, which is not known yet; a code's type may carry a collation.
+    no_code = F.lit(None).cast(t.customers.schema["customer_code"].dataType)
+    return days.withColumn("candidate_code", no_code).selectExpr("*", f"'{CRN}' as source", f"cast(null as {RATE}) as rate")
 
 
 def _customer_rows(t: Tables, days: DataFrame) -> DataFrame:

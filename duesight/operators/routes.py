@@ -16,10 +16,40 @@ from duesight.settings import BUSINESS_HEAD_FUNCTION
 from duesight.sources.tables import Tables
 
 
+# Partition column of documents that are laid out by owner, and the slot of documents several owners see.
+OWNER_SLOT, SHARED = "owner_slot", -1
+
+
+def of_owners(t: Tables, rows: DataFrame) -> DataFrame:
+    """Rows (with ``bdm_id``) of the owners the run is for."""
+    return rows if t.owners is None else rows.join(t.owners, "bdm_id", "left_semi")
+
+
+def in_owner_slots(t: Tables, rows: DataFrame) -> DataFrame:
+    """Documents out of the folders in which the run's owners have some.
+
+    The slots, at most as many as the layout has and one, go to every task. They are known when the scan starts and
+    prune its partitions.
+    """
+    if t.owners is None or OWNER_SLOT not in rows.columns:
+        return rows
+    own = F.array(F.pmod("bdm_id", F.lit(t.slots)).cast("int"), F.lit(SHARED))
+    slots = t.owners.select(F.explode(own).alias(OWNER_SLOT)).distinct()
+    return rows.join(F.broadcast(slots), OWNER_SLOT, "left_semi")
+
+
 def owned_orders(t: Tables) -> DataFrame:
     """One row per project and sales order that has an owner; this is where documents fan out."""
     orders = t.sales_orders.withColumnsRenamed({"id": "sales_order_id", "sales_person_id": "bdm_id"})
-    return t.project_so_masters.join(orders.filter("bdm_id is not null"), "sales_order_id")
+    return t.project_so_masters.join(of_owners(t, orders.filter("bdm_id is not null")), "sales_order_id")
+
+
+def of_owned_projects(t: Tables, rows: DataFrame) -> DataFrame:
+    """Invoices of the projects that the run's owners see."""
+    if t.owners is None:
+        return rows
+    projects = owned_orders(t).select("project_id").distinct()
+    return in_owner_slots(t, rows).join(projects, "project_id", "left_semi")
 
 
 def staff(t: Tables) -> DataFrame:

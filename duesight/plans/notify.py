@@ -49,16 +49,11 @@ def mail_settings(t: Tables) -> DataFrame:
 
 def notification_outbox(t: Tables, summary: AgeingSummary, extension: str = "csv") -> DataFrame:
     """Sender, recipient, copies, subject and attachment. An owner's own address is no copy."""
-    reported = summary.by_source().select("bdm_id").distinct()
-    owners = (
-        report_owners(t)
-        .join(active_owners(t), "bdm_id", "left_semi")
-        .join(reported, "bdm_id", "left_semi")
-        .filter(F.col("email").isNotNull())
-    )
+    known = report_owners(t).filter(F.col("email").isNotNull())
+    owners = known.join(active_owners(t), "bdm_id", "left_semi").join(summary.reported_owners(), "bdm_id", "left_semi")
     copies = (
         owner_cc(t)
-        .join(owners.select("bdm_id", "email"), "bdm_id")
+        .join(known.select("bdm_id", "email"), "bdm_id")
         .filter(F.col("cc_email") != F.col("email"))
         .groupBy("bdm_id")
         .agg(F.array_sort(F.collect_list(F.struct("cc_name", "cc_email"))).alias("cc"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from duesight.functions.text import person_name
 from duesight.operators.lookup import all_of, lowest
+from duesight.operators.ranking import with_rank
 from duesight.settings import (
     CC_FUNCTION_PREFIX,
     CRON_TYPE,
@@ -113,18 +114,20 @@ def recipients_by_type(
     )
 
 
-def recipient_lists(recipients: DataFrame) -> DataFrame:
-    """One row per function with its distinct addresses as sorted lists, for a sink that wants them so.
+def recipient_lists(recipients: DataFrame, most: int = 1000) -> DataFrame:
+    """The distinct addresses of each function as sorted lists, for a sink that wants them so.
 
-    A list holds the staff configured for one function. Jobs go on with ``recipients_by_type``, whose rows
-    have no such bound.
+    Lists come in numbered parts (from 0) of at most ``most`` addresses of each kind, so that no row holds a function
+    with very many entries. Addresses are ranked over ranges of them, and no task orders a whole function.
     """
     kind = F.col("mail_to_type")
-    return recipients.groupBy("function_id", "greeting").agg(
-        *[
-            F.array_sort(F.collect_set(F.when(kind == name, F.col("email")))).alias(f"{name}_list")
-            for name in RECIPIENT_TYPES
-        ]
+    rows = recipients.select("function_id", "greeting", "mail_to_type", "email")
+    # No address comes last and fills no place of a list.
+    ordered = rows.withColumn("missing", F.col("email").isNull())
+    ranked = with_rank(ordered, ["function_id", "mail_to_type"], ["missing", "email"])
+    parts = ranked.withColumn("part", F.floor(F.col("rank") / most))
+    return parts.groupBy("function_id", "greeting", "part").agg(
+        *[F.array_sort(F.collect_list(F.when(kind == name, F.col("email")))).alias(f"{name}_list") for name in RECIPIENT_TYPES]
     )
 
 

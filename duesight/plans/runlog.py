@@ -50,7 +50,7 @@ def latest_run(
     """Latest run of each schedule, among those that meet the conditions given.
 
     ``since`` keeps runs planned on or after that day; ``parts`` compares parts of
-    the planned time, such as ``{"d": 7, "H": 9}``.
+    the planned time, such as ``{"d": 7, "H": 9}``. On a log of ``store_by_day`` only the folders from ``since`` on are read.
     """
     predicates = []
     if schedule_id is not None:
@@ -58,6 +58,8 @@ def latest_run(
     if since is not None:
         midnight = dt.datetime(since.year, since.month, since.day, tzinfo=dt.UTC)
         predicates.append(F.col("date_cron") >= int(midnight.timestamp()))
+        if "day" in t.scheduler_logs.columns:
+            predicates.append(F.col("day") >= F.lit(since))
     for part, value in (parts or {}).items():
         predicates.append(epoch_part(F.col("date_cron"), part) == value)
     runs = t.scheduler_logs.filter(all_of(predicates))
@@ -69,6 +71,14 @@ def latest_run(
     return runs.join(known, ["schedule_id", "id"]).select("schedule_id", "id", "log", "status", "date_runned", "date_cron")
 
 
+def store_by_day(logs: DataFrame, folder: str) -> DataFrame:
+    """The log of scheduled runs with a folder for each planned day, read back; a new day is added by writing it there."""
+    day = F.to_date(F.timestamp_seconds("date_cron"))
+    logs.withColumn("day", day).repartition("day", F.pmod("id", F.lit(8))).write.mode("append").partitionBy("day").parquet(folder)
+    kinds = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in logs.schema)
+    return logs.sparkSession.read.schema(f"{kinds}, day date").parquet(folder)
+
+
 def start_events(due: DataFrame, now: dt.datetime) -> DataFrame:
     """The row a run appends when it starts. Schedule and planned time name the run."""
     started = int(now.replace(tzinfo=dt.UTC).timestamp())
@@ -94,9 +104,17 @@ def end_events(starts: DataFrame, now: dt.datetime, status: int, message: str =
 
 def run_state(events: DataFrame) -> DataFrame:
     """Current state of every run: its latest event."""
+    return merge_states(events.withColumn("started_ts", F.col("event_ts")))
+
+
+def merge_states(rows: DataFrame) -> DataFrame:
+    """Current state of every run out of events and of states that were merged before.
+
+    A state is an event with ``started_ts``, the moment of the run's first event; of an event that is its own.
+    """
     # Moments are numbers and hashed; only the events of a run's last moment are compared as text.
-    moments = events.groupBy("run_id").agg(F.min("event_ts").alias("started_ts"), F.max("event_ts").alias("event_ts"))
-    last = events.join(moments, ["run_id", "event_ts"])
+    moments = rows.groupBy("run_id").agg(F.min("started_ts").alias("started_ts"), F.max("event_ts").alias("event_ts"))
+    last = rows.drop("started_ts").join(moments, ["run_id", "event_ts"])
     latest = F.max(F.struct("status", "message", "schedule_id", "planned_ts")).alias("latest")
     return (
         last.groupBy("run_id", "started_ts", "event_ts")

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Collection
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from duesight.functions.dates import (
@@ -18,6 +19,7 @@ from duesight.functions.dates import (
 )
 from duesight.functions.text import format_money
 from duesight.operators.exposure import exposure
+from duesight.operators.facts import beside_facts
 from duesight.operators.rates import currency_table
 from duesight.session import Stored
 from duesight.settings import CON, CRN, DIR, INV, USUAL, SummaryOptions
@@ -50,7 +52,9 @@ class AgeingSummary:
     """The summary of all owners as of one day.
 
     All results are read off ``base``, which holds one row per owner, source, customer, currency
-    and bucket. Without a ``folder`` it is a plan, of which each result runs the sources it needs. With a
+    and bucket. Summary, totals and report need it once: who is a candidate, the owner's horizon and
+    the buckets to show are carried along with the rows (``_cells``, ``beside_facts``) and not joined back. Without a
+    ``folder`` it is a plan, of which each result runs the sources it needs. With a
     folder that all executors share it is written there when the first result asks for it,
     and read by all; ``release``, or the end of a ``with`` block, deletes it.
     """
@@ -59,15 +63,24 @@ class AgeingSummary:
         self.as_of, self.options = as_of, options
         self._tables, self._folder = t, folder
 
+    def _exposure(self, sources: Collection[str]) -> DataFrame:
+        currencies = currency_table(self._tables, self.as_of, self.options.corrected_rates)
+        return exposure(self._tables, currencies, self.as_of, self.options.dedupe_orders, sources)
+
     @cached_property
     def base(self) -> DataFrame:
-        currencies = currency_table(self._tables, self.as_of, self.options.corrected_rates)
-        rows = exposure(self._tables, currencies, self.as_of, self.options.dedupe_orders)
+        rows = self._exposure((INV, CON, DIR, CRN))
         if self._folder is None:
             return rows
         self._stored = Stored(rows, self._folder, "exposure")
         return self._stored.frame
 
+    def _base_for(self, source: str | None) -> DataFrame:
+        """What one source's rows need: those and the horizon's, and every source if candidates decide (``listed``)."""
+        if source is None or source == DIR or self._folder is not None:
+            return self.base
+        return self._exposure({source, *self._horizon_sources})
+
     def release(self) -> None:
         """Delete the stored table; results that are not written yet can't be read afterwards."""
         if "_stored" in self.__dict__:
@@ -88,11 +101,14 @@ class AgeingSummary:
             .distinct()
         )
 
+    @property
+    def _horizon_sources(self) -> list[str]:
+        return [INV, DIR, CON] if self.options.consolidated_horizon else [INV, DIR]
+
     def horizon(self) -> DataFrame:
         """Owner -> last due date of its invoices and how many future months the summary spans."""
-        sources = [INV, DIR, CON] if self.options.consolidated_horizon else [INV, DIR]
         return (
-            self.base.filter(F.col("source").isin(sources))
+            self.base.filter(F.col("source").isin(self._horizon_sources))
             .groupBy("bdm_id")
             .agg(F.max("last_due_date").alias("last_due_date"))
             .filter(F.col("last_due_date").isNotNull())
@@ -120,47 +136,81 @@ class AgeingSummary:
         rows = self.listed().filter((F.col("source") == DIR) & (F.col("open_count") > 0))
         return rows.groupBy(*CUSTOMER_KEY).agg(F.sum("open_amount").alias("amount"))
 
-    def _within_horizon(self, rows: DataFrame) -> DataFrame:
-        """Months past the owner's horizon have no bucket."""
-        beyond = F.coalesce(F.col("month_offset") > F.coalesce("months", F.lit(0)), F.lit(False))
-        return rows.join(self._months, "bdm_id", "left").withColumns(
+    def _cells(self, source: str | None = None) -> DataFrame:
+        """Sums per source, owner, customer code, currency and bucket, and whether the code is a candidate's.
+
+        Each row counts under its customer's code and marks its candidate code. Marks are added up to one row
+        per owner and code, and a window over these two finds the rows whose code is marked.
+        """
+        codes = F.array(
+            F.struct(F.col("customer_code").alias("code"), F.lit(True).alias("own")),
+            F.struct(F.col("candidate_code").alias("code"), F.lit(False).alias("own")),
+        )
+        roles = self._base_for(source).select("*", F.inline(codes))
+        own, in_summary, is_open = F.col("own"), F.col("own") & (F.col("summary_count") > 0), F.col("own") & (F.col("open_count") > 0)
+        dated = own & F.col("source").isin(self._horizon_sources)
+        rank = F.when(F.col("currency_code").isNull(), _rank(LABEL_ORDER_WITHOUT_CURRENCY)).otherwise(_rank(LABEL_ORDER))
+        named = F.struct(rank.alias("rank"), F.coalesce("customer_name", F.lit("")).alias("name"))
+        split = [F.when(own, F.col(name)).alias(name) for name in ("source", "currency_code", "bucket", "month_offset")]
+        cells = roles.groupBy("bdm_id", F.col("code").alias("customer_code"), *split).agg(
+            F.sum(F.when(in_summary, F.col("summary_count"))).alias("summary_count"),
+            F.sum(F.when(in_summary, F.col("summary_amount"))).alias("summary_amount"),
+            F.sum(F.when(is_open, F.col("open_count"))).alias("open_count"),
+            F.sum(F.when(is_open, F.col("total_amount"))).alias("total_amount"),
+            F.min(F.when(in_summary, named)).alias("named"),
+            F.max(F.when(dated, F.col("last_due_date"))).alias("last_due_date"),
+            F.max(~own).alias("marked"),
+        )
+        marked = F.max("marked").over(Window.partitionBy("bdm_id", "customer_code"))
+        return cells.withColumn("listed", F.col("customer_code").isNotNull() & marked).drop("marked")
+
+    def _placed(self, source: str | None = None) -> DataFrame:
+        """Cells of candidates. Months past the owner's horizon have no bucket."""
+        keys = ["source", *CUSTOMER_KEY, "bucket", "month_offset", "listed"]
+        sums = [F.sum(name).alias(name) for name in ("summary_count", "summary_amount", "open_count", "total_amount")]
+        more = [F.min("named").alias("named"), F.max("last_due_date").alias("last_due_date")]
+        last_due = {"owner_last_due": lambda is_fact: F.max(F.when(is_fact, F.col("last_due_date")))}
+        rows = beside_facts(self._cells(source), keys, [*sums, *more], ["bdm_id"], ["bdm_id"], last_due).filter("listed")
+        months = F.greatest(F.coalesce(month_offset(F.col("owner_last_due"), self.as_of), F.lit(0)), F.lit(0))
+        beyond = F.coalesce(F.col("month_offset") > months, F.lit(False))
+        return rows.withColumns(
             {
                 "bucket": F.when(beyond, UNPLACED).otherwise(F.col("bucket")),
                 "month_offset": F.when(~beyond, F.col("month_offset")),
             }
-        )
+        ).drop("listed", "last_due_date", "owner_last_due", "_part")
 
-    def _summary_rows(self) -> DataFrame:
-        return self._within_horizon(self.listed().filter(F.col("summary_count") > 0))
+    def reported_owners(self) -> DataFrame:
+        """Owners whose summary has a row."""
+        return self._cells().filter(F.col("listed") & (F.col("summary_count") > 0)).select("bdm_id").distinct()
 
-    def by_source(self) -> DataFrame:
-        """Sums per owner, customer, currency and bucket, one set of rows per source."""
+    def by_source(self, source: str | None = None) -> DataFrame:
+        """Sums per owner, customer, currency and bucket, one set of rows per source; or of one ``source`` only."""
+        wanted = F.col("summary_count") > 0
         return (
-            self._summary_rows()
+            self._placed(source)
+            .filter(wanted if source is None else wanted & (F.col("source") == source))
             .groupBy("source", *CUSTOMER_KEY, "bucket", "month_offset")
             .agg(F.sum("summary_amount").alias("amount"))
         )
 
-    def _net(self) -> DataFrame:
+    def _net_sums(self) -> list[Column]:
         """Net sums per bucket, with what the label and the grand total need."""
         amount, is_credit = F.col("summary_amount"), F.col("source") == CRN
         signed = F.when(is_credit, -amount).otherwise(amount)
         cell = signed
         if self.options.future_credits_added:
             cell = F.when(F.col("month_offset") > 0, amount).otherwise(signed)
-        rank = F.when(F.col("currency_code").isNull(), _rank(LABEL_ORDER_WITHOUT_CURRENCY)).otherwise(
-            _rank(LABEL_ORDER)
-        )
-        named = F.struct(rank.alias("rank"), F.coalesce("customer_name", F.lit("")).alias("name"))
-        return (
-            self._summary_rows()
-            .groupBy(*CUSTOMER_KEY, "bucket", "month_offset")
-            .agg(
-                F.sum(cell).alias("net_amount"),
-                F.sum(F.when(F.col("bucket") != UNPLACED, signed).otherwise(0)).alias("placed_amount"),
-                F.min(named).alias("named"),
-            )
-        )
+        in_summary = F.col("summary_count") > 0
+        return [
+            F.sum(F.when(in_summary, cell)).alias("net_amount"),
+            F.sum(F.when(in_summary, F.when(F.col("bucket") != UNPLACED, signed).otherwise(0))).alias("placed_amount"),
+            F.min("named").alias("named"),
+        ]
+
+    def _net(self) -> DataFrame:
+        rows = self._placed().filter(F.col("summary_count") > 0)
+        return rows.groupBy(*CUSTOMER_KEY, "bucket", "month_offset").agg(*self._net_sums())
 
     def merged(self) -> DataFrame:
         """Net amount per owner, customer, currency and bucket over all sources."""
@@ -173,7 +223,7 @@ class AgeingSummary:
         buckets = [*FIXED_BUCKETS, *[f"p{offset}" for offset in range(1, months + 1)]]
         return self.merged().groupBy(*CUSTOMER_KEY).pivot("bucket", buckets).agg(F.sum("net_amount"))
 
-    def _customers(self) -> DataFrame:
+    def _customers(self, net: DataFrame, *more: str) -> DataFrame:
         """One row per owner, customer and currency; ``future`` has an entry per month at most."""
         cell = F.struct("month_offset", "bucket", "net_amount")
         label = F.concat(F.col("customer_code"), F.lit(" - "), F.min("named")["name"])
@@ -181,8 +231,7 @@ class AgeingSummary:
             F.sum(F.when(F.col("bucket") == name, F.col("net_amount"))).alias(name) for name in FIXED_BUCKETS
         ]
         return (
-            self._net()
-            .groupBy(*CUSTOMER_KEY)
+            net.groupBy(*CUSTOMER_KEY, *more)
             .agg(
                 label.alias("customer_label"),
                 F.sum("placed_amount").alias("grand_total"),
@@ -193,7 +242,7 @@ class AgeingSummary:
 
     def grand_total(self) -> DataFrame:
         """Net of all buckets, shown or not; credits always reduce it."""
-        return self._customers().select(*CUSTOMER_KEY, "customer_label", "grand_total")
+        return self._customers(self._net()).select(*CUSTOMER_KEY, "customer_label", "grand_total")
 
     def bucket_totals(self) -> DataFrame:
         """Per owner, source and bucket the sum that decides whether a column is shown.
@@ -201,9 +250,9 @@ class AgeingSummary:
         It mixes converted and unconverted money and adds credits, so it is no amount
         to publish.
         """
-        rows = self._within_horizon(self.listed().filter(F.col("open_count") > 0))
         return (
-            rows.filter(F.col("bucket") != UNPLACED)
+            self._placed()
+            .filter((F.col("open_count") > 0) & (F.col("bucket") != UNPLACED))
             .groupBy("bdm_id", "source", "bucket", "month_offset")
             .agg(F.coalesce(F.sum("total_amount"), F.lit(0)).cast("decimal(38,8)").alias("total"))
         )
@@ -244,7 +293,17 @@ class AgeingSummary:
         Future months, of which every owner has a different number, come as one text
         of ``month=amount`` entries; ``wide`` gives them as columns.
         """
-        shown = self.visible_buckets().groupBy("bdm_id").agg(F.collect_list("bucket").alias("shown"))
+        total = F.sum(F.when((F.col("open_count") > 0) & (F.col("bucket") != UNPLACED), F.col("total_amount")))
+        sums = [*self._net_sums(), F.sum("summary_count").alias("summary_count"), total.cast("decimal(38,8)").alias("total")]
+
+        def shown(is_fact: Column) -> Column:
+            printed = format_money(F.col("total")) != ""
+            return F.collect_list(F.when(is_fact & printed, F.col("bucket")))
+
+        # The totals of an owner's buckets come out of the pass that adds up the cells.
+        bucket = ["bucket", "month_offset"]
+        cells = beside_facts(self._placed(), [*CUSTOMER_KEY, *bucket], sums, ["bdm_id", *bucket], ["bdm_id"], {"shown": shown}, CUSTOMER_KEY)
+        customers = self._customers(cells.filter(F.col("summary_count") > 0), "_part", "shown")
         currency = F.col("currency_code")
 
         def is_shown(bucket: Column) -> Column:
@@ -266,14 +325,10 @@ class AgeingSummary:
             F.filter(texts, lambda month: month["text"] != ""),
             lambda month: F.concat(month["label"], F.lit("="), month["text"]),
         )
-        return (
-            self._customers()
-            .join(shown, "bdm_id", "left")
-            .select(
-                *CUSTOMER_KEY,
-                "customer_label",
-                *[cell(name) for name in FIXED_BUCKETS],
-                F.array_join(printed, "; ").alias("future_months"),
-                format_money(F.col("grand_total"), currency).alias("grand_total"),
-            )
+        return customers.select(
+            *CUSTOMER_KEY,
+            "customer_label",
+            *[cell(name) for name in FIXED_BUCKETS],
+            F.array_join(printed, "; ").alias("future_months"),
+            format_money(F.col("grand_total"), currency).alias("grand_total"),
         )

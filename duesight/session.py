@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,17 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder under ``spark.checkpoint.dir``. Only a local session without it gets a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
+        return tempfile.mkdtemp(prefix="duesight-")
+    return f"{folder.rstrip('/')}/duesight-{uuid.uuid4().hex}"
+
+
 class Stored:
     """``rows`` written once to a folder that all executors share, and read back from there as ``frame``.
 

@@ -1,39 +1,150 @@
-"""Writers for sheets, logs and the outbox."""
+"""Writers for sheets, summaries, logs and the outbox."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from duesight.plans.detail_sheet import SHEET_HEADINGS, SORT_COLUMNS
 from duesight.plans.summary import CUSTOMER_KEY
+from duesight.session import Stored
+from duesight.sources.manifest import Conflict, Manifests
+
+ROWS_PER_FILE = 1_000_000
+# Leading characters of the document key that a day with too many rows is cut by.
+CUT = 6
+PART_SCHEMA = "bdm_id long, part long, rows long, first_date date, first_key string, last_date date, last_key string"
+
+
+def with_parts(rows: DataFrame, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """Sheet rows with ``part``, the file of their owner they belong into (from 0).
+
+    Rows are counted exactly by owner and day, and ``part`` is the number of rows before a day by ``rows_per_file``. So the
+    parts follow one another in the order of dates. A day with more rows than a file holds is counted once more
+    by leading characters of the document key. Windows run over counts: the days of an owner, the beginnings of
+    keys of a day. ``rows`` is read three times and should be a table.
+    """
+    day = F.coalesce(F.unix_date("sort_date"), F.lit(-(2**31)))
+    dated = rows.withColumn("_day", day).withColumn("_start", F.substring("doc_key", 1, CUT))
+
+    def running(counts: DataFrame, group: Sequence[str], order: str, name: str) -> DataFrame:
+        earlier = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return counts.withColumn(name, F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+
+    days = running(dated.groupBy("bdm_id", "_day").agg(F.count(F.lit(1)).alias("n")), ["bdm_id"], "_day", "_before")
+    crowded = days.filter(F.col("n") > rows_per_file).select("bdm_id", "_day")
+    starts = dated.join(crowded, ["bdm_id", "_day"], "left_semi").groupBy("bdm_id", "_day", "_start").agg(F.count(F.lit(1)).alias("n"))
+    inside = running(starts, ["bdm_id", "_day"], "_start", "_inside").drop("n")
+    found = dated.join(days.drop("n"), ["bdm_id", "_day"]).join(inside, ["bdm_id", "_day", "_start"], "left")
+    before = F.col("_before") + F.coalesce("_inside", F.lit(0))
+    return found.select(*rows.columns, F.floor(before / rows_per_file).alias("part"))
+
+
+def part_list(parted: DataFrame) -> DataFrame:
+    """One row for each file: owner, part, number of rows, dates and keys of the first and the last row."""
+    at = F.struct("sort_date", "doc_key")
+    files = parted.groupBy("bdm_id", "part").agg(F.count(F.lit(1)).alias("rows"), F.min(at).alias("low"), F.max(at).alias("high"))
+    return files.select(
+        "bdm_id", "part", "rows", F.col("low.sort_date").alias("first_date"), F.col("low.doc_key").alias("first_key"),
+        F.col("high.sort_date").alias("last_date"), F.col("high.doc_key").alias("last_key"),
+    )
+
+
+def _in_files(parted: DataFrame, files: DataFrame, rows_per_file: int) -> DataFrame:
+    """Rows in the order of owner, date and document, dealt to tasks in that order: each takes whole parts with about the
+    rows of a file. Nothing is sampled; the task of a part follows from the counts."""
+    total = files.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    # One row for each file: this window orders file numbers, not rows.
+    earlier = Window.orderBy("bdm_id", "part").rowsBetween(Window.unboundedPreceding, -1)
+    task = F.floor(F.coalesce(F.sum("rows").over(earlier), F.lit(0)) / rows_per_file).cast("int")
+    tasks = files.select("bdm_id", "part", task.alias("_task"))
+    dealt = parted.join(tasks, ["bdm_id", "part"]).repartitionById(max(1, -(-total // rows_per_file)), F.col("_task"))
+    return dealt.drop("_task").sortWithinPartitions("bdm_id", "part", *SORT_COLUMNS[1:])
+
+
+def _headed(rows: DataFrame, *folders: str) -> DataFrame:
+    return rows.select(*folders, *[F.col(name).alias(heading) for name, heading in SHEET_HEADINGS.items()])
+
+
+def _save(rows: DataFrame, path: str, file_format: str, folders: Sequence[str], rows_per_file: int) -> None:
+    writer = rows.write.mode("overwrite").partitionBy(*folders).option("maxRecordsPerFile", rows_per_file)
+    if file_format == "csv":
+        writer = writer.option("header", "true")
+    writer.format(file_format).save(path)
 
 
 def write_detail_sheets(
-    sheet: DataFrame, folder: str, file_format: str = "csv", rows_per_file: int = 1_000_000
+    sheet: DataFrame, folder: str, file_format: str = "csv", rows_per_file: int = ROWS_PER_FILE
 ) -> None:
     """One folder per owner, rows ordered by date within and across its files.
 
-    Rows are range-partitioned by owner, date and document, so an owner with very
-    many rows is written by many tasks.
+    The sheet is computed once, into a table beside ``folder`` that is deleted at the end. An owner with very many rows
+    is written by many tasks.
     """
-    ordered = sheet.repartitionByRange(*SORT_COLUMNS).sortWithinPartitions(*SORT_COLUMNS)
-    headed = ordered.select(
-        "bdm_id", *[F.col(name).alias(heading) for name, heading in SHEET_HEADINGS.items()]
-    )
-    writer = headed.write.mode("overwrite").partitionBy("bdm_id")
-    if file_format == "csv":
-        writer = writer.option("header", "true")
-    writer.option("maxRecordsPerFile", rows_per_file).format(file_format).save(folder)
+    stored = Stored(sheet, f"{folder.rstrip('/')}.staging", "sheet")
+    try:
+        parted = with_parts(stored.frame, rows_per_file)
+        ordered = _in_files(parted, part_list(parted), rows_per_file)
+        _save(_headed(ordered, "bdm_id"), folder, file_format, ["bdm_id"], rows_per_file)
+    finally:
+        stored.delete()
+
+
+class SheetStore:
+    """Sheets of the latest run in a folder. A run's files are written aside and become the sheets at one moment."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._spark, self._folder = spark, folder.rstrip("/")
+        self._manifests = Manifests(spark, folder)
+
+    def publish(self, sheet: DataFrame, run_id: str, file_format: str = "csv", rows_per_file: int = ROWS_PER_FILE) -> None:
+        """Make ``sheet`` the sheets. A run that is the latest already is not written again; what a
+        failed attempt has left is never read."""
+        number, state = self._manifests.latest()
+        if state and state["run_id"] == run_id:
+            return
+        name = f"runs/{uuid.uuid4().hex}"
+        stored = Stored(sheet, f"{self._folder}/staging", "sheet")
+        try:
+            parted = with_parts(stored.frame, rows_per_file)
+            part_list(parted).write.parquet(f"{self._folder}/{name}.parts")
+            files = self._spark.read.schema(PART_SCHEMA).parquet(f"{self._folder}/{name}.parts")
+            ordered = _in_files(parted, files, rows_per_file)
+            # A part may be larger than a file where very many rows share a day and the beginning of their keys.
+            _save(_headed(ordered, "bdm_id", "part"), f"{self._folder}/{name}", file_format, ["bdm_id", "part"], 0)
+        finally:
+            stored.delete()
+        self._manifests.publish(number, {"run_id": run_id, "folder": name, "format": file_format})
+
+    def manifest(self) -> DataFrame:
+        """One row for each file of the latest run (``PART_SCHEMA``)."""
+        state = self._manifests.latest()[1]
+        if state is None:
+            return self._spark.createDataFrame([], PART_SCHEMA)
+        return self._spark.read.schema(PART_SCHEMA).parquet(f"{self._folder}/{state['folder']}.parts")
+
+    def folder(self) -> str | None:
+        """Where the files of the latest run lie: ``bdm_id=…/part=…/``."""
+        state = self._manifests.latest()[1]
+        return f"{self._folder}/{state['folder']}" if state else None
 
 
 def write_summary(report: DataFrame, folder: str, file_format: str = "csv") -> None:
-    """Summary rows in the order of owner, customer and currency across all files."""
-    ordered = report.repartitionByRange(*CUSTOMER_KEY).sortWithinPartitions(*CUSTOMER_KEY)
-    writer = ordered.write.mode("overwrite")
-    if file_format == "csv":
-        writer = writer.option("header", "true")
-    writer.format(file_format).save(folder)
+    """Summary rows in the order of owner, customer and currency across all files. Ranges are made by sampling, so the
+    report is stored first and computed once."""
+    stored = Stored(report, f"{folder.rstrip('/')}.staging", "summary")
+    try:
+        ordered = stored.frame.repartitionByRange(*CUSTOMER_KEY).sortWithinPartitions(*CUSTOMER_KEY)
+        writer = ordered.write.mode("overwrite")
+        if file_format == "csv":
+            writer = writer.option("header", "true")
+        writer.format(file_format).save(folder)
+    finally:
+        stored.delete()
 
 
 def append_rows(rows: DataFrame, folder: str) -> None:
@@ -43,3 +154,51 @@ def append_rows(rows: DataFrame, folder: str) -> None:
 
 def write_outbox(outbox: DataFrame, folder: str) -> None:
     outbox.write.mode("overwrite").json(folder)
+
+
+class HandOff:
+    """Messages handed over to a mailer, each key once, however often a run is repeated.
+
+    A run writes what is not handed over yet as a batch aside, then publishes the list of batches with the new one. A
+    crash before that leaves a batch no list names, and the next run hands the same messages over again; a crash after it
+    leaves nothing to do. Two runs at a time can't publish both: the later one starts over and finds the other's keys.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, keys: Sequence[str] = ("bdm_id", "attachment"), most_batches: int = 64):
+        self._spark, self._folder, self._keys, self._most = spark, folder.rstrip("/"), list(keys), most_batches
+        self._manifests = Manifests(spark, folder)
+
+    def _read(self, batches: list[str]) -> DataFrame:
+        return self._spark.read.parquet(*[f"{self._folder}/{name}" for name in batches])
+
+    def handed_over(self) -> DataFrame | None:
+        """All messages handed over, None before the first run."""
+        state = self._manifests.latest()[1]
+        return self._read(state["batches"]) if state and state["batches"] else None
+
+    def write_batch(self, outbox: DataFrame, batches: list[str]) -> str:
+        """First half of ``hand_over``: the messages whose keys are in no batch, once each, where nothing refers to yet."""
+        fresh = outbox.filter(reduce(lambda left, key: left & F.col(key).isNotNull(), self._keys, F.lit(True))).dropDuplicates(self._keys)
+        if batches:
+            fresh = fresh.join(self._read(batches).select(*self._keys), self._keys, "left_anti")
+        name = f"batches/{uuid.uuid4().hex}"
+        fresh.select(*outbox.columns).write.parquet(f"{self._folder}/{name}")
+        return name
+
+    def hand_over(self, outbox: DataFrame, attempts: int = 5) -> DataFrame:
+        """Hand over what is new in ``outbox``, and return that. Messages without a key are left out."""
+        for _ in range(attempts):
+            number, state = self._manifests.latest()
+            batches = state["batches"] if state else []
+            name = self.write_batch(outbox, batches)
+            listed = [*batches, name]
+            if len(listed) > self._most:  # one folder instead of many small ones
+                merged = f"batches/{uuid.uuid4().hex}"
+                self._read(listed).write.parquet(f"{self._folder}/{merged}")
+                listed = [merged]
+            try:
+                self._manifests.publish(number, {"batches": listed})
+            except Conflict:
+                continue
+            return self._read([name])
+        raise Conflict(f"{attempts} attempts met other writers")

@@ -97,6 +97,32 @@ def test_jdbc_reader_splits_large_tables(spark):
     }
 
 
+def test_jdbc_tables_without_ranges_are_split_by_remainder(spark, cases):
+    """Every row of a table meets exactly one of the conditions its reads are made with."""
+    seen = {}
+
+    def jdbc(url, table, predicates, properties):
+        seen.update(url=url, table=table, predicates=predicates, properties=properties)
+        return cases.invoices
+
+    source = tables.jdbc_tables(SimpleNamespace(read=SimpleNamespace(jdbc=jdbc)), {"url": "jdbc:any", "user": "u"}, {}, partitions=4)
+    assert source.invoices.count() == cases.invoices.count()
+    assert (seen["url"], seen["table"], seen["properties"]) == ("jdbc:any", "invoices", {"user": "u"})
+    numbers = spark.createDataFrame([(i,) for i in (-5, -1, 0, 3, 4, 10**12, None)], "id long")
+    reads = [numbers.filter(condition.replace("MOD(", "mod(")).collect() for condition in seen["predicates"]]
+    assert len(reads) == 4 and sorted((r.id for read in reads for r in read), key=str) == sorted((-5, -1, 0, 3, 4, 10**12, None), key=str)
+    assert tables.hash_predicates("id", 1) == ["MOD(ABS(id), 1) = 0 OR id IS NULL"]
+
+
+def test_collated_tables(spark, tmp_path):
+    """Codes that differ in case, accents and trailing blanks are one key; the text stays as it was written."""
+    rows = [(1, "Ab ", "x"), (2, "ÀB", "y"), (3, "a", "z")]
+    spark.createDataFrame(rows, "id long, customer_code string, customer_name string").selectExpr("*", "'' as division").write.parquet(str(tmp_path / "customers"))
+    customers = tables.file_tables(spark, str(tmp_path), collation=tables.KEY_COLLATION).customers
+    assert {r.customer_code for r in customers.collect()} == {"Ab ", "ÀB", "a"}
+    assert sorted(r["count"] for r in customers.groupBy("customer_code").count().collect()) == [1, 2]
+
+
 @pytest.mark.parametrize("name", ["credit_references", "invoice_consolidation_details", "project_so_masters", "po_so_masters", "debtor_reports"])
 def test_tables_without_an_id_are_read_in_parallel(spark, name):
     seen = {}
@@ -180,7 +206,7 @@ def test_summary_is_stored_only_where_a_folder_is_named(cases, tmp_path):
 
 
 def test_one_source_reads_no_other(cases):
-    plan = AgeingSummary(cases, AS_OF).by_source().filter("source = 'CON'")
+    plan = AgeingSummary(cases, AS_OF).by_source("CON")
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert "mode_no" not in text
 
