@@ -480,6 +480,13 @@ def _(t: Tables) -> DataFrame:
     return _summary(t).report()
 
 
+@query("summary_report_of_owners", REPORT_SQL + "\nWHERE k.bdm_id % 5 = 2")
+def _(t: Tables) -> DataFrame:
+    """The printed summary of some owners, over documents laid out by owner."""
+    stored = store_by_owner(t, shared_folder(t.invoices.sparkSession), slots=16)
+    return _summary(stored.of_owners(t.debtor_reports.filter("bdm_id % 5 = 2"))).report()
+
+
 # --- people and configuration ----------------------------------------------------------------
 
 

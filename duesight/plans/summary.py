@@ -115,25 +115,14 @@ class AgeingSummary:
             .withColumn("months", F.greatest(month_offset(F.col("last_due_date"), self.as_of), F.lit(0)))
         )
 
-    @cached_property
-    def _months(self) -> DataFrame:
-        return self.horizon().select("bdm_id", "months")
-
-    def listed(self) -> DataFrame:
-        """Rows of candidate customers.
+    def listed_direct(self) -> DataFrame:
+        """Unpaid amounts of stand-alone invoices of candidate customers, by customer and currency.
 
         A row of the other three sources is its own candidate: what is unpaid is
         unsettled, under the same code. Only a stand-alone invoice can carry a code
-        that differs from its customer's, so only those rows need the semi-join.
+        that differs from its customer's.
         """
-        known = self.base.filter(F.col("customer_code").isNotNull())
-        direct = known.filter(F.col("source") == DIR)
-        listed = direct.join(self.candidate_customers(), ["bdm_id", "customer_code"], "left_semi")
-        return known.filter(F.col("source") != DIR).unionByName(listed)
-
-    def listed_direct(self) -> DataFrame:
-        """Unpaid amounts of stand-alone invoices of candidate customers, by customer and currency."""
-        rows = self.listed().filter((F.col("source") == DIR) & (F.col("open_count") > 0))
+        rows = self._cells().filter(F.col("listed") & (F.col("source") == DIR) & (F.col("open_count") > 0))
         return rows.groupBy(*CUSTOMER_KEY).agg(F.sum("open_amount").alias("amount"))
 
     def _cells(self, source: str | None = None) -> DataFrame:
@@ -156,6 +145,7 @@ class AgeingSummary:
             F.sum(F.when(in_summary, F.col("summary_count"))).alias("summary_count"),
             F.sum(F.when(in_summary, F.col("summary_amount"))).alias("summary_amount"),
             F.sum(F.when(is_open, F.col("open_count"))).alias("open_count"),
+            F.sum(F.when(is_open, F.col("open_amount"))).alias("open_amount"),
             F.sum(F.when(is_open, F.col("total_amount"))).alias("total_amount"),
             F.min(F.when(in_summary, named)).alias("named"),
             F.max(F.when(dated, F.col("last_due_date"))).alias("last_due_date"),
@@ -219,7 +209,7 @@ class AgeingSummary:
     def wide(self, months: int | None = None) -> DataFrame:
         """One column per bucket and ``months`` future months, or as many as the farthest horizon needs."""
         if months is None:
-            months = self._months.agg(F.max("months")).first()[0] or 0
+            months = self.horizon().agg(F.max("months")).first()[0] or 0
         buckets = [*FIXED_BUCKETS, *[f"p{offset}" for offset in range(1, months + 1)]]
         return self.merged().groupBy(*CUSTOMER_KEY).pivot("bucket", buckets).agg(F.sum("net_amount"))
 
