@@ -23,7 +23,9 @@ _SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
     # All stores of an executor share one bounded piece of memory.
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "96",
+    # A store is closed when its part of the batch is done: many parts don't keep many stores open.
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
     # A store takes the disk it fills, not whole preallocated files.
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.minBatchesToRetain": "2",
