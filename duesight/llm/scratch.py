@@ -10,6 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 _made: dict[str, list[str]] = {}
 
 
+def free(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column has it."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session. Only a local session without it gets a temporary folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
