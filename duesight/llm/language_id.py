@@ -3,7 +3,10 @@
 A word seen in training scores its log frequency in each language. An unseen word scores, at each of its
 positions, the longest character n-gram that training has seen there, from ``MAX_GRAM`` characters down to one.
 
-The model is fitted on a bounded sample (``FitBounds``) with Spark counting; prediction reads every whole text.
+The model is fitted on a sample bounded for each language (``FitBounds``) with Spark counting, and holds every word and
+n-gram of the sample and every language: only the number of labelled rows is bounded. It keeps counts of the languages
+that a token was seen in; all other languages share one value for each level, so its size is that of the
+sample. Prediction reads every whole text.
 Null texts and texts without letters get ``und`` and score 0. Rows that repeat are predicted each on its own.
 Equal scores go to the language that sorts first. Without any training row every text is ``und``.
 """
@@ -17,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from duesight.llm.scratch import cut
@@ -25,18 +28,17 @@ from duesight.llm.scratch import cut
 UNKNOWN = "und"
 MAX_GRAM = 4
 _LETTERS = re.compile(r"[^\W\d_]+")
-#: Words remembered by one worker; emptied when full.
-CACHE = 200_000
+#: Words remembered by one worker, and numbers it remembers for them (one for each word and language); emptied when full.
+CACHE, CACHED_SCORES = 200_000, 2_000_000
+#: Log frequency of a position for which no n-gram is known.
+NOTHING = -12.0
 
 
 @dataclass(frozen=True)
 class FitBounds:
-    """What bounds the training sample and the model that is sent to the executors."""
+    """What bounds the training sample."""
 
     docs_per_language: int = 1500  # expected number, chosen by a hash of the id
-    languages: int = 200
-    words: int = 150_000
-    grams: int = 100_000
 
 
 def words_of(text: str) -> list[str]:
@@ -52,26 +54,35 @@ def grams_of(word: str) -> Iterator[str]:
 
 
 class Model:
-    """Log frequencies by language: one row of ``table`` for each known word and n-gram, and a last one for neither."""
+    """Log frequencies by language.
+
+    Row r of a word or n-gram has the level ``level[r]`` (0: words, else the length of the n-gram), whose
+    ``base`` is the value of a token that a language has not seen. Languages that have seen it add ``more``, stored
+    one after another from ``start[r]`` to ``start[r + 1]``. The last row is for neither.
+    """
 
     def __init__(self, languages: list[str], counts: pd.DataFrame):
-        """counts: columns kind (``w`` or ``g``), token, lang, n."""
+        """counts: columns kind (``w`` or ``g``), token, lang, n; each combination once."""
         self.languages = sorted(languages)
         at = {lang: i for i, lang in enumerate(self.languages)}
-        tokens = counts[["kind", "token"]].drop_duplicates().reset_index(drop=True)
-        self.words = {t: i for i, (k, t) in enumerate(zip(tokens.kind, tokens.token, strict=True)) if k == "w"}
-        self.grams = {t: i for i, (k, t) in enumerate(zip(tokens.kind, tokens.token, strict=True)) if k == "g"}
-        numbers = np.zeros((len(tokens), len(at)))
-        for kind, token, lang, n in zip(counts.kind, counts.token, counts.lang, counts.n, strict=True):
-            numbers[(self.words if kind == "w" else self.grams)[token], at[lang]] += n
+        row, names = pd.factorize(counts.kind + counts.token, sort=True)
+        lang = np.array([at[x] for x in counts.lang], dtype=np.int32)
+        n = counts.n.to_numpy(dtype=np.float64)
+        order = np.lexsort((lang, row))
+        self.words = {name[1:]: i for i, name in enumerate(names) if name[0] == "w"}
+        self.grams = {name[1:]: i for i, name in enumerate(names) if name[0] == "g"}
+        self.nothing = len(names)
+        self.level = np.array([0 if name[0] == "w" else len(name) - 1 for name in names] + [MAX_GRAM + 1], dtype=np.int8)
         # Add-half smoothing within each level: all words, or the n-grams of one length.
-        levels = np.array([0 if k == "w" else len(t) for k, t in zip(tokens.kind, tokens.token, strict=True)], dtype=int)
-        self.table = np.full((len(tokens) + 1, len(at)), -12.0)
-        for level in np.unique(levels):
-            own = levels == level
-            part = numbers[own] + 0.5
-            self.table[:-1][own] = np.log(part / part.sum(axis=0))
-        self.nothing = len(tokens)
+        self.base = np.full((MAX_GRAM + 2, len(at)), NOTHING)
+        for level in range(MAX_GRAM + 1):
+            size = np.count_nonzero(self.level == level)
+            if size:
+                own = self.level[row] == level
+                self.base[level] = np.log(0.5) - np.log(np.bincount(lang[own], n[own], len(at)) + 0.5 * size)
+        self.start = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(names) + 1))]).astype(np.int64)
+        self.lang = lang[order]
+        self.more = np.log((n + 0.5) / 0.5)[order]
 
     def rows_of(self, word: str) -> list[int]:
         """The row of a known word; of an unseen one, at each position, of the longest known n-gram."""
@@ -89,7 +100,24 @@ class Model:
         return self.nothing
 
     def score_word(self, word: str) -> np.ndarray:
-        return self.table[self.rows_of(word)].mean(axis=0)
+        """The mean over the rows of a word, plainly."""
+        rows = self.rows_of(word)
+        total = self.base[self.level[rows]].sum(axis=0)
+        for r in rows:
+            part = slice(self.start[r], self.start[r + 1])
+            total[self.lang[part]] += self.more[part]
+        return total / len(rows)
+
+    def means(self, rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The means of many words at once; ``sizes`` says how many of ``rows`` each word has."""
+        starts = np.cumsum(sizes) - sizes
+        total = np.add.reduceat(self.base[self.level[rows]], starts, axis=0)
+        held = self.start[rows + 1] - self.start[rows]
+        entry = np.arange(held.sum()) + np.repeat(self.start[rows] - (np.cumsum(held) - held), held)
+        word = np.repeat(np.repeat(np.arange(len(sizes)), sizes), held)
+        width = len(self.languages)
+        total += np.bincount(word * width + self.lang[entry], self.more[entry], total.size).reshape(total.shape)
+        return total / sizes[:, None]
 
 
 class Predictor:
@@ -99,8 +127,9 @@ class Predictor:
         self.model = model
         self.seen: dict[str, int] = {}
         self.grams: dict[str, int] = {}
-        self.scores = np.zeros((CACHE, len(model.languages)))
-        self.letters = np.zeros(CACHE, dtype=np.int64)
+        self.room = max(16, min(CACHE, CACHED_SCORES // max(1, len(model.languages))))
+        self.scores = np.zeros((self.room, len(model.languages)))
+        self.letters = np.zeros(self.room, dtype=np.int64)
 
     def _add(self, tokens: list[str]) -> None:
         """Score new tokens: means over the rows of each word, added up by token."""
@@ -129,9 +158,7 @@ class Predictor:
                     sizes.append(len(marked))
                 owner.append(k)
         if owner:
-            starts = np.cumsum([0, *sizes[:-1]])
-            means = np.add.reduceat(model.table[rows], starts, axis=0) / np.array(sizes)[:, None]
-            np.add.at(self.scores, owner, means)
+            np.add.at(self.scores, owner, model.means(np.array(rows), np.array(sizes)))
             np.add.at(self.letters, owner, 1)
 
     def predict(self, text: str | None) -> tuple[str, float]:
@@ -139,9 +166,10 @@ class Predictor:
             return UNKNOWN, 0.0
         total, n = 0, 0
         tokens = text.split()
-        for start in range(0, len(tokens), CACHE // 2):  # a long text may hold more words than the memory
-            part = tokens[start : start + CACHE // 2]
-            if len(self.seen) > CACHE // 2:
+        half = self.room // 2
+        for start in range(0, len(tokens), half):  # a long text may hold more words than the memory
+            part = tokens[start : start + half]
+            if len(self.seen) > half:
                 self.seen.clear()
             if new := set(part).difference(self.seen):
                 self._add(sorted(new))
@@ -163,11 +191,12 @@ def fit(labelled: DataFrame, bounds: FitBounds = FitBounds(), id_col: str = "doc
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
     shares = (
-        rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(bounds.languages)
+        rows.groupBy("lang").agg(F.count("*").alias("n"))
         .select("lang", (F.lit(float(bounds.docs_per_language)) / F.col("n")).alias("share"))
     )
     drawn = F.pmod(F.xxhash64(F.lit("sample"), "id"), F.lit(1 << 30)) < F.col("share") * (1 << 30)
-    sample = rows.join(F.broadcast(shares), "lang").filter(drawn).select("lang", "text")  # 200 rows at most
+    # One row for each language, as in the model, which goes to every task as well.
+    sample = rows.join(F.broadcast(shares), "lang").filter(drawn).select("lang", "text")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -184,11 +213,7 @@ def fit(labelled: DataFrame, bounds: FitBounds = FitBounds(), id_col: str = "doc
         .groupBy("kind", "token", "lang").agg(F.sum("n").alias("n")),
         "language-counts",
     )
-    kept = []
-    for kind, most in (("w", bounds.words), ("g", bounds.grams)):
-        one = counts.filter((F.col("kind") == kind) & (F.col("n") > 1))
-        kept.append(one.orderBy(F.desc("n"), "token", "lang").limit(most).toPandas())
-    return Model([r.lang for r in shares.select("lang").collect()], pd.concat(kept))
+    return Model([r.lang for r in shares.select("lang").collect()], counts.toPandas())
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -205,9 +230,9 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     return rows.mapInPandas(predict, "doc_id long, lang_pred string, score double")
 
 
-def identify_with(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with all its columns, and ``lang_pred`` and ``score``, which replace columns of those names."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def prediction(spark: SparkSession, model: Model, text: Column) -> Column:
+    """``lang_pred`` and ``score`` of a text, as a struct."""
+    shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -215,5 +240,10 @@ def identify_with(docs: DataFrame, model: Model, text_col: str = "text") -> Data
         for batch in batches:
             yield pd.DataFrame([one.predict(text) for text in batch], columns=["lang_pred", "score"])
 
-    found = docs.withColumn("_found", predict(text_col))
+    return predict(text)
+
+
+def identify_with(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """``docs`` with all its columns, and ``lang_pred`` and ``score``, which replace columns of those names."""
+    found = docs.withColumn("_found", prediction(docs.sparkSession, model, F.col(text_col)))
     return found.withColumns({"lang_pred": F.col("_found.lang_pred"), "score": F.col("_found.score")}).drop("_found")

@@ -61,6 +61,21 @@ def test_cache_may_overflow(spark, documents, monkeypatch):
         assert again[0] == lang and abs(again[1] - score) < 1e-6
 
 
+def test_many_and_rare_languages(spark):
+    """300 languages with a few words each, one with a single document: each finds its own."""
+    rows = [(i, " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{w}{'xyz'[k]}" for w in ("bo", "ca", "du") for k in range(3)), f"l{i:03d}") for i in range(300)]
+    rows += [(1000 + k, "ein haufen von texten in einer sprache " * 3, "zz") for k in range(500)]
+    docs = spark.createDataFrame([(str(i), t, lang, n) for i, t, lang in rows for n in range(1 if i % 2 else 2)], "doc_id string, text string, lang string, n int")
+    model = L.fit(docs, L.FitBounds(docs_per_language=50))
+    assert len(model.languages) == 301
+    assert {w for _, t, lang in rows if lang != "zz" for w in t.split()} <= set(model.words)
+    one = L.Predictor(model)
+    assert one.room < L.CACHE
+    for _, text, lang in rows[:301]:
+        assert one.predict(text)[0] == lang
+        assert np.allclose(one.scores[one.seen[text.split()[0]]], model.score_word(text.split()[0]))
+
+
 def test_the_query(spark):
     from duesight.llm.queries import QUERIES
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from duesight.llm import pii
 from duesight.llm.queries import tokenizer
+from duesight.llm.scratch import cut
 from tests.llm import test_exact_dedup, test_packing, test_pii, test_simhash
 from tests.llm.conftest import DOCS, SMALL, texts_of
 
@@ -81,6 +82,24 @@ def test_ids_that_repeat(spark):
     assert len(near) == 4 and {(i, t.lower()) for i, t in near} == {(None, one), (8, two), (7, three + "  "), (7, four)}
 
 
+def test_columns_of_any_name_are_handed_on(spark, awkward, empty):
+    """Very long, empty and null texts, repeated rows, and columns with the names that stages use."""
+    names = ["_key", "_key_", "_was", "_kept_id", "_kept_key", "_id", "_hash", "_spans", "key", "one"]
+    docs = awkward.selectExpr("*", *[f"'x' AS `{name}`" for name in names])
+    more = docs.columns[5:]
+    nothing = empty.selectExpr("*", *[f"'x' AS `{name}`" for name in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = cut(stage(spark, docs, SMALL), name)
+        assert out.columns == docs.columns and 0 < out.count() <= docs.count()
+        assert out.filter(" or ".join(f"`{c}` is null or `{c}` != 'x'" for c in more)).count() == 0
+        none = stage(spark, nothing, SMALL)
+        assert none.columns == docs.columns and none.count() == 0
+        docs = out
+    assert {r.doc_id for r in docs.collect()} == {4, 5, 7, 10, None}
+    last = corpus_pipeline.STAGES[-1][1]
+    assert last(spark, docs, SMALL).count() > 5 and last(spark, nothing, SMALL).count() == 0
+
+
 def test_run(spark, kept):
     pieces = corpus_pipeline.run(spark, SMALL)
     assert pieces.agg(F.sum("length")).first()[0] > 0
