@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,13 +62,15 @@ class Model:
     one after another from ``start[r]`` to ``start[r + 1]``. The last row is for neither.
     """
 
-    def __init__(self, languages: list[str], counts: pd.DataFrame):
-        """counts: columns kind (``w`` or ``g``), token, lang, n; each combination once."""
+    def __init__(self, languages: list[str], counts: pa.Table):
+        """counts: columns name (``w`` or ``g`` and the token), lang, n; each combination once."""
         self.languages = sorted(languages)
         at = {lang: i for i, lang in enumerate(self.languages)}
-        row, names = pd.factorize(counts.kind + counts.token, sort=True)
-        lang = np.array([at[x] for x in counts.lang], dtype=np.int32)
-        n = counts.n.to_numpy(dtype=np.float64)
+        coded = counts["name"].combine_chunks().dictionary_encode()
+        row, names = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        tongues = counts["lang"].combine_chunks().dictionary_encode()
+        lang = np.array([at[x] for x in tongues.dictionary.to_pylist()], dtype=np.int32)[tongues.indices.to_numpy()]
+        n = counts["n"].to_numpy().astype(np.float64)
         order = np.lexsort((lang, row))
         self.words = {name[1:]: i for i, name in enumerate(names) if name[0] == "w"}
         self.grams = {name[1:]: i for i, name in enumerate(names) if name[0] == "g"}
@@ -213,7 +216,9 @@ def fit(labelled: DataFrame, bounds: FitBounds = FitBounds(), id_col: str = "doc
         .groupBy("kind", "token", "lang").agg(F.sum("n").alias("n")),
         "language-counts",
     )
-    return Model([r.lang for r in shares.select("lang").collect()], counts.toPandas())
+    # As columns, not as row objects, which would take many times the memory of the driver.
+    table = counts.select(F.concat("kind", "token").alias("name"), "lang", "n").toArrow()
+    return Model([r.lang for r in shares.select("lang").collect()], table)
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
