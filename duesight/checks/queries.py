@@ -15,7 +15,7 @@ from duesight.functions import dates
 from duesight.functions.text import format_money
 from duesight.operators import documents, exposure
 from duesight.operators.rates import asof_rate, asof_rate_by_day, currency_table, latest_rate
-from duesight.plans import detail_sheet, notify, open_items, people, runlog
+from duesight.plans import back_run, detail_sheet, notify, open_items, people, runlog
 from duesight.plans.summary import AgeingSummary, project_summary
 from duesight.session import Stored, prepare, shared_folder
 from duesight.settings import DEFAULT_AS_OF, USUAL, SummaryOptions
@@ -116,6 +116,25 @@ def _(t: Tables) -> DataFrame:
     return asof_rate_by_day(t.forex_conversions, t.invoices.select(F.col("invoice_date").alias("report_date")))
 
 
+@query(
+    "base_exposure_by_day",
+    f"""SELECT a.report_date::VARCHAR AS report_date, a.currency_id, a.open_amount::DOUBLE AS open_amount, {_money('rate')},
+        round(rate * a.open_amount, 2)::DOUBLE AS base_amount
+    FROM (SELECT d.report_date, p.currency_id, sum(i.balance_amount)::DECIMAL(23,2) AS open_amount
+          FROM (SELECT DISTINCT invoice_date AS report_date FROM invoices WHERE invoice_date >= DATE '2001-01-01') d
+          JOIN invoices i ON i.invoice_date <= d.report_date JOIN projects p ON p.id = i.project_id
+          WHERE i.balance_amount > 0 AND i.status = 'a' GROUP BY 1, 2) a
+    LEFT JOIN (SELECT report_date, from_currency_id AS currency_id, value AS rate
+               FROM (SELECT DISTINCT invoice_date AS report_date FROM invoices) JOIN forex_conversions ON date <= report_date
+               QUALIFY row_number() OVER (PARTITION BY report_date, from_currency_id ORDER BY date DESC, id DESC) = 1) r
+      ON r.report_date = a.report_date AND r.currency_id = a.currency_id""",
+)
+def _(t: Tables) -> DataFrame:
+    """A back run over the days since 2001."""
+    days = t.invoices.select(F.col("invoice_date").alias("report_date")).filter("report_date >= date'2001-01-01'")
+    return back_run.base_exposure_by_day(t, days)
+
+
 # --- documents -------------------------------------------------------------------------------
 
 
@@ -542,7 +561,8 @@ MOST_LISTED = 3
     GROUP BY 1, 2, 3""",
 )
 def _(t: Tables) -> DataFrame:
-    lists = people.recipient_lists(people.recipients_by_type(t), MOST_LISTED)
+    rows = Stored(people.recipients_by_type(t), shared_folder(t.employees.sparkSession), "recipients").frame
+    lists = people.recipient_lists(rows, MOST_LISTED)
     joined = {name: F.array_join(name, ",") for name in ("to_list", "cc_list", "bcc_list")}
     return lists.withColumns(joined)
 

@@ -47,27 +47,33 @@ def rate_intervals(history: DataFrame) -> DataFrame:
     return days.withColumn("next_date", F.lead("rate_date").over(following))
 
 
-def asof_rate_by_day(history: DataFrame, days: DataFrame, bucket_days: int = 64) -> DataFrame:
-    """The rate of every currency as it was known on each of ``days`` (a column ``report_date``), in one job.
+def holding_on(intervals: DataFrame, days: DataFrame, since: str, until: str, bucket_days: int = 64) -> DataFrame:
+    """Each of ``days`` (a column ``report_date``) with the rows of ``intervals`` that hold on it, in one job.
 
-    Intervals of validity and report days meet in buckets of days: an interval goes to each bucket it touches, inside the
-    span of the report days, and a day has one bucket. So both sides are joined by equal numbers, and only a
-    bucket's own intervals are compared with a day.
+    An interval holds from ``since`` up to but not including ``until`` (null: for good). Intervals and days meet in buckets
+    of days: an interval goes to each bucket it touches, inside the span of the days, and a day has one bucket. So
+    both sides are joined by equal numbers, and only a bucket's own intervals are compared with a day.
     """
     wanted = days.select("report_date").filter("report_date is not null").distinct()
     span = wanted.agg(F.min("report_date").alias("first"), F.max("report_date").alias("last"))
     first, last = (span.select(name).scalar() for name in ("first", "last"))
+    start, end = F.col(since), F.col(until)
 
     def bucket(day):
         return F.floor(F.unix_date(day) / bucket_days)
 
-    inside = rate_intervals(history).filter((F.col("rate_date") <= last) & F.coalesce(F.col("next_date") > first, F.lit(True)))
-    from_bucket = bucket(F.greatest(F.col("rate_date"), first))
-    to_bucket = bucket(F.least(F.coalesce(F.date_sub("next_date", 1), last), last))
-    touched = inside.withColumn("bucket", F.explode(F.sequence(from_bucket, to_bucket)))
-    met = wanted.withColumn("bucket", bucket(F.col("report_date"))).join(touched, "bucket")
-    holds = (F.col("rate_date") <= F.col("report_date")) & F.coalesce(F.col("report_date") < F.col("next_date"), F.lit(True))
-    return met.filter(holds).select("report_date", "currency_id", "rate", "rate_date")
+    inside = intervals.filter((start <= last) & F.coalesce(end > first, F.lit(True)))
+    from_bucket = bucket(F.greatest(start, first))
+    to_bucket = bucket(F.least(F.coalesce(F.date_sub(end, 1), last), last))
+    touched = inside.withColumn("_bucket", F.explode(F.sequence(from_bucket, to_bucket)))
+    met = wanted.withColumn("_bucket", bucket(F.col("report_date"))).join(touched, "_bucket")
+    return met.filter((start <= F.col("report_date")) & F.coalesce(F.col("report_date") < end, F.lit(True))).drop("_bucket")
+
+
+def asof_rate_by_day(history: DataFrame, days: DataFrame, bucket_days: int = 64) -> DataFrame:
+    """The rate of every currency as it was known on each of ``days``."""
+    held = holding_on(rate_intervals(history), days, "rate_date", "next_date", bucket_days)
+    return held.select("report_date", "currency_id", "rate", "rate_date")
 
 
 def currency_table(t: Tables, as_of: dt.date, corrected: bool = False) -> DataFrame:

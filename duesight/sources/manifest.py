@@ -21,12 +21,29 @@ class Conflict(RuntimeError):
 class Manifests:
     def __init__(self, spark: SparkSession, folder: str):
         self._jvm = spark._jvm
-        self._folder = f"{folder.rstrip('/')}/_manifests"
+        self._root = folder.rstrip("/")
+        self._folder = f"{self._root}/_manifests"
         self._files = self._path("").getFileSystem(spark._jsc.hadoopConfiguration())
 
     def _path(self, name: str):
         return self._jvm.org.apache.hadoop.fs.Path(f"{self._folder}/{name}" if name else self._folder)
 
+    def has(self, name: str) -> bool:
+        """Is there such a folder beside the manifests?"""
+        return self._files.exists(self._jvm.org.apache.hadoop.fs.Path(f"{self._root}/{name}"))
+
+    def sweep(self, folder: str, keep: set[str]) -> list[str]:
+        """Delete what lies in ``folder`` and isn't in ``keep`` (names under the folder of the manifests), when no writer is at work."""
+        if not self.has(folder):
+            return []
+        gone = []
+        for status in self._files.listStatus(self._jvm.org.apache.hadoop.fs.Path(f"{self._root}/{folder}")):
+            name = f"{folder}/{status.getPath().getName()}"
+            if name not in keep:
+                self._files.delete(status.getPath(), True)
+                gone.append(name)
+        return gone
+
     def _numbers(self) -> list[int]:
         if not self._files.exists(self._path("")):
             return []

@@ -44,8 +44,7 @@ class RunLog:
     def events(self, since: dt.date | None = None, after: dt.date | None = None, until: dt.date | None = None) -> DataFrame:
         """Events whose folder lies in the span; other folders are not listed as files to read. ``since`` also
         leaves out single events before that day."""
-        path = self._manifests._jvm.org.apache.hadoop.fs.Path(f"{self._folder}/events")
-        if not self._manifests._files.exists(path):
+        if not self._manifests.has("events"):
             return self._spark.createDataFrame([], f"{RUN_EVENT_SCHEMA}, day date")
         rows = self._spark.read.schema(f"{RUN_EVENT_SCHEMA}, day date").parquet(f"{self._folder}/events")
         if since is not None:
@@ -82,3 +81,7 @@ class RunLog:
         if state and state["through"] and dt.date.fromisoformat(state["through"]) >= through:
             return
         self._manifests.publish(number, self.write_snapshot(through))
+
+    def sweep(self) -> None:
+        """Delete snapshots that are not the current one; events stay."""
+        self._manifests.sweep("snapshots", {self._state()["snapshot"]})

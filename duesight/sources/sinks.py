@@ -127,6 +127,12 @@ class SheetStore:
             return self._spark.createDataFrame([], PART_SCHEMA)
         return self._spark.read.schema(PART_SCHEMA).parquet(f"{self._folder}/{state['folder']}.parts")
 
+    def sweep(self) -> None:
+        """Delete the files of earlier runs and of attempts that failed."""
+        state = self._manifests.latest()[1]
+        self._manifests.sweep("runs", {state["folder"], f"{state['folder']}.parts"} if state else set())
+        self._manifests.sweep("staging", set())
+
     def folder(self) -> str | None:
         """Where the files of the latest run lie: ``bdm_id=…/part=…/``."""
         state = self._manifests.latest()[1]
@@ -202,3 +208,8 @@ class HandOff:
                 continue
             return self._read([name])
         raise Conflict(f"{attempts} attempts met other writers")
+
+    def sweep(self) -> None:
+        """Delete batches that no list names any more."""
+        state = self._manifests.latest()[1]
+        self._manifests.sweep("batches", set(state["batches"]) if state else set())

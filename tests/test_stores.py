@@ -91,6 +91,8 @@ def test_crash_between_snapshot_and_switch(spark, tmp_path):
     log.compact(dt.date(1970, 1, 10))
     states = {r.run_id: r for r in RunLog(spark, str(tmp_path)).states().collect()}
     assert states["r1"].message == "late" and len(states) == len(want)
+    log.sweep()
+    assert len(list((tmp_path / "snapshots").iterdir())) == 1 and log.states().count() == len(want)
 
 
 def test_latest_run_prunes_days(spark, cases, tmp_path):
@@ -180,6 +182,9 @@ def test_published_sheets_switch_at_once(spark, cases, tmp_path):
     assert store.folder() == first
     store.publish(new, "run-2")
     assert store.folder() != first and {r.bdm_id for r in store.manifest().collect()} == {1, 2, 3, 4, 6, 7}
+    store.sweep()
+    assert {p.name for p in (tmp_path / "runs").iterdir()} == {Path(store.folder()).name, f"{Path(store.folder()).name}.parts"}
+    assert store.manifest().count() == len(list(Path(store.folder()).rglob("*.csv")))
 
 
 def outbox(spark, owners, text="x"):
@@ -202,6 +207,8 @@ def test_messages_are_handed_over_once(spark, tmp_path):
     assert keys_of(box.handed_over()) == [1, 2, 3, 4]
     assert len(box._manifests.latest()[1]["batches"]) == 1  # more than three were put into one
     assert {r.subject for r in box.handed_over().collect()} == {"x", "later"}
+    box.sweep()
+    assert keys_of(box.handed_over()) == [1, 2, 3, 4] and len(list((tmp_path / "batches").iterdir())) == 1
 
 
 def test_two_runs_at_a_time(spark, tmp_path, monkeypatch):
