@@ -11,7 +11,8 @@ Vectors are never gathered: two hash sums over the pages stand for them, added u
 row for each host and are joined to the pages.
 
 Null urls share one host; null or empty html gives the empty text. Pages that repeat are extracted each on its own.
-Unclosed comments and raw elements end with the page; a ``<`` that opens no tag is text.
+Unclosed comments and raw elements end with the page; a ``<`` that opens no tag is text. Pages of any length are read in time in
+proportion to it. Empty tables give no rows; columns other than id, url and html are ignored.
 """
 
 from __future__ import annotations
@@ -29,19 +30,21 @@ from pyspark.sql import functions as F
 from duesight.llm.scratch import cut
 
 # Elements of HTML by what they do to text.
-RAW = frozenset("script style noscript template iframe textarea select svg math object title".split())
+RAW = frozenset("script style noscript template iframe textarea select svg object title".split())
 PLACES = frozenset("html head body main article section div nav header footer aside form table ul ol dl figure fieldset details dialog menu".split())
 BLOCKS = PLACES | frozenset("p br hr h1 h2 h3 h4 h5 h6 li dt dd tr td th thead tbody caption figcaption pre blockquote address center option legend summary".split())
 EMPTY = frozenset("br hr img input meta link area base col embed source track wbr".split())
 FURNITURE = frozenset("head nav footer aside form menu dialog".split())
 # Words in class names and ids of page furniture.
 FURNITURE_NAMES = re.compile(
-    r"(?:^|[-_ ])(?:ad|ads|advert|advertisement|adverts|banner|sponsor|sponsored|promo|cookie|cookies|consent|gdpr|notice|alert|popup|modal|overlay|nav|navbar|navigation|"
+    r"(?:^| |(?<!with)(?<!has)(?<!no)(?<!article)(?<!post)(?<!entry)[-_])(?:ad|ads|advert|advertisement|adverts|banner|sponsor|sponsored|promo|cookie|cookies|consent|gdpr|notice|alert|popup|modal|overlay|nav|navbar|navigation|"
     r"menu|sidebar|side|aside|footer|header|masthead|breadcrumb|breadcrumbs|comment|comments|respond|disqus|replies|share|sharing|social|related|recommended|newsletter|"
     r"subscribe|subscription|signup|login|search|widget|toolbar|pagination|pager|copyright|skip|hidden)(?:$|[-_ ])"
 )
-_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>|<!--|<[!?/][^>]*>?")
-_NAMES = re.compile(r"""\b(class|id)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_START = re.compile(r"<(?:(/?)([a-zA-Z][a-zA-Z0-9:-]*)|!--|[!?/])")
+#: Attributes up to the tag's end; a ``>`` in a quoted value ends no tag.
+_ATTRIBUTES = re.compile(r"""((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+)>""")
+_NAMES = re.compile(r"""(?<![\w-])(class|id)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _ENDS = {tag: re.compile(rf"</{tag}\b[^>]*>?", re.I) for tag in RAW}
 #: Share of a host's pages that a template token stands on, and of links in furniture.
 SUPPORT, LINKS = 0.3, 0.6
@@ -56,24 +59,32 @@ def pieces(page: str | None) -> Iterator[tuple[str, str, bool]]:
     """``place, text, linked`` in page order; a text of ``\\0`` ends a block, an empty one opens a place."""
     page = page or ""
     stack: list[str] = []
-    path, linked, at = "", False, 0
+    path, linked, at, quoted = "", False, 0, True
+    last = page.rfind(">")  # behind it no tag ends, which is known before one is tried
     while True:
-        tag = _TAG.search(page, at)
+        tag = _START.search(page, at)
+        while tag and tag[2] and not tag[1] and tag.start() > last:
+            tag = _START.search(page, tag.end())
         text = page[at : tag.start() if tag else len(page)]
         if text:
             yield path, text.replace("\0", " "), linked
         if tag is None:
             return
         at = tag.end()
-        if tag[0] == "<!--":
-            end = page.find("-->", at)
-            at = len(page) if end < 0 else end + 3
-            continue
-        if tag[2] is None:
+        if tag[2] is None or tag.start() > last:
+            end = page.find("-->" if tag[0] == "<!--" else ">", at)
+            at = len(page) if end < 0 else end + (3 if tag[0] == "<!--" else 1)
             continue
+        rest = _ATTRIBUTES.match(page, at) if quoted else None
+        if rest is None:  # quotes that don't end: from here on the next sign ends a tag
+            quoted = False
+            end = page.find(">", at)
+            attributes, at = page[at:end], end + 1
+        else:
+            attributes, at = rest[1], rest.end()
         name = tag[2].lower()
         if name in RAW:
-            if not tag[1] and not tag[3].endswith("/"):
+            if not tag[1] and not attributes.endswith("/"):
                 end = _ENDS[name].search(page, at)
                 at = end.end() if end else len(page)
             continue
@@ -86,7 +97,7 @@ def pieces(page: str | None) -> Iterator[tuple[str, str, bool]]:
                 if name in (own := [s.split(".")[0] for s in stack]):
                     del stack[len(own) - 1 - own[::-1].index(name) :]
             else:
-                named = " ".join(a or b or c for _, a, b, c in _NAMES.findall(tag[3])) if tag[3] else ""
+                named = " ".join(a or b or c for _, a, b, c in _NAMES.findall(attributes)) if attributes else ""
                 named = re.sub(r"[^a-z_ -]+", "", named.lower()).strip()
                 stack.append(f"{name}.{named}" if named else name)
                 linked = False

@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import html
 import re
+import time
+
+import pytest
 
 from duesight.llm import html_extraction as H
 from duesight.llm.queries import QUERIES
@@ -87,3 +90,31 @@ def test_awkward_pages(spark):
     assert got[3] == "plain text, no tags" and got[4] == "a b" and got[None] == "x" and got[5] == "deep"
     assert got[6] == "a < b & c > d <3" and got[8] == ("word " * 50_000).strip() and got[10] == "T x y"
     assert H.extract(pages.filter("false")).collect() == []
+
+
+def text_in(page):
+    return "".join(text for _, text, _ in H.pieces(page) if text != "\0")
+
+
+def test_signs_in_quoted_attributes():
+    assert text_in('<p title="a > b">Hello</p>') == "Hello"
+    assert text_in("<p title='a > b' class=x>Hello</p> it's <b>so</b>") == "Hello it's so"
+    assert text_in('<p title="open>one</p><p>two') in ("one" + "two", "onetwo")
+    assert text_in("a <b> c") == "a  c" and text_in("1 < 2 <a x") == "1 < 2 <a x"
+    assert text_in("x</p") == "x" and text_in("x<!-- y") == "x" and text_in("<math><mi>k</mi></math>") == "k"
+
+
+def test_names_of_furniture():
+    for name in ("sidebar", "left-sidebar", "site-header", "cookie-notice"):
+        assert H.is_furniture(f"body/div.{name}")
+    for name in ("content with-sidebar", "article-header", "has-sidebar", "post-header"):
+        assert not H.is_furniture(f"body/div.{name}")
+    assert [p for p, _, _ in H.pieces('<div data-id="notice" class="text">x</div>') if p][0] == "div.text"
+
+
+@pytest.mark.parametrize("part", ["<a ", "<a b=\">\" ", "<p title='", "</p", "<!-", "<a href=\"x>", "<div class=\"a\">"])
+def test_broken_pages_stay_linear(part):
+    started = time.perf_counter()
+    for _ in H.pieces(part * (200_000 // len(part))):
+        pass
+    assert time.perf_counter() - started < 3
