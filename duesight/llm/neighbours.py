@@ -13,6 +13,7 @@ brute force is tested.
 
 Vectors that are null, zero, of another length than most or with null or non-finite components take no part, neither do
 null ids. Rows that repeat an id with the same vector are one candidate.
+An empty table gives no rows; columns other than id and vector are ignored.
 """
 
 from __future__ import annotations

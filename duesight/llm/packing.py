@@ -6,7 +6,8 @@ level. At the end of a task the windows that are still open are closed by cuttin
 their pieces to fill the fullest, so one window of a task at most stays partly filled.
 
 No shuffle: sequence ids are made of the task's partition and the window's number in it. Null and empty texts are
-one piece that holds the end id. Rows that repeat are packed each on its own.
+one piece that holds the end id. Rows that repeat are packed each on its own. Texts of any length are cut over windows,
+empty tables give no pieces, and columns other than id and text are ignored.
 """
 
 from __future__ import annotations

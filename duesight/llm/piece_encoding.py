@@ -9,6 +9,7 @@ merging their joined text again.
 Merges never pass the start of a blank run when no piece holds a blank behind other characters, so the ids
 of such segments are remembered. Without that property a text is one segment. Characters outside the vocabulary are
 encoded as bytes. Null texts count as empty and give the end id alone. Rows that repeat are encoded each on its own.
+Texts of any length are read whole, empty tables give no rows, and columns other than id and text are ignored.
 """
 
 from __future__ import annotations

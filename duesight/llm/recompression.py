@@ -12,7 +12,8 @@ Shared symbols reveal repeats: anchors with equal surroundings meet in Spark. Th
 are settled there. The windows of the others are compared one by one by 128-bit hashes.
 
 Null texts have no words. A null id counts as smaller than any other. Rows with one id are one document if their texts
-are equal; different texts under one id share what is removed. Every row is reported.
+are equal; different texts under one id share what is removed. Every row is reported. Texts of any length are read whole, empty
+tables give no rows, and columns other than id and text are ignored.
 """
 
 from __future__ import annotations

@@ -8,6 +8,7 @@ edges within the radius. Shards hand on a spanning forest of their links, never
 
 Null texts and texts without words have fingerprint zero and link like any other. Copies share a fingerprint and
 so a component. Rows whose id is null get a component from the other rows they reach, null if there are none.
+Texts of any length are read whole, empty tables give no rows, and columns other than id and text are ignored.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ are repeats. A bucket's first and last leading bytes may go on in the next bucke
 compared across the boundaries by 128-bit hashes.
 
 Null texts are empty. A null id counts as smaller than any other. Rows with one id are one document if their texts are
-equal; different texts under one id share what is removed. Every row is reported.
+equal; different texts under one id share what is removed. Every row is reported. Texts of any length are read whole, empty tables
+give no rows, and columns other than id and text are ignored.
 """
 
 from __future__ import annotations
