@@ -25,6 +25,7 @@ from duesight.sources.sinks import HandOff, SheetStore
 from duesight.sources.starmap import star_failures, star_run_events, star_tables
 from duesight.sources.tables import Tables, collated
 
+# Error texts, module, function, key and sender names that the SQL below spells out are those of the settings.
 RATE_DAY = dt.date.fromisoformat(RATE_AS_OF)
 # A Saturday morning, so that weekday 6 is today's.
 NOW = dt.datetime(2001, 6, 16, 9, 30, 15)
@@ -703,7 +704,7 @@ def _(t: Tables) -> DataFrame:
     return runlog.run_state(starts.unionByName(done).unionByName(failed))
 
 
-# The database's format letter and DuckDB's, for letters whose numbers or texts both know.
+# The database's format letter and DuckDB's, for letters whose numbers or texts both know.
 PART_LETTERS = {
     "Y": "%Y", "y": "%y", "m": "%m", "M": "%B", "b": "%b", "d": "%d", "j": "%j", "H": "%H", "I": "%I", "i": "%M",
     "s": "%S", "p": "%p", "T": "%H:%M:%S", "r": "%I:%M:%S %p", "w": "%w", "W": "%A", "a": "%a", "U": "%U", "v": "%V", "x": "%G",
