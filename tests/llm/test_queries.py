@@ -13,7 +13,8 @@ from tests.llm.conftest import SMALL
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_sql(spark, name):
     connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SMALL}/documents.parquet')")
+    for table in ("documents", "pages", "embeddings"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SMALL}/{table}.parquet')")
     result = connection.execute(ORACLE_SQL[name])
     columns = [c[0] for c in result.description]
     want = sorted(map(tuple, result.fetchall()), key=str)
