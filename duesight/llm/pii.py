@@ -6,11 +6,11 @@ may overlap across kinds. Four of them propose what a strict rule decides (addre
 always stay, spans that fail it never do. The others propose *loose* spans, for which there is no rule: spelled-out
 mail signs, phone numbers without a plus.
 
-Gradient-boosted trees learn base against failed spans on a bounded, hashed sample, and judge the loose ones. They
+Gradient-boosted trees learn base against failed spans, and judge the loose ones. They
 see the words, signs and digits around a span and how it is set off from them, but nothing that the rules look at (digits,
-check digit, address parts, plus sign, signs between), so they learn where personal data stands and not the rule over again. One threshold
-for each kind is calibrated on the rest of that sample: the lowest score from which on base spans reach the wanted
-precision. Loose spans at or above it are selected, unless they overlap a base span.
+check digit, address parts, plus sign, signs between), so they learn where personal data stands and not the rule over again. Every base and every failed span takes part:
+two of three, by a hash, teach the trees, the others calibrate one threshold for each kind, the lowest score from which on
+base spans reach the wanted precision. Spans that look the same to the trees are one row with their number as its weight. Loose spans at or above it are selected, unless they overlap a base span.
 
 DataFrame operations only. Positions are code points, ends exclusive. Null texts count as empty and have no spans.
 Rows that repeat give their spans each. Without enough examples of both classes no loose span is selected. Texts of any
@@ -48,9 +48,8 @@ _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 @dataclass(frozen=True)
 class FitBounds:
-    """The sample the trees are fitted and calibrated on, drawn by a hash."""
+    """How the trees are fitted and calibrated."""
 
-    spans: int = 20_000  # expected number at most
     least: int = 20  # spans of each class, else nothing is learned
     precision: float = 0.99
     rounds: int = 12
@@ -160,8 +159,8 @@ def features(spans: DataFrame) -> DataFrame:
     return spans.select("*", *[F.coalesce(c.cast("double"), F.lit(0.0)).alias(f"x_{name}") for name, c in (columns | kinds | words).items()])
 
 
-def _assembled(spans: DataFrame) -> DataFrame:
-    rows = features(spans)
+def _assembled(rows: DataFrame) -> DataFrame:
+    """Rows of ``features`` with the vector ``x``."""
     return VectorAssembler(inputCols=[c for c in rows.columns if c.startswith("x_")], outputCol="x").transform(rows)
 
 
@@ -172,29 +171,31 @@ class Judge:
 
     def scored(self, spans: DataFrame) -> DataFrame:
         """The spans with ``score``, the trees' probability of a base span."""
-        out = self.trees.transform(_assembled(spans))
-        return out.select(*spans.columns, vector_to_array("probability")[1].alias("score"))
+        return self.judged(features(spans)).select(*spans.columns, "score")
+
+    def judged(self, rows: DataFrame) -> DataFrame:
+        """Rows of ``features`` with ``score``."""
+        return self.trees.transform(_assembled(rows)).withColumn("score", vector_to_array("probability")[1])
 
 
 def fit(spans: DataFrame, bounds: FitBounds = FitBounds()) -> Judge | None:
-    """Fit and calibrate on a hashed sample of the spans that a rule decides; None if it lacks one of the classes."""
-    known = spans.filter("ruled")
-    numbers = {r.base: r.n for r in known.groupBy("base").agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(numbers.values())
-    if min(numbers.get(True, 0), numbers.get(False, 0)) < bounds.least:
+    """Fit and calibrate on all spans that a rule decides; None if they lack one of the classes."""
+    part = F.pmod(F.xxhash64(F.lit("part"), "found"), F.lit(3)).alias("part")
+    known = features(spans.filter("ruled")).withColumn("label", F.col("base").cast("double"))
+    looks = [c for c in known.columns if c.startswith("x_")]
+    alike = known.groupBy("kind", *looks, "label", part).agg(F.count(F.lit(1)).cast("double").alias("n"))
+    examples = cut(alike, "pii-examples")
+    numbers = {(r.label, r.learns): r.n for r in examples.groupBy("label", (F.col("part") < 2).alias("learns")).agg(F.sum("n").alias("n")).collect()}
+    if min(sum(n for (label, _), n in numbers.items() if label == own) for own in (0.0, 1.0)) < bounds.least:
         return None
-    draw = F.pmod(F.xxhash64("doc_id", "kind", "start", "end", "found"), F.lit(1 << 20)) / float(1 << 20)
-    sample = known.withColumn("draw", draw).filter(F.col("draw") < min(1.0, bounds.spans / total)).withColumn("label", F.col("base").cast("double"))
-    sample = cut(sample.withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "found"), F.lit(3))).repartition(4), "pii-sample")
-    learn = _assembled(sample.filter("part < 2")).select("x", "label")
-    if len(learn.select("label").distinct().collect()) < 2:
+    if not {(0.0, True), (1.0, True)} <= set(numbers):
         return None
-    trees = GBTClassifier(featuresCol="x", labelCol="label", maxIter=bounds.rounds, maxDepth=bounds.depth, seed=1).fit(learn)
-    judge = Judge(trees, {})
+    learn = _assembled(examples.filter("part < 2")).select("x", "label", "n")
+    trees = GBTClassifier(featuresCol="x", labelCol="label", weightCol="n", maxIter=bounds.rounds, maxDepth=bounds.depth, seed=1).fit(learn)
     # At most 101 steps of score for each kind reach the driver.
     steps = (
-        judge.scored(sample.filter("part = 2")).groupBy("kind", F.floor(F.col("score") * 100).alias("step"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("right")).collect()
+        Judge(trees, {}).judged(examples.filter("part = 2")).groupBy("kind", F.floor(F.col("score") * 100).alias("step"))
+        .agg(F.sum("n").alias("n"), F.sum(F.col("label") * F.col("n")).alias("right")).collect()
     )
     thresholds = {}
     for kind in KINDS:

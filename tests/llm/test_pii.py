@@ -135,6 +135,21 @@ def test_trees_choose_loose_spans_by_their_context(spark):
             assert got[i] == {(kind, a, b) for a, _, kind, b in base_spans(text)}
 
 
+def test_every_ruled_span_is_an_example(spark, monkeypatch):
+    """45,000 spans, half of them failed: all take part, and spans that look the same are one row."""
+    cut, tables = pii.cut, {}
+    monkeypatch.setattr(pii, "cut", lambda df, name: tables.setdefault(name, cut(df, name)))
+    spans = spark.range(45_000).selectExpr(
+        "id as row", "id as doc_id", "'phone' as kind", "0L as start", "12L as end", "concat('+', id) as found",
+        "if(id % 2 = 0, 'please call ', 'was sold as lot ') as before", "'' as after", "id % 2 = 0 as base", "true as ruled",
+    )
+    judge = pii.fit(spans)
+    (examples,) = tables.values()
+    assert examples.agg(F.sum("n")).first()[0] == 45_000 and examples.count() == 6
+    loose = spans.withColumn("ruled", F.lit(False)).withColumn("base", F.lit(None).cast("boolean"))
+    assert pii.selected(loose, judge).groupBy("before", "chosen").count().count() == 2
+
+
 def test_features_hold_no_rule(spark):
     """Numbers that differ only in what a rule looks at look the same to the trees."""
     rows = [(1, "call +1 (918) 555-2370 now"), (2, "call (918) 555-2370 now"), (3, "card 4111111111111111 x"), (4, "card 4111111111111112 x"), (5, "from 10.2.3.4 x"), (6, "from 999.2.3.4 x")]
