@@ -3,10 +3,10 @@
 A word seen in training scores its log frequency in each language. An unseen word scores, at each of its
 positions, the longest character n-gram that training has seen there, from ``MAX_GRAM`` characters down to one.
 
-The model is fitted on a sample bounded for each language (``FitBounds``) with Spark counting, and holds every word and
-n-gram of the sample and every language: only the number of labelled rows is bounded. It keeps counts of the languages
-that a token was seen in; all other languages share one value for each level, so its size is that of the
-sample. Prediction reads every whole text.
+The model is fitted on every labelled row with Spark counting, and holds every word, n-gram and language of them. Words are
+counted in the texts, n-grams in the words. It keeps counts of the languages that a token was seen in; all other languages
+share one value for each level, so its size is that of the vocabulary: about 26 bytes a word, which every
+worker holds. Prediction reads every whole text.
 Null texts and texts without letters get ``und`` and score 0. Rows that repeat are predicted each on its own.
 Equal scores go to the language that sorts first. Without any training row every text is ``und``.
 """
@@ -15,12 +15,13 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,15 +32,17 @@ MAX_GRAM = 4
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: Words remembered by one worker, and numbers it remembers for them (one for each word and language); emptied when full.
 CACHE, CACHED_SCORES = 200_000, 2_000_000
+#: Tokens a task counts before it hands the counts on.
+COUNTED = 200_000
 #: Log frequency of a position for which no n-gram is known.
 NOTHING = -12.0
 
 
 @dataclass(frozen=True)
 class FitBounds:
-    """What bounds the training sample."""
+    """What bounds the training rows: nothing, unless a caller wants it."""
 
-    docs_per_language: int = 1500  # expected number, chosen by a hash of the id
+    docs_per_language: int | None = None  # expected number, chosen by a hash of the id; None: every row
 
 
 def words_of(text: str) -> list[str]:
@@ -54,28 +57,78 @@ def grams_of(word: str) -> Iterator[str]:
             yield marked[i : i + n]
 
 
+class Words(Mapping):
+    """Known words and their rows, in the order of a hash of 128 bits, whose second half confirms a hit. A dict takes several times
+    the memory. The words themselves stay with the driver."""
+
+    def __init__(self, texts: pa.Array):
+        hashes = np.concatenate([self._hashed(texts[i : i + COUNTED].to_pylist()) for i in range(0, len(texts), COUNTED)] or [self._hashed([])])
+        order = np.lexsort((hashes[:, 1], hashes[:, 0]))
+        #: The row each of ``texts`` has got.
+        self.place = np.empty(len(order), dtype=np.int64)
+        self.place[order] = np.arange(len(order))
+        self.hashes, self.checks, self.texts = hashes[order, 0], hashes[order, 1], texts.take(pa.array(order))
+
+    def __getstate__(self) -> dict:
+        return {"hashes": self.hashes, "checks": self.checks}
+
+    @staticmethod
+    def _hashed(words: list[str]) -> np.ndarray:
+        return np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), dtype=np.uint64).reshape(-1, 2)
+
+    def find(self, words: list[str]) -> np.ndarray:
+        """The row of each word, -1 if it is unknown."""
+        hashes, rows = self._hashed(words), np.full(len(words), -1, dtype=np.int64)
+        at, left = np.searchsorted(self.hashes, hashes[:, 0]), np.arange(len(words))
+        while len(left := left[at[left] < len(self.hashes)]) and len(left := left[self.hashes[at[left]] == hashes[left, 0]]):
+            same = self.checks[at[left]] == hashes[left, 1]
+            rows[left[same]] = at[left[same]]
+            left = left[~same]
+            at[left] += 1
+        return rows
+
+    def __getitem__(self, word: str) -> int:
+        row = int(self.find([word])[0])
+        if row < 0:
+            raise KeyError(word)
+        return row
+
+    def __iter__(self) -> Iterator[str]:
+        return (word.as_py() for word in self.texts)
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+
 class Model:
     """Log frequencies by language.
 
     Row r of a word or n-gram has the level ``level[r]`` (0: words, else the length of the n-gram), whose
-    ``base`` is the value of a token that a language has not seen. Languages that have seen it add ``more``, stored
-    one after another from ``start[r]`` to ``start[r + 1]``. The last row is for neither.
+    ``base`` is the value of a token that a language has not seen. Languages that have seen it add more, by their counts
+    ``n``, stored one after another from ``start[r]`` to ``start[r + 1]``. The last row is for neither.
     """
 
-    def __init__(self, languages: list[str], counts: pa.Table):
-        """counts: columns name (``w`` or ``g`` and the token), lang, n; each combination once."""
+    def __init__(self, languages: list[str], words: pa.Table, grams: pa.Table):
+        """words, grams: columns token, lang, n; each combination once."""
         self.languages = sorted(languages)
         at = {lang: i for i, lang in enumerate(self.languages)}
-        coded = counts["name"].combine_chunks().dictionary_encode()
-        row, names = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-        tongues = counts["lang"].combine_chunks().dictionary_encode()
-        lang = np.array([at[x] for x in tongues.dictionary.to_pylist()], dtype=np.int32)[tongues.indices.to_numpy()]
-        n = counts["n"].to_numpy().astype(np.float64)
-        order = np.lexsort((lang, row))
-        self.words = {name[1:]: i for i, name in enumerate(names) if name[0] == "w"}
-        self.grams = {name[1:]: i for i, name in enumerate(names) if name[0] == "g"}
-        self.nothing = len(names)
-        self.level = np.array([0 if name[0] == "w" else len(name) - 1 for name in names] + [MAX_GRAM + 1], dtype=np.int8)
+
+        def coded(column: pa.ChunkedArray) -> tuple[np.ndarray, pa.Array]:
+            codes = column.combine_chunks().dictionary_encode()
+            return codes.indices.to_numpy(), codes.dictionary
+
+        word_codes, texts = coded(words["token"])
+        gram_codes, marked = coded(grams["token"])
+        self.words = Words(texts)
+        self.grams = {gram: i for i, gram in enumerate(marked.to_pylist(), len(texts))}
+        self.nothing = len(texts) + len(marked)
+        row = np.concatenate([self.words.place[word_codes], gram_codes + len(texts)]).astype(np.int64)
+        counts = pa.concat_tables([words.select(["lang", "n"]), grams.select(["lang", "n"])])
+        lang_codes, tongues = coded(counts["lang"])
+        lang = np.array([at[x] for x in tongues.to_pylist()], dtype=np.min_scalar_type(len(at)))[lang_codes]
+        n = counts["n"].to_numpy()
+        self.level = np.zeros(self.nothing + 1, dtype=np.int8)
+        self.level[len(texts) :] = [*map(len, self.grams), MAX_GRAM + 1]
         # Add-half smoothing within each level: all words, or the n-grams of one length.
         self.base = np.full((MAX_GRAM + 2, len(at)), NOTHING)
         for level in range(MAX_GRAM + 1):
@@ -83,9 +136,15 @@ class Model:
             if size:
                 own = self.level[row] == level
                 self.base[level] = np.log(0.5) - np.log(np.bincount(lang[own], n[own], len(at)) + 0.5 * size)
-        self.start = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(names) + 1))]).astype(np.int64)
+        self.start = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=self.nothing + 1))])
+        self.start = self.start.astype(np.min_scalar_type(self.start[-1]))
+        order = np.lexsort((lang, row))
         self.lang = lang[order]
-        self.more = np.log((n + 0.5) / 0.5)[order]
+        self.n = n[order].astype(np.min_scalar_type(n.max(initial=0)))
+
+    def more(self, at: np.ndarray | slice) -> np.ndarray:
+        """What the counts there add to the base value."""
+        return np.log((self.n[at].astype(np.float64) + 0.5) / 0.5)
 
     def rows_of(self, word: str) -> list[int]:
         """The row of a known word; of an unseen one, at each position, of the longest known n-gram."""
@@ -108,18 +167,19 @@ class Model:
         total = self.base[self.level[rows]].sum(axis=0)
         for r in rows:
             part = slice(self.start[r], self.start[r + 1])
-            total[self.lang[part]] += self.more[part]
+            total[self.lang[part]] += self.more(part)
         return total / len(rows)
 
     def means(self, rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """The means of many words at once; ``sizes`` says how many of ``rows`` each word has."""
         starts = np.cumsum(sizes) - sizes
         total = np.add.reduceat(self.base[self.level[rows]], starts, axis=0)
-        held = self.start[rows + 1] - self.start[rows]
-        entry = np.arange(held.sum()) + np.repeat(self.start[rows] - (np.cumsum(held) - held), held)
+        first = self.start[rows].astype(np.int64)
+        held = self.start[rows + 1].astype(np.int64) - first
+        entry = np.arange(held.sum()) + np.repeat(first - (np.cumsum(held) - held), held)
         word = np.repeat(np.repeat(np.arange(len(sizes)), sizes), held)
         width = len(self.languages)
-        total += np.bincount(word * width + self.lang[entry], self.more[entry], total.size).reshape(total.shape)
+        total += np.bincount(word * width + self.lang[entry], self.more(entry), total.size).reshape(total.shape)
         return total / sizes[:, None]
 
 
@@ -139,27 +199,29 @@ class Predictor:
         model, grams = self.model, self.grams
         if len(grams) > CACHE:
             grams.clear()
-        rows, sizes, owner = [], [], []
+        words, owner = [], []
         first = len(self.seen)
         for k, token in enumerate(tokens, first):
             self.seen[token] = k
             self.scores[k], self.letters[k] = 0, 0
             low = token.lower()
-            for word in [low] if low.isalpha() else _LETTERS.findall(low):
-                known = model.words.get(word)
-                if known is not None:
-                    rows.append(known)
-                    sizes.append(1)
-                else:
-                    marked = f"<{word}>"
-                    for i in range(len(marked)):
-                        gram = marked[i : i + MAX_GRAM]
-                        row = grams.get(gram)
-                        if row is None:
-                            row = grams[gram] = model.back_off(gram)
-                        rows.append(row)
-                    sizes.append(len(marked))
-                owner.append(k)
+            own = [low] if low.isalpha() else _LETTERS.findall(low)
+            words += own
+            owner += [k] * len(own)
+        rows, sizes = [], []
+        for word, known in zip(words, model.words.find(words).tolist(), strict=True):
+            if known >= 0:
+                rows.append(known)
+                sizes.append(1)
+                continue
+            marked = f"<{word}>"
+            for i in range(len(marked)):
+                gram = marked[i : i + MAX_GRAM]
+                row = grams.get(gram)
+                if row is None:
+                    row = grams[gram] = model.back_off(gram)
+                rows.append(row)
+            sizes.append(len(marked))
         if owner:
             np.add.at(self.scores, owner, model.means(np.array(rows), np.array(sizes)))
             np.add.at(self.letters, owner, 1)
@@ -189,36 +251,52 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(4)) == 2
 
 
+def _counted(frames: Iterator[pd.DataFrame], counts_of) -> Iterator[pd.DataFrame]:
+    """``token, lang, n``: ``counts_of`` adds each row's tokens to the counter of its language."""
+    by_lang: dict[str, Counter[str]] = {}
+
+    def handed_on() -> Iterator[pd.DataFrame]:
+        for lang, counter in by_lang.items():
+            if counter:
+                yield pd.DataFrame({"token": list(counter.keys()), "lang": lang, "n": list(counter.values())})
+        by_lang.clear()
+
+    for frame in frames:
+        for row in frame.itertuples(index=False):
+            counts_of(by_lang.setdefault(row.lang, Counter()), row)
+            if sum(map(len, by_lang.values())) > COUNTED:
+                yield from handed_on()
+    yield from handed_on()
+
+
+def _count_words(counter: Counter[str], row) -> None:
+    counter.update(words_of(row.text))
+
+
+def _count_grams(counter: Counter[str], row) -> None:
+    for gram in grams_of(row.token):
+        counter[gram] += row.n
+
+
 def fit(labelled: DataFrame, bounds: FitBounds = FitBounds(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Fit on a hashed sample of the rows that have a text and a language."""
+    """Fit on the rows that have a text and a language: all of them, or a hashed sample if the caller bounds them."""
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    shares = (
-        rows.groupBy("lang").agg(F.count("*").alias("n"))
-        .select("lang", (F.lit(float(bounds.docs_per_language)) / F.col("n")).alias("share"))
-    )
-    drawn = F.pmod(F.xxhash64(F.lit("sample"), "id"), F.lit(1 << 30)) < F.col("share") * (1 << 30)
-    # One row for each language, as in the model, which goes to every task as well.
-    sample = rows.join(F.broadcast(shares), "lang").filter(drawn).select("lang", "text")
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            n: Counter[tuple[str, str, str]] = Counter()
-            for lang, text in zip(batch.lang, batch.text, strict=True):
-                for word, k in Counter(words_of(text)).items():
-                    n["w", word, lang] += k
-                    for gram in grams_of(word):
-                        n["g", gram, lang] += k
-            yield pd.DataFrame([(*key, k) for key, k in n.items()], columns=["kind", "token", "lang", "n"])
-
-    counts = cut(
-        sample.mapInPandas(count, "kind string, token string, lang string, n long")
-        .groupBy("kind", "token", "lang").agg(F.sum("n").alias("n")),
-        "language-counts",
-    )
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    if bounds.docs_per_language is not None:
+        shares = sizes.select("lang", (F.lit(float(bounds.docs_per_language)) / F.col("n")).alias("share"))
+        drawn = F.pmod(F.xxhash64(F.lit("sample"), "id"), F.lit(1 << 30)) < F.col("share") * (1 << 30)
+        # One row for each language, as in the model, which goes to every task as well.
+        rows = rows.join(F.broadcast(shares), "lang").filter(drawn)
+
+    def added_up(parts: DataFrame) -> DataFrame:
+        return parts.groupBy("token", "lang").agg(F.sum("n").alias("n"))
+
+    kind = "token string, lang string, n long"
+    words = cut(added_up(rows.select("lang", "text").mapInPandas(lambda frames: _counted(frames, _count_words), kind)), "language-words")
+    grams = added_up(words.mapInPandas(lambda frames: _counted(frames, _count_grams), kind))
     # As columns, not as row objects, which would take many times the memory of the driver.
-    table = counts.select(F.concat("kind", "token").alias("name"), "lang", "n").toArrow()
-    return Model([r.lang for r in shares.select("lang").collect()], table)
+    return Model([r.lang for r in sizes.select("lang").collect()], words.toArrow(), grams.toArrow())
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

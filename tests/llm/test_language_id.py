@@ -76,6 +76,27 @@ def test_many_and_rare_languages(spark):
         assert np.allclose(one.scores[one.seen[text.split()[0]]], model.score_word(text.split()[0]))
 
 
+def test_every_labelled_row_is_counted(spark):
+    """4,000 rows of one language, each with a word of its own: the model knows and counts them all."""
+    word = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(4))
+    docs = spark.createDataFrame([(i, f"shared {word(i)}", "en") for i in range(4000)] + [(9000, "anders", "de")], "doc_id long, text string, lang string")
+    model = L.fit(docs)
+    assert set(model.words) == {word(i) for i in range(4000)} | {"shared", "anders"}
+    row = model.words["shared"]
+    assert model.n[model.start[row] : model.start[row + 1]].tolist() == [4000]
+    row = model.grams["<sha"]
+    assert model.n[model.start[row] : model.start[row + 1]].tolist()[0] >= 4000
+    assert model.words.find(["anders", "nowhere", "shared"]).tolist() == [model.words["anders"], -1, model.words["shared"]]
+
+
+def test_words_of_equal_hash(monkeypatch):
+    """Four known words and an unknown one share the first half of their hashes."""
+    monkeypatch.setattr(L.xxhash, "xxh3_128_digest", lambda word: bytes(7) + bytes([len(word) > 3]) + word.encode().ljust(8))
+    words = L.Words(L.pa.array(["bb", "aaa", "cc", "dd"]))
+    found = words.find(["cc", "dd", "ee", "aaa", "bb", "zzzz"]).tolist()
+    assert found[2] == found[5] == -1 and [words.texts[i].as_py() for i in (found[0], found[1], found[3], found[4])] == ["cc", "dd", "aaa", "bb"]
+
+
 def test_the_query(spark):
     from duesight.llm.queries import QUERIES
 
