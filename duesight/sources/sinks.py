@@ -15,6 +15,8 @@ from duesight.session import Stored
 from duesight.sources.manifest import Conflict, Manifests
 
 ROWS_PER_FILE = 1_000_000
+# Rows a task writes at least, however small the files are: what each task reports to the driver is not a matter of files.
+ROWS_PER_TASK = 250_000
 # Leading characters of the document key that a day with too many rows is cut by.
 CUT = 6
 PART_SCHEMA = "bdm_id long, part long, rows long, first_date date, first_key string, last_date date, last_key string"
@@ -56,13 +58,14 @@ def part_list(parted: DataFrame) -> DataFrame:
 
 def _in_files(parted: DataFrame, files: DataFrame, rows_per_file: int) -> DataFrame:
     """Rows in the order of owner, date and document, dealt to tasks in that order: each takes whole parts with about the
-    rows of a file. Nothing is sampled; the task of a part follows from the counts."""
+    rows of a file, or of ``ROWS_PER_TASK`` if files are smaller. Nothing is sampled; the task of a part follows from the counts."""
+    rows_per_task = max(rows_per_file, ROWS_PER_TASK)
     total = files.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     # One row for each file: this window orders file numbers, not rows.
     earlier = Window.orderBy("bdm_id", "part").rowsBetween(Window.unboundedPreceding, -1)
-    task = F.floor(F.coalesce(F.sum("rows").over(earlier), F.lit(0)) / rows_per_file).cast("int")
+    task = F.floor(F.coalesce(F.sum("rows").over(earlier), F.lit(0)) / rows_per_task).cast("int")
     tasks = files.select("bdm_id", "part", task.alias("_task"))
-    dealt = parted.join(tasks, ["bdm_id", "part"]).repartitionById(max(1, -(-total // rows_per_file)), F.col("_task"))
+    dealt = parted.join(tasks, ["bdm_id", "part"]).repartitionById(max(1, -(-total // rows_per_task)), F.col("_task"))
     return dealt.drop("_task").sortWithinPartitions("bdm_id", "part", *SORT_COLUMNS[1:])
 
 

@@ -143,6 +143,22 @@ def test_sheet_files_follow_exact_counts(spark, tmp_path):
     assert not list(tmp_path.glob("*.staging/*"))
 
 
+def test_many_small_files_take_few_tasks(spark, tmp_path, monkeypatch):
+    """861 rows in files of 10: each of these files had a task of its own. The files stay, with the same rows."""
+    rows, dealt = crowded(spark), []
+    save = sinks._save
+    monkeypatch.setattr(sinks, "_save", lambda frame, *more: (dealt.append(frame.rdd.getNumPartitions()), save(frame, *more)))
+    for rows_per_task in (10, 300, 250_000):
+        monkeypatch.setattr(sinks, "ROWS_PER_TASK", rows_per_task)
+        store = sinks.SheetStore(spark, str(tmp_path / str(rows_per_task)))
+        store.publish(sheet(spark, rows), "run", rows_per_file=10)
+        files = [{"/".join(p.parts[-3:-1]): p.read_text() for p in Path(store.folder()).rglob("*.csv")}]
+        assert len(files[0]) == store.manifest().count() > 30
+        first = files[0] if rows_per_task == 10 else first
+        assert files[0] == first
+    assert dealt == [84, 3, 1]
+
+
 def test_the_sheet_is_computed_once(spark, cases, tmp_path):
     ran = spark.sparkContext.accumulator(0)
 
