@@ -97,15 +97,19 @@ def unpaid_credits(t: Tables) -> DataFrame:
     )
 
 
-def open_credits(t: Tables) -> DataFrame:
-    """One row per owner and credit-note number, with the project's lowest sales order."""
+def lowest_orders(t: Tables) -> DataFrame:
+    """Project -> its lowest sales order."""
     known_orders = t.sales_orders.select(F.col("id").alias("sales_order_id"))
-    orders = (
+    return (
         t.project_so_masters.join(known_orders, "sales_order_id", "left_semi")
         .groupBy("project_id")
         .agg(F.min("sales_order_id").alias("sales_order_id"))
     )
-    routed = unpaid_credits(t).join(orders, "project_id", "left")
+
+
+def open_credits(t: Tables) -> DataFrame:
+    """One row per owner and credit-note number, with the project's lowest sales order."""
+    routed = unpaid_credits(t).join(lowest_orders(t), "project_id", "left")
     order = [
         F.col("id"),
         F.col("sales_order_id").asc_nulls_last(),

@@ -160,7 +160,8 @@ def detail_routes(t: Tables, currencies: DataFrame) -> DataFrame:
     )
     orders = owner_orders(t).drop("currency_id").withColumnRenamed("sbu", "unit_id")
     joined = (
-        orders.join(projects, "project_id", "left")
+        orders.join(fallback_purchase_orders(t), "sales_order_id", "left")  # while the rows are narrow
+        .join(projects, "project_id", "left")
         .join(customers, "customer_id", "left")
         .join(contacts, "finance_contact_id", "left")
         .join(currencies, "currency_id", "left")
@@ -170,7 +171,6 @@ def detail_routes(t: Tables, currencies: DataFrame) -> DataFrame:
         .join(business_heads(t), "unit_id", "left")
         .join(units, "unit_id", "left")
         .join(entities, "legal_entity_id", "left")
-        .join(fallback_purchase_orders(t), "sales_order_id", "left")
     )
     return joined.drop("customer_id").withColumnsRenamed(
         {"shown_customer_id": "customer_id", "credit_period": "credit_days"}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from duesight.operators.documents import (
     consolidation_routes,
     invoice_orders,
+    lowest_orders,
     open_credits,
     open_direct_invoices,
     open_invoices,
@@ -199,9 +200,10 @@ def _direct_facts(t: Tables, currencies: DataFrame) -> DataFrame:
     entities = t.legal_entities.selectExpr(
         "id as entity_id", "legal_entity as entity_name", "legal_entity_code as entity_code"
     )
+    # What needs a shuffle of the documents comes before what makes their rows wider.
+    named = left_lookup(facts.join(names, "customer_code", "left"), first_contacts(t), "customer_id", "doc_id")
     return (
-        facts.join(names, "customer_code", "left")
-        .join(currencies, "currency_id", "left")
+        named.join(currencies, "currency_id", "left")
         .join(units, "unit_id", "left")
         .join(entities, "entity_id", "left")
         .drop("currency_id", "entity_id")
@@ -223,7 +225,6 @@ def _credit_facts(t: Tables, currencies: DataFrame) -> DataFrame:
         "0 as credit_days",
         "currency as currency_code",
         "project_id",
-        "sales_order_id",
         "rsh_id",
         "sbu as unit",
         "entity as entity_name",
@@ -238,28 +239,28 @@ def _credit_facts(t: Tables, currencies: DataFrame) -> DataFrame:
         "project_name",
         "project_manager as pm_id",
     )
-    customers = t.customers.withColumnRenamed("id", "customer_id")
+    # Tables with the same key are joined with each other, so that the notes are dealt by it once.
+    of_projects = lowest_orders(t).join(orders, "sales_order_id").drop("sales_order_id").join(projects, "project_id", "full")
+    customers = t.customers.withColumnRenamed("id", "customer_id").join(first_contacts(t), "customer_id", "full")
     entities = t.legal_entities.withColumnsRenamed(
         {"legal_entity": "entity_name", "legal_entity_code": "entity_code"}
     )
     entities = lowest(entities, "entity_name", "id", "entity_code").drop("id")
     by_code = currencies.filter("currency_code is not null").groupBy("currency_code")
     rates = by_code.agg(F.min_by("rate", "currency_id").alias("rate"))
-    routed = left_lookup(facts, orders, "sales_order_id", "doc_id")
-    placed = left_lookup(routed, projects, "project_id", "doc_id")
+    placed = left_lookup(facts, of_projects, "project_id", "doc_id")
     return (
         left_lookup(placed, customers, "customer_id", "doc_id")
         .join(rates, "currency_code", "left")
         .join(entities, "entity_name", "left")
-        .drop("project_id", "sales_order_id")
+        .drop("project_id")
     )
 
 
 def _with_people(t: Tables, facts: DataFrame) -> DataFrame:
-    """Contact and staff names of documents that name them by id."""
+    """Staff names of documents that name them by id."""
     joined = (
-        left_lookup(facts, first_contacts(t), "customer_id", "doc_id")
-        .join(people(t, "rsh_id", "rsh"), "rsh_id", "left")
+        facts.join(people(t, "rsh_id", "rsh"), "rsh_id", "left")
         .join(people(t, "bdm_id", "bdm"), "bdm_id", "left")
         .join(people(t, "pm_id", "pm"), "pm_id", "left")
         .join(business_heads(t), "unit_id", "left")
