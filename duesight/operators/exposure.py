@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from duesight.functions.dates import RECENT, ageing_bucket, bucket_name, due_date, month_offset
 from duesight.operators.documents import unpaid_credits
@@ -36,6 +37,15 @@ def _measures(is_open: Column, in_summary: Column, amount: Column) -> list[Colum
     ]
 
 
+def _by_spelling(rows: DataFrame, keys: Collection[str]) -> tuple[list[Column], list[Column]]:
+    """Keys to group by and keys of the result. Collated text is grouped by its spelling, which Spark can hash; what is equal under the
+    collation meets in the summary, when documents are added up. The result has the collation again."""
+    kinds = {name: rows.schema[name].dataType for name in keys}
+    kinds = {name: kind for name, kind in kinds.items() if isinstance(kind, T.StringType) and kind != T.StringType()}
+    plain = [F.col(name).cast("string").alias(name) if name in kinds else F.col(name) for name in keys]
+    return plain, [F.col(name).cast(kinds[name]).alias(name) if name in kinds else F.col(name) for name in keys]
+
+
 def _project_days(t: Tables) -> DataFrame:
     unpaid = F.col("balance_amount") > 0
     approved = unpaid & (F.col("status") == APPROVED_STATUS)
@@ -146,32 +156,30 @@ def _project_rows(t: Tables, currencies: DataFrame, days: DataFrame, dedupe: boo
 def _direct_days(t: Tables, currencies: DataFrame) -> DataFrame:
     unpaid = F.col("balance_amount") > 0
     unsettled = t.direct_invoices.filter((F.col("balance_amount") != 0) & F.col("bdm_id").isNotNull())
-    days = (
-        of_owners(t, in_owner_slots(t, unsettled))
-        .groupBy(
-            "bdm_id",
-            "customer_id",
-            F.col("customer_code").alias("candidate_code"),
-            F.col("invoicing_currency_id").alias("currency_id"),
-            due_date(F.col("invoice_date"), F.col("credit_period")).alias("due_date"),
-        )
-        .agg(*_measures(unpaid, unpaid, F.col("balance_amount")))
+    rows = of_owners(t, in_owner_slots(t, unsettled)).select(
+        "bdm_id",
+        "customer_id",
+        F.col("customer_code").alias("candidate_code"),
+        F.col("invoicing_currency_id").alias("currency_id"),
+        due_date(F.col("invoice_date"), F.col("credit_period")).alias("due_date"),
+        "balance_amount",
     )
+    plain, keys = _by_spelling(rows, ("bdm_id", "customer_id", "candidate_code", "currency_id", "due_date"))
+    days = rows.groupBy(*plain).agg(*_measures(unpaid, unpaid, F.col("balance_amount"))).select(*keys, *MEASURES)
     return days.join(currencies, "currency_id", "left").withColumn("source", F.lit(DIR))
 
 
 def _credit_days(t: Tables) -> DataFrame:
     always = F.lit(True)
-    days = (
-        unpaid_credits(t)
-        .groupBy(
-            "bdm_id",
-            F.col("customer_no").alias("customer_id"),
-            F.col("currency").alias("currency_code"),
-            F.col("date").alias("due_date"),
-        )
-        .agg(*_measures(always, always, F.col("balance_amount")))
+    rows = unpaid_credits(t).select(
+        "bdm_id",
+        F.col("customer_no").alias("customer_id"),
+        F.col("currency").alias("currency_code"),
+        F.col("date").alias("due_date"),
+        "balance_amount",
     )
+    plain, keys = _by_spelling(rows, ("bdm_id", "customer_id", "currency_code", "due_date"))
+    days = rows.groupBy(*plain).agg(*_measures(always, always, F.col("balance_amount"))).select(*keys, *MEASURES)
     # Its candidate code is its customer's, which is not known yet; a code's type may carry a collation.
     no_code = F.lit(None).cast(t.customers.schema["customer_code"].dataType)
     return days.withColumn("candidate_code", no_code).selectExpr("*", f"'{CRN}' as source", f"cast(null as {RATE}) as rate")
@@ -203,8 +211,9 @@ def _by_bucket(rows: DataFrame, as_of: dt.date) -> DataFrame:
     )
     converted = F.col("source").isin(INV, DIR) & (F.coalesce(offset, F.lit(0)) <= 0)
     total = F.when(converted, F.col("rate") * amount).otherwise(amount).cast("decimal(38,8)")
+    plain, keys = _by_spelling(months, KEYS)
     return (
-        months.groupBy(*KEYS, "month_offset", "overdue")
+        months.groupBy(*plain, "month_offset", "overdue")
         .agg(
             F.sum("open_count").alias("open_count"),
             F.sum("open_amount").cast(MONEY_SUM).alias("open_amount"),
@@ -214,7 +223,7 @@ def _by_bucket(rows: DataFrame, as_of: dt.date) -> DataFrame:
             F.max(F.when(F.col("open_count") > 0, F.col("horizon_date"))).alias("last_due_date"),
         )
         .withColumn("bucket", bucket_name(offset, F.col("overdue")))
-        .drop("overdue")
+        .select(*keys, "month_offset", *MEASURES, "total_amount", "last_due_date", "bucket")
     )
 
 
@@ -228,7 +237,7 @@ def exposure(
     """Balances by owner, source, customer, currency and bucket.
 
     Candidates, horizon, summaries and column totals are all read off this one
-    small table. To make it, invoices are read three times (as documents, as parents
+    small table. Codes that a collation takes for equal have a row for each spelling. To make it, invoices are read three times (as documents, as parents
     and as constituents) and the other document tables once.
     """
 

@@ -8,6 +8,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from duesight.functions.dates import (
     DUE_BUCKETS,
@@ -128,20 +129,24 @@ class AgeingSummary:
     def _cells(self, source: str | None = None) -> DataFrame:
         """Sums per source, owner, customer code, currency and bucket, and whether the code is a candidate's.
 
-        Each row counts under its customer's code and marks its candidate code. Marks are added up to one row
-        per owner and code, and a window over these two finds the rows whose code is marked.
+        Each row counts under its customer's code and marks its candidate code, by a row of its own if that is spelled otherwise.
+        Marks are added up to one row per owner and code, and a window over these two finds the rows whose code is
+        marked. Codes that a collation compares are added up by spelling, and only the window compares them. It also finds the first of
+        the customers' spellings, as plain text, which stands for all of them from here on.
         """
-        codes = F.array(
-            F.struct(F.col("customer_code").alias("code"), F.lit(True).alias("own")),
-            F.struct(F.col("candidate_code").alias("code"), F.lit(False).alias("own")),
-        )
-        roles = self._base_for(source).select("*", F.inline(codes))
+        rows = self._base_for(source)
+        same = F.col("customer_code").cast("string").eqNullSafe(F.col("candidate_code").cast("string"))
+        role = lambda code, own, marks: F.struct(F.col(code).alias("code"), F.lit(own).alias("own"), F.lit(marks).alias("marks"))
+        codes = F.when(same, F.array(role("customer_code", True, True))).otherwise(F.array(role("customer_code", True, False), role("candidate_code", False, True)))
+        roles = rows.select("*", F.inline(codes))
         own, in_summary, is_open = F.col("own"), F.col("own") & (F.col("summary_count") > 0), F.col("own") & (F.col("open_count") > 0)
         dated = own & F.col("source").isin(self._horizon_sources)
         rank = F.when(F.col("currency_code").isNull(), _rank(LABEL_ORDER_WITHOUT_CURRENCY)).otherwise(_rank(LABEL_ORDER))
         named = F.struct(rank.alias("rank"), F.coalesce("customer_name", F.lit("")).alias("name"))
-        split = [F.when(own, F.col(name)).alias(name) for name in ("source", "currency_code", "bucket", "month_offset")]
-        cells = roles.groupBy("bdm_id", F.col("code").alias("customer_code"), *split).agg(
+        split = [F.when(own, F.col(name)).alias(name) for name in ("source", "bucket", "month_offset")]
+        split.append(F.when(own, F.col("currency_code").cast("string")).alias("currency_code"))
+        code_kind, currency_kind = (rows.schema[name].dataType for name in ("customer_code", "currency_code"))
+        cells = roles.groupBy("bdm_id", F.col("code").cast("string").alias("customer_code"), *split).agg(
             F.sum(F.when(in_summary, F.col("summary_count"))).alias("summary_count"),
             F.sum(F.when(in_summary, F.col("summary_amount"))).alias("summary_amount"),
             F.sum(F.when(is_open, F.col("open_count"))).alias("open_count"),
@@ -149,10 +154,14 @@ class AgeingSummary:
             F.sum(F.when(is_open, F.col("total_amount"))).alias("total_amount"),
             F.min(F.when(in_summary, named)).alias("named"),
             F.max(F.when(dated, F.col("last_due_date"))).alias("last_due_date"),
-            F.max(~own).alias("marked"),
+            F.max("marks").alias("marked"),
         )
-        marked = F.max("marked").over(Window.partitionBy("bdm_id", "customer_code"))
-        return cells.withColumn("listed", F.col("customer_code").isNotNull() & marked).drop("marked")
+        spelling = F.col("customer_code")
+        of_code = Window.partitionBy("bdm_id", spelling.cast(code_kind))
+        found = {"listed": spelling.isNotNull() & F.max("marked").over(of_code), "currency_code": F.col("currency_code").cast(currency_kind)}
+        if code_kind != T.StringType():
+            found["customer_code"] = F.coalesce(F.min(F.when(F.col("source").isNotNull(), spelling)).over(of_code), spelling)
+        return cells.withColumns(found).drop("marked")
 
     def _placed(self, source: str | None = None) -> DataFrame:
         """Cells of candidates. Months past the owner's horizon have no bucket."""

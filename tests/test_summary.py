@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from duesight.plans.summary import AgeingSummary
 from duesight.settings import SummaryOptions
+from duesight.sources.tables import Tables, collated
 from tests.conftest import AS_OF, records
 
 ADDED = SummaryOptions(future_credits_added=True)
@@ -144,3 +147,13 @@ def test_visible_spans(summary):
     spans = {row["bdm_id"]: row for row in records(summary.visible_spans())}
     assert (spans[1]["due_columns"], spans[1]["not_due_columns"]) == (4, 2)
     assert 7 not in spans
+
+
+def test_collated_codes_are_compared_once(cases):
+    """Typed codes find the same candidates, and what follows the one comparison groups plain text."""
+    typed = cases.replace(direct_invoices=cases.direct_invoices.withColumn("customer_code", F.concat(F.lower("customer_code"), F.lit(" "))))
+    alike = AgeingSummary(Tables(lambda name: collated(getattr(typed, name), name)), AS_OF)
+    assert alike.base.schema["customer_code"].dataType != T.StringType()
+    assert alike._cells().schema["customer_code"].dataType == T.StringType()
+    assert sorted(map(str, records(alike.merged()))) == sorted(map(str, records(AgeingSummary(cases, AS_OF).merged())))
+    assert sorted(map(str, records(alike.bucket_totals()))) == sorted(map(str, records(AgeingSummary(cases, AS_OF).bucket_totals())))
