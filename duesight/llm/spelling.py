@@ -11,7 +11,9 @@ A chunk that very many words share would bring all of them together. Such hot ke
 rule: behind a shared chunk the rest of the two words is one edit apart, so two chunks of the rest meet
 the grams of the other rest. Nothing is left out by that.
 
-All of it runs on DataFrame functions. Memory: rows of single words. Null texts hold no words, a null id
+All of it runs on DataFrame functions. Memory: rows of single words. Spark takes chunks and grams to be as small as the
+words they come from, and words as small as their compressed file, a tenth of their size in memory. So joins of tables
+that grow with the words say that they are merged, and only hot keys are broadcast. Null texts hold no words, a null id
 counts as empty in the slip rule, empty texts and empty tables give no words. Texts of any length are taken whole; a
 row that is repeated counts again. Columns other than id and text are ignored, whatever their names. Of near words
 with the same count, the first in code-point order is the form. Single letters share the empty chunk.
@@ -96,11 +98,11 @@ def near_pairs(words: DataFrame, hot: int = HOT) -> DataFrame:
     words = words.select("word").distinct()
     of_chunks = words.select("word", F.inline(chunks(F.col("word"))))
     of_grams = words.select("word", F.inline(grams(F.col("word"))))
-    load = of_chunks.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("x")).join(of_grams.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("y")), _KEY)
+    load = of_chunks.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("x")).join(of_grams.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("y")).hint("merge"), _KEY)
     heavy = cut(load.filter(F.col("x") * F.col("y") > hot).select(*_KEY), "spelling-hot")
 
     def verified(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
-        met = left.withColumnRenamed("word", "a").join(right.withColumnRenamed("word", "b"), key)
+        met = left.withColumnRenamed("word", "a").join(right.withColumnRenamed("word", "b").hint("merge"), key)
         one_way = (F.length("a") < F.length("b")) | (F.col("a") < F.col("b"))
         return met.filter(one_way & (F.levenshtein("a", "b", 1) == 1)).select("a", "b")
 
@@ -118,7 +120,7 @@ def roots(forms: DataFrame) -> DataFrame:
     now = cut(forms.select("word", F.col("form").alias("root")), "spelling-roots")
     while True:
         ahead = now.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        later = now.join(ahead, "root", "left")
+        later = now.join(ahead.hint("merge"), "root", "left")
         later = cut(later.select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")), "spelling-roots")
         now = later.select("word", "root")
         if later.filter("moved").isEmpty():
@@ -131,16 +133,16 @@ def variants(words: DataFrame, factor: int = 5, hot: int = HOT) -> DataFrame:
     ``form`` is the near word with the largest count if it has ``factor`` times the word's count, else null.
     """
     words = cut(words.select("word", "n"), "spelling-words")
-    near = near_pairs(words, hot).join(words.select(F.col("word").alias("b"), F.col("n").alias("m")), "b")
+    near = near_pairs(words, hot).join(words.select(F.col("word").alias("b"), F.col("n").alias("m")).hint("merge"), "b")
     best = F.min(F.struct((-F.col("m")).alias("minus"), F.col("b").alias("form")))
     of_word = near.groupBy(F.col("a").alias("word")).agg(F.count(F.lit(1)).alias("n_near"), best.alias("best"))
     enough = -F.col("best.minus") >= factor * F.col("n")
     rows = cut(
-        words.join(of_word, "word", "left").select(
+        words.join(of_word.hint("merge"), "word", "left").select(
             "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
             F.when(enough, F.col("best.form")).alias("form"), F.when(enough, -F.col("best.minus")).alias("form_n"),
         ),
         "spelling-forms",
     )
-    with_root = rows.join(roots(rows.filter("form is not null")), "word", "left")
+    with_root = rows.join(roots(rows.filter("form is not null")).hint("merge"), "word", "left")
     return with_root.select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

@@ -107,3 +107,20 @@ def test_a_hot_chunk_makes_no_square(spark):
     alphabet, known = "abcdefghklmnopqrst", {r.word for r in words.collect()}
     for word in sorted(known)[::97]:
         assert near[word] == edits(word, alphabet) & known
+
+
+def test_only_hot_keys_are_broadcast(spark, monkeypatch):
+    """Whatever Spark takes the sizes of chunks, grams and words for: it knows neither their number nor what they take in memory."""
+    plans, kept = [], S.cut
+    monkeypatch.setattr(S, "cut", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or kept(df, name))
+    words = spark.createDataFrame([(f"word{i:03d}{c}", i + 1) for i in range(300) for c in "ab"], "word string, n long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        found = S.variants(words, hot=2)
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    joins = [line for plan in plans for line in plan.splitlines() if "Join " in line]
+    assert any("SortMergeJoin" in line for line in joins)
+    assert [line for line in joins if "Broadcast" in line and "LeftAnti" not in line and "LeftSemi" not in line] == []
