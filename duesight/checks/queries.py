@@ -262,7 +262,8 @@ def _(t: Tables) -> DataFrame:
     """The files of published sheets."""
     spark = t.invoices.sparkSession
     store = SheetStore(spark, shared_folder(spark))
-    store.publish(detail_sheet.detail_sheet(t, DEFAULT_AS_OF), "run", "parquet", SHEET_ROWS)
+    sheet, *more = (detail_sheet.detail_sheet(t, DEFAULT_AS_OF, only=source) for source in open_items.APART)
+    store.publish(sheet, "run", "parquet", SHEET_ROWS, more)
     return store.manifest()
 
 

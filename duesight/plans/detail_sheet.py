@@ -76,5 +76,6 @@ def sheet_rows(items: DataFrame, as_of: dt.date) -> DataFrame:
     )
 
 
-def detail_sheet(t: Tables, as_of: dt.date, corrected_rates: bool = False) -> DataFrame:
-    return sheet_rows(open_items(t, as_of, corrected_rates), as_of)
+def detail_sheet(t: Tables, as_of: dt.date, corrected_rates: bool = False, only: str | None = None) -> DataFrame:
+    """The sheet of all sources, or of ``only`` one of ``open_items.APART``."""
+    return sheet_rows(open_items(t, as_of, corrected_rates, only), as_of)

@@ -278,8 +278,15 @@ def credit_items(t: Tables, currencies: DataFrame) -> DataFrame:
     return _with_people(t, _credit_facts(t, currencies))
 
 
-def open_items(t: Tables, as_of: dt.date, corrected_rates: bool = False) -> DataFrame:
-    """All open items. Rows of different sources are equal only as ``invoice_items`` says."""
+# Sources whose items can be found without those of the others, the largest first.
+APART = (INV, DIR, CRN)
+
+
+def open_items(t: Tables, as_of: dt.date, corrected_rates: bool = False, only: str | None = None) -> DataFrame:
+    """All open items. Rows of different sources are equal only as ``invoice_items`` says. ``only`` is one of ``APART``: the items of
+    this source, project invoices with consolidated ones."""
     currencies = currency_table(t, as_of, corrected_rates)
+    if only is not None:
+        return {INV: invoice_items, DIR: direct_items, CRN: credit_items}[only](t, currencies)
     named = _direct_facts(t, currencies).unionByName(_credit_facts(t, currencies))
     return invoice_items(t, currencies).unionByName(_with_people(t, named))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 import datetime as dt
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from pathlib import Path
 
 import pytest
@@ -159,6 +159,42 @@ def test_many_small_files_take_few_tasks(spark, tmp_path, monkeypatch):
     assert dealt == [84, 3, 1]
 
 
+def test_rows_are_shuffled_once_and_shuffles_dropped(spark, tmp_path, monkeypatch):
+    """Each file as before, whether the sheet is dealt in one pass or in four; rows go through one exchange, and what
+    executions have shuffled doesn't wait for the driver's garbage collection."""
+    setting, plans, save = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", [], sinks._save
+    rows = crowded(spark) + [(4, dt.date(2001, 2, i % 3 + 1), None if i % 2 else f"k{i}") for i in range(60)] + [(None, dt.date(2001, 1, 1), "z"), (-5, None, "m")]
+
+    def look(frame, *more):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        assert spark.conf.get(setting) == "true"
+        save(frame, *more)
+
+    monkeypatch.setattr(sinks, "_save", look)
+    monkeypatch.setattr(sinks, "ROWS_PER_TASK", 40)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    dropped = spark.conf.get(setting)
+    got, listed = [], []
+    try:
+        for rows_per_pass in (4_000_000, 100):
+            monkeypatch.setattr(sinks, "ROWS_PER_PASS", rows_per_pass, raising=False)
+            store = sinks.SheetStore(spark, str(tmp_path / str(rows_per_pass)))
+            store.publish(sheet(spark, rows), "run", rows_per_file=10)
+            got.append(sorted((*p.parts[-3:-1], p.read_text()) for p in Path(store.folder()).rglob("*.csv")))
+            listed.append(sorted(map(str, store.manifest().collect())))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert spark.conf.get(setting) == dropped
+    assert got[0] == got[1] and listed[0] == listed[1] and len(got[0]) == len(listed[0])
+    keys = [(int(owner.split("=")[1]), line["Invoice Number"]) for owner, _, text in got[0] for line in csv.DictReader(text.splitlines())]
+    assert Counter(keys) == Counter((r[0], r[2] or "") for r in rows if r[0] is not None)
+    for plan in plans:  # the sheet's rows: what an exchange reads has all columns
+        below = [part.split("Scan")[0] for part in re.split(r"(?<!Broadcast)Exchange ", plan)[1:]]
+        assert sum("project_name#" in part for part in below) == 1
+    assert len(plans) == 5
+
+
 def test_the_sheet_is_computed_once(spark, cases, tmp_path):
     ran = spark.sparkContext.accumulator(0)
 
