@@ -100,7 +100,7 @@ def _in_files(rows: DataFrame, files: DataFrame, rows_per_file: int) -> Iterator
     begins = F.get("_keys", F.lit(0))
     first = F.broadcast(tasks.select("_task", begins.alias("_key")).agg(*_beginnings("_task")))
 
-    passes = max(1, min(PASSES, total // ROWS_PER_PASS))
+    passes = max(1, min(PASSES, total // ROWS_PER_PASS, n_tasks))
     cuts = [n_tasks * k // passes for k in range(passes + 1)]
     edges = [F.min(F.when(F.col("_task") >= cut, begins)) for cut in cuts[:-1]]
     most, *edges = tasks.agg(F.coalesce(F.max(F.size("_keys")), F.lit(1)), *edges).first()

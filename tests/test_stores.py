@@ -195,6 +195,13 @@ def test_rows_are_shuffled_once_and_shuffles_dropped(spark, tmp_path, monkeypatc
     assert len(plans) == 5
 
 
+def test_more_passes_than_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "ROWS_PER_PASS", 100)
+    store = sinks.SheetStore(spark, str(tmp_path))
+    store.publish(sheet(spark, crowded(spark)), "run")
+    assert {owner: len(sum(files, [])) for owner, files in written(store.folder()).items()} == {1: 800, 2: 30, 3: 1}
+
+
 def test_the_sheet_is_computed_once(spark, cases, tmp_path):
     ran = spark.sparkContext.accumulator(0)
 
